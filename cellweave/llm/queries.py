@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import media, packing, token_files
+from . import media, packing, simhash, substring, suffix_dedup, token_files
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,11 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/pages.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", F.col("n").alias("n_bytes"), "n_removed", "n_spans", "kept_sha256")
+
+
 def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digest(media.media_table(documents(spark, sf_dir)))
 
@@ -24,9 +29,19 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(documents(spark, sf_dir))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_copies(documents(spark, sf_dir), shingle=3, lanes=1, radius=3)
+    return found.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.remove_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", F.col("n").alias("n_words"), "n_removed", "kept_sha256")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir)).drop("ids")
 
 
-QUERIES = {f.__name__: f for f in (op2_media_columns, op3_token_files, op8_packing)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_media_columns, op3_token_files, op4_simhash, op5_substring_dedup, op8_packing)}
 ORACLE_SQL: dict[str, str] = {}

@@ -59,7 +59,7 @@ def slices(batches: Iterable[pa.RecordBatch], text: int = 1, limit: int = SLICE_
 def salted_join(many: DataFrame, few: DataFrame, key: str, salt_of: str, how: str = "inner", salts: int = 16) -> DataFrame:
     """many ⋈ few on key, each key of many dealt over ``salts`` tasks by the column salt_of."""
     left = many.withColumn("_salt", F.pmod(F.xxhash64(salt_of), F.lit(salts)))
-    right = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    right = few.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
