@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import media, packing, simhash, substring, suffix_dedup, token_files
+from . import media, mixing, packing, quality, simhash, substring, suffix_dedup, token_files, urls, warc
+from .shared import stored
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,9 +40,27 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("n").alias("n_words"), "n_removed", "kept_sha256")
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "source", mixing.n_words("text").alias("size"))
+    mixed = mixing.mix(stored(docs, "sizes"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(pages(spark, sf_dir))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir)).drop("ids")
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_media_columns, op3_token_files, op4_simhash, op5_substring_dedup, op8_packing)}
-ORACLE_SQL: dict[str, str] = {}
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.table(documents(spark, sf_dir)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(pages(spark, sf_dir).select("page_id", "url")).drop("url")
+
+
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_media_columns, op3_token_files, op4_simhash, op5_substring_dedup, op6_mixing, op7_warc, op8_packing, op9_quality, op10_url_rules)}
+ORACLE_SQL = {"op6_mixing": mixing.SQL, "op7_warc": warc.SQL, "op9_quality": quality.sql(), "op10_url_rules": urls.SQL}
