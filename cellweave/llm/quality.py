@@ -27,8 +27,9 @@ RULES = [
 ]
 #: Rounds of expectation-maximisation, first values and bounds of the estimates.
 ROUNDS = 20
-START = {"bad": 0.1, "hit": 0.5, "miss": 0.01}
-BOUNDS = {"bad": (0.001, 0.5), "hit": (0.1, 0.95), "miss": (0.0001, 0.05)}
+#: The rules' thresholds are wide, so good documents that one calls bad are held to be rare.
+START = {"bad": 0.1, "hit": 0.3, "miss": 0.001}
+BOUNDS = {"bad": (0.01, 0.5), "hit": (0.1, 0.9), "miss": (0.0001, 0.002)}
 
 
 def counted(docs: DataFrame, text: str = "text") -> DataFrame:
