@@ -1,7 +1,7 @@
 """Quality by weak supervision, in DataFrame operations only.
 
 Each rule votes bad, good or abstains. All documents with the same votes are one pattern; there
-are at most 3^rules patterns, so expectation-maximisation runs inside one SQL expression over the
+are at most 2 * 3^rules patterns (the base test counts as a vote apart), so expectation-maximisation runs inside one SQL expression over the
 counted patterns: it estimates how often each rule calls a bad and a good document bad, and the
 share of bad documents. A document is kept unless its posterior of being bad exceeds a half.
 """
@@ -68,6 +68,7 @@ def counted(docs: DataFrame, text: str = "text") -> DataFrame:
     out = out.withColumn("n_repeat_words", F.expr("cast(if(_hits is null, 0, 5 + aggregate(transform(_hits, (x, k) -> if(k = 0, 0, least(5, x - _hits[greatest(k - 1, 0)]))), 0, (a, x) -> a + x)) as long)")).drop("_hits")
     out = out.withColumn("base_failed", F.expr("n_words < 10 or 100 * n_repeat_words > 20 * n_words"))
     votes = [f"case when {bad} then 1 when {good} then 0 else 2 end" for _, bad, good in RULES]
+    votes.append("case when base_failed then 1 else 0 end")
     return out.withColumn("pattern", F.expr("concat(" + ", ".join(votes) + ")")).select(*docs.columns, *made)
 
 
@@ -101,9 +102,14 @@ def judged(patterns: DataFrame) -> DataFrame:
 
 
 def verdicts(rows: DataFrame) -> DataFrame:
-    """Counted rows with p_bad and kept; the verdicts of the patterns (3^6 at most) are broadcast."""
+    """Counted rows with p_bad and kept; the verdicts of the patterns (2 * 3^6 at most) are broadcast.
+
+    They are stored first, and kept hangs on the pattern alone: a filter on it would else be pushed
+    below the fit and below the counting, and repeat both.
+    """
     found = judged(rows.groupBy("pattern").agg(F.count("*").alias("n")))
-    return rows.join(F.broadcast(found), "pattern").withColumn("kept", ~F.col("base_failed") & (F.col("p_bad") <= 0.5))
+    kept = (F.substring("pattern", len(RULES) + 1, 1) == "0") & (F.col("p_bad") <= 0.5)
+    return rows.join(F.broadcast(stored(found.withColumn("kept", kept), "verdicts")), "pattern")
 
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:

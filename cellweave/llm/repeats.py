@@ -78,50 +78,70 @@ def window_rows(docs: DataFrame, wanted: DataFrame, unit: str, length: int, doc_
     return with_lists(docs, lists, doc_id, text, "inner").mapInArrow(run, "anchor long, window long, doc_id long, start long")
 
 
-def kept_of(docs: DataFrame, spans: DataFrame, unit: str, doc_id: str, text: str) -> DataFrame:
-    """Every document with its spans (doc_id, start, stop in symbols) taken out.
+class Cut:
+    """Texts with stretches taken out. spans: start and stop in symbols of all texts, owner: their text."""
+
+    def __init__(self, column: pa.Array, parts: pa.ListArray, unit: str):
+        data, offsets = rolling.buffer_of(column)
+        lengths = None
+        self.first = offsets
+        if unit == "word":
+            begin, end, self.first = rolling.words_of(data, offsets)
+            lengths = end - begin + 1
+            data = np.r_[data, np.uint8(32)][rolling.ranges(begin, lengths)] if len(begin) else data[:0]
+            data[np.cumsum(lengths) - 1] = 32
+        first = self.first
+        row, start, stop = columns_of(parts, "start", "stop")
+        start, stop = rolling.merged(start + first[row], stop + first[row]) if len(row) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        if len(start):  # spans of two neighbouring texts that touch are two
+            inner = np.unique(first[1:-1])
+            which = np.searchsorted(start, inner, side="right") - 1
+            cut = inner[(which >= 0) & (start[which] < inner) & (inner < stop[which])]
+            start, stop = np.sort(np.r_[start, cut]), np.sort(np.r_[stop, cut])
+        self.start, self.stop = start, stop
+        self.owner = np.searchsorted(first, start, side="right") - 1
+        gone = np.zeros(int(first[-1]) + 1, np.int32)
+        np.add.at(gone, start, 1)
+        np.add.at(gone, stop, -1)
+        gone = np.cumsum(gone)[:-1] > 0
+        total = np.r_[0, np.cumsum(gone)]
+        self.removed = total[first[1:]] - total[first[:-1]]
+        left = data[~gone if lengths is None else ~np.repeat(gone, lengths)].tobytes()
+        sizes = np.r_[0, np.cumsum(~gone if lengths is None else np.where(gone, 0, lengths))][first].tolist()
+        self.kept = [left[a:b] for a, b in zip(sizes[:-1], sizes[1:])]
+        if unit == "word":
+            self.kept = [x[:-1] for x in self.kept]
+
 
-    doc_id, n (symbols), n_removed, n_spans (maximal ones), kept_sha256, spans (array of start and
-    stop, in symbols) and kept (bytes: what is left, words joined by one space).
+def kept_of(docs: DataFrame, spans: DataFrame, unit: str, doc_id: str, text: str) -> DataFrame:
+    """doc_id, n (symbols), n_removed, n_spans (maximal ones), kept_sha256 and spans (array of start
+    and stop, in symbols) of every document, when its spans (doc_id, start, stop in symbols) are
+    taken out; the digest is that of what is left, words joined by one space.
     """
     lists = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("parts"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            data, offsets = rolling.buffer_of(batch.column(1))
-            if unit == "word":
-                begin, end, first = rolling.words_of(data, offsets)
-                lengths = end - begin + 1
-                spaced = np.r_[data, np.uint8(32)][rolling.ranges(begin, lengths)] if len(begin) else data[:0]
-                spaced[np.cumsum(lengths) - 1] = 32
-            else:
-                first = offsets
-            row, start, stop = columns_of(batch.column(2), "start", "stop")
-            start, stop = rolling.merged(start + first[row], stop + first[row]) if len(row) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-            if len(row):  # neighbours that touch across two texts are two
-                inner = first[1:-1]
-                inner = np.unique(inner[np.isin(inner, start, invert=True)])
-                which = np.searchsorted(start, inner, side="right") - 1
-                split = (which >= 0) & (inner < stop[np.maximum(which, 0)])
-                start, stop = np.sort(np.r_[start, inner[split]]), np.sort(np.r_[stop, inner[split]])
-            gone = np.zeros(int(first[-1]) + 1, np.int32)
-            np.add.at(gone, start, 1)
-            np.add.at(gone, stop, -1)
-            gone = np.cumsum(gone)[:-1] > 0
-            total = np.r_[0, np.cumsum(gone)]
-            owner = np.searchsorted(first, start, side="right") - 1
-            n_spans = np.bincount(owner, minlength=batch.num_rows)
-            left = (spaced[~np.repeat(gone, lengths)] if unit == "word" else data[~gone]).tobytes()
-            sizes = np.r_[0, np.cumsum(np.where(gone, 0, lengths if unit == "word" else 1))][first]
-            kept = [left[a:b] for a, b in zip(sizes[:-1].tolist(), sizes[1:].tolist())]
-            if unit == "word":
-                kept = [x[:-1] for x in kept]
-            bounds = np.r_[0, np.cumsum(n_spans)].astype(np.int32)
-            pairs = pa.StructArray.from_arrays([pa.array(start - first[owner]), pa.array(stop - first[owner])], ["start", "stop"])
-            yield pa.record_batch(
-                [batch.column(0).cast("int64"), pa.array(np.diff(first)), pa.array(total[first[1:]] - total[first[:-1]]), pa.array(n_spans), pa.array([hashlib.sha256(x).hexdigest() for x in kept]), pa.ListArray.from_arrays(pa.array(bounds), pairs), pa.array(kept, pa.binary())],
-                ["doc_id", "n", "n_removed", "n_spans", "kept_sha256", "spans", "kept"],
-            )
-
-    schema = "doc_id long, n long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,stop:long>>, kept binary"
+            cut = Cut(batch.column(1), batch.column(2), unit)
+            n_spans = np.bincount(cut.owner, minlength=batch.num_rows)
+            pairs = pa.StructArray.from_arrays([pa.array(x - cut.first[cut.owner], pa.int64()) for x in (cut.start, cut.stop)], ["start", "stop"])
+            listed = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n_spans)].astype(np.int32)), pairs)
+            digests = [hashlib.sha256(x).hexdigest() for x in cut.kept]
+            yield pa.record_batch([batch.column(0).cast("int64"), pa.array(np.diff(cut.first)), pa.array(cut.removed), pa.array(n_spans), pa.array(digests), listed], ["doc_id", "n", "n_removed", "n_spans", "kept_sha256", "spans"])
+
+    schema = "doc_id long, n long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,stop:long>>"
     return with_lists(docs, lists, doc_id, text, "left").mapInArrow(run, schema)
+
+
+def rewritten(docs: DataFrame, spans: DataFrame, unit: str, doc_id: str, text: str) -> DataFrame:
+    """docs with every text without its spans. Characters of which a span takes a part go as a whole."""
+    lists = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("_parts")).withColumnRenamed("doc_id", doc_id)
+    names, at = docs.columns, docs.columns.index(text)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, at):
+            kept = [x.decode("utf-8", "ignore") for x in Cut(batch.column(at), batch.column(len(names)), unit).kept]
+            columns = [pa.array(kept, pa.string()) if i == at else batch.column(i) for i in range(len(names))]
+            yield pa.record_batch(columns, names)
+
+    return docs.join(lists, doc_id, "left").select(*names, "_parts").mapInArrow(run, docs.schema)

@@ -81,7 +81,7 @@ def fingerprints(docs: DataFrame, shingle: int = 5, lanes: int = 1, distinct: bo
                 hashes, owner = hashes[order], owner[order]
                 new = np.r_[True, (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])][: len(hashes)]
                 hashes, count = hashes[new], np.bincount(owner[new], minlength=len(count))
-            bits = [majority(hashes if j == 0 else rolling.mix(hashes + np.uint64(j) * np.uint64(rolling.BYTE_BASE)), count) for j in range(lanes)]
+            bits = [majority(hashes if j == 0 else rolling.mix(hashes + np.uint64(j * rolling.BYTE_BASE & (1 << 64) - 1)), count) for j in range(lanes)]
             raw = np.stack(bits, 1).astype(">u8").tobytes()
             at = np.arange(len(count) + 1) * 8 * lanes
             held = pa.Array.from_buffers(pa.binary(), len(count), [None, pa.py_buffer(at.astype("<i4").tobytes()), pa.py_buffer(raw)])

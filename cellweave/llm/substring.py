@@ -36,9 +36,14 @@ def repeated_spans(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", te
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: doc_id, n, n_removed, n_spans, kept_sha256, spans (in words), kept (bytes).
+    """Per document: doc_id, n, n_removed, n_spans, kept_sha256, spans (in words).
 
     The first document by doc_id keeps a passage. Null, empty and blank texts have no words and
     the digest of nothing; texts under ``length`` words stay whole; an empty table gives no rows.
     """
     return repeats.kept_of(docs, repeated_spans(docs, length, doc_id, text), "word", doc_id, text)
+
+
+def strip_repeats(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """docs, all columns, with the repeated words taken out of the text; null texts become empty."""
+    return repeats.rewritten(docs, repeated_spans(docs, length, doc_id, text), "word", doc_id, text)

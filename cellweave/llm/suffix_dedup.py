@@ -146,10 +146,15 @@ def repeated_spans(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", t
 
 
 def remove_repeats(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: doc_id, n, n_removed, n_spans, kept_sha256, spans (in bytes), kept (bytes).
+    """Per document: doc_id, n, n_removed, n_spans, kept_sha256, spans (in bytes).
 
     Every copy of a repeated string goes. Null and empty texts have no bytes and the digest of
     nothing; texts under ``length`` bytes stay whole; an empty table gives no rows; other columns
     are ignored.
     """
     return repeats.kept_of(docs, repeated_spans(docs, length, doc_id, text), "byte", doc_id, text)
+
+
+def strip_repeats(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """docs, all columns, with the repeated bytes taken out of the text; null texts become empty."""
+    return repeats.rewritten(docs, repeated_spans(docs, length, doc_id, text), "byte", doc_id, text)

@@ -1,6 +1,56 @@
-STAGES = []
+"""A corpus pipeline of five stages: quality, near copies, repeated passages, mixing, packing.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each as Parquet in
+the shared folder and reads it again for the next. All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cellweave.llm import mixing, packing, quality, simhash, suffix_dedup
+from cellweave.llm.shared import stored
+
+#: Near copies share this much of their sets of five-word shingles, at least.
+SIMILARITY = 0.8
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the weakly supervised rules keep."""
+    return quality.keep_good(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest doc_id; repeated rows go too."""
+    found = simhash.near_copies(docs, shingle=5, **simhash.settings_for(SIMILARITY))
+    first = found.where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the strings of 200 bytes that start anywhere else too."""
+    return suffix_dedup.strip_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it."""
+    mixed = mixing.mix(docs.withColumn("size", mixing.n_words("text")))
+    return mixed.where("copies > 0").withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of 2048 tokens."""
+    return packing.pack(docs).drop("ids")
+
+
+STAGES = [("quality rules", quality_rules), ("near copies", near_copies), ("repeated passages", repeated_passages), ("source mix", source_mix), ("packing", packed)]
+#: Tokens and fingerprints have no SQL; the tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return docs
