@@ -1,6 +1,543 @@
-"""All registered queries of the engine with their SQL equivalents."""
+"""All registered queries of the engine, on the test tables, with their SQL equivalents."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import sequences, stats
+from ..operators import barcodes, intervals, molecules, quant, splicing, variants
+from .bindings import READS, reads, sequence, sequence_sql, table
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+# Barcodes ------------------------------------------------------------------------------------
+
+COUNTS = f"WITH {READS}, counts AS (SELECT bc, count(DISTINCT umi) AS umi_count FROM reads GROUP BY bc), ranks AS (SELECT *, row_number() OVER (ORDER BY umi_count DESC, bc) AS rank FROM counts)"
+TOTALS = ", totals AS (SELECT bc, umi_count, rank, sum(umi_count) OVER (ORDER BY rank)::BIGINT AS total FROM ranks WHERE rank <= 50000 AND umi_count >= 2)"
+
+
+def _ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return barcodes.ranked(barcodes.umi_counts(reads(spark, sf_dir)))
+
+
+@query(f"{COUNTS} SELECT * FROM ranks")
+def bc_umi_rank(spark, sf_dir):
+    return _ranks(spark, sf_dir)
+
+
+@query("WITH counts AS (SELECT user_id AS bc, count(DISTINCT event_id % 97) AS umi_count FROM events WHERE event_type = 'view' GROUP BY user_id) SELECT *, row_number() OVER (ORDER BY umi_count DESC, bc) AS rank FROM counts")
+def event_bc_rank(spark, sf_dir):
+    perfect = table(spark, sf_dir, "events").where("event_type = 'view'").select(F.col("user_id").alias("bc"), (F.col("event_id") % 97).alias("umi"))
+    return barcodes.ranked(barcodes.umi_counts(perfect))
+
+
+@query(f"{COUNTS} SELECT bc, umi_count FROM counts ORDER BY umi_count DESC, bc LIMIT 100")
+def top_n_cells(spark, sf_dir):
+    return barcodes.umi_counts(reads(spark, sf_dir)).orderBy(F.desc("umi_count"), "bc").limit(100)
+
+
+@query(f"{COUNTS}{TOTALS} SELECT * FROM totals")
+def cumulative_umi(spark, sf_dir):
+    return barcodes.cumulative(_ranks(spark, sf_dir))
+
+
+@query(f"""{COUNTS}{TOTALS}, ends AS (SELECT min(rank) AS r0, max(rank) AS r1, min(total) AS t0, max(total) AS t1 FROM totals)
+SELECT rank, total, round((rank - r0) / (r1 - r0), 9) AS x, round((total - t0) / (t1 - t0), 9) AS y, round((total - t0) / (t1 - t0) - (rank - r0) / (r1 - r0), 9) AS diff FROM totals, ends""")
+def knee_curve(spark, sf_dir):
+    curve = barcodes.difference_curve(barcodes.cumulative(_ranks(spark, sf_dir)))
+    return curve.select("rank", "total", *(F.round(c, 9).alias(c) for c in ("x", "y", "diff")))
+
+
+@query()
+def ref_barcodes_by_knee(spark, sf_dir):
+    return barcodes.cells_by_knee(_ranks(spark, sf_dir))
+
+
+@query(f"WITH {READS} SELECT bc, count(*) AS reads, count(DISTINCT gene) AS genes, count(DISTINCT trans) AS transcripts FROM reads GROUP BY bc")
+def reads_per_cell(spark, sf_dir):
+    return reads(spark, sf_dir).groupBy("bc").agg(F.count("*").alias("reads"), F.countDistinct("gene").alias("genes"), F.countDistinct("trans").alias("transcripts"))
+
+
+# Intervals -----------------------------------------------------------------------------------
+
+
+@query(f"""WITH {READS}, marked AS (
+  SELECT chrom, start, stop, CASE WHEN start <= max(stop) OVER (PARTITION BY chrom ORDER BY start, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM reads
+), numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY chrom ORDER BY start, stop ROWS UNBOUNDED PRECEDING) AS island FROM marked)
+SELECT chrom, min(start) AS start, max(stop) AS stop FROM numbered GROUP BY chrom, island""")
+def merge_regions(spark, sf_dir):
+    return intervals.merge(reads(spark, sf_dir), bin_size=365)
+
+
+@query(f"WITH {READS} SELECT bc, umi, trans, chrom, start, stop FROM reads WHERE chrom BETWEEN 10 AND 40 AND start < 2500 AND stop > 2000")
+def reads_in_region(spark, sf_dir):
+    rows = reads(spark, sf_dir).where("chrom between 10 and 40").where(intervals.overlaps("start", "stop", 2000, 2500))
+    return rows.select("bc", "umi", "trans", "chrom", "start", "stop")
+
+
+# Reads ---------------------------------------------------------------------------------------
+
+FLAG = "(case when l_returnflag = 'R' then 256 else 0 end + case when l_linenumber = 7 then 2048 else 0 end + case when l_quantity < 3 then 4 else 0 end)"
+
+
+@query(f"""WITH r AS (SELECT {FLAG} AS flag, l_linenumber = 6 AS sa FROM lineitem)
+SELECT flag, sa, (flag & 4) > 0 OR (flag & 256) > 0 OR (flag & 2048) > 0 AS skip,
+  CASE WHEN sa THEN 'chimeric' WHEN (flag & 2048) > 0 THEN 'non_primary' WHEN (flag & 260) > 0 THEN 'unmapped' ELSE 'proper' END AS tag, count(*) AS n
+FROM r GROUP BY ALL""")
+def read_flag_filter(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select(F.expr(FLAG).alias("flag"), F.expr("l_linenumber = 6").alias("sa"))
+    return rows.select("flag", "sa", *molecules.read_filter("flag", F.col("sa"))).groupBy("flag", "sa", "skip", "tag").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT o_orderkey, {sequence_sql('o_orderkey', 14)} AS seq, translate(reverse({sequence_sql('o_orderkey', 14)}), 'ACGT', 'TGCA') AS rc FROM orders")
+def revcomp_seq(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.expr(sequence("o_orderkey", 14)).alias("seq"))
+    return rows.withColumn("rc", sequences.revcomp("seq"))
+
+
+SYNTHETIC = "case when o_orderkey % 7 = 0 then 'GATTACA' else '{a}' end || {bc} || {umi} || repeat('T', cast(8 + o_orderkey % 5 as int)) || 'ACGTACGT'"
+
+
+def _synthetic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = SYNTHETIC.format(a=sequences.ADAPTER, bc=sequence("o_custkey", 16), umi=sequence("o_orderkey", 12))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.expr(f"concat({sequence('o_orderkey + 5', 9)}, {text})").alias("seq"))
+
+
+@query(f"""WITH s AS (SELECT o_orderkey, {sequence_sql('o_orderkey + 5', 9)} || {SYNTHETIC.format(a=sequences.ADAPTER, bc=sequence_sql('o_custkey', 16), umi=sequence_sql('o_orderkey', 12))} AS seq FROM orders),
+p AS (SELECT *, instr(seq, '{sequences.ADAPTER}') AS pos FROM s), q AS (SELECT *, pos > 0 AND length(substr(seq, pos + 22, 28)) = 28 AS whole FROM p)
+SELECT o_orderkey, CASE WHEN whole THEN substr(seq, pos + 22, 16) ELSE '' END AS bc, CASE WHEN whole THEN substr(seq, pos + 38, 12) ELSE '' END AS umi,
+  CASE WHEN whole THEN substr(seq, pos + 22, 33) ELSE '' END AS bu, whole AND substr(seq, pos + 50, 10) = 'TTTTTTTTTT' AS is_perfect FROM q""")
+def extract_bc_umi(spark, sf_dir):
+    return _synthetic(spark, sf_dir).select("o_orderkey", *sequences.perfect_tag("seq"))
+
+
+@query()
+def approx_adapter_extract(spark, sf_dir):
+    """Every third adapter loses or changes a base; the search finds it again."""
+    broken = F.expr("case o_orderkey % 3 when 1 then replace(seq, 'CTACACGACGC', 'CTACACGCGC') when 2 then replace(seq, 'TCTTCCGATCT', 'TCTTCAGATCT') else seq end")
+    return sequences.tags(_synthetic(spark, sf_dir).withColumn("seq", broken)).drop("seq")
+
+
+INFIX = "(SELECT min(levenshtein(q, substr(t, s, n))) FROM range(1, length(t) + 1) AS a(s), range(length(q) - 3, length(q) + 4) AS b(n) WHERE s + n - 1 <= length(t))"
+
+
+@query(f"WITH p AS (SELECT c_custkey, {sequence_sql('c_custkey', 7)} AS q, {sequence_sql('c_custkey * 31 + 7', 15)} AS t FROM customer), d AS (SELECT *, {INFIX} AS d FROM p) SELECT c_custkey, q, t, CASE WHEN d <= 3 THEN d END::INT AS ed FROM d")
+def infix_edit_distance(spark, sf_dir):
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.expr(sequence("c_custkey", 7)).alias("q"), F.expr(sequence("c_custkey * 31 + 7", 15)).alias("t"))
+    return rows.withColumn("ed", sequences.infix_distance("q", "t", 3))
+
+
+def _mutated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    refs = table(spark, sf_dir, "supplier").select(F.expr(sequence("s_suppkey", 16)).alias("ref"))
+    whole = sequence("c_custkey % 100", 16)
+    seen = table(spark, sf_dir, "customer").select("c_custkey", F.expr(f"concat(substr({whole}, 1, cast(c_custkey % 16 as int)), substr({sequence('c_custkey', 16)}, 1, cast(c_custkey % 4 as int)), substr({whole}, cast(1 + c_custkey % 16 + c_custkey % 4 as int)))").alias("bc"))
+    return seen, refs
+
+
+MUTATED = f"""WITH w AS (SELECT c_custkey, {sequence_sql('c_custkey % 100', 16)} AS w, {sequence_sql('c_custkey', 16)} AS o FROM customer),
+seen AS (SELECT c_custkey, substr(w, 1, c_custkey % 16) || substr(o, 1, c_custkey % 4) || substr(w, 1 + c_custkey % 16 + c_custkey % 4) AS bc FROM w),
+refs AS (SELECT DISTINCT {sequence_sql('s_suppkey', 16)} AS ref FROM supplier),
+d AS (SELECT c_custkey, bc, ref, (SELECT min(levenshtein(bc, substr(ref, s, n))) FROM range(1, 6) AS a(s), range(12, 17) AS b(n) WHERE s + n - 1 <= 16) AS ed FROM seen, refs),
+near AS (SELECT c_custkey, bc, ref, ed::INT AS ed, count(*) OVER (PARTITION BY c_custkey) AS n FROM (SELECT *, min(ed) OVER (PARTITION BY c_custkey) AS least FROM d) WHERE ed <= 2 AND ed = least)"""
+
+
+def _nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen, refs = _mutated(spark, sf_dir)
+    near = seen.join(barcodes.nearest(seen, refs), "bc")
+    unique = near.groupBy("c_custkey", "bc").agg(F.count("*").alias("n"), F.min("ref").alias("ref"), F.min("ed").alias("ed"))
+    return unique.where("n = 1").drop("n")
+
+
+@query(f"{MUTATED} SELECT c_custkey, bc, ref, ed FROM near WHERE n = 1")
+def assign_reference_bc(spark, sf_dir):
+    return _nearest(spark, sf_dir)
+
+
+@query(f"{MUTATED} SELECT ed, count(*) AS n FROM near WHERE n = 1 GROUP BY ed")
+def edit_distance_histogram(spark, sf_dir):
+    return _nearest(spark, sf_dir).groupBy("ed").agg(F.count("*").alias("n"))
+
+
+@query()
+def assign_with_recut(spark, sf_dir):
+    seen, refs = _mutated(spark, sf_dir)
+    tags = seen.withColumns({"umi": F.expr(sequence("c_custkey", 12)), "bu": F.concat("bc", F.expr(sequence("c_custkey", 12)), F.lit("TTTTT"))})
+    return barcodes.assign(tags, refs).select("c_custkey", "cell", "cell_umi", "ed")
+
+
+# Molecules -----------------------------------------------------------------------------------
+
+
+@query(f"WITH {READS} SELECT bc, umi, count(*) AS n_reads, array_to_string(list_sort(list(line::VARCHAR)), ',') AS reads FROM reads GROUP BY bc, umi")
+def molecule_reads(spark, sf_dir):
+    rows = reads(spark, sf_dir).withColumn("line", F.col("line").cast("string"))
+    return molecules.grouped(rows, ["bc", "umi"], "line").withColumn("reads", F.array_join("reads", ","))
+
+
+SETS = "case when quantity > 40 then {a}(trans, gene || ':LARGE', gene || ':SMALL') when quantity > 20 then {a}(trans, gene || ':LARGE') else {a}(trans) end"
+
+
+@query(f"""WITH {READS}, e AS (SELECT DISTINCT bc, gene, r, t FROM (SELECT bc, gene, r, unnest({SETS.format(a='list_value')}) AS t FROM (SELECT *, row_number() OVER () AS r FROM reads))),
+n AS (SELECT bc, gene, count(*) AS n FROM reads GROUP BY bc, gene), c AS (SELECT bc, gene, t, count(*) AS k FROM e GROUP BY bc, gene, t)
+SELECT n.bc, n.gene, coalesce(string_agg(t, ',' ORDER BY t), '') AS common FROM n LEFT JOIN c ON n.bc = c.bc AND n.gene = c.gene AND k = n GROUP BY n.bc, n.gene""")
+def transcript_set_intersection(spark, sf_dir):
+    rows = reads(spark, sf_dir).withColumn("sets", F.expr(SETS.format(a="array")))
+    return molecules.common_set(rows, ["bc", "gene"], "sets").withColumn("common", F.array_join("common", ","))
+
+
+@query()
+def umi_cluster(spark, sf_dir):
+    """Molecules of each cell; tags of twelve letters, an error every fifth read."""
+    tag = f"concat(substr({sequence('umi', 12)}, 1, 11), case when line = 5 then 'A' else substr({sequence('umi', 12)}, 12, 1) end)"
+    rows = reads(spark, sf_dir).select("bc", F.expr(tag).alias("umi"), F.concat_ws(":", "umi", "line", "chrom").alias("qname"), F.expr(SETS.format(a="array")).alias("trans"), (F.col("line") < 3).alias("is_perfect"), F.struct("start", "chrom", "line").alias("pos"))
+    rows = rows.withColumn("pos", F.concat_ws(":", F.lpad(F.col("pos.start").cast("string"), 6, "0"), F.lpad(F.col("pos.chrom").cast("string"), 9, "0"), F.col("pos.line").cast("string")))
+    return molecules.molecules(rows, ["bc"])
+
+
+LISTS = f"WITH {READS}, m AS (SELECT bc, umi, list(struct_pack(l := line::VARCHAR, c := CASE WHEN quantity > 25 THEN 'FullLen' ELSE 'Partial' END, s := CASE WHEN hap = 'H1' THEN 'Y' ELSE 'N' END) ORDER BY line, quantity, hap) AS z FROM reads GROUP BY bc, umi)"
+
+
+@query(f"{LISTS}, k AS (SELECT bc, umi, list_filter(z, lambda x: x.c = 'FullLen' AND x.s = 'Y') AS z FROM m) SELECT bc, umi, array_to_string(list_transform(z, lambda x: x.l), ',') AS names, len(z)::INT AS n FROM k WHERE len(z) > 0")
+def category_splice_filter(spark, sf_dir):
+    item = F.struct("line", "quantity", "hap", F.expr("if(quantity > 25, 'FullLen', 'Partial')").alias("c"), F.expr("if(hap = 'H1', 'Y', 'N')").alias("s"))
+    rows = reads(spark, sf_dir).groupBy("bc", "umi").agg(F.array_sort(F.collect_list(item)).alias("z"))
+    rows = rows.select("bc", "umi", F.transform("z", lambda x: x["line"].cast("string")).alias("names"), F.col("z.c").alias("cates"), F.col("z.s").alias("splices"))
+    kept = molecules.keep_elements(rows, ["names", "cates", "splices"], "x.cates = 'FullLen' and x.splices = 'Y'")
+    return kept.select("bc", "umi", F.array_join("names", ",").alias("names"), F.size("names").alias("n"))
+
+
+EQUAL, MATCHES = "case when l_linenumber < 4 then concat(p_type, ',', p_brand) else 'NA' end", "concat(p_type, ' , ', p_brand, ',')"
+
+
+@query(f"""WITH r AS (SELECT l_orderkey, l_linenumber, p_type, p_brand FROM lineitem JOIN part ON l_partkey = p_partkey)
+SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber < 4 THEN p_type ELSE p_type || ';' || p_brand END AS trans, CASE WHEN l_linenumber < 4 THEN 'FullLen' ELSE 'Partial' END AS category FROM r""")
+def compat_projection(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = rows.select("l_orderkey", "l_linenumber", F.expr(EQUAL).alias("equal"), F.expr(MATCHES).alias("matches"))
+    return rows.select("l_orderkey", "l_linenumber", *molecules.compatibility("equal", "matches")).withColumn("trans", F.array_join("trans", ";"))
+
+
+@query(f"WITH {READS} SELECT CASE WHEN chrom % 11 = 0 THEN 'unassigned' ELSE 'chr' || (chrom % 25) END AS chrom, count(*) AS n FROM reads GROUP BY 1")
+def split_by_chrom_counts(spark, sf_dir):
+    name = F.expr("case when chrom % 11 = 0 then 'unassigned' else concat('chr', chrom % 25) end").alias("chrom")
+    return reads(spark, sf_dir).groupBy(name).agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {READS} SELECT bc, umi, trans, start FROM reads WHERE chrom % 3 = 0 UNION ALL SELECT bc, umi, trans, start FROM reads WHERE chrom % 3 = 1 UNION ALL SELECT bc, umi, trans, start FROM reads WHERE chrom % 3 = 2")
+def merge_chunks(spark, sf_dir):
+    rows = reads(spark, sf_dir).select("chrom", "bc", "umi", "trans", "start")
+    chunk = lambda i: rows.where(F.col("chrom") % 3 == i).drop("chrom")
+    return chunk(0).unionByName(chunk(1)).unionByName(chunk(2))
+
+
+@query("SELECT l_orderkey || CASE WHEN i > 0 THEN '_r0x' || lower(hex(i)) ELSE '' END AS qname, 0::BIGINT AS flag, o FROM (SELECT l_orderkey, l_partkey AS o, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_linenumber, l_quantity) - 1 AS i FROM lineitem)")
+def chimeric_rename(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("qname"), F.col("l_partkey").alias("o"), "l_linenumber", "l_quantity")
+    place = F.row_number().over(Window.partitionBy("qname").orderBy("o", "l_linenumber", "l_quantity"))
+    flagged = rows.withColumn("flag", F.when(place > 1, 2048).otherwise(0).cast("long"))
+    return molecules.rename_chimeric(flagged, order=["o", "l_linenumber", "l_quantity"]).select("qname", "flag", "o")
+
+
+@query("""WITH h AS (SELECT l_linenumber % 3 AS rt5, l_linenumber // 4 AS rt3, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS tso5, CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS tso3 FROM lineitem),
+c AS (SELECT CASE WHEN rt5 + rt3 = 1 AND tso5 + tso3 = 1 THEN 'Proper' WHEN rt5 + rt3 >= 2 THEN 'RT-RT' WHEN tso5 + tso3 >= 2 THEN 'TSO-TSO' WHEN rt5 + rt3 = 1 THEN 'RT' WHEN tso5 + tso3 = 1 THEN 'TSO' ELSE 'No-RT-TSO' END AS class FROM h)
+SELECT class, count(*) AS n FROM c GROUP BY class""")
+def artifact_class(spark, sf_dir):
+    hits = table(spark, sf_dir, "lineitem").select(F.expr("l_linenumber % 3").alias("rt5"), F.expr("l_linenumber div 4").alias("rt3"), F.expr("if(l_returnflag = 'R', 1, 0)").alias("tso5"), F.expr("if(l_linestatus = 'O', 1, 0)").alias("tso3"))
+    return hits.select(sequences.read_class("rt5", "rt3", "tso5", "tso3").alias("class")).groupBy("class").agg(F.count("*").alias("n"))
+
+
+# Expression ----------------------------------------------------------------------------------
+
+
+def _molecule_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reads(spark, sf_dir).groupBy("bc", "umi", "gene", "cluster").agg(F.array_sort(F.collect_set("trans")).alias("trans"), F.min("hap").alias("hap"))
+
+
+@query()
+def em_abundance(spark, sf_dir):
+    return quant.abundance(_molecule_sets(spark, sf_dir)).withColumn("abundance", F.round("abundance", 6))
+
+
+@query()
+def em_abundance_hap(spark, sf_dir):
+    return quant.abundance(_molecule_sets(spark, sf_dir), extra=["hap"]).withColumn("abundance", F.round("abundance", 6))
+
+
+VALUES = f"WITH {READS}, v AS (SELECT gene, cluster, bc, count(DISTINCT umi) AS value FROM reads GROUP BY gene, cluster, bc)"
+
+
+def _values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reads(spark, sf_dir).groupBy("gene", "cluster", "bc").agg(F.countDistinct("umi").alias("value"))
+
+
+@query(f"{VALUES} SELECT dense_rank() OVER (ORDER BY gene) AS feature_idx, dense_rank() OVER (ORDER BY bc) AS cell_idx, gene, bc, value FROM v")
+def sparse_matrix_coo(spark, sf_dir):
+    return quant.sparse(_values(spark, sf_dir))
+
+
+@query(f"""{VALUES}, s AS (SELECT gene, cluster, sum(value)::BIGINT AS total, count(DISTINCT CASE WHEN value > 0 THEN bc END) AS cells FROM v GROUP BY gene, cluster),
+n AS (SELECT c_mktsegment AS cluster, count(*) AS n_cells FROM customer GROUP BY 1)
+SELECT gene, s.cluster, total, round(1e6 * total / sum(total) OVER (PARTITION BY s.cluster), 6) AS cpm, round(cells / n_cells, 9) AS pct FROM s JOIN n USING (cluster)""")
+def cluster_expression(spark, sf_dir):
+    sizes = table(spark, sf_dir, "customer").groupBy(F.col("c_mktsegment").alias("cluster")).agg(F.count("*").alias("n_cells"))
+    return quant.by_cluster(_values(spark, sf_dir), sizes).withColumns({"cpm": F.round("cpm", 6), "pct": F.round("pct", 9)})
+
+
+@query("SELECT a.c AS cluster1, b.c AS cluster2 FROM (SELECT DISTINCT c_mktsegment AS c FROM customer) a JOIN (SELECT DISTINCT c_mktsegment AS c FROM customer) b ON a.c < b.c")
+def cluster_pairs(spark, sf_dir):
+    return splicing.cluster_pairs(table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("cluster")))
+
+
+@query(f"""{VALUES}, common AS (SELECT gene FROM v WHERE value > 0 GROUP BY gene HAVING count(DISTINCT bc) >= 3)
+SELECT bc, count(DISTINCT gene) AS n_features, sum(value)::BIGINT AS total, round(100.0 * sum(CASE WHEN gene LIKE 'Brand#1%' THEN value ELSE 0 END) / sum(value), 6) AS marked_pct
+FROM v SEMI JOIN common USING (gene) GROUP BY bc HAVING count(DISTINCT gene) >= 5 AND 100.0 * sum(CASE WHEN gene LIKE 'Brand#1%' THEN value ELSE 0 END) / sum(value) < 60""")
+def cell_qc_filter(spark, sf_dir):
+    return quant.cell_qc(_values(spark, sf_dir), min_features=5, most_marked=60.0, marked="^Brand#1").withColumn("marked_pct", F.round("marked_pct", 6))
+
+
+@query(f"{VALUES} SELECT gene, cluster, bc, value, round(ln(1 + 1e4 * value / sum(value) OVER (PARTITION BY bc)), 6) AS normalized FROM v")
+def log_normalize(spark, sf_dir):
+    return quant.log_normalized(_values(spark, sf_dir)).withColumn("normalized", F.round("normalized", 6))
+
+
+# Splicing ------------------------------------------------------------------------------------
+
+TCOUNTS = f"WITH {READS}, counts AS (SELECT cluster, gene, trans, count(*) AS value FROM reads GROUP BY ALL)"
+PAIRS = """, pairs AS (SELECT a.c AS cluster1, b.c AS cluster2 FROM (SELECT DISTINCT cluster AS c FROM counts) a JOIN (SELECT DISTINCT cluster AS c FROM counts) b ON a.c < b.c),
+wide AS (SELECT cluster1, cluster2, t.gene, t.trans, coalesce(x.value, 0) AS n1, coalesce(y.value, 0) AS n2 FROM (SELECT DISTINCT gene, trans FROM counts) t CROSS JOIN pairs
+  LEFT JOIN counts x ON x.cluster = cluster1 AND x.trans = t.trans LEFT JOIN counts y ON y.cluster = cluster2 AND y.trans = t.trans),
+kept AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY cluster1, cluster2, gene) AS k FROM wide WHERE n1 >= 10 OR n2 >= 10) WHERE k >= 2)"""
+
+
+def chi2_sql(source: str, keys: str, a: str, b: str) -> str:
+    return f"""SELECT {keys}, round(sum(pow(abs({a} - ea) - y, 2) / ea + pow(abs({b} - eb) - y, 2) / eb), 6) AS statistic, count(*) - 1 AS df, round(max(abs({a} / sa - {b} / sb)), 9) AS delta
+FROM (SELECT *, CASE WHEN k = 2 THEN least(0.5, abs({a} - ea)) ELSE 0 END AS y FROM (SELECT *, sa * ({a} + {b}) / (sa + sb) AS ea, sb * ({a} + {b}) / (sa + sb) AS eb
+  FROM (SELECT *, sum({a}) OVER (PARTITION BY {keys}) AS sa, sum({b}) OVER (PARTITION BY {keys}) AS sb, count(*) OVER (PARTITION BY {keys}) AS k FROM ({source})))) GROUP BY {keys}"""
+
+
+def _trans_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reads(spark, sf_dir).groupBy("cluster", "gene", "trans").agg(F.count("*").alias("value"))
+
+
+@query(TCOUNTS + PAIRS + chi2_sql("SELECT cluster1, cluster2, gene, n1, n2 FROM kept", "cluster1, cluster2, gene", "n1", "n2"))
+def diff_splice_stat(spark, sf_dir):
+    rows = stats.chi2(splicing.pair_counts(_trans_counts(spark, sf_dir)), ["cluster1", "cluster2", "gene"], "trans", "n1", "n2")
+    return rows.withColumns({"statistic": F.round("statistic", 6), "delta": F.round("delta", 9)})
+
+
+@query()
+def diff_splice_significant(spark, sf_dir):
+    return splicing.differential(_trans_counts(spark, sf_dir))
+
+
+@query()
+def diff_splice_transcripts(spark, sf_dir):
+    return splicing.significant_transcripts(_trans_counts(spark, sf_dir))
+
+
+@query(f"""WITH {READS}, v AS (SELECT bc, umi, gene, count(*) FILTER (hap = 'H1') AS h1, count(*) FILTER (hap = 'H2') AS h2 FROM reads GROUP BY bc, umi, gene)
+SELECT *, CASE WHEN h1 > h2 THEN 'H1' WHEN h2 > h1 THEN 'H2' ELSE 'none' END AS hap FROM v""")
+def hap_majority_vote(spark, sf_dir):
+    return splicing.majority(reads(spark, sf_dir), ["bc", "umi", "gene"])
+
+
+CUBE = f"""WITH {READS}, m AS (SELECT bc, umi, cluster, gene, trans, CASE WHEN count(*) FILTER (hap = 'H1') > count(*) FILTER (hap = 'H2') THEN 'H1' WHEN count(*) FILTER (hap = 'H2') > count(*) FILTER (hap = 'H1') THEN 'H2' ELSE 'none' END AS hap FROM reads GROUP BY bc, umi, cluster, gene, trans),
+cube AS (SELECT cluster, gene, trans, count(*) FILTER (hap = 'H1') AS h1, count(*) FILTER (hap = 'H2') AS h2, count(*) FILTER (hap = 'none') AS unphased, count(*) AS total FROM m GROUP BY cluster, gene, trans)"""
+
+
+def _cube(spark: SparkSession, sf_dir: str, by_read: bool = False, keys: tuple[str, ...] = ("cluster", "gene", "trans")) -> DataFrame:
+    rows = reads(spark, sf_dir)
+    if not by_read:
+        rows = splicing.majority(rows, ["bc", "umi", "cluster", "gene", "trans"]).drop("h1", "h2")
+    return splicing.allele_counts(rows, list(keys))
+
+
+@query(f"{CUBE} SELECT * FROM cube")
+def hap_count_cube(spark, sf_dir):
+    return _cube(spark, sf_dir)
+
+
+@query(f"WITH {READS} SELECT cluster, gene, trans, count(*) FILTER (hap = 'H1') AS h1, count(*) FILTER (hap = 'H2') AS h2, count(*) FILTER (hap = 'none') AS unphased, count(*) AS total FROM reads GROUP BY cluster, gene, trans")
+def hap_count_cube_reads(spark, sf_dir):
+    return _cube(spark, sf_dir, by_read=True)
+
+
+PHASED = """, p1 AS (SELECT * FROM (SELECT *, count(*) OVER w AS n, sum(h1 + h2) OVER w AS sp, sum(total) OVER w AS st FROM cube WINDOW w AS (PARTITION BY cluster, gene)) WHERE n >= 2),
+p2 AS (SELECT * FROM p1 WHERE greatest(h1, h2) >= 5 AND (h1 + h2) / total >= 0.7),
+p3 AS (SELECT cluster, gene, trans, h1, h2, unphased, total FROM (SELECT *, count(*) OVER w AS l, sum(h1 + h2) OVER w AS s FROM p2 WINDOW w AS (PARTITION BY cluster, gene)) WHERE l >= 2 AND sp / st >= 0.7 AND s >= 20)"""
+
+
+@query(f"{CUBE}{PHASED} SELECT * FROM p3")
+def phasing_cascade(spark, sf_dir):
+    return splicing.phased(_cube(spark, sf_dir), ["cluster", "gene"])
+
+
+@query(f"{CUBE}{PHASED} " + chi2_sql("SELECT cluster, gene, h1, h2 FROM p3", "cluster, gene", "h1", "h2"))
+def allele_splice_stat(spark, sf_dir):
+    rows = stats.chi2(splicing.phased(_cube(spark, sf_dir), ["cluster", "gene"]), ["cluster", "gene"], "trans", "h1", "h2")
+    return rows.withColumns({"statistic": F.round("statistic", 6), "delta": F.round("delta", 9)})
+
+
+@query()
+def allele_specific_splicing(spark, sf_dir):
+    return splicing.allele_specific(_cube(spark, sf_dir))
+
+
+LF = stats.ln_factorial_sql
+FISHER = f"""f AS (SELECT *, {LF('a + b')} + {LF('c + d')} + {LF('a + c')} + {LF('b + d')} - {LF('a + b + c + d')} AS m FROM t),
+e AS (SELECT f.*, exp(m - ({LF('k')} + {LF('a + b - k')} + {LF('a + c - k')} + {LF('d - a + k')})) AS p, exp(m - ({LF('a')} + {LF('b')} + {LF('c')} + {LF('d')})) AS p0
+  FROM f, range(0, 100000) AS r(k) WHERE k BETWEEN greatest(0, a - d) AND least(a + b, a + c))"""
+FOUR = f"{CUBE}, t AS (SELECT cluster, gene, trans, h1 AS a, h2 AS b, sum(h1) OVER w - h1 AS c, sum(h2) OVER w - h2 AS d FROM cube WINDOW w AS (PARTITION BY cluster, gene)), {FISHER}, p AS (SELECT cluster, gene, trans, least(1.0, sum(CASE WHEN p <= p0 * (1 + 1e-7) THEN p ELSE 0 END)) AS p FROM e GROUP BY cluster, gene, trans)"
+
+
+@query(f"{FOUR} SELECT cluster, gene, trans, round(p, 6) AS p FROM p")
+def fisher_exact_p(spark, sf_dir):
+    rows = splicing.each_against_rest(_cube(spark, sf_dir), ["cluster", "gene"], left="h1", right="h2")
+    return rows.select("cluster", "gene", "trans", F.round("p", 6).alias("p"))
+
+
+@query(f"""{FOUR}, q AS (SELECT *, p * count(*) OVER (PARTITION BY cluster) / row_number() OVER (PARTITION BY cluster ORDER BY p, trans) AS q FROM p)
+SELECT cluster, trans, round(least(1.0, min(q) OVER (PARTITION BY cluster ORDER BY p, trans ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)), 5) AS fdr FROM q""")
+def bh_fdr(spark, sf_dir):
+    rows = splicing.each_against_rest(_cube(spark, sf_dir), ["cluster", "gene"], left="h1", right="h2")
+    return stats.bh(rows, "p", ["cluster"], ["trans"]).select("cluster", "trans", F.round("fdr", 5).alias("fdr"))
+
+
+GCUBE = CUBE + ", g AS (SELECT cluster, gene, sum(h1)::BIGINT AS h1, sum(h2)::BIGINT AS h2, sum(unphased)::BIGINT AS unphased, sum(total)::BIGINT AS total FROM cube GROUP BY cluster, gene)"
+
+
+@query(f"{GCUBE} SELECT * FROM g WHERE total >= 20 AND (h1 + h2) / total >= 0.7")
+def ase_eligibility(spark, sf_dir):
+    return splicing.expression_eligible(_gene_cube(spark, sf_dir))
+
+
+def _gene_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cube(spark, sf_dir).groupBy("cluster", "gene").agg(*(F.sum(c).alias(c) for c in ("h1", "h2", "unphased", "total")))
+
+
+@query(f"""{GCUBE}, e AS (SELECT *, h1 + h2 AS n FROM g WHERE total >= 20 AND (h1 + h2) / total >= 0.7)
+SELECT cluster, gene, round(least(1.0, sum(exp({LF('n')} - {LF('k')} - {LF('n - k')} - n * ln(2)))), 6) AS p FROM e, range(0, 100000) AS r(k) WHERE k BETWEEN greatest(h1, h2) AND n GROUP BY cluster, gene""")
+def binomial_tail_p(spark, sf_dir):
+    return splicing.allele_expression(_gene_cube(spark, sf_dir)).select("cluster", "gene", F.round("p", 6).alias("p"))
+
+
+@query()
+def ase_genes(spark, sf_dir):
+    return splicing.allele_expression(_gene_cube(spark, sf_dir))
+
+
+BULK = f"WITH {READS}, b AS (SELECT gene, count(*) FILTER (hap = 'H1') AS h1, count(*) FILTER (hap = 'H2') AS h2, count(*) FILTER (hap = 'none') AS unphased, count(*) AS total, count(DISTINCT trans) AS n_trans FROM reads WHERE chrom % 7 = 3 GROUP BY gene)"
+
+
+def _bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = reads(spark, sf_dir).where("chrom % 7 = 3")
+    return splicing.allele_counts(rows, ["gene"]).join(rows.groupBy("gene").agg(F.countDistinct("trans").alias("n_trans")), "gene")
+
+
+@query(f"{BULK} SELECT * FROM b WHERE h1 + h2 >= 20 AND greatest(h1, h2) / (h1 + h2) >= 0.55 AND (h1 + h2) / total >= 0.8")
+def bulk_ae_genes(spark, sf_dir):
+    return splicing.bulk_allele_expression(_bulk(spark, sf_dir), one_sided=0.55)
+
+
+@query(f"{BULK} SELECT gene, total, CASE WHEN total < 20 THEN 'LowExp' WHEN (h1 + h2) / total < 0.86 THEN 'Unphased' WHEN n_trans < 2 THEN 'NoSplice' ELSE 'Tested' END AS label FROM b")
+def bulk_labels(spark, sf_dir):
+    return splicing.bulk_label(_bulk(spark, sf_dir), ratio=0.86).select("gene", "total", "label")
+
+
+# Variants ------------------------------------------------------------------------------------
+
+HULL = "SELECT p_brand AS gene, max(p_size % 5) AS chrom, min(p_partkey * 100)::BIGINT AS start, max(p_partkey * 100 + p_size)::BIGINT AS stop FROM part WHERE p_partkey % 400 < 40 GROUP BY p_brand"
+
+
+@query(HULL)
+def gene_coord_hull(spark, sf_dir):
+    return variants.gene_hull(_annotation(spark, sf_dir))
+
+
+def _annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = table(spark, sf_dir, "part").where("p_partkey % 400 < 40")
+    return parts.select(F.col("p_brand").alias("gene"), F.expr("p_size % 5").alias("chrom"), F.expr("p_partkey * 100").alias("start"), F.expr("p_partkey * 100 + p_size").alias("stop"))
+
+
+GENES = "genes AS (SELECT p_partkey AS gene, p_size % 5 AS chrom, p_partkey * 1000 AS start, p_partkey * 1000 + p_size * 20 AS stop, CASE WHEN p_brand LIKE '%1' THEN '+' ELSE '-' END AS strand FROM part)"
+SNPS = "snps AS (SELECT o_orderkey AS snp, o_orderkey % 5 AS chrom, o_orderkey * 113 AS pos, CASE o_orderkey % 3 WHEN 0 THEN 'H1' WHEN 1 THEN 'H2' END AS hap FROM orders)"
+
+
+def _genes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("gene"), F.expr("cast(p_size % 5 as long)").alias("chrom"), F.expr("p_partkey * 1000").alias("start"), F.expr("p_partkey * 1000 + p_size * 20").alias("stop"), F.expr("if(p_brand like '%1', '+', '-')").alias("strand"))
+
+
+@query(f"WITH {GENES}, {SNPS} SELECT snp, gene, pos, hap FROM snps JOIN genes USING (chrom) WHERE hap IS NOT NULL AND pos BETWEEN start - CASE strand WHEN '+' THEN 500 ELSE 0 END AND stop + CASE strand WHEN '-' THEN 500 ELSE 0 END")
+def snp_in_gene_range(spark, sf_dir):
+    call = F.expr("case o_orderkey % 3 when 0 then '1|0' when 1 then '0|1' else '1|1' end")
+    snps = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("snp"), F.expr("o_orderkey % 5").alias("chrom"), F.expr("o_orderkey * 113").alias("pos"), variants.genotype(call).alias("hap")).where("hap is not null")
+    return variants.snps_in_genes(snps, _genes(spark, sf_dir)).select("snp", "gene", "pos", "hap")
+
+
+CATALOG = "catalog AS (SELECT s_suppkey AS snp, s_suppkey % 5 AS chrom, s_suppkey * 20000 AS pos, 'Brand#' || (s_suppkey % 25) || ', Brand#' || (s_suppkey % 7) AS mapped FROM supplier)"
+
+
+@query(f"WITH genes AS ({HULL}), {CATALOG} SELECT gene, snp, pos FROM genes JOIN catalog ON genes.chrom = catalog.chrom AND pos BETWEEN start - 1000000 AND stop + 1000000 AND contains(mapped, gene)")
+def gwas_range_like(spark, sf_dir):
+    catalog = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("snp"), F.expr("cast(s_suppkey % 5 as int)").alias("chrom"), F.expr("s_suppkey * 20000").alias("pos"), F.expr("concat('Brand#', s_suppkey % 25, ', Brand#', s_suppkey % 7)").alias("mapped"))
+    return variants.catalog_near(variants.gene_hull(_annotation(spark, sf_dir)), catalog).select("gene", "snp", "pos")
+
+
+LD = "ld AS (SELECT l_partkey AS snp_a, (l_partkey + l_suppkey) % 2000 AS snp_b, l_discount * 10 AS r2 FROM lineitem)"
+
+
+def _ld(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("snp_a"), F.expr("(l_partkey + l_suppkey) % 2000").alias("snp_b"), F.expr("l_discount * 10").alias("r2"))
+
+
+@query(f"WITH {LD}, b AS (SELECT snp_a AS donor, snp_b AS listed FROM ld WHERE r2 > 0.8 UNION SELECT snp_b, snp_a FROM ld WHERE r2 > 0.8) SELECT * FROM b WHERE donor % 10 = 3 AND listed % 4 = 1 AND donor IN (SELECT p_partkey FROM part) AND listed IN (SELECT p_partkey FROM part)")
+def ld_symmetric_pairs(spark, sf_dir):
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("snp"))
+    return variants.linked(parts.where("snp % 10 = 3"), parts.where("snp % 4 = 1"), _ld(spark, sf_dir))
+
+
+@query(f"""WITH {LD}, own AS (SELECT p_brand AS gene, p_partkey AS snp FROM part), m AS (SELECT least(snp_a, snp_b) AS snp_a, greatest(snp_a, snp_b) AS snp_b, max(r2) AS r2 FROM ld WHERE r2 > 0 AND snp_a <> snp_b GROUP BY 1, 2)
+SELECT x.gene, snp_a, snp_b, r2 FROM m JOIN own x ON snp_a = x.snp JOIN own y ON snp_b = y.snp AND x.gene = y.gene UNION ALL SELECT gene, snp, snp, 1.0 FROM own""")
+def ld_max_matrix(spark, sf_dir):
+    return variants.linkage_matrix(table(spark, sf_dir, "part").select(F.col("p_brand").alias("gene"), F.col("p_partkey").alias("snp")), _ld(spark, sf_dir))
+
+
+LISTED = "concat('rs', o_custkey, case o_orderkey % 3 when 0 then ' x ' when 1 then '-' else ', ' end, 'rs', o_orderkey)"
+
+
+@query(f"SELECT o_orderkey, unnest(list_value('rs' || o_custkey, 'rs' || o_orderkey)) AS snp FROM orders")
+def snp_list_explode(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.expr(LISTED).alias("snps"))
+    return variants.snp_list(rows).select("o_orderkey", "snp")
+
+
+PARENTS = ["5-LOW", "2-HIGH", "1-URGENT"]
+TRAITS = "t AS (SELECT o_custkey AS snp, o_orderstatus AS trait, o_orderpriority AS parent, o_totalprice AS p FROM orders)"
+
+
+@query(f"""WITH {TRAITS}, b AS (SELECT snp, trait, parent, min(p) AS p FROM t GROUP BY ALL),
+o AS (SELECT *, CASE parent WHEN '5-LOW' THEN 1 WHEN '2-HIGH' THEN 2 WHEN '1-URGENT' THEN 3 ELSE 1073741824 END AS place FROM b)
+SELECT snp, (list(trait ORDER BY place, p, trait))[1] AS leading, count(DISTINCT trait) AS n_traits, min(p) AS least_p FROM o GROUP BY snp""")
+def leading_trait(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("snp"), F.col("o_orderstatus").alias("trait"), F.col("o_orderpriority").alias("parent"), F.col("o_totalprice").alias("p"))
+    return variants.leading(rows, ["snp"], order=PARENTS)
+
+
+@query("SELECT o_custkey AS gene, bool_or(o_orderstatus = 'F') AS F, bool_or(o_orderstatus = 'O') AS O, bool_or(o_orderstatus = 'P') AS P FROM orders GROUP BY o_custkey")
+def trait_pivot(spark, sf_dir):
+    return variants.trait_matrix(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("gene"), F.col("o_orderstatus").alias("trait")), "gene", "trait", ["F", "O", "P"])
