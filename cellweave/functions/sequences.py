@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 #: The adapter before the barcode, and how long barcode, molecule tag and the T run behind them are.
 ADAPTER, BC, UMI, POLY_T = "CTACACGACGCTCTTCCGATCT", 16, 12, 10
@@ -84,7 +85,63 @@ def tags(reads: DataFrame, seq: str = "seq", adapter: str = ADAPTER, bc_len: int
     return exact.unionByName(others.mapInPandas(cut, schema))
 
 
-def read_class(rt5: str, rt3: str, tso5: str, tso3: str) -> Column:
-    """Artifact class from how often the primers of either end were found at either end of a read."""
-    rt, tso = f"({rt5} + {rt3})", f"({tso5} + {tso3})"
-    return F.expr(f"case when {rt} = 1 and {tso} = 1 then 'Proper' when {rt} >= 2 then 'RT-RT' when {tso} >= 2 then 'TSO-TSO' when {rt} = 1 then 'RT' when {tso} = 1 then 'TSO' else 'No-RT-TSO' end")
+def read_class(rt: str, tso: str, rt_back: str, tso_back: str, poly: str, poly_back: str) -> Column:
+    """Artifact class of a read from the distances at which primers were found, null where not.
+
+    rt: the 5' primer at the head; tso: the 3' primer at the tail; the two _back ones: the 5' primer
+    in the complement of the tail and the 3' primer in that of the head. poly: is a T run found
+    there. A proper read has both primers in one direction. With the 5' primer at both ends, the
+    weaker one counts only with a T run beside it.
+    """
+    both = f"(({rt} is not null and {tso} is not null) or ({rt_back} is not null and {tso_back} is not null))"
+    twice = f"(({rt} = {rt_back}) or ({rt} < {rt_back} and {poly_back}) or ({rt} > {rt_back} and {poly}))"
+    return F.expr(
+        f"case when {both} then 'Proper' when {twice} then 'RT-RT' when {rt} is not null or {rt_back} is not null then 'RT' "
+        f"when {tso} is not null and {tso_back} is not null then 'TSO-TSO' when {tso} is not null or {tso_back} is not null then 'TSO' else 'No-RT-TSO' end"
+    )
+
+
+def located(query: str, most: int):
+    """Arrow function of a sequence column: the distance of query within it, null beyond ``most``."""
+
+    @F.pandas_udf(IntegerType())
+    def distance(seqs: pd.Series) -> pd.Series:
+        found = [search(query, s or "", most)[0] for s in seqs]
+        return pd.Series([d if d >= 0 else None for d in found], dtype="Int32")
+
+    return distance
+
+
+def clip(cigar: str | Column, tail: bool = False) -> Column:
+    """Soft-clipped bases at the head or tail of a CIGAR string."""
+    cigar = F.col(cigar) if isinstance(cigar, str) else cigar
+    return F.coalesce(F.nullif(F.regexp_extract(cigar, r"(\d+)S$" if tail else r"^(\d+)S", 1), F.lit("")).cast("int"), F.lit(0))
+
+
+def head_bases(seq: str, cigar: str, reach: int = 200, inner: int = 50) -> Column:
+    """Up to ``reach`` clipped bases before the alignment and ``inner`` after its start."""
+    c = clip(cigar)
+    start = F.greatest(F.lit(0), c - reach)
+    return F.substring(F.col(seq), start + 1, F.least(c + inner, F.length(seq)) - start)
+
+
+def tail_bases(seq: str, cigar: str, reach: int = 200, inner: int = 50) -> Column:
+    """``inner`` bases before the alignment's end and up to ``reach`` clipped ones after it."""
+    c, n = clip(cigar, tail=True), F.length(seq)
+    start = F.greatest(n - c - inner, F.lit(0))
+    return F.substring(F.col(seq), start + 1, F.when(c > reach, n - c + reach).otherwise(n) - start)
+
+
+def is_reverse(seq: str = "seq", cigar: str = "cigar", flag: str = "flag", ts: str = "ts", run: int = 15) -> Column:
+    """Does the transcript run against the read? By the ts tag and the flag; else by a T run at a
+    clipped head (yes) or an A run at a clipped tail (no) with one edit at most; null if neither."""
+    tagged = F.when(F.col(flag).bitwiseAND(16) > 0, F.col(ts) == "+").otherwise(F.col(ts) != "+")
+    head, tail = F.substring(F.col(seq), F.lit(1), clip(cigar) + 50), F.substring(F.col(seq), F.greatest(F.length(seq) - clip(cigar, True) - 50, F.lit(0)) + 1, F.length(seq))
+    t_run = (clip(cigar) > 0) & located("T" * run, 1)(head).isNotNull()
+    a_run = (clip(cigar, True) > 0) & located("A" * run, 1)(tail).isNotNull()
+    return F.when(F.col(ts).isNotNull(), tagged).when(t_run, F.lit(True)).when(a_run, F.lit(False))
+
+
+def candidate(seq: str = "seq", cigar: str = "cigar", reverse: str = "reverse") -> Column:
+    """The bases that hold the tags, read towards the transcript; empty if the strand is unknown."""
+    return F.when(F.col(reverse), head_bases(seq, cigar)).when(~F.col(reverse), revcomp(tail_bases(seq, cigar))).otherwise("")

@@ -253,12 +253,17 @@ def chimeric_rename(spark, sf_dir):
     return molecules.rename_chimeric(flagged, order=["o", "l_linenumber", "l_quantity"]).select("qname", "flag", "o")
 
 
-@query("""WITH h AS (SELECT l_linenumber % 3 AS rt5, l_linenumber // 4 AS rt3, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS tso5, CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS tso3 FROM lineitem),
-c AS (SELECT CASE WHEN rt5 + rt3 = 1 AND tso5 + tso3 = 1 THEN 'Proper' WHEN rt5 + rt3 >= 2 THEN 'RT-RT' WHEN tso5 + tso3 >= 2 THEN 'TSO-TSO' WHEN rt5 + rt3 = 1 THEN 'RT' WHEN tso5 + tso3 = 1 THEN 'TSO' ELSE 'No-RT-TSO' END AS class FROM h)
+HITS = {"rt": "nullif(l_linenumber % 4, 0)", "tso": "nullif(l_partkey % 3, 0)", "rt_back": "nullif(l_suppkey % 4, 0)", "tso_back": "nullif(l_orderkey % 2, 0)", "poly": "l_returnflag = 'R'", "poly_back": "l_linestatus = 'O'"}
+
+
+@query(f"""WITH h AS (SELECT {', '.join(f'{v} AS {k}' for k, v in HITS.items())} FROM lineitem),
+c AS (SELECT CASE WHEN (rt IS NOT NULL AND tso IS NOT NULL) OR (rt_back IS NOT NULL AND tso_back IS NOT NULL) THEN 'Proper'
+  WHEN rt IS NOT NULL AND rt_back IS NOT NULL THEN CASE WHEN rt = rt_back OR (rt < rt_back AND poly_back) OR (rt > rt_back AND poly) THEN 'RT-RT' ELSE 'RT' END
+  WHEN rt IS NOT NULL OR rt_back IS NOT NULL THEN 'RT' WHEN tso IS NOT NULL AND tso_back IS NOT NULL THEN 'TSO-TSO' WHEN tso IS NOT NULL OR tso_back IS NOT NULL THEN 'TSO' ELSE 'No-RT-TSO' END AS class FROM h)
 SELECT class, count(*) AS n FROM c GROUP BY class""")
 def artifact_class(spark, sf_dir):
-    hits = table(spark, sf_dir, "lineitem").select(F.expr("l_linenumber % 3").alias("rt5"), F.expr("l_linenumber div 4").alias("rt3"), F.expr("if(l_returnflag = 'R', 1, 0)").alias("tso5"), F.expr("if(l_linestatus = 'O', 1, 0)").alias("tso3"))
-    return hits.select(sequences.read_class("rt5", "rt3", "tso5", "tso3").alias("class")).groupBy("class").agg(F.count("*").alias("n"))
+    hits = table(spark, sf_dir, "lineitem").select(*(F.expr(v).alias(k) for k, v in HITS.items()))
+    return hits.select(sequences.read_class(*HITS).alias("class")).groupBy("class").agg(F.count("*").alias("n"))
 
 
 # Expression ----------------------------------------------------------------------------------
