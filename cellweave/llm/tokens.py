@@ -19,7 +19,7 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Pieces that a worker remembers at most.
-CACHED = 600_000
+CACHED = 400_000
 #: With one of these in it, a text goes to the tokenizer whole.
 ODD = ["  ", "\n\n", " \n", "\n ", *map(chr, (0, 9, 11, 12, 13, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF))]
 STOP = re.compile(r"(?<=[a-zA-Zà-öø-ÿ])([.,])(?=[ \n])")
