@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequences import search
+from .partitioning import by_key
 
 # Fixed values of the alignment format: flag bits of unmapped, secondary and supplementary records.
 UNMAPPED, SECONDARY, SUPPLEMENTARY, REVERSE = 4, 256, 2048, 16
@@ -68,6 +69,8 @@ def cluster(tags: list[tuple[str, list[tuple[str, frozenset, bool]]]], most: int
     tags = sorted(tags, key=lambda t: (-len(t[1]), not any(r[2] for r in t[1])))
     nodes: list[dict] = []
     for umi, reads in tags:
+        bounds = [len(umi) * i // (most + 1) for i in range(most + 2)]
+        parts = [umi[a:b] for a, b in zip(bounds[:-1], bounds[1:])]  # of which ``most`` edits leave one whole
         named = [(r[0], r[1] or frozenset(["NA"]), bool(r[1])) for r in reads]
         common = frozenset.intersection(*(t for _, t, _ in named))
         pieces = [([n for n, _, _ in named], common, True)] if common else [([n], t, known) for n, t, known in sorted(named, key=lambda r: len(r[1]))]
@@ -75,7 +78,7 @@ def cluster(tags: list[tuple[str, list[tuple[str, frozenset, bool]]]], most: int
             best, parent, shared = len(umi), None, frozenset()
             for i, other in enumerate(nodes if open_ else []):
                 both = trans & other["trans"]
-                if not both or not other["open"]:
+                if not both or not other["open"] or not any(x in other["umi"] for x in parts):
                     continue
                 distance, _ = search(umi, other["umi"], most)
                 if 0 <= distance < best:
@@ -97,17 +100,21 @@ def molecules(reads: DataFrame, keys: list[str], umi: str = "umi", read: str = "
     Clustering is sequential within a cell; a cell holds thousands of reads, not a share of the data.
     """
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(order, kind="stable")
+    def run(rows: pa.Table) -> pa.Table:
+        at = rows[order].to_pylist()
+        columns = [rows[c].to_pylist() for c in (umi, read, trans, perfect)]
         tags: dict[str, list] = {}
-        for u, r, t, p in zip(frame[umi], frame[read], frame[trans], frame[perfect]):
-            tags.setdefault(u, []).append((r, frozenset(t if t is not None else ()), bool(p)))
+        for i in sorted(range(len(at)), key=at.__getitem__):
+            u, r, t, p = (c[i] for c in columns)
+            tags.setdefault(u, []).append((r, frozenset(t or ()), bool(p)))
         found = cluster(list(tags.items()), most)
-        return pd.DataFrame({**{k: [frame[k].iloc[0]] * len(found) for k in keys}, "umi": [f[0] for f in found], "trans": [f[1] for f in found], "reads": [f[2] for f in found]})
+        same = [pa.array([rows[k][0].as_py()] * len(found), rows.schema.field(k).type) for k in keys]
+        lists = [pa.array([f[j] for f in found], pa.list_(pa.string())) for j in (1, 2)]
+        return pa.table([*same, pa.array([f[0] for f in found], pa.string()), *lists], [*keys, "umi", "trans", "reads"])
 
     types = dict(reads.dtypes)
     schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", umi string, trans array<string>, reads array<string>"
-    return reads.groupBy(*keys).applyInPandas(run, schema)
+    return by_key(reads, *keys).groupBy(*keys).applyInArrow(run, schema)
 
 
 def bc_umi_table(found: DataFrame, genes: DataFrame) -> DataFrame:
@@ -116,3 +123,18 @@ def bc_umi_table(found: DataFrame, genes: DataFrame) -> DataFrame:
     names = [c for c in found.columns]
     return each.groupBy(*names).agg(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("_i", F.coalesce("_g", F.lit("NA")).alias("_g")))), lambda x: x["_g"])).alias("genes"))
 
+
+
+def in_region(rows: DataFrame, spans: DataFrame, chrom, start: int | None = None, stop: int | None = None, trans: str = "trans") -> DataFrame:
+    """Rows of which any transcript overlaps the region; spans: trans, chrom, start, stop (closed), region half-open."""
+    inside = spans.where(F.col("chrom") == chrom)
+    if start is not None:
+        inside = inside.where((F.col("start") <= stop) & (F.col("stop") >= start + 1))
+    keyed = rows.withColumn("_key", F.xxhash64(*rows.columns))
+    hits = keyed.select("_key", F.explode(trans).alias("_t")).join(inside.select(F.col("trans").alias("_t")).distinct(), "_t", "left_semi").select("_key").distinct()
+    return keyed.join(hits, "_key", "left_semi").drop("_key")
+
+
+def match_summary(reads: DataFrame, perfect: str, exact: str) -> DataFrame:
+    """Reads by whether their tag was perfect and their barcode matched exactly or with errors."""
+    return reads.groupBy(F.when(F.col(perfect), "perfect").otherwise("imperfect").alias("tag"), F.when(F.col(exact), "exact").otherwise("corrected").alias("match")).agg(F.count("*").alias("n"))

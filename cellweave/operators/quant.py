@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .partitioning import by_key
+
 #: Rounds at most, and the change of all shares together below which it stops.
 ROUNDS, TOLERANCE = 10_000, 1e-6
 
@@ -51,7 +53,7 @@ def abundance(molecules: DataFrame, gene: str = "gene", cluster: str = "cluster"
         return pd.DataFrame(rows, columns=[gene, cluster, "_set", trans, "_share"])
 
     types = dict(molecules.dtypes)
-    shares = shared.groupBy(gene, cluster).applyInPandas(run, f"{gene} {types[gene]}, {cluster} {types[cluster]}, _set array<string>, {trans} string, _share double")
+    shares = by_key(shared, gene, cluster).groupBy(gene, cluster).applyInPandas(run, f"{gene} {types[gene]}, {cluster} {types[cluster]}, _set array<string>, {trans} string, _share double")
     spread = counted.join(shares, [gene, cluster, "_set"])
     return spread.groupBy(gene, cluster, trans, *extra).agg(F.sum(F.col("_n") * F.col("_share")).alias("abundance")).where("abundance > 0")
 

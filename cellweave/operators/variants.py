@@ -67,3 +67,15 @@ def leading(rows: DataFrame, keys: list[str], trait: str = "trait", parent: str
 def trait_matrix(rows: DataFrame, gene: str, trait: str, traits: list[str]) -> DataFrame:
     """One row a gene, one column a trait: does it have the trait."""
     return rows.groupBy(gene).pivot(trait, traits).agg(F.lit(True)).na.fill(False)
+
+
+def named_by_position(snps: DataFrame, known: DataFrame) -> DataFrame:
+    """snps with a missing id taken from the table of positions (rsid, chrom, pos)."""
+    ids = known.groupBy("chrom", "pos").agg(F.min("rsid").alias("_rsid"))
+    return snps.join(ids, ["chrom", "pos"], "left").withColumn("snp", F.coalesce("snp", "_rsid")).drop("_rsid")
+
+
+def near_any(listed: DataFrame, donors: DataFrame, distance: int) -> DataFrame:
+    """Listed variants within ``distance`` of some donor on the same chromosome."""
+    spans = donors.select("chrom", (F.col("pos") - distance).alias("lo"), (F.col("pos") + distance).alias("hi"))
+    return points_in_ranges(listed, spans, bin_size=max(1, distance)).select(*listed.columns).distinct()

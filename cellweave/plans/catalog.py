@@ -546,3 +546,79 @@ def leading_trait(spark, sf_dir):
 @query("SELECT o_custkey AS gene, bool_or(o_orderstatus = 'F') AS F, bool_or(o_orderstatus = 'O') AS O, bool_or(o_orderstatus = 'P') AS P FROM orders GROUP BY o_custkey")
 def trait_pivot(spark, sf_dir):
     return variants.trait_matrix(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("gene"), F.col("o_orderstatus").alias("trait")), "gene", "trait", ["F", "O", "P"])
+
+
+# More of the same operators --------------------------------------------------------------------
+
+
+@query(f"WITH {READS}, spans AS (SELECT trans, min(start) AS start, max(stop) AS stop, chrom FROM reads WHERE chrom % 50 = 7 GROUP BY trans, chrom), m AS (SELECT bc, gene, list_sort(list_distinct(list(trans))) AS ts FROM reads GROUP BY bc, gene) SELECT bc, gene, array_to_string(ts, ',') AS ts FROM m WHERE EXISTS (SELECT 1 FROM spans WHERE chrom = 7 AND start <= 2600 AND stop >= 2001 AND list_contains(ts, trans))")
+def transcripts_in_region(spark, sf_dir):
+    rows = reads(spark, sf_dir)
+    spans = rows.where("chrom % 50 = 7").groupBy("trans", "chrom").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    sets = rows.groupBy("bc", "gene").agg(F.array_sort(F.collect_set("trans")).alias("ts"))
+    return molecules.in_region(sets, spans, 7, 2000, 2600, trans="ts").withColumn("ts", F.array_join("ts", ","))
+
+
+@query(f"{MUTATED} SELECT CASE WHEN c_custkey % 2 = 0 THEN 'perfect' ELSE 'imperfect' END AS tag, CASE WHEN ed = 0 THEN 'exact' ELSE 'corrected' END AS match, count(*) AS n FROM near WHERE n = 1 GROUP BY ALL")
+def match_summary(spark, sf_dir):
+    return molecules.match_summary(_nearest(spark, sf_dir).selectExpr("c_custkey % 2 = 0 as perfect", "ed = 0 as exact"), "perfect", "exact")
+
+
+@query(f"{MUTATED} SELECT c_custkey, bc FROM seen WHERE c_custkey NOT IN (SELECT c_custkey FROM near WHERE n = 1)")
+def unassigned_barcodes(spark, sf_dir):
+    return _mutated(spark, sf_dir)[0].join(_nearest(spark, sf_dir), "c_custkey", "left_anti")
+
+
+@query("SELECT c_custkey AS bc FROM customer WHERE c_mktsegment = 'BUILDING' INTERSECT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'")
+def cells_in_both(spark, sf_dir):
+    left = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("bc"))
+    return left.intersect(table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("bc")))
+
+
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+@query(f"{VALUES} SELECT gene, " + ", ".join(f"coalesce(sum(value) FILTER (cluster = '{c}'), 0)::BIGINT AS {c}" for c in SEGMENTS) + " FROM v GROUP BY gene")
+def cluster_matrix_wide(spark, sf_dir):
+    return _values(spark, sf_dir).groupBy("gene").pivot("cluster", SEGMENTS).agg(F.sum("value")).na.fill(0)
+
+
+@query("SELECT o_custkey AS gene, array_to_string(list_sort(list_distinct(list(o_orderstatus))), ',') AS traits, array_to_string(list_sort(list_distinct(list(o_orderpriority))), ',') AS parents FROM orders WHERE o_orderpriority IN ('5-LOW', '2-HIGH', '1-URGENT') GROUP BY o_custkey")
+def gene_traits(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").where(F.col("o_orderpriority").isin(PARENTS))
+    united = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
+    return rows.groupBy(F.col("o_custkey").alias("gene")).agg(united("o_orderstatus").alias("traits"), united("o_orderpriority").alias("parents"))
+
+
+@query("WITH k AS (SELECT p_partkey % 5 AS chrom, p_partkey * 7 AS pos, min('rs' || p_partkey) AS rsid FROM part GROUP BY 1, 2), s AS (SELECT o_orderkey, o_orderkey % 5 AS chrom, o_orderkey AS pos, CASE WHEN o_orderkey % 3 = 0 THEN 'own' || o_orderkey END AS snp FROM orders) SELECT o_orderkey, s.chrom, s.pos, coalesce(snp, rsid) AS snp FROM s LEFT JOIN k ON s.chrom = k.chrom AND s.pos = k.pos")
+def snp_named_by_position(spark, sf_dir):
+    known = table(spark, sf_dir, "part").select(F.expr("p_partkey % 5").alias("chrom"), F.expr("p_partkey * 7").alias("pos"), F.expr("concat('rs', p_partkey)").alias("rsid"))
+    snps = table(spark, sf_dir, "orders").select("o_orderkey", F.expr("o_orderkey % 5").alias("chrom"), F.col("o_orderkey").alias("pos"), F.expr("if(o_orderkey % 3 = 0, concat('own', o_orderkey), null)").alias("snp"))
+    return variants.named_by_position(snps, known)
+
+
+@query("WITH d AS (SELECT s_suppkey % 5 AS chrom, s_suppkey * 1700 AS pos FROM supplier), l AS (SELECT o_orderkey AS snp, o_orderkey % 5 AS chrom, o_orderkey * 13 AS pos FROM orders) SELECT * FROM l WHERE EXISTS (SELECT 1 FROM d WHERE d.chrom = l.chrom AND abs(d.pos - l.pos) <= 250)")
+def listed_near_donor(spark, sf_dir):
+    donors = table(spark, sf_dir, "supplier").select(F.expr("s_suppkey % 5").alias("chrom"), F.expr("s_suppkey * 1700").alias("pos"))
+    listed = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("snp"), F.expr("o_orderkey % 5").alias("chrom"), F.expr("o_orderkey * 13").alias("pos"))
+    return variants.near_any(listed, donors, 250)
+
+
+@query(f"WITH {READS}, m AS (SELECT bc, umi, gene, count(DISTINCT trans) AS k, min(trans) AS trans FROM reads GROUP BY bc, umi, gene) SELECT trans, count(*) AS n FROM m WHERE k = 1 GROUP BY trans")
+def unique_transcript_counts(spark, sf_dir):
+    return _molecule_sets(spark, sf_dir).where(F.size("trans") == 1).groupBy(F.col("trans")[0].alias("trans")).agg(F.count("*").alias("n"))
+
+
+@query()
+def genes_of_interest(spark, sf_dir):
+    """Picked after the false discovery rate is found over all genes."""
+    wanted = table(spark, sf_dir, "part").where("p_size > 45").select(F.col("p_brand").alias("gene")).distinct()
+    return splicing.differential(_trans_counts(spark, sf_dir)).join(wanted, "gene", "left_semi")
+
+
+@query(f"WITH {READS}, u AS (SELECT cluster, gene, list_distinct(list(umi)) AS umis FROM reads GROUP BY cluster, gene) SELECT a.gene, a.cluster AS cluster1, b.cluster AS cluster2, len(list_distinct(list_concat(a.umis, b.umis)))::INT AS n FROM u a JOIN u b ON a.gene = b.gene AND a.cluster < b.cluster WHERE a.gene IN ('Brand#1', 'Brand#2')")
+def merged_umi_counts(spark, sf_dir):
+    sets = reads(spark, sf_dir).where("gene in ('Brand#1', 'Brand#2')").groupBy("cluster", "gene").agg(F.collect_set("umi").alias("umis"))
+    right = sets.select("gene", F.col("cluster").alias("cluster2"), F.col("umis").alias("more"))
+    pairs = sets.withColumnRenamed("cluster", "cluster1").join(right, "gene").where("cluster1 < cluster2")
+    return pairs.select("gene", "cluster1", "cluster2", F.size(F.array_union("umis", "more")).alias("n"))
