@@ -6,6 +6,7 @@ executor share), so no step depends on an executor that may be lost.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -41,6 +42,14 @@ def need(df: DataFrame, *columns: str) -> None:
         raise ValueError(f"missing columns {missing}; there are {df.columns}")
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: Python workers idle on beside the next stage's JVM work."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: int = 1, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches, cut so that the text of each holds about ``limit`` bytes (one row at least)."""
     for batch in batches:
@@ -54,6 +63,7 @@ def slices(batches: Iterable[pa.RecordBatch], text: int = 1, limit: int = SLICE_
                 start, held = i, 0
             held += n
         yield batch.slice(start)
+    give_back()
 
 
 def salted_join(many: DataFrame, few: DataFrame, key: str, salt_of: str, how: str = "inner", salts: int = 16) -> DataFrame:
