@@ -63,4 +63,4 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_media_columns, op3_token_files, op4_simhash, op5_substring_dedup, op6_mixing, op7_warc, op8_packing, op9_quality, op10_url_rules)}
-ORACLE_SQL = {"op6_mixing": mixing.SQL, "op7_warc": warc.SQL, "op9_quality": quality.sql(), "op10_url_rules": urls.SQL}
+ORACLE_SQL = {"op1_suffix_dedup": suffix_dedup.SQL, "op5_substring_dedup": substring.SQL, "op6_mixing": mixing.SQL, "op7_warc": warc.SQL, "op9_quality": quality.sql(), "op10_url_rules": urls.SQL}

@@ -47,3 +47,22 @@ def remove_repeats(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", te
 def strip_repeats(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs, all columns, with the repeated words taken out of the text; null texts become empty."""
     return repeats.rewritten(docs, repeated_spans(docs, length, doc_id, text), "word", doc_id, text)
+
+
+#: The query in SQL.
+SQL = r"""
+WITH b AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM b)
+), late AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS lo FROM windows) WHERE lo < doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, i + k AS j FROM late, range(0, 50) AS r(k)
+), kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY j) AS t, count(*) AS n
+  FROM (SELECT doc_id, unnest(range(1, len(w) + 1)) AS j, unnest(w) AS x FROM b) ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM b LEFT JOIN kept USING (doc_id)
+"""

@@ -158,3 +158,30 @@ def remove_repeats(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", t
 def strip_repeats(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs, all columns, with the repeated bytes taken out of the text; null texts become empty."""
     return repeats.rewritten(docs, repeated_spans(docs, length, doc_id, text), "byte", doc_id, text)
+
+
+#: The query in SQL.
+SQL = r"""
+WITH b AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), windows AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS g FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 199)) AS i FROM b)
+), again AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY g) AS n FROM windows) WHERE n > 1
+), islands AS (
+  SELECT doc_id, min(i) AS a, max(i) + 200 AS z FROM (
+    SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM (
+      SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 200 THEN 0 ELSE 1 END AS fresh FROM again)
+  ) GROUP BY doc_id, k
+), pieces AS (
+  SELECT doc_id, z AS a, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS z FROM islands
+  UNION ALL SELECT doc_id, 0, min(a) FROM islands GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(z, length(h) // 2) - a)), '' ORDER BY a) AS t FROM pieces JOIN b USING (doc_id) GROUP BY doc_id
+), counts AS (
+  SELECT doc_id, sum(z - a)::BIGINT AS n_removed, count(*)::BIGINT AS n_spans FROM islands GROUP BY doc_id
+)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(t, CASE WHEN n_removed IS NULL THEN h ELSE '' END))) AS kept_sha256
+FROM b LEFT JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)
+"""
