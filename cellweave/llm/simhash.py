@@ -214,7 +214,7 @@ def near_copies(docs: DataFrame, shingle: int = 5, lanes: int = 1, radius: int =
     return salted_join(prints, found.drop("n"), "fp", "doc_id")
 
 
-def settings_for(similarity: float, lanes: int = 8) -> dict:
+def settings_for(similarity: float, lanes: int = 16) -> dict:
     """Radii at which pairs of that Jaccard similarity of shingle sets are linked, nearly all of them.
 
     Sets with similarity s have cosine 2s/(1+s) at equal sizes, and each bit differs with the
