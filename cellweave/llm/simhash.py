@@ -1,21 +1,22 @@
 """Near copies by SimHash: fingerprints of word shingles, compared exactly, tile against tile.
 
-Distinct fingerprints are dealt in order of their population count into strips. Every pair of
-strips whose counts come within the radius meets in one task, which compares tile by tile with
-exclusive-or and bit counts and skips tiles whose counts differ beyond the radius. A task reports
-the links of a spanning forest only, so a large group of near copies costs no pairs; components
-of those links give the groups.
+Distinct fingerprints are dealt by population counts, of the whole or of pieces where there are
+many. Every pair of groups whose counts come within the radius meets in one task, which compares
+tile by tile with exclusive-or and bit counts; pairs of groups beyond it never meet. A task
+reports the links of a spanning forest only, so a large group of near copies costs no pairs;
+components of those links give the groups.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from itertools import groupby
+from math import comb
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import rolling
@@ -24,6 +25,8 @@ from .shared import components, need, salted_join, slices, stored
 SEED = 42
 #: Distinct fingerprints of a strip, until there are MOST_STRIPS; rows and columns of a tile.
 STRIP, MOST_STRIPS, TILE_ROWS, TILE_COLUMNS = 8192, 1024, 256, 4096
+#: Groups by population counts that the driver may name.
+MOST_GROUPS = 100_000
 LANES = 0x0101010101010101
 
 
@@ -128,46 +131,89 @@ def forest(left: np.ndarray, right: np.ndarray, key_l: np.ndarray, key_r: np.nda
     return nodes, labels[nodes]
 
 
+def pieces_for(total: int, lanes: int, radius: int) -> int:
+    """Into how many pieces fingerprints are cut to be dealt by their population counts.
+
+    Enough that fair bits put STRIP of them or so into the largest group; but the groups stay
+    few enough to be named (17^4 for 64 bits).
+    """
+    for parts in (1, 2, 4):
+        bits = 64 * lanes // parts
+        if parts > 1 and (radius > 8 or (bits + 1) ** parts > MOST_GROUPS):
+            return parts // 2
+        if total * (comb(bits, bits // 2) / 2**bits) ** parts <= 2 * STRIP:
+            break
+    return parts
+
+
+def piece_counts(lanes: int, parts: int) -> list[Column]:
+    """Bits set in each piece of fp."""
+    digits = 16 * lanes // parts
+    word = lambda at, n: F.bit_count(F.conv(F.substring(F.hex("fp"), at + 1, n), 16, -10).cast("long")).cast("long")
+    return [sum((word(at, min(16, digits)) for at in range(k * digits, (k + 1) * digits, 16)), F.lit(0).cast("long")) for k in range(parts)]
+
+
+def within(parts: int, radius: int) -> list[tuple[int, ...]]:
+    """All whole vectors whose absolute values sum to ``radius`` at most."""
+    if parts == 1:
+        return [(i,) for i in range(-radius, radius + 1)]
+    return [(i, *rest) for i in range(-radius, radius + 1) for rest in within(parts - 1, radius - abs(i))]
+
+
 def groups(prints: DataFrame, lanes: int = 1, radius: int = 3, first_radius: int | None = None, size_ratio: float = 0.0) -> DataFrame:
     """fp, n, component_id for each distinct fingerprint (and n, with a size_ratio) of a stored table.
 
     Linked: at most ``radius`` bits differ, at most first_radius of the first lane's, and the
     smaller n is at least size_ratio of the larger. component_id: the smallest doc_id reachable.
+
+    Without a size_ratio, fingerprints are dealt by the population counts of their pieces: what
+    differs in ``radius`` bits has counts whose differences sum to no more, so each group meets
+    those groups alone. With one, they are dealt in order of n into strips.
     """
     first_radius = radius if first_radius is None else first_radius
     spark = prints.sparkSession
     by_size = size_ratio > 0
-    weight = sum((F.bit_count(F.conv(F.substring(F.hex("fp"), 16 * j + 1, 16), 16, -10).cast("long")).cast("long") for j in range(lanes)), F.lit(0).cast("long"))
     alike = prints.select("doc_id", "fp", F.col("n") if by_size else F.lit(0).cast("long").alias("n"))
-    alike = alike.groupBy("fp", "n").agg(F.min("doc_id").alias("rep"))
-    alike = stored(alike.withColumn("key", F.col("n") if by_size else F.bit_count(F.conv(F.hex("fp"), 16, -10).cast("long")).cast("long")), "fingerprints")
+    alike = stored(alike.groupBy("fp", "n").agg(F.min("doc_id").alias("rep")), "fingerprints")
     total = alike.count()
-    strips = min(MOST_STRIPS, max(1, -(-total // STRIP)))
-    dealt = stored(alike.repartitionByRange(strips, "key", "fp").withColumn("strip", F.spark_partition_id()), "strips")
-    bounds = {r.strip: (r.lo, r.hi) for r in dealt.groupBy("strip").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).collect()}
+    if by_size:
+        strips = min(MOST_STRIPS, max(1, -(-total // STRIP)))
+        dealt = stored(alike.repartitionByRange(strips, "n", "fp").withColumn("strip", F.spark_partition_id().cast("long")), "strips")
+        bounds = {r.strip: (r.lo, r.hi) for r in dealt.groupBy("strip").agg(F.min("n").alias("lo"), F.max("n").alias("hi")).collect()}
+        pairs = len(bounds) * (len(bounds) + 1) // 2
 
-    def reach(lo: int, hi: int) -> tuple[float, float]:
-        return (lo * size_ratio, hi / size_ratio) if by_size else (lo - radius, hi + radius)
+        def reach(lo: int, hi: int) -> tuple[float, float]:
+            return lo * size_ratio, hi / size_ratio
 
-    names = sorted(bounds)
-    partners: dict[int, list[tuple[int, int]]] = {g: [] for g in names}
-    for i, g in enumerate(names):
-        for h in names[i:]:
+        def partners_of(g: int) -> list[int]:
             lo, hi = reach(*bounds[g])
-            if bounds[h][0] <= hi and bounds[h][1] >= lo:
-                partners[g].append((g << 32 | h, 0))
-                if h != g:
-                    partners[h].append((g << 32 | h, 1))
+            return [h for h, (least, most) in bounds.items() if least <= hi and most >= lo]
+    else:
+        parts = pieces_for(total, lanes, radius)
+        base = 64 * lanes // parts + 1
+        name = sum((c * base**k for k, c in enumerate(piece_counts(lanes, parts))), F.lit(0).cast("long"))
+        dealt = stored(alike.withColumn("strip", name).repartition("strip"), "strips")
+        names = {r.strip for r in dealt.select("strip").distinct().collect()}  # base^parts at most
+        steps = within(parts, radius)
+        pairs = min(len(names) * len(steps), len(names) * (len(names) + 1) // 2)
+
+        def reach(lo: int, hi: int) -> tuple[float, float]:
+            return lo, hi  # n is 0 for all
+
+        def partners_of(g: int) -> list[int]:
+            place = [g // base**k % base for k in range(parts)]
+            near = ([a + b for a, b in zip(place, step)] for step in steps)
+            return [h for x in near if 0 <= min(x) and max(x) < base for h in [sum(c * base**k for k, c in enumerate(x))] if h in names]
 
     def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             strip, key, rep, raw = (batch.column(i) for i in range(4))
             strip, key, rep = (np.asarray(x) for x in (strip, key, rep))
             prints_ = np.frombuffer(b"".join(raw.to_pylist()), ">u8").astype("<u8").reshape(-1, lanes)
-            for g in np.unique(strip):
+            for g in np.unique(strip).tolist():
                 mine = strip == g
                 data = [x[mine].astype(kind).tobytes() for x, kind in ((key, "<i8"), (rep, "<i8"), (prints_, "<u8"))]
-                rows = [(pair, side, *data) for pair, side in partners[int(g)]]
+                rows = [(min(g, h) << 32 | max(g, h), int(h < g), *data) for h in partners_of(int(g))]
                 for i in range(0, len(rows), 16):
                     yield pa.record_batch([pa.array(x) for x in zip(*rows[i : i + 16])], ["pair", "side", "key", "rep", "fp"])
 
@@ -192,8 +238,8 @@ def groups(prints: DataFrame, lanes: int = 1, radius: int = 3, first_radius: int
             if len(nodes):
                 yield pa.record_batch([pa.array(reps[nodes]), pa.array(reps[roots])], ["a", "b"])
 
-    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(strips * (strips + 1) // 2, 4096))
-    tiles = dealt.select("strip", "key", "rep", "fp").mapInArrow(spread, "pair long, side long, key binary, rep binary, fp binary")
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(pairs, 256))
+    tiles = dealt.select("strip", F.col("n").alias("key"), "rep", "fp").mapInArrow(spread, "pair long, side long, key binary, rep binary, fp binary")
     links = tiles.repartition(width, "pair").sortWithinPartitions("pair").mapInArrow(compare, "a long, b long")
     roots = components(links)
     named = alike.join(roots.withColumnRenamed("node", "rep"), "rep", "left")

@@ -278,3 +278,17 @@ def test_empty_tables(spark):
 def test_missing_columns_are_named(spark):
     with pytest.raises(ValueError, match="text"):
         suffix_dedup.remove_repeats(spark.createDataFrame([(1,)], "doc_id long"))
+
+
+def test_simhash_dealt_by_pieces(spark, monkeypatch):
+    """Groups by counts of one, two and four pieces find the same links."""
+    rng = random.Random(11)
+    prints = [rng.getrandbits(64) for _ in range(150)]
+    prints += [p ^ 1 << rng.randrange(64) ^ 1 << rng.randrange(64) ^ 1 << rng.randrange(64) for p in prints[:60]]
+    prints += [0, 0, 7, 2**64 - 1]
+    table_ = shared.stored(spark.createDataFrame([(i, 1, bytearray(p.to_bytes(8, "big"))) for i, p in enumerate(prints)], "doc_id long, n long, fp binary"), "prints")
+    want = brute.components(range(len(prints)), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 3)
+    for parts in (1, 2, 4):
+        monkeypatch.setattr(simhash, "pieces_for", lambda *_: parts)
+        found = {r.fp.hex(): r.component_id for r in simhash.groups(table_).collect()}
+        assert {i: found[f"{p:016x}"] for i, p in enumerate(prints)} == want
