@@ -10,7 +10,7 @@ components of those links give the groups.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from itertools import groupby
+from itertools import accumulate, groupby
 from math import comb
 
 import numpy as np
@@ -180,7 +180,7 @@ def groups(prints: DataFrame, lanes: int = 1, radius: int = 3, first_radius: int
         strips = min(MOST_STRIPS, max(1, -(-total // STRIP)))
         dealt = stored(alike.repartitionByRange(strips, "n", "fp").withColumn("strip", F.spark_partition_id().cast("long")), "strips")
         bounds = {r.strip: (r.lo, r.hi) for r in dealt.groupBy("strip").agg(F.min("n").alias("lo"), F.max("n").alias("hi")).collect()}
-        pairs = len(bounds) * (len(bounds) + 1) // 2
+        subs = dict.fromkeys(sorted(bounds), 1)
 
         def reach(lo: int, hi: int) -> tuple[float, float]:
             return lo * size_ratio, hi / size_ratio
@@ -192,10 +192,10 @@ def groups(prints: DataFrame, lanes: int = 1, radius: int = 3, first_radius: int
         parts = pieces_for(total, lanes, radius)
         base = 64 * lanes // parts + 1
         name = sum((c * base**k for k, c in enumerate(piece_counts(lanes, parts))), F.lit(0).cast("long"))
-        dealt = stored(alike.withColumn("strip", name).repartition("strip"), "strips")
-        names = {r.strip for r in dealt.select("strip").distinct().collect()}  # base^parts at most
+        dealt = stored(alike.withColumn("strip", name).repartition("strip", F.pmod(F.xxhash64("fp"), F.lit(16))), "strips")
+        # base^parts names at most; a group of more than STRIP is split by a hash of the fingerprint
+        subs = {r.strip: -(-r["count"] // STRIP) for r in dealt.groupBy("strip").count().collect()}
         steps = within(parts, radius)
-        pairs = min(len(names) * len(steps), len(names) * (len(names) + 1) // 2)
 
         def reach(lo: int, hi: int) -> tuple[float, float]:
             return lo, hi  # n is 0 for all
@@ -203,7 +203,9 @@ def groups(prints: DataFrame, lanes: int = 1, radius: int = 3, first_radius: int
         def partners_of(g: int) -> list[int]:
             place = [g // base**k % base for k in range(parts)]
             near = ([a + b for a, b in zip(place, step)] for step in steps)
-            return [h for x in near if 0 <= min(x) and max(x) < base for h in [sum(c * base**k for k, c in enumerate(x))] if h in names]
+            return [h for x in near if 0 <= min(x) and max(x) < base for h in [sum(c * base**k for k, c in enumerate(x))] if h in subs]
+
+    first = dict(zip(subs, accumulate([0, *subs.values()])))
 
     def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,11 +213,15 @@ def groups(prints: DataFrame, lanes: int = 1, radius: int = 3, first_radius: int
             strip, key, rep = (np.asarray(x) for x in (strip, key, rep))
             prints_ = np.frombuffer(b"".join(raw.to_pylist()), ">u8").astype("<u8").reshape(-1, lanes)
             for g in np.unique(strip).tolist():
-                mine = strip == g
-                data = [x[mine].astype(kind).tobytes() for x, kind in ((key, "<i8"), (rep, "<i8"), (prints_, "<u8"))]
-                rows = [(min(g, h) << 32 | max(g, h), int(h < g), *data) for h in partners_of(int(g))]
-                for i in range(0, len(rows), 16):
-                    yield pa.record_batch([pa.array(x) for x in zip(*rows[i : i + 16])], ["pair", "side", "key", "rep", "fp"])
+                mine = np.flatnonzero(strip == g)
+                part = rolling.mix(prints_[mine, 0]) % np.uint64(subs[g])
+                others = [j for h in partners_of(g) for j in range(first[h], first[h] + subs[h])]
+                for sub in np.unique(part).tolist():
+                    own, i = mine[part == sub], first[g] + sub
+                    data = [x[own].astype(kind).tobytes() for x, kind in ((key, "<i8"), (rep, "<i8"), (prints_, "<u8"))]
+                    rows = [(min(i, j) << 32 | max(i, j), int(j < i), *data) for j in others]
+                    for at in range(0, len(rows), 16):
+                        yield pa.record_batch([pa.array(x) for x in zip(*rows[at : at + 16])], ["pair", "side", "key", "rep", "fp"])
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns)))
@@ -238,7 +244,7 @@ def groups(prints: DataFrame, lanes: int = 1, radius: int = 3, first_radius: int
             if len(nodes):
                 yield pa.record_batch([pa.array(reps[nodes]), pa.array(reps[roots])], ["a", "b"])
 
-    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(pairs, 256))
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(sum(subs.values()) * 8, 256))
     tiles = dealt.select("strip", F.col("n").alias("key"), "rep", "fp").mapInArrow(spread, "pair long, side long, key binary, rep binary, fp binary")
     links = tiles.repartition(width, "pair").sortWithinPartitions("pair").mapInArrow(compare, "a long, b long")
     roots = components(links)

@@ -288,7 +288,8 @@ def test_simhash_dealt_by_pieces(spark, monkeypatch):
     prints += [0, 0, 7, 2**64 - 1]
     table_ = shared.stored(spark.createDataFrame([(i, 1, bytearray(p.to_bytes(8, "big"))) for i, p in enumerate(prints)], "doc_id long, n long, fp binary"), "prints")
     want = brute.components(range(len(prints)), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 3)
-    for parts in (1, 2, 4):
+    for parts, strip in ((1, 8192), (2, 8192), (4, 8192), (1, 5)):  # 5: groups that are split
         monkeypatch.setattr(simhash, "pieces_for", lambda *_: parts)
+        monkeypatch.setattr(simhash, "STRIP", strip)
         found = {r.fp.hex(): r.component_id for r in simhash.groups(table_).collect()}
         assert {i: found[f"{p:016x}"] for i, p in enumerate(prints)} == want
