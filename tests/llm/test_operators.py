@@ -101,6 +101,25 @@ def test_simhash_finds_similar_sets(spark):
     assert groups == alike
 
 
+def test_near_copies_hold_the_real_similarity(spark, monkeypatch):
+    """Pairs just below 0.8 stay apart and those just above meet, whatever the blocks."""
+    rng = random.Random(12)
+    texts = []
+    for n in (5, 9, 14, 30, 100, 400):
+        for _ in range(8):
+            base = [f"w{rng.randrange(10**6)}" for _ in range(n + 4)]
+            lost = round(n * 0.2)
+            texts += [" ".join(base), " ".join(base[lost:]), " ".join(base[lost + 1 :]), " ".join([*base[: -lost // 2], *(f"x{rng.randrange(10**6)}" for _ in range(lost // 2))])]
+    sets = [set(brute.shingles(t, 5)) for t in texts]
+    want = brute.components(range(len(texts)), lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8)
+    assert len({want[i] for i in range(len(texts))}) > 48
+    for docs_, shingles_ in ((512, 1 << 19), (2, 100)):
+        monkeypatch.setattr(simhash, "SET_DOCS", docs_)
+        monkeypatch.setattr(simhash, "SET_SHINGLES", shingles_)
+        found = {r.doc_id: r.component_id for r in simhash.near_copies(table(spark, texts), shingle=5, **simhash.settings_for(0.8)).collect()}
+        assert found == want
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2**64 - 1) | st.integers(0, 5) | st.integers(0, 70000), max_size=600))
 def test_simple8b(values):

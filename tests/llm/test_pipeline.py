@@ -50,6 +50,13 @@ def test_near_copies_stage(tables):
     assert {groups[d] for d in after} == set(groups.values())  # no group is lost
 
 
+def test_near_copies_are_removed_at_the_similarity_alone(tables):
+    before, after = texts(tables[1][1]), texts(tables[2][1])
+    sets = {d: set(brute.shingles(t, 5)) for d, t in before.items()}
+    groups = brute.components(before, lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    assert set(after) == set(groups.values())
+
+
 def test_repeated_passages_stage(tables):
     before, after = texts(tables[2][1]), tables[3][1]
     data = {d: t.encode() for d, t in before.items()}
