@@ -3,8 +3,8 @@
 A text is cut only where its pre-tokeniser cuts too: before a single space between two
 non-spaces, around a newline between two non-spaces, and around a full stop or comma that
 stands between a letter and such a space or newline. So the ids of the pieces, joined, are those
-of the text. Texts with a control character used as marker, or with runs of space, go to the
-tokenizer whole. The cache lives as long as the Python worker and is bounded.
+of the text. Texts with a control character used as marker, with runs of space or with the content
+of an added token (<|endoftext|>) go to the tokenizer whole. The cache lives as long as the Python worker and is bounded.
 """
 
 from __future__ import annotations
@@ -32,11 +32,14 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
 
 
 class Encoder:
-    def __init__(self, path: str):
+    """Ids as of the tokenizer; ``literal`` spells special tokens out, where the library gives their own id."""
+
+    def __init__(self, path: str, literal: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = literal
+        self.whole = ODD + [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
@@ -49,7 +52,7 @@ class Encoder:
         for text in texts:
             if not text:
                 pieces = []
-            elif text[0] in " \n" or text[-1] in " \n" or any(x in text for x in ODD):
+            elif text[0] in " \n" or text[-1] in " \n" or any(x in text for x in self.whole):
                 pieces = [text]
             else:
                 pieces = STOP.sub("\0\\1\0", text).replace(" ", "\0 ").replace("\n", "\0\n\0").replace("\0\0", "\0").split("\0")
@@ -71,4 +74,4 @@ class Encoder:
 
 @lru_cache(2)
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    return Encoder(path, literal=False)

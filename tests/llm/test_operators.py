@@ -137,6 +137,18 @@ def test_tokens_do_not_hang_on_the_cache():
         assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_special_tokens_are_those_of_the_plain_library(spark):
+    tokenizer = Tokenizer.from_file(tokens.vocabulary_path())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x.<|endoftext|>\ny. z", "plain. text", "<|endoftext|><|endoftext|> a", "<|endoftext |>"]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [64, 220, 50256, 275]
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in tokens.encoder(tokens.vocabulary_path()).encode(texts)] == want
+    docs = table(spark, texts)
+    assert {r.doc_id: r.n_tokens for r in token_files.token_files(docs).collect()} == {i: len(x) + 1 for i, x in enumerate(want)}
+    assert {r.doc_id: r.doc_tokens for r in packing.pack(docs).collect()} == {i: len(x) + 1 for i, x in enumerate(want)}
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(st.sampled_from("aZ é.,'\n 12#\t\u3000s"), max_size=60))
 def test_tokens_of_any_text(text):
