@@ -42,6 +42,14 @@ def need(df: DataFrame, *columns: str) -> None:
         raise ValueError(f"missing columns {missing}; there are {df.columns}")
 
 
+def free(df: DataFrame, name: str) -> str:
+    """A name like this that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def give_back() -> None:
     """Returns freed memory to the system: Python workers idle on beside the next stage's JVM work."""
     pa.default_memory_pool().release_unused()

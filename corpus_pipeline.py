@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellweave.llm import mixing, packing, quality, simhash, suffix_dedup
-from cellweave.llm.shared import stored
+from cellweave.llm.shared import free, stored
 
 #: Near copies share this much of their sets of five-word shingles, at least.
 SIMILARITY = 0.8
@@ -22,10 +22,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id; repeated rows go too."""
-    found = simhash.near_copies(docs, shingle=5, **simhash.settings_for(SIMILARITY))
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """Of each group of near copies one row: that of the smallest doc_id, null last, equal ones by place.
+
+    Rows with a null or repeated doc_id are rows like any other: they go if a near copy stays.
+    """
+    row = free(docs, "row")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = simhash.by_similarity(rows, shingle=5, row=row, **simhash.settings_for(SIMILARITY))
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
+    return rows.join(first.select(F.col("first.row").alias(row)), row, "left_semi").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Single corpus operators on texts that are null, empty, long, repeated or strange."""
 
+import collections
 import random
 import zlib
 
@@ -101,6 +102,14 @@ def test_simhash_finds_similar_sets(spark):
     assert groups == alike
 
 
+def test_simhash_of_null_and_repeated_ids(spark):
+    """A fingerprint of null ids alone has no number made up; equal ids do not link different texts."""
+    rows = [(None, "one two three four"), (5, "one two three four"), (None, "p q r s t u"), (None, "p q r s t u"), (7, "a b c d e f g"), (7, "h i j k l m n"), (9, "h i j k l m n"), (3, "a b c d e f g")]
+    found = collections.Counter((r.doc_id, r.fp.hex(), r.component_id) for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), shingle=3).collect())
+    prints = [f"{brute.fingerprint(t):016x}" for _, t in rows]
+    assert found == {(d, p, c): 1 + (p == prints[2]) for (d, _), p, c in zip(rows, prints, [5, 5, None, None, 3, 7, 7, 3])}
+
+
 def test_near_copies_hold_the_real_similarity(spark, monkeypatch):
     """Pairs just below 0.8 stay apart and those just above meet, whatever the blocks."""
     rng = random.Random(12)

@@ -57,6 +57,16 @@ def test_near_copies_are_removed_at_the_similarity_alone(tables):
     assert set(after) == set(groups.values())
 
 
+def test_near_copies_keep_null_and_repeated_ids(spark, sf_dir):
+    say = lambda k, *more: " ".join([*(f"w{k}x{i}" for i in range(40)), *more])
+    rows = [(None, say(1)), (None, say(1, "more")), (None, say(2)), (4, say(3)), (4, say(4)), (4, say(4)), (2, say(4, "more")), (None, say(5)), (6, say(5, "more")), (8, say(6))]
+    docs = spark.createDataFrame([(d, t, i) for i, (d, t) in enumerate(rows)], "doc_id long, text string, row long")
+    kept = corpus_pipeline.near_copies(spark, docs, sf_dir)
+    found = sorted(kept.collect(), key=lambda r: r.row)
+    assert kept.columns == docs.columns and all((r.doc_id, r.text) == rows[r.row] for r in found)
+    assert [r.row for r in found][1:] == [2, 3, 6, 8, 9] and found[0].row in (0, 1)
+
+
 def test_repeated_passages_stage(tables):
     before, after = texts(tables[2][1]), tables[3][1]
     data = {d: t.encode() for d, t in before.items()}
