@@ -33,16 +33,13 @@ def encoded(docs: DataFrame, vocabulary: str, end_id: int, doc_id: str = "doc_id
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, before = tokens.encoder(vocabulary), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4").tobytes()
-        for batch in slices(batches, limit=1 << 20):
-            ids = [x + end for x in encoder.encode(batch.column(1).to_pylist())]
-            sizes = np.array([len(x) // 4 for x in ids])
-            flat = np.frombuffer(b"".join(ids), "<u4")
+        for batch in slices(batches, limit=tokens.SLICE):
+            flat, bounds = tokens.with_end(*encoder.encode(batch.column(1)), end_id)
+            sizes = np.diff(bounds)
             wide = bool(flat.max() >> 16)
             width, data = (4, flat.tobytes()) if wide else (2, flat.astype("<u2").tobytes())
-            bounds = np.r_[0, np.cumsum(sizes)]
-            held = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer((bounds * width).astype("<i4").tobytes()), pa.py_buffer(data)])
-            n = len(ids)
+            held = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer((bounds * width).astype("<i4").tobytes()), pa.py_buffer(data)])
+            n = len(sizes)
             yield pa.record_batch([pa.array(np.full(n, part, "i4")), pa.array(before + bounds[:-1]), batch.column(0).cast("int64"), pa.array(sizes), pa.array(np.full(n, wide)), held], ["part", "before", "doc_id", "n_tokens", "wide", "ids"])
             before += int(bounds[-1])
 

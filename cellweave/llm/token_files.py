@@ -95,15 +95,15 @@ class Writer:
         self.at, self.index, self.docs, self.held, self.held_n, self.ids = len(MAGIC), [], [], [], 0, 0
         self.part, self.nth = part, nth
 
-    def add(self, doc_id: int, ids: bytes) -> None:
-        self.docs.append((doc_id, len(ids) // 4))
+    def add(self, doc_id: int, ids: np.ndarray) -> None:
+        self.docs.append((doc_id, len(ids)))
         self.held.append(ids)
-        self.held_n += len(ids) // 4
+        self.held_n += len(ids)
         if self.held_n >= BLOCK_IDS:
             self._blocks(False)
 
     def _blocks(self, all_of_it: bool) -> None:
-        flat = np.frombuffer(b"".join(self.held), "<u4")
+        flat = np.concatenate(self.held) if self.held else np.zeros(0, "<u4")
         while len(flat) >= BLOCK_IDS or (all_of_it and len(flat)):
             block, flat = flat[:BLOCK_IDS], flat[BLOCK_IDS:]
             words, escapes = pack_words(block)
@@ -111,7 +111,7 @@ class Writer:
             self.index.append((self.at, len(words), len(escapes), len(block)))
             self.at += 8 * len(words) + 16 * len(escapes)
             self.ids += len(block)
-        self.held, self.held_n = [flat.tobytes()], len(flat)
+        self.held, self.held_n = [flat], len(flat)
 
     def close(self) -> tuple:
         self._blocks(True)
@@ -158,13 +158,14 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str | None = None, en
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, nth, writer = tokens.encoder(vocabulary), TaskContext.get().partitionId(), 0, None
-        end, rows = np.array([end_id], "<u4").tobytes(), []
-        for batch in slices(batches, limit=1 << 20):
-            for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
+        rows = []
+        for batch in slices(batches, limit=tokens.SLICE):
+            flat, bounds = tokens.with_end(*encoder.encode(batch.column(1)), end_id)
+            for doc, ids in zip(batch.column(0).to_pylist(), np.split(flat, bounds[1:-1])):
                 if doc is None:
                     raise ValueError("a document has no doc_id")
                 writer = writer or Writer(folder, part, nth)
-                writer.add(doc, ids + end)
+                writer.add(doc, ids)
                 if writer.ids >= FILE_IDS:
                     rows.append(writer.close())
                     writer, nth = None, nth + 1

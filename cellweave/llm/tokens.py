@@ -1,28 +1,42 @@
-"""Token ids of whole texts, through a cache of the pieces that texts share.
-
-A text is cut only where its pre-tokeniser cuts too: before a single space between two
-non-spaces, around a newline between two non-spaces, and around a full stop or comma that
-stands between a letter and such a space or newline. So the ids of the pieces, joined, are those
-of the text. Texts with a control character used as marker, with runs of space or with the content
-of an added token (<|endoftext|>) go to the tokenizer whole. The cache lives as long as the Python worker and is bounded.
+"""Token ids of whole texts, each distinct piece of a slice encoded once.
+
+A byte-level tokenizer whose pre-tokeniser splits by its pattern never joins what comes before a
+run of white space to the run, nor letters to the full stop or comma behind them. So the ids of
+the pieces between such cuts, joined, are those of the text, special tokens included (none holds a cut).
+Cuts are found over whole arrays, Arrow encodes the pieces as a dictionary, the library gives the
+ids of pieces that the worker does not remember, and one gather puts them in place. Tokenizers of another
+make encode whole texts.
 """
 
 from __future__ import annotations
 
+import json
 import os
-import re
-from collections.abc import Sequence
+from array import array
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+
+from . import rolling
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Pieces that a worker remembers at most.
-CACHED = 400_000
-#: With one of these in it, a text goes to the tokenizer whole.
-ODD = ["  ", "\n\n", " \n", "\n ", *map(chr, (0, 9, 11, 12, 13, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF))]
-STOP = re.compile(r"(?<=[a-zA-Zà-öø-ÿ])([.,])(?=[ \n])")
+#: Pieces after which a worker begins a new generation of its memory; of two, the older is forgotten.
+CACHED = 300_000
+#: Text, in bytes, whose pieces are told apart at once.
+SLICE = 1 << 22
+#: Longest piece, in characters, that is remembered.
+LONGEST = 40
+#: Pieces that are encoded as lines of one text.
+LINES = 8192
+BLANK = rolling.SPACE
+#: What may stand before a cut: neither white space nor another control character.
+INK = np.arange(256) > 0x20
+#: First bytes of the characters that the pattern may take for white space, beyond ASCII.
+WIDE = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
+LETTER = np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+STOP = np.isin(np.arange(256), list(b".,"))
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -31,47 +45,110 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def cuts_of(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Bounds of the pieces of all texts, in bytes; every bound of a text is one."""
+    n = len(data)
+    here = np.zeros(n + 1, bool)
+    here[offsets] = True
+    if n > 1:
+        ink = INK[data]
+        ink[1:] &= ~WIDE[data[:-1]]
+        ink[2:] &= ~WIDE[data[:-2]]
+        here[1:n] |= (BLANK[data[1:]] & ink[:-1]) | (STOP[data[1:]] & LETTER[data[:-1]])
+    return np.flatnonzero(here)
+
+
+def lines_of(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Which pieces may be a line among others: no line break in them, and no blank or wide character at the end."""
+    ends = offsets[1:]
+    breaks = np.r_[0, np.cumsum(data == 10)]
+    last = INK[data[ends - 1]] & ~WIDE[data[ends - 2]] & ~WIDE[data[ends - 3]]
+    return last & (breaks[ends] == breaks[offsets[:-1]])
+
+
 class Encoder:
-    """Ids as of the tokenizer; ``literal`` spells special tokens out, where the library gives their own id."""
+    """Ids as the library gives them for whole texts without added special tokens."""
 
-    def __init__(self, path: str, literal: bool = True):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = literal
-        self.whole = ODD + [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        made = json.loads(self.tokenizer.to_str())
+        step = made["pre_tokenizer"] or {}
+        plain = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or set(t["content"]) & set(" \t\n\x0b\x0c\r.,") for t in made["added_tokens"])
+        self.in_pieces = plain and made["normalizer"] is None and step.get("type") == "ByteLevel" and step.get("use_regex", True) and not step.get("add_prefix_space")
+        alone = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line_break = alone[0] if len(alone) == 1 else None
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: Sequence[str | None]) -> list[bytes]:
-        """Per text its ids as little-endian unsigned 32-bit integers; null gives none."""
-        get, parts, holes = self.known.get, [], []
-        missing: dict[str, int] = {}
-        for text in texts:
-            if not text:
-                pieces = []
-            elif text[0] in " \n" or text[-1] in " \n" or any(x in text for x in self.whole):
-                pieces = [text]
-            else:
-                pieces = STOP.sub("\0\\1\0", text).replace(" ", "\0 ").replace("\n", "\0\n\0").replace("\0\0", "\0").split("\0")
-            ids = list(map(get, pieces))
-            at = -1
-            for _ in range(ids.count(None)):
-                at = ids.index(None, at + 1)
-                holes.append((ids, at, missing.setdefault(pieces[at], len(missing))))
-            parts.append(ids)
-        if missing:
-            new = list(missing)
-            fresh = self._ids(new)
-            for ids, at, which in holes:
-                ids[at] = fresh[which]
-            if len(self.known) < CACHED:
-                self.known.update((p, x) for p, x in zip(new, fresh) if len(p) < 40)
-        return [b"".join(ids) for ids in parts]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _ids_of_pieces(self, pieces: list[str]) -> list[bytes]:
+        """As ``_ids`` for pieces that may be lines: all are lines of one text, as a line break between them is a token of its own."""
+        found: list[bytes] = []
+        for i in range(0, len(pieces), LINES):
+            lines = pieces[i : i + LINES]
+            if self.line_break is not None:
+                (coded,) = self.tokenizer.encode_batch_fast(["\n".join(lines)], add_special_tokens=False)
+                ids = np.array(coded.ids, "<u4")
+                ends = np.r_[np.flatnonzero(ids == self.line_break), len(ids)]
+                if len(ends) == len(lines):
+                    raw = ids.tobytes()
+                    starts = np.r_[0, ends[:-1] + 1]
+                    found += [raw[a:b] for a, b in zip((4 * starts).tolist(), (4 * ends).tolist())]
+                    continue
+            found += self._ids(lines)
+        return found
+
+    def _remembered(self, pieces: list[str], lines: list[bool]) -> list[bytes]:
+        """Ids of distinct pieces; ``lines`` says which may be a line. What is asked for again moves to the young generation."""
+        found = list(map(self.young.get, pieces))
+        holes = [i for i, x in enumerate(found) if x is None]
+        if holes:
+            before = list(map(self.old.get, [pieces[i] for i in holes]))
+            missing = [i for i, x in zip(holes, before) if x is None]
+            odd = [i for i in missing if not lines[i]]
+            plain = [i for i in missing if lines[i]]
+            fresh = dict(zip(plain + odd, self._ids_of_pieces([pieces[i] for i in plain]) + self._ids([pieces[i] for i in odd])))
+            for i, x in zip(holes, before):
+                found[i] = fresh[i] if x is None else x
+                if len(pieces[i]) <= LONGEST:
+                    self.young[pieces[i]] = found[i]
+            if len(self.young) >= CACHED:
+                self.old, self.young = self.young, {}
+        return found
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in turn, as unsigned 32-bit; bounds of each text's in them); null gives none."""
+        if not self.in_pieces:
+            parts = self._ids([x or "" for x in texts.to_pylist()])
+            return np.frombuffer(b"".join(parts), "<u4"), np.r_[0, np.cumsum([len(x) // 4 for x in parts])].astype(np.int64)
+        data, offsets = rolling.buffer_of(texts)
+        if not len(data):
+            return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
+        bounds = cuts_of(data, offsets)
+        cut = pa.Array.from_buffers(pa.large_string(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)])
+        coded = cut.dictionary_encode()
+        known = self._remembered(coded.dictionary.to_pylist(), lines_of(*rolling.buffer_of(coded.dictionary)).tolist())
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        table = np.frombuffer(b"".join(known), "<u4")
+        which = coded.indices.to_numpy()
+        each = size[which]
+        ids = table[rolling.ranges((np.cumsum(size) - size)[which], each)]
+        ends = np.r_[0, np.cumsum(each)]
+        return ids, ends[np.searchsorted(bounds, offsets)]
 
 
 @lru_cache(2)
 def encoder(path: str) -> Encoder:
-    return Encoder(path, literal=False)
+    return Encoder(path)
+
+
+def with_end(ids: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids with end_id after each text's, and their bounds."""
+    n = len(bounds) - 1
+    out = np.full(len(ids) + n, end_id, "<u4")
+    out[np.arange(len(ids)) + np.repeat(np.arange(n), np.diff(bounds))] = ids
+    return out, bounds + np.arange(n + 1)

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -137,13 +138,35 @@ def test_simple8b(values):
     assert (token_files.unpack_words(words, escapes, len(ids)) == ids).all()
 
 
+def ids_of(encoder, texts):
+    ids, bounds = encoder.encode(pa.array(texts, pa.string()))
+    return [x.tolist() for x in np.split(ids, bounds[1:-1])]
+
+
+def test_tokens_when_pieces_are_forgotten(monkeypatch):
+    """Generations of a few pieces, and lines of two, give the ids of the plain library."""
+    monkeypatch.setattr(tokens, "CACHED", 5)
+    monkeypatch.setattr(tokens, "LINES", 2)
+    encoder = tokens.Encoder(tokens.vocabulary_path())
+    rng = random.Random(8)
+    parts = ["a", "B", "é", " ", "  ", "\n", "\t", "\u00a0", "\u3000", "\u2003", "\x85", ".", ",", "'s", "<|endoftext|>", "1", "中", "\u200b", "😀", "\0"]
+    for _ in range(40):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(50)]
+        assert ids_of(encoder, texts) == [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_other_tokenizers_encode_whole_texts():
+    encoder = tokens.Encoder(tokens.vocabulary_path("word_bpe_49k.json"))
+    texts = ["A b.c", "", "x  Y\n"]
+    assert not encoder.in_pieces and ids_of(encoder, texts) == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_tokens_do_not_hang_on_the_cache():
     tokenizer = Tokenizer.from_file(tokens.vocabulary_path())
-    tokenizer.encode_special_tokens = True
     texts = [t for t in passages(3) if t] + ["a.b, c. d", ". ,", "x ,y", "it's. We'll, go", "tail. ", "3.5, 4. 5", "<|endoftext|> a. b", "é. ñ,\nß", "a.\n", "..., b", "(x), y", "a .b"]
     encoder = tokens.Encoder(tokens.vocabulary_path())
     for _ in range(2):
-        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert ids_of(encoder, texts) == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_special_tokens_are_those_of_the_plain_library(spark):
@@ -152,7 +175,7 @@ def test_special_tokens_are_those_of_the_plain_library(spark):
     want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
     assert want[0] == [64, 220, 50256, 275]
     for _ in range(2):
-        assert [np.frombuffer(x, "<u4").tolist() for x in tokens.encoder(tokens.vocabulary_path()).encode(texts)] == want
+        assert ids_of(tokens.encoder(tokens.vocabulary_path()), texts) == want
     docs = table(spark, texts)
     assert {r.doc_id: r.n_tokens for r in token_files.token_files(docs).collect()} == {i: len(x) + 1 for i, x in enumerate(want)}
     assert {r.doc_id: r.doc_tokens for r in packing.pack(docs).collect()} == {i: len(x) + 1 for i, x in enumerate(want)}
@@ -162,7 +185,7 @@ def test_special_tokens_are_those_of_the_plain_library(spark):
 @given(st.text(st.sampled_from("aZ é.,'\n 12#\t\u3000s"), max_size=60))
 def test_tokens_of_any_text(text):
     encoder = tokens.encoder(tokens.vocabulary_path())
-    assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert ids_of(encoder, [text])[0] == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_files_and_packs_of_odd_texts(spark):

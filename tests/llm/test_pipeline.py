@@ -106,7 +106,6 @@ def test_source_mix_stage(tables):
 
 def test_packing_stage(tables):
     tokenizer = Tokenizer.from_file(tokens.vocabulary_path())
-    tokenizer.encode_special_tokens = True
     want = collections.Counter()
     for r in tables[4][1]:
         ids = tokenizer.encode(r.text, add_special_tokens=False).ids

@@ -33,7 +33,6 @@ def test_query_matches_brute_force(spark, sf_dir, docs, name, plain):
 @pytest.fixture(scope="module")
 def ids(docs):
     tokenizer = Tokenizer.from_file(tokens.vocabulary_path())
-    tokenizer.encode_special_tokens = True
     return {d: tokenizer.encode(t or "", add_special_tokens=False).ids for d, t in docs}
 
 
