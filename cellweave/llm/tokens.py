@@ -62,7 +62,7 @@ def lines_of(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Which pieces may be a line among others: no line break in them, and no blank or wide character at the end."""
     ends = offsets[1:]
     breaks = np.r_[0, np.cumsum(data == 10)]
-    last = INK[data[ends - 1]] & ~WIDE[data[ends - 2]] & ~WIDE[data[ends - 3]]
+    last = INK[data[ends - 1]] & ~WIDE[data[np.maximum(ends - 2, 0)]] & ~WIDE[data[np.maximum(ends - 3, 0)]]
     return last & (breaks[ends] == breaks[offsets[:-1]])
 
 
