@@ -2,9 +2,8 @@
 
 Every window of a text belongs to one run of neighbouring windows with the same anchor, the least
 hash among the window's grams (see ``rolling.Runs``). Equal windows have equal anchors, so only
-runs whose anchor occurs again can hold a repeated window; and runs of equal content repeat as a
-whole. What is left, the runs at the edges of repeated passages, is compared window by window.
-About one row goes out for each half of a window's length, none for each window.
+runs whose anchor occurs again can hold a repeated window. About one row goes out for each half of
+a window's length, none for each window. Runs of equal content are one row with a weight from then on.
 """
 
 from __future__ import annotations
@@ -14,39 +13,60 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import rolling
-from .shared import slices
+from .shared import free, slices
 
-RUNS = "doc_id long, start long, size int, anchor long, content long, twice boolean"
+#: Symbols of one long text that are hashed at a time.
+LONG = 1 << 20
 
 
-def symbols(column: pa.Array, unit: str) -> tuple[rolling.Prefix, np.ndarray]:
-    """(prefix sums over the symbols of all texts, first symbol of each): bytes or words."""
+def stretches(column: pa.Array, unit: str, length: int, most: int | None = None) -> Iterator[tuple[rolling.Prefix, np.ndarray, bytes, int, int]]:
+    """(prefix sums, first symbol of each text, the symbols' bytes, bytes of a symbol, symbols before) of the texts.
+
+    Symbols are bytes or words. A text of over ``most`` symbols that comes alone is cut into stretches that share
+    length - 1 symbols, so each window lies in one; all other columns are one stretch.
+    """
+    most = most or LONG
     data, offsets = rolling.buffer_of(column)
-    raw = rolling.Prefix(rolling.SYMBOL[data], rolling.BYTE_BASE)
+    alone = len(offsets) == 2 and len(data) > most
     if unit == "byte":
-        return raw, offsets
+        for a in range(0, len(data) - length + 1, most) if alone else [0]:
+            part = data[a : a + most + length - 1] if alone else data
+            yield rolling.Prefix(rolling.SYMBOL[part], rolling.BYTE_BASE), np.array([0, len(part)]) if alone else offsets, part.tobytes(), 1, a
+        return
     start, end, first = rolling.words_of(data, offsets)
-    return rolling.Prefix(raw.of(start, end), rolling.WORD_BASE), first
+    step = max(most // 8, 1)
+    for a in range(0, len(start) - length + 1, step) if alone else [0]:
+        b = min(len(start), a + step + length - 1) if alone else len(start)
+        lo, hi = (int(start[a]), int(end[b - 1])) if b > a else (0, 0)
+        words = rolling.Prefix(rolling.SYMBOL[data[lo:hi]], rolling.BYTE_BASE).of(start[a:b] - lo, end[a:b] - lo)
+        yield rolling.Prefix(words, rolling.WORD_BASE), np.array([0, b - a]) if alone else first, words.tobytes(), 8, a
 
 
-def runs(docs: DataFrame, unit: str, length: int, gram: int, doc_id: str, text: str) -> DataFrame:
-    """All runs of all texts; texts shorter than a window have none."""
+def runs(texts: DataFrame, unit: str, length: int, gram: int, keys: list[str], text: str, content: bool = True) -> DataFrame:
+    """keys (longs), start, size, anchor, twice and, if asked for, content (XXH3 of the run's symbols) of all runs of all texts.
+
+    Texts shorter than a window have none.
+    """
+    names = [*keys, "start", "size", "anchor", "twice", *(["content"] if content else [])]
+    kinds = {"size": "int", "twice": "boolean"}
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            prefix, first = symbols(batch.column(1), unit)
-            found = rolling.Runs(prefix, first, length, gram)
-            ids = batch.column(0).cast("int64").to_numpy(zero_copy_only=False)[found.text] if len(found.text) else np.zeros(0, np.int64)
-            yield pa.record_batch(
-                [pa.array(ids, pa.int64()), pa.array(found.start - first[found.text], pa.int64()), pa.array(found.size, pa.int32()), pa.array(found.anchor.view(np.int64)), pa.array(found.content.view(np.int64)), pa.array(found.twice)],
-                ["doc_id", "start", "size", "anchor", "content", "twice"],
-            )
+        for batch in slices(batches, len(keys)):
+            mine = [c.cast("int64").to_numpy(zero_copy_only=False) for c in batch.columns[: len(keys)]]
+            for prefix, first, raw, item, before in stretches(batch.column(len(keys)), unit, length):
+                found = rolling.Runs(prefix, first, length, gram)
+                made = [*(x[found.text] for x in mine), found.start - first[found.text] + before, found.size.astype(np.int32), found.anchor.view(np.int64), found.twice]
+                if content:
+                    bounds = zip((found.start * item).tolist(), ((found.start + found.size + length - 1) * item).tolist())
+                    made.append(np.array([xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in bounds], np.uint64).view(np.int64))
+                yield pa.record_batch([pa.array(x) for x in made], names)
 
-    return docs.select(doc_id, text).where(F.col(doc_id).isNotNull()).mapInArrow(run, RUNS)
+    return texts.select(*keys, text).mapInArrow(run, ", ".join(f"{x} {kinds.get(x, 'long')}" for x in names))
 
 
 def with_lists(docs: DataFrame, lists: DataFrame, doc_id: str, text: str, how: str) -> DataFrame:
@@ -61,21 +81,28 @@ def columns_of(parts: pa.ListArray, *names: str) -> tuple[np.ndarray, ...]:
     return np.repeat(np.arange(len(parts)), lengths), *(flat.field(n).to_numpy(zero_copy_only=False) for n in names)
 
 
-def window_rows(docs: DataFrame, wanted: DataFrame, unit: str, length: int, doc_id: str, text: str) -> DataFrame:
-    """anchor, window (hash), doc_id, start of each window of the wanted runs (doc_id, start, size, anchor)."""
-    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("start", "size", "anchor")).alias("parts"))
+def window_rows(docs: DataFrame, wanted: DataFrame, length: int, doc_id: str, text: str) -> DataFrame:
+    """anchor, content, nth, window, check of each window of the wanted runs (doc_id, start, size, anchor, content).
+
+    Symbols are words. window: the polynomial (Rabin-Karp) hash of its words, from two prefix sums; check: XXH3 of
+    the same words; nth: its place in the run.
+    """
+    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("start", "size", "anchor", "content")).alias("parts"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            prefix, first = symbols(batch.column(1), unit)
-            row, start, size, anchor = columns_of(batch.column(2), "start", "size", "anchor")
+            row, start, size, anchor, content = columns_of(batch.column(2), "start", "size", "anchor", "content")
             size = size.astype(np.int64)
-            at = rolling.ranges(start + first[row], size)
-            owner = np.repeat(row, size)
-            ids = batch.column(0).to_numpy(zero_copy_only=False)[owner]
-            yield pa.record_batch([pa.array(np.repeat(anchor, size)), pa.array(prefix.of(at, at + length).view(np.int64)), pa.array(ids), pa.array(at - first[owner])], ["anchor", "window", "doc_id", "start"])
+            owner, nth = np.repeat(np.arange(len(row)), size), rolling.ranges(np.zeros(len(size), np.int64), size)
+            for prefix, first, raw, item, before in stretches(batch.column(1), "word", length):
+                at = (start + first[row])[owner] + nth - before
+                here = np.flatnonzero((at >= 0) & (at < int(first[-1]) - length + 1))
+                at, mine = at[here], owner[here]
+                check = np.array([xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip((at * item).tolist(), ((at + length) * item).tolist())], np.uint64)
+                made = [anchor[mine], content[mine], nth[here], prefix.of(at, at + length).view(np.int64), check.view(np.int64)]
+                yield pa.record_batch([pa.array(x) for x in made], ["anchor", "content", "nth", "window", "check"])
 
-    return with_lists(docs, lists, doc_id, text, "inner").mapInArrow(run, "anchor long, window long, doc_id long, start long")
+    return with_lists(docs, lists, doc_id, text, "inner").mapInArrow(run, "anchor long, content long, nth long, window long, check long")
 
 
 class Cut:
@@ -135,7 +162,8 @@ def kept_of(docs: DataFrame, spans: DataFrame, unit: str, doc_id: str, text: str
 
 def rewritten(docs: DataFrame, spans: DataFrame, unit: str, doc_id: str, text: str) -> DataFrame:
     """docs with every text without its spans. Characters of which a span takes a part go as a whole."""
-    lists = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("_parts")).withColumnRenamed("doc_id", doc_id)
+    held, key = free(docs, "parts"), free(docs, "key")
+    lists = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias(held)).withColumnRenamed("doc_id", key)
     names, at = docs.columns, docs.columns.index(text)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,4 +172,4 @@ def rewritten(docs: DataFrame, spans: DataFrame, unit: str, doc_id: str, text: s
             columns = [pa.array(kept, pa.string()) if i == at else batch.column(i) for i in range(len(names))]
             yield pa.record_batch(columns, names)
 
-    return docs.join(lists, doc_id, "left").select(*names, "_parts").mapInArrow(run, docs.schema)
+    return docs.join(lists, F.col(doc_id) == F.col(key), "left").select(*names, held).mapInArrow(run, docs.schema)

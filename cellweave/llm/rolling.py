@@ -102,15 +102,15 @@ class Runs:
     Window: ``length`` symbols of one text. Its anchor: the least hash among its grams of ``gram``
     symbols, which depends on the window alone, so equal windows have equal anchors. A run: the
     longest stretch of windows with one anchor, cut at ``most``. Arrays: start (symbol), size
-    (windows), text, anchor, content (hash of all symbols the run covers) and twice (two equal
-    grams that were least somewhere lie in the run, so its own windows may repeat).
+    (windows), text, anchor and twice (two equal grams that were least somewhere lie in the run, so
+    its own windows may repeat).
     """
 
     def __init__(self, prefix: Prefix, first: np.ndarray, length: int, gram: int, most: int = 256):
         n, width = int(first[-1]), length - gram + 1
         counts = np.maximum(np.diff(first) - length + 1, 0)
         self.start = self.size = self.text = np.zeros(0, np.int64)
-        self.anchor = self.content = np.zeros(0, U)
+        self.anchor = np.zeros(0, U)
         self.twice = np.zeros(0, bool)
         if not counts.any():
             return
@@ -133,7 +133,6 @@ class Runs:
         self.start, self.size = start, size
         self.text = np.searchsorted(first, start, side="right") - 1
         self.anchor = least[start]
-        self.content = prefix.of(start, start + size - 1 + length)
         shown = np.where(valid, least, U(0))
         highest = sliding(np.maximum, np.r_[np.zeros(width - 1, U), shown, np.zeros(width - 1, U)], width)[: len(grams)]
         at = np.flatnonzero((grams == highest) & (highest > 0))

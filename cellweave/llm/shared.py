@@ -81,6 +81,23 @@ def salted_join(many: DataFrame, few: DataFrame, key: str, salt_of: str, how: st
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
+#: Rows of one key beyond this share of all are dealt over HOT_SALTS tasks; at most that many keys have so many.
+HOT_SHARE, HOT_SALTS = 2048, 32
+
+
+def hot_keys(counts: DataFrame, key: str, n: str = "n") -> DataFrame:
+    """The keys of a stored table (key, n) that hold over 1 in HOT_SHARE of all rows: HOT_SHARE rows at most, broadcast."""
+    total = counts.agg(F.sum(n)).first()[0] or 0
+    return F.broadcast(counts.where(F.col(n) > total / HOT_SHARE).select(key, F.lit(True).alias("hot")))
+
+
+def hot_join(many: DataFrame, few: DataFrame, keys: list[str], salt_of: list[str], how: str = "inner") -> DataFrame:
+    """many ⋈ few on keys; both have a column ``hot``, and hot rows of many are dealt over HOT_SALTS tasks. Keeps many's ``hot``."""
+    left = many.withColumn("_salt", F.when(F.col("hot"), F.pmod(F.xxhash64(*salt_of), F.lit(HOT_SALTS))).otherwise(0).cast("int"))
+    salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return left.join(few.withColumn("_salt", F.explode(salts)).drop("hot"), [*keys, "_salt"], how).drop("_salt")
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node of an edge; root is the smallest node of its component.
 

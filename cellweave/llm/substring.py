@@ -1,8 +1,8 @@
 """Substring dedup: Rabin-Karp hashes of fixed-length word windows, counted in Spark.
 
-Prefix sums give the hash of any stretch of words. Runs of windows whose anchor is in one document
-only are set aside first (see ``repeats``); runs with equal content are settled as a whole; the
-windows of the others are counted one by one. Repeated windows merge into maximal intervals.
+Prefix sums give the hash of any stretch of words. Windows whose anchor is in one document only (see
+``repeats``) stand alone and need no count; all others are hashed one by one and counted, those of runs with
+equal content once, with the least doc_id of the copies. Repeated windows merge into maximal intervals.
 """
 
 from __future__ import annotations
@@ -11,28 +11,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import repeats
-from .shared import need, stored
+from .shared import hot_join, hot_keys, need, stored
 
 
 def repeated_spans(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, start, stop: words of windows whose sequence also starts in a document with a smaller doc_id.
 
     Spans overlap. Rows with a null doc_id have no order and give none; repeated rows with one
-    doc_id are one document to each other.
+    doc_id are one document to each other. Windows are equal if their anchor, Rabin-Karp hash and XXH3 agree:
+    none is left out, and unequal ones agree with a chance below 2^-64.
     """
     need(docs, doc_id, text)
-    found = repeats.runs(docs, "word", length, length // 2, doc_id, text).drop("twice")
-    shared = stored(found.groupBy("anchor").agg(F.min("doc_id").alias("_lo"), F.max("doc_id").alias("_hi")).where("_lo < _hi").select("anchor"), "anchors")
-    again = stored(found.join(shared, "anchor"), "runs")
-    first = stored(again.groupBy("anchor", "content").agg(F.min("doc_id").alias("lo")), "contents")
-    several = stored(first.groupBy("anchor").agg(F.count("*").alias("_n")).where("_n > 1").select("anchor"), "several")
-    known = again.join(first, ["anchor", "content"])
-    whole = known.where("doc_id > lo").select("doc_id", "start", (F.col("start") + F.col("size") - 1 + length).alias("stop"))
-    edges = stored(known.where("doc_id = lo").join(several, "anchor").select("doc_id", "start", "size", "anchor"), "edges")
-    windows = stored(repeats.window_rows(docs, edges, "word", length, doc_id, text), "windows")
-    least = stored(windows.groupBy("anchor", "window").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").drop("hi"), "least")
-    late = windows.join(least, ["anchor", "window"]).where("doc_id > lo").select("doc_id", "start", (F.col("start") + length).alias("stop"))
-    return whole.unionByName(late)
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
+    made = lambda content: repeats.runs(texts, "word", length, length // 2, ["doc_id"], "text", content).drop("twice")
+    shared = stored(made(False).groupBy("anchor").agg(F.min("doc_id").alias("_lo"), F.max("doc_id").alias("_hi"), F.count("*").alias("n")).where("_lo < _hi").select("anchor", "n"), "anchors")
+    hot = hot_keys(shared, "anchor")
+    flagged = lambda df: df.join(hot, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    again = stored(hot_join(flagged(made(True)), flagged(shared.select("anchor")), ["anchor"], ["doc_id", "start"]), "runs")
+    contents = again.groupBy("anchor", "content").agg(F.first("hot").alias("hot"), F.max("doc_id").alias("hi"), F.min(F.struct("doc_id", "start", "size")).alias("one"))
+    contents = stored(contents.select("anchor", "content", "hot", "hi", "one.*"), "contents")
+    windows = repeats.window_rows(texts, contents, length, "doc_id", "text").join(contents.select("anchor", "content", "hot", "doc_id", "hi"), ["anchor", "content"])
+    windows = stored(windows, "windows")
+    same = ["anchor", "window", "check"]
+    least = windows.groupBy(*same).agg(F.min("doc_id").alias("least"), F.max("hi").alias("last"), F.first("hot").alias("hot")).where("least < last").drop("last")
+    late = hot_join(windows, stored(least, "least"), same, ["content", "nth"]).where("hi > least")
+    nth, whole = F.sort_array(F.collect_list("nth")), F.col("size") == F.col("to") - F.col("from") + 1
+    runs = late.groupBy("anchor", "content", "hot", "least").agg(F.min("nth").alias("from"), F.max("nth").alias("to"), F.count("*").alias("size"), nth.alias("nth"))
+    ends = F.when(whole, F.array(F.struct(F.col("from").alias("lo"), F.col("to").alias("hi")))).otherwise(F.transform("nth", lambda i: F.struct(i.alias("lo"), i.alias("hi"))))
+    verdicts = stored(runs.select("anchor", "content", "hot", "least", F.explode(ends).alias("part")).select("anchor", "content", "hot", "least", "part.*"), "verdicts")
+    spans = hot_join(again, verdicts, ["anchor", "content"], ["doc_id", "start"]).where("doc_id > least")
+    return spans.select("doc_id", (F.col("start") + F.col("lo")).alias("start"), (F.col("start") + F.col("hi") + length).alias("stop"))
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

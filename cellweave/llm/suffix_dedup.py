@@ -1,11 +1,13 @@
 """Suffix-array dedup of long byte strings by bucket-pointer refinement.
 
 Runs of windows that may repeat (see ``repeats``) are dealt to tasks by anchor, so equal windows
-meet; each task sorts the suffixes of its text to the window's depth. Initial buckets hold equal
-q-grams; a bucket is refined by sorting its suffixes on the bucket pointers at later offsets, and
-refined pointers serve the next bucket at once. Suffixes that still share a bucket at the full
-depth start equal windows. An anchor with more runs than a task should hold is refined in
-Spark instead, by counting its windows' hashes.
+meet. Runs of equal content go once, with the number of copies as weight. Each task sorts the suffixes of
+its runs: initial buckets hold equal q-grams, a bucket is refined by sorting its suffixes on the
+bucket pointers at the offset that they share already, and the refined pointers are read by the buckets that
+come later in the same pass. A window repeats if the windows beside it in the order that
+have the same bytes weigh more than one. Anchors with more text than a task should sort are dealt anew, by grams
+nearer to the whole window, level by level, until their groups are small; the last level has a group for
+each window, so this ends.
 """
 
 from __future__ import annotations
@@ -18,88 +20,132 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import repeats, rolling
-from .shared import need, slices, stored
+from .shared import hot_join, hot_keys, need, slices, stored
 
-#: Different runs of an anchor that one task compares; text that it sorts at once; bytes of a first bucket.
-MOST_RUNS, SORT_BYTES, GRAM = 4096, 1 << 20, 8
+#: Text that a task sorts at once, and an anchor may have; bytes of a first bucket; parts of a pass.
+SORT_BYTES, GRAM, PARTS = 1 << 20, 8, 4
 
 
-def buckets(data: np.ndarray, depth: int) -> np.ndarray:
-    """Pointer of each suffix's bucket when the suffixes of data are sorted to ``depth`` bytes.
-
-    Pointer: the place of the bucket's first suffix in the sorted order. Where ``depth`` bytes are
-    left, suffixes share one if and only if these bytes are equal.
-    """
+def grams_of(data: np.ndarray) -> np.ndarray:
+    """The GRAM bytes from each place on as one number that sorts like them; zeros follow the end."""
     n = len(data)
     padded = np.r_[data, np.zeros(GRAM, np.uint8)]
     gram = np.zeros(n, np.uint64)
     for j in range(GRAM):
         gram = gram << np.uint64(8) | padded[j : j + n]
-    order = np.argsort(gram)
+    return gram
+
+
+def suffix_order(data: np.ndarray, depth: int, parts: int = PARTS, passes: list | None = None) -> np.ndarray:
+    """The suffixes of data in the order of their first ``depth`` bytes, at least.
+
+    A bucket's pointer is the place of its first suffix. All suffixes of a bucket share ``deep``
+    bytes; sorted on the pointers that many bytes on, those that still agree share as many more as the
+    bucket they point to. A pass goes through the open buckets in ``parts`` turns, and each turn reads the pointers
+    that the turns before it have refined. ``passes`` gets the number of open suffixes at the start of each pass.
+    """
+    n = len(data)
+    gram = grams_of(data)
+    order = np.argsort(gram, kind="stable")
     place = np.arange(n)
     pointer = np.empty(n, np.int64)
     pointer[order] = np.maximum.accumulate(np.where(np.r_[True, gram[order][1:] != gram[order][:-1]][:n], place, 0))
-    have = GRAM
-    while have < depth:
-        ahead = min(have, depth - have)
+    del gram
+    deep = np.full(n, GRAM, np.int64)  # by pointer
+
+    def open_places() -> np.ndarray:
         held = pointer[order]
         same = held[1:] == held[:-1]
-        crowded = np.r_[same, False] | np.r_[False, same]
-        members = order[crowded[:n]]
-        if not len(members):
-            break
-        ahead_of = members + ahead
-        later = np.where(ahead_of < n, pointer[np.minimum(ahead_of, n - 1)], -1)
-        key = pointer[members] * (n + 1) + later + 1
-        sort = np.argsort(key)
-        members, key = members[sort], key[sort]
-        base, nth = pointer[members], place[: len(members)]
-        first = np.maximum.accumulate(np.where(np.r_[True, base[1:] != base[:-1]], nth, 0))
-        fresh = np.maximum.accumulate(np.where(np.r_[True, key[1:] != key[:-1]], nth, 0))
-        order[crowded[:n]] = members
-        pointer[members] = base + fresh - first
-        have += ahead
-    return pointer
-
-
-def repeated_windows(texts: list[bytes], sizes: np.ndarray, depth: int) -> np.ndarray:
-    """For all windows of all texts in turn (sizes[i] windows start in texts[i]): does an equal one start elsewhere?"""
+        crowded = (np.r_[same, False] | np.r_[False, same])[:n]
+        return np.flatnonzero(crowded & (deep[held] < depth))
+
+    def refine(places: np.ndarray) -> None:
+        members = order[places]
+        bucket = pointer[members]
+        ahead = members + deep[bucket]
+        inside = ahead < n
+        later = np.where(inside, pointer[np.minimum(ahead, n - 1)], -1)
+        key = bucket * (n + 1) + later + 1
+        sort = np.argsort(key, kind="stable")
+        members, key, bucket, later = members[sort], key[sort], bucket[sort], later[sort]
+        fresh = np.r_[True, key[1:] != key[:-1]]
+        refined = np.maximum.accumulate(np.where(fresh, places, 0))
+        known = np.where(later >= 0, deep[bucket] + deep[np.maximum(later, 0)], depth)
+        order[places] = members
+        pointer[members] = refined
+        deep[refined[fresh]] = known[fresh]
+
+    while len(places := open_places()):
+        if passes is not None:
+            passes.append(len(places))
+        starts = np.flatnonzero(np.r_[True, np.diff(pointer[order[places]]) != 0])
+        cuts = np.unique(starts[np.searchsorted(starts, np.arange(1, parts) * len(places) // parts, side="right") - 1])
+        for turn in np.split(places, cuts[cuts > 0]):
+            refine(turn)
+    return order
+
+
+def repeated_windows(texts: list[bytes], sizes: np.ndarray, weights: np.ndarray, length: int) -> np.ndarray:
+    """For all windows of all texts in turn (sizes[i] windows start in texts[i]): do equal ones weigh over one?
+
+    Neighbours in the order of the suffixes are held against each other byte by byte.
+    """
     lengths = np.array([len(x) for x in texts])
-    pointer = buckets(np.frombuffer(b"".join(texts), np.uint8), depth)
-    mine = pointer[rolling.ranges(np.cumsum(lengths) - lengths, sizes)]
-    return np.bincount(mine)[mine] > 1
-
-
-def run_bytes(docs: DataFrame, wanted: DataFrame, length: int, doc_id: str, text: str) -> DataFrame:
-    """anchor, doc_id, start, size, alone, data: the bytes of the wanted runs."""
-    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("start", "size", "anchor", "alone")).alias("parts"))
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    at = rolling.ranges(np.cumsum(lengths) - lengths, sizes)
+    number = np.full(len(data), -1)
+    number[at] = np.arange(len(at))
+    order = suffix_order(data, length)
+    order = order[number[order] >= 0]
+    gram = grams_of(data)
+    alike = np.arange(len(order) - 1)
+    for offset in sorted({*range(0, length - GRAM + 1, GRAM), length - GRAM} if length >= GRAM else ()):
+        alike = alike[gram[order[alike] + offset] == gram[order[alike + 1] + offset]]
+    if length < GRAM:
+        for offset in range(length):
+            alike = alike[data[order[alike] + offset] == data[order[alike + 1] + offset]]
+    new = np.ones(len(order), bool)
+    new[alike + 1] = False
+    group = np.cumsum(new) - 1
+    window = number[order]
+    weight = np.bincount(group, weights=np.repeat(weights, sizes)[window])
+    again = np.zeros(len(at), bool)
+    again[window] = weight[group] > 1
+    return again
+
+
+def run_bytes(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """anchor, content, copies, data: the bytes of the wanted runs (a, b, start, size, anchor, content, copies) of texts (a, b, text)."""
+    lists = wanted.groupBy("a", "b").agg(F.collect_list(F.struct("start", "size", "anchor", "content", "copies")).alias("parts"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            data, offsets = rolling.buffer_of(batch.column(1))
-            row, start, size, anchor, alone = repeats.columns_of(batch.column(2), "start", "size", "anchor", "alone")
+        for batch in slices(batches, 0):
+            data, offsets = rolling.buffer_of(batch.column(0))
+            row, start, size, anchor, content, copies = repeats.columns_of(batch.column(1), "start", "size", "anchor", "content", "copies")
             raw, at = data.tobytes(), start + offsets[row]
-            held = [raw[a:b] for a, b in zip(at.tolist(), (at + size + length - 1).tolist())]
-            yield pa.record_batch([pa.array(anchor), pa.array(batch.column(0).to_numpy(zero_copy_only=False)[row]), pa.array(start), pa.array(size), pa.array(alone.astype(bool)), pa.array(held, pa.binary())], ["anchor", "doc_id", "start", "size", "alone", "data"])
+            ends = (at + size + length - 1).tolist()
+            for i in range(0, len(row), 4096):
+                j = slice(i, i + 4096)
+                held = [raw[x:y] for x, y in zip(at[j].tolist(), ends[j])]
+                yield pa.record_batch([pa.array(anchor[j]), pa.array(content[j]), pa.array(copies[j]), pa.array(held, pa.binary())], ["anchor", "content", "copies", "data"])
 
-    schema = "anchor long, doc_id long, start long, size int, alone boolean, data binary"
-    return repeats.with_lists(docs, lists, doc_id, text, "inner").mapInArrow(run, schema)
+    found = texts.select("a", "b", "text").join(lists, ["a", "b"])
+    return found.select("text", "parts").mapInArrow(run, "anchor long, content long, copies long, data binary")
 
 
 def compare(rows: DataFrame, length: int) -> DataFrame:
-    """doc_id, start, stop: repeated stretches of the runs that stand alone; rows are sorted by anchor in each task."""
+    """anchor, content, lo, hi: repeated stretches of runs, relative to the run; rows are sorted by anchor in each task."""
 
     def settle(held: list[tuple]) -> pa.RecordBatch:
-        sizes = np.array([r[3] for r in held])
-        again = repeated_windows([r[5] for r in held], sizes, length)
-        owner = np.repeat(np.arange(len(held)), sizes)
-        again &= np.array([r[4] for r in held])[owner]
-        at, owner = np.flatnonzero(again), owner[again]
+        sizes = np.array([len(r[3]) - length + 1 for r in held])
+        again = repeated_windows([r[3] for r in held], sizes, np.array([r[2] for r in held]), length)
+        at = np.flatnonzero(again)
+        owner = np.repeat(np.arange(len(held)), sizes)[at]
         new = np.r_[True, (at[1:] != at[:-1] + 1) | (owner[1:] != owner[:-1])][: len(at)]
         last = np.r_[new[1:], True][: len(at)]
-        begin = np.cumsum(sizes) - sizes
-        doc, start = (np.array([r[i] for r in held], np.int64)[owner[new]] for i in (1, 2))
-        return pa.record_batch([pa.array(doc), pa.array(start + (at - begin[owner])[new]), pa.array(start + (at - begin[owner])[last] + length)], ["doc_id", "start", "stop"])
+        begin = (np.cumsum(sizes) - sizes)[owner]
+        anchor, content = (np.array([r[i] for r in held], np.int64)[owner[new]] for i in (0, 1))
+        return pa.record_batch([pa.array(anchor), pa.array(content), pa.array((at - begin)[new]), pa.array((at - begin)[last] + length)], ["anchor", "content", "lo", "hi"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n, anchor = [], 0, None
@@ -109,40 +155,51 @@ def compare(rows: DataFrame, length: int) -> DataFrame:
                     yield settle(held)
                     held, n = [], 0
                 held.append(row)
-                n, anchor = n + len(row[5]), row[0]
+                n, anchor = n + len(row[3]), row[0]
         if held:
             yield settle(held)
 
-    return rows.mapInArrow(run, "doc_id long, start long, stop long")
-
-
-def repeated_spans(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", text: str = "text", most_runs: int = MOST_RUNS) -> DataFrame:
+    return rows.mapInArrow(run, "anchor long, content long, lo long, hi long")
+
+
+def spans_of(texts: DataFrame, length: int, gram: int, most: int) -> DataFrame:
+    """a, b, start, stop: repeated stretches of weighted texts (a, b, weight, text), whose key is (a, b)."""
+    keys = ["a", "b", "weight"]
+    anchors = repeats.runs(texts, "byte", length, gram, keys, "text", content=False).groupBy("anchor").agg(F.sum("weight").alias("weights"), F.count("*").alias("n"), F.max("twice").alias("twice"))
+    shared = stored(anchors.where("weights > 1 or twice").select("anchor", "n"), "anchors")
+    hot = hot_keys(shared, "anchor")
+    flagged = lambda df: df.join(hot, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    found = flagged(repeats.runs(texts, "byte", length, gram, keys, "text").drop("twice"))
+    again = stored(hot_join(found, flagged(shared.select("anchor")), ["anchor"], ["a", "b", "start"]), "runs")
+    contents = again.groupBy("anchor", "content").agg(F.sum("weight").alias("copies"), F.first("hot").alias("hot"), F.min(F.struct("a", "b", "start", "size")).alias("one"))
+    contents = stored(contents.select("anchor", "content", "copies", "hot", "one.*"), "contents")
+    bytes_ = contents.groupBy("anchor").agg(F.sum(F.col("size") + length - 1).alias("bytes"), F.count("*").alias("runs"))
+    crowded = stored(bytes_.where((F.col("bytes") > most) & (F.col("runs") > 1)).select("anchor"), "crowded") if gram < length else None
+    width = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    few = contents
+    if crowded is not None and crowded.head(1):
+        few = contents.join(crowded, "anchor", "left_anti")
+        texts_ = run_bytes(texts, contents.join(crowded, "anchor", "left_semi"), length)
+        next_ = stored(texts_.select(F.col("anchor").alias("a"), F.col("content").alias("b"), F.col("copies").alias("weight"), F.col("data").alias("text")), "crowd")
+        parts = spans_of(next_, length, gram + -(-(length - gram) // 2), most).select(F.col("a").alias("anchor"), F.col("b").alias("content"), F.col("start").alias("lo"), F.col("stop").alias("hi"))
+    dealt = run_bytes(texts, few, length).repartition(width, "anchor").sortWithinPartitions("anchor")
+    verdicts = compare(dealt, length)
+    if few is not contents:
+        verdicts = verdicts.unionByName(parts)
+    spans = hot_join(again, flagged(stored(verdicts, "verdicts")), ["anchor", "content"], ["a", "b", "start"])
+    return spans.select("a", "b", (F.col("start") + F.col("lo")).alias("start"), (F.col("start") + F.col("hi")).alias("stop"))
+
+
+def repeated_spans(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", text: str = "text", most: int = SORT_BYTES) -> DataFrame:
     """doc_id, start, stop: bytes of strings of ``length`` that also start anywhere else, same document included.
 
-    Spans overlap. doc_id must be unique and not null: rows without one are left out.
+    Spans overlap. doc_id must be unique: rows without one are left out, and rows with an equal one get each other's
+    spans. ``most``: text of different runs that one anchor may have before it is dealt anew. Null and empty texts,
+    and an empty table, give none; texts of over ``repeats.LONG`` bytes are hashed by stretches.
     """
     need(docs, doc_id, text)
-    found = repeats.runs(docs, "byte", length, length // 2, doc_id, text)
-    shared = stored(found.groupBy("anchor").agg(F.count("*").alias("_n"), F.max("twice").alias("_twice")).where("_n > 1 or _twice").select("anchor"), "anchors")
-    again = stored(found.join(shared, "anchor"), "runs")
-    contents = again.groupBy("anchor", "content").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "start", "size", "twice")).alias("one"))
-    contents = stored(contents.select("anchor", "content", "copies", "one.*"), "contents")
-    several = contents.where("copies > 1").select("anchor", "content")
-    whole = again.join(several, ["anchor", "content"]).select("doc_id", "start", (F.col("start") + F.col("size") - 1 + length).alias("stop"))
-    alone = F.col("copies") == 1
-    open_ = contents.groupBy("anchor").agg(F.count("*").alias("runs"), F.max(alone).alias("any"), F.max(alone & F.col("twice")).alias("self"))
-    open_ = stored(open_.where("(runs > 1 and any) or self").select("anchor", "runs"), "open")
-    edges = stored(contents.withColumn("alone", alone).join(open_, "anchor").select("doc_id", "start", "size", "anchor", "alone", "runs"), "edges")
-    spark = docs.sparkSession
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = run_bytes(docs, edges.where(F.col("runs") <= most_runs), length, doc_id, text).repartition(width, "anchor").sortWithinPartitions("anchor")
-    spans = whole.unionByName(compare(dealt, length))
-    crowded = edges.where(F.col("runs") > most_runs)
-    if crowded.head(1):
-        windows = stored(repeats.window_rows(docs, crowded, "byte", length, doc_id, text), "windows")
-        twice = stored(windows.groupBy("anchor", "window").agg(F.count("*").alias("_n")).where("_n > 1").drop("_n"), "twice")
-        spans = spans.unionByName(windows.join(twice, ["anchor", "window"]).select("doc_id", "start", (F.col("start") + length).alias("stop")))
-    return spans
+    texts = docs.select(F.col(doc_id).cast("long").alias("a"), F.lit(0).cast("long").alias("b"), F.lit(1).cast("long").alias("weight"), F.col(text).alias("text"))
+    return spans_of(texts.where("a is not null"), length, length // 2, most).select(F.col("a").alias("doc_id"), "start", "stop")
 
 
 def remove_repeats(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from cellweave.llm import media, mixing, packing, quality, rolling, shared, simhash, substring, suffix_dedup, token_files, tokens, urls, warc
+from cellweave.llm import media, mixing, packing, quality, repeats, rolling, shared, simhash, substring, suffix_dedup, token_files, tokens, urls, warc
 
 from . import brute
 
@@ -40,10 +40,8 @@ def passages(seed=0, n=60):
 
 def test_suffix_dedup_against_brute_force(spark):
     docs = table(spark, passages())
-    for most in (suffix_dedup.MOST_RUNS, 2):  # 2: buckets that are refined in Spark
-        spans = suffix_dedup.repeated_spans(docs, most_runs=most)
-        from cellweave.llm import repeats
-
+    for most in (suffix_dedup.SORT_BYTES, 700):  # 700: anchors that are dealt anew, level by level
+        spans = suffix_dedup.repeated_spans(docs, most=most)
         found = {r[0]: tuple(r[1:5]) for r in repeats.kept_of(docs, spans, "byte", "doc_id", "text").collect()}
         assert found == brute.suffix_dedup([(r.doc_id, r.text) for r in docs.collect()])
 
@@ -61,19 +59,80 @@ def test_substring_dedup_against_brute_force(spark):
     assert found == brute.substring_dedup([(r.doc_id, r.text) for r in docs.collect()])
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.text("ab", max_size=400), st.integers(9, 60))
-def test_bucket_pointers(text, depth):
+@settings(max_examples=80, deadline=None)
+@given(st.text("ab", min_size=1, max_size=400), st.integers(9, 60), st.integers(1, 5))
+def test_suffixes_come_in_order(text, depth, parts):
     data = text.encode()
-    if not data:
-        return
-    pointer = suffix_dedup.buckets(np.frombuffer(data, np.uint8), depth)
-    names = {}
-    for i in range(len(data) - depth + 1):
-        names.setdefault(data[i : i + depth], set()).add(int(pointer[i]))
-    assert all(len(v) == 1 for v in names.values()) and len(set.union(set(), *names.values())) == len(names)
-    order = [pointer[i] for i in sorted(range(len(data) - depth + 1), key=lambda i: data[i : i + depth])]
-    assert order == sorted(order)
+    order = suffix_dedup.suffix_order(np.frombuffer(data, np.uint8), depth, parts)
+    assert sorted(order.tolist()) == list(range(len(data)))
+    heads = [data[i : i + depth] for i in order.tolist() if i + depth <= len(data)]
+    assert heads == sorted(heads)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.tuples(st.text("ab", min_size=12, max_size=60), st.integers(1, 2)), min_size=1, max_size=6), st.sampled_from([5, 8, 11, 12]))
+def test_windows_that_weigh_more_than_one(rows, length):
+    texts, weights = [t.encode() for t, _ in rows], np.array([w for _, w in rows])
+    sizes = np.array([len(t) - length + 1 for t in texts])
+    windows = [(t[i : i + length], w) for t, w in zip(texts, weights.tolist()) for i in range(len(t) - length + 1)]
+    total = collections.Counter()
+    for x, w in windows:
+        total[x] += w
+    assert suffix_dedup.repeated_windows(texts, sizes, weights, length).tolist() == [total[x] > 1 for x, _ in windows]
+
+
+def test_refined_pointers_are_read_in_their_pass():
+    """The same pass in more turns leaves fewer suffixes open to the next, and never more."""
+    rng = np.random.default_rng(5)
+    fewer = 0
+    for _ in range(20):
+        part = rng.integers(97, 123, 400).astype(np.uint8)
+        data = np.concatenate([part, part, rng.integers(97, 123, 50).astype(np.uint8), part])
+        at_once, in_turns = [], []
+        one = suffix_dedup.suffix_order(data, 200, 1, at_once)
+        more = suffix_dedup.suffix_order(data, 200, 16, in_turns)
+        heads = lambda order: [data[i : i + 200].tobytes() for i in order.tolist() if i + 200 <= len(data)]
+        assert heads(one) == heads(more) and sum(in_turns) <= sum(at_once)
+        fewer += sum(in_turns) < sum(at_once)
+    assert fewer > 10
+
+
+@pytest.mark.parametrize("unit, length", [("byte", 40), ("word", 7)])
+def test_long_texts_are_hashed_by_stretches(unit, length):
+    rng = random.Random(3)
+    text = pa.array([" ".join("".join(rng.choices("abé", k=rng.randrange(1, 6))) for _ in range(900))])
+
+    def windows(most):
+        found = {}
+        for prefix, first, raw, item, before in repeats.stretches(text, unit, length, most):
+            runs = rolling.Runs(prefix, first, length, length // 2)
+            for at, n, anchor in zip(runs.start.tolist(), runs.size.tolist(), runs.anchor.tolist()):
+                for i in range(at, at + n):
+                    assert found.setdefault(i + before, (anchor, raw[i * item : (i + length) * item])) == (anchor, raw[i * item : (i + length) * item])
+        return found
+
+    whole = windows(1 << 30)
+    assert len(whole) > 800 and windows(500) == whole == windows(137)
+
+
+def test_texts_of_megabytes(spark):
+    """Two copies of a text of over 2 MB: the bytes of both go, the words of the later one."""
+    rng = random.Random(6)
+    text = " ".join("".join(rng.choices("abcdefgh", k=rng.randrange(2, 9))) for _ in range(370_000))
+    docs = table(spark, [text, "short", text + " end"]).repartition(3)
+    assert len(text) > 2 << 20
+    rows = {r.doc_id: (r.n, r.n_removed, r.n_spans) for r in suffix_dedup.remove_repeats(docs).collect()}
+    assert rows == {0: (len(text), len(text), 1), 1: (5, 0, 0), 2: (len(text) + 4, len(text), 1)}
+    rows = {r.doc_id: (r.n, r.n_removed) for r in substring.remove_repeats(docs).collect()}
+    assert rows == {0: (370_000, 0), 1: (1, 0), 2: (370_001, 370_000)}
+
+
+def test_stripping_with_columns_of_any_name(spark):
+    texts = ["x" * 300, "y" + "x" * 300, None]
+    docs = spark.createDataFrame([(i, t, i, "k", "h") for i, t in enumerate(texts)], "doc_id long, text string, _parts long, key string, parts string")
+    for strip in (suffix_dedup.strip_repeats, substring.strip_repeats):
+        rows = strip(docs).orderBy("doc_id").collect()
+        assert [(r["_parts"], r.key, r.parts) for r in rows] == [(0, "k", "h"), (1, "k", "h"), (2, "k", "h")]
 
 
 @settings(max_examples=60, deadline=None)
@@ -356,3 +415,49 @@ def test_simhash_dealt_by_pieces(spark, monkeypatch):
         monkeypatch.setattr(simhash, "STRIP", strip)
         found = {r.fp.hex(): r.component_id for r in simhash.groups(table_).collect()}
         assert {i: found[f"{p:016x}"] for i, p in enumerate(prints)} == want
+
+
+def votes(spark, n, bad, hit, miss, seed=3):
+    """Patterns and counts of votes drawn as the model says, and how often each bad document is told by one rule at least."""
+    rng = np.random.default_rng(seed)
+    is_bad = rng.random(n) < bad
+    rate = np.where(is_bad[:, None], np.array(hit), np.array(miss))
+    cast = (rng.random((n, len(hit))) < rate).astype(int)
+    cast[rng.random(cast.shape) < 0.1] = 2
+    counts = collections.Counter("".join(map(str, row)) for row in cast.tolist())
+    return quality.judged(spark.createDataFrame(list(counts.items()), "pattern string, n long"))
+
+
+def test_accuracies_are_recovered_from_votes(spark):
+    hit = [0.9, 0.3, 0.5, 0.6, 0.8, 0.2, 0.4, 0.7, 0.35, 0.6]
+    miss = [0.2, 0.01, 0.05, 0.02, 0.15, 0.03, 0.1, 0.05, 0.08, 0.01]
+    fit = votes(spark, 40_000, 0.15, hit, miss).first().fit
+    assert abs(fit.bad - 0.15) < 0.05
+    assert np.abs(np.array(fit.hit) - hit).max() < 0.05 and np.abs(np.array(fit.miss) - miss).max() < 0.05
+
+
+def test_one_bad_vote_is_overruled_and_two_decide(spark):
+    hit, miss = [0.4] * 10, [0.02] * 10
+    p = {r.pattern: r.p_bad for r in votes(spark, 40_000, 0.15, hit, miss).collect()}
+    single = [x for n, x in p.items() if n.count("1") == 1 and n.count("2") < 3]
+    double = [x for n, x in p.items() if n.count("1") == 2 and n.count("2") < 2]
+    assert single and max(single) < 0.5 and double and min(double) > 0.5
+
+
+def test_quality_keeps_documents_with_a_single_bad_vote(spark):
+    """On documents: some with one bad vote stay, some with several go, and no bound of the fit binds."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = quality.table(docs)
+    cast = [(r.pattern.count("1"), r.kept) for r in rows.where("not base_failed").collect()]
+    assert sum(kept for n, kept in cast if n == 1) > 20 and sum(not kept for n, kept in cast if n > 1) > 20
+    fit = quality.judged(rows.groupBy("pattern").count().withColumnRenamed("count", "n")).first().fit
+    assert all(lo < x < hi for name in ("hit", "miss") for lo, hi in [quality.BOUNDS[name]] for x in getattr(fit, name)) and 0.01 < fit.bad < 0.49
+
+
+def test_quality_of_odd_rows(spark):
+    docs = spark.createDataFrame([(None, None, "k"), (1, "", "k"), (1, "good words " * 3, "k"), (2, " \n", None)], "doc_id long, text string, parts string")
+    assert sorted((r.n_words, r.base_failed, r.kept) for r in quality.table(docs).collect()) == [(0, True, False)] * 3 + [(6, True, False)]
+    assert quality.keep_good(docs).columns == docs.columns and quality.keep_good(docs).count() == 0
+    assert quality.table(docs.limit(0)).count() == quality.keep_good(docs.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        quality.table(docs.withColumnRenamed("parts", "n_words").drop("text").withColumn("text2", docs.text))
