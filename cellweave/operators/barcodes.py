@@ -20,12 +20,18 @@ def umi_counts(reads: DataFrame, bc: str = "bc", umi: str = "umi") -> DataFrame:
 
 
 def ranked(counts: DataFrame, bc: str = "bc", count: str = "umi_count") -> DataFrame:
-    """counts with rank, 1 for the most; ties by barcode. Rows are numbered among equal counts only,
-    after the number of barcodes with more, so no task sorts them all."""
-    sizes = counts.groupBy(count).agg(F.count("*").alias("_n"))
-    above = sizes.select(count, (F.sum("_n").over(Window.orderBy(F.desc(count))) - F.col("_n")).alias("_above"))
-    placed = counts.join(F.broadcast(above), count)
-    return placed.select(*counts.columns, (F.col("_above") + F.row_number().over(Window.partitionBy(count).orderBy(bc))).alias("rank"))
+    """counts with rank, 1 for the most; ties by barcode.
+
+    Equal counts are parted by the barcodes' first letters (or the number's high part), and rows are
+    numbered within a part alone, after the rows of all parts before it: not even the barcodes with one
+    molecule, most of a run, are sorted in one task.
+    """
+    part = F.substring(bc, 1, 6) if dict(counts.dtypes)[bc] == "string" else F.floor(F.col(bc) / 4096)
+    dealt = counts.withColumn("_part", part)
+    sizes = dealt.groupBy(count, "_part").agg(F.count("*").alias("_n"))
+    above = sizes.select(count, "_part", (F.sum("_n").over(Window.orderBy(F.desc(count), "_part")) - F.col("_n")).alias("_above"))
+    nth = F.row_number().over(Window.partitionBy(count, "_part").orderBy(bc))
+    return dealt.withColumn("_nth", nth).join(above, [count, "_part"]).select(*counts.columns, (F.col("_above") + F.col("_nth")).alias("rank"))
 
 
 def cumulative(ranks: DataFrame, count: str = "umi_count", most: int = MOST) -> DataFrame:
@@ -115,14 +121,20 @@ def recut(bu: str, ref: str, umi_len: int, most: int) -> str | None:
 
 
 def assign(reads: DataFrame, references: DataFrame, bc: str = "bc", umi: str = "umi", bu: str = "bu", ref: str = "ref", length: int = 16, umi_len: int = 12, most: int = 2) -> DataFrame:
-    """reads of known cells with cell, cell_umi, ed: exact matches as read, others if one reference survives."""
+    """reads of known cells with cell, cell_umi, ed: exact matches as read, others if one reference survives.
+
+    Whether one survives is found once for each distinct barcode and bases, so repeated reads each stay, and
+    columns of any type pass through. References that occur twice count once.
+    """
+    known = references.select(F.col(ref).alias("cell")).distinct()
 
     @F.pandas_udf("string")
     def tag(bases, refs):
         return bases.combine(refs, lambda a, b: recut(a or "", b, umi_len, most))
 
-    exact = reads.join(F.broadcast(references.select(F.col(ref).alias("cell"))), F.col(bc) == F.col("cell"), "inner").select(*reads.columns, "cell", F.col(umi).alias("cell_umi"), F.lit(0).alias("ed"))
-    others = reads.join(F.broadcast(references.select(F.col(ref).alias(bc))), bc, "left_anti")
-    near = others.join(nearest(others, references, bc, ref, length, most), bc).withColumn("cell_umi", tag(bu, ref)).where("cell_umi is not null")
-    unique = near.groupBy(*reads.columns).agg(F.count("*").alias("_n"), F.min(ref).alias("cell"), F.min("cell_umi").alias("cell_umi"), F.min("ed").cast(IntegerType()).alias("ed")).where("_n = 1").drop("_n")
-    return exact.unionByName(unique)
+    exact = reads.join(known, F.col(bc) == F.col("cell"), "inner").select(*reads.columns, "cell", F.col(umi).alias("cell_umi"), F.lit(0).alias("ed"))
+    others = reads.join(known.withColumnRenamed("cell", bc), bc, "left_anti")
+    seen = others.select(bc, bu).distinct()
+    near = seen.join(nearest(others, references, bc, ref, length, most), bc).withColumn("cell_umi", tag(bu, ref)).where("cell_umi is not null")
+    unique = near.groupBy(bc, bu).agg(F.count("*").alias("_n"), F.min(ref).alias("cell"), F.min("cell_umi").alias("cell_umi"), F.min("ed").cast(IntegerType()).alias("ed")).where("_n = 1").drop("_n")
+    return exact.unionByName(others.join(unique, [bc, bu]).select(*exact.columns))

@@ -15,9 +15,11 @@ def _islands(rows: DataFrame, keys: list[str], start: str, stop: str) -> DataFra
 
 
 def merge(rows: DataFrame, chrom: str = "chrom", start: str = "start", stop: str = "stop", bin_size: int = 100_000) -> DataFrame:
-    """Maximal stretches per chromosome; intervals that touch join. Bins of starts are merged first,
+    """Maximal stretches per chromosome; intervals that touch join. Of equal starts only the furthest stop counts,
+    before anything is sorted, so a crowded place is no large group; bins of starts are merged next,
     so the last pass over a chromosome sees stretches and not reads."""
-    binned = rows.withColumn("_bin", F.floor(F.col(start) / bin_size))
+    furthest = rows.groupBy(chrom, start).agg(F.max(stop).alias(stop))
+    binned = furthest.withColumn("_bin", F.floor(F.col(start) / bin_size))
     return _islands(_islands(binned, [chrom, "_bin"], start, stop), [chrom], start, stop)
 
 

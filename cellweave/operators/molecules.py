@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sequences import search
-from .partitioning import by_key
+from .partitioning import by_key, numbered
 
 # Fixed values of the alignment format: flag bits of unmapped, secondary and supplementary records.
 UNMAPPED, SECONDARY, SUPPLEMENTARY, REVERSE = 4, 256, 2048, 16
@@ -49,12 +49,15 @@ def compatibility(equal: str, compatible: str) -> list[Column]:
     return [F.when(full, F.slice(clean(F.col(equal)), 1, 1)).otherwise(clean(F.col(compatible))).alias("trans"), F.when(full, "FullLen").otherwise("Partial").alias("category")]
 
 
-def rename_chimeric(reads: DataFrame, name: str = "qname", flag: str = "flag", order: list[str] | None = None) -> DataFrame:
-    """Supplementary records become primary under a name of their own: qname_r0x and their place in hex."""
-    place = F.row_number().over(Window.partitionBy(name).orderBy(*(order or [flag]))) - 1
+def rename_chimeric(reads: DataFrame, name: str = "qname", flag: str = "flag", place: str = "place", ties: list[str] | None = None) -> DataFrame:
+    """Mapped records; supplementary ones get a name of their own, qname_r0x and their place among all of the file in hex.
+
+    place: a whole number that grows with the line. Flags that are supplementary, on either strand, become primary.
+    """
+    rows = numbered(reads.where(F.col(flag).bitwiseAND(UNMAPPED) == 0), place, "_i", ties)
     extra = F.col(flag).bitwiseAND(SUPPLEMENTARY) > 0
-    rows = reads.withColumn("_i", place)
-    return rows.withColumn(name, F.when(extra, F.concat(F.col(name), F.lit("_r0x"), F.lower(F.hex("_i")))).otherwise(F.col(name))).withColumn(flag, F.when(extra, F.col(flag) - SUPPLEMENTARY).otherwise(F.col(flag))).drop("_i")
+    alone = F.col(flag).isin(SUPPLEMENTARY, SUPPLEMENTARY | REVERSE)
+    return rows.withColumn(name, F.when(extra, F.concat(F.col(name), F.lit("_r0x"), F.lower(F.hex("_i")))).otherwise(F.col(name))).withColumn(flag, F.when(alone, F.col(flag) - SUPPLEMENTARY).otherwise(F.col(flag))).drop("_i")
 
 
 def cluster(tags: list[tuple[str, list[tuple[str, frozenset, bool]]]], most: int) -> list[tuple[str, list[str], list[str]]]:
@@ -65,26 +68,38 @@ def cluster(tags: list[tuple[str, list[tuple[str, frozenset, bool]]]], most: int
     share a transcript, else one node each. A node joins the earlier node at the least distance that
     shares a transcript; both keep what they share, and so does the head of that molecule. Reads without
     transcripts share the name NA, until two have met and not when their umi was split.
+
+    Nodes are found through the substrings of their umi and their transcripts: of most + 1 pieces of a tag one stays
+    whole under ``most`` edits. A node's transcripts only shrink, so its first ones find it; what it has now decides.
     """
     tags = sorted(tags, key=lambda t: (-len(t[1]), not any(r[2] for r in t[1])))
     nodes: list[dict] = []
+    at: dict[tuple[str, str], list[int]] = {}
+    bounds_of = lambda umi: [len(umi) * i // (most + 1) for i in range(most + 2)]
+    sizes = {b - a for n in {len(umi): umi for umi, _ in tags}.values() for a, b in zip(bounds_of(n)[:-1], bounds_of(n)[1:])}
     for umi, reads in tags:
-        bounds = [len(umi) * i // (most + 1) for i in range(most + 2)]
-        parts = [umi[a:b] for a, b in zip(bounds[:-1], bounds[1:])]  # of which ``most`` edits leave one whole
+        bounds = bounds_of(umi)
+        parts = {umi[a:b] for a, b in zip(bounds[:-1], bounds[1:])}
+        spots = {umi[a : a + n] for n in sizes for a in range(len(umi) - n + 1)}
         named = [(r[0], r[1] or frozenset(["NA"]), bool(r[1])) for r in reads]
         common = frozenset.intersection(*(t for _, t, _ in named))
         pieces = [([n for n, _, _ in named], common, True)] if common else [([n], t, known) for n, t, known in sorted(named, key=lambda r: len(r[1]))]
         for names, trans, open_ in pieces:
             best, parent, shared = len(umi), None, frozenset()
-            for i, other in enumerate(nodes if open_ else []):
+            for i in sorted({j for p in parts for t in trans for j in at.get((p, t), ())}) if open_ else []:
+                other = nodes[i]
                 both = trans & other["trans"]
-                if not both or not other["open"] or not any(x in other["umi"] for x in parts):
+                if not both or not other["open"]:
                     continue
                 distance, _ = search(umi, other["umi"], most)
                 if 0 <= distance < best:
                     best, parent, shared = distance, i, both
             node = {"umi": umi, "reads": names, "trans": trans, "open": open_, "head": len(nodes), "all": list(names)}
             nodes.append(node)
+            if open_:
+                for t in trans:
+                    for p in spots:
+                        at.setdefault((p, t), []).append(len(nodes) - 1)
             if parent is not None:
                 node["trans"] = nodes[parent]["trans"] = shared
                 head = nodes[parent]["head"]
@@ -118,21 +133,27 @@ def molecules(reads: DataFrame, keys: list[str], umi: str = "umi", read: str = "
 
 
 def bc_umi_table(found: DataFrame, genes: DataFrame) -> DataFrame:
-    """Molecules with genes: gene ids in the order of their transcripts, each once. genes: trans, gene."""
-    each = found.select("*", F.posexplode_outer("trans").alias("_i", "_t")).join(F.broadcast(genes.select(F.col("trans").alias("_t"), F.col("gene").alias("_g"))), "_t", "left")
-    names = [c for c in found.columns]
-    return each.groupBy(*names).agg(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("_i", F.coalesce("_g", F.lit("NA")).alias("_g")))), lambda x: x["_g"])).alias("genes"))
+    """Molecules with genes: gene ids in the order of their transcripts, each once. genes: trans, gene.
 
+    Each different list of transcripts is looked up once; molecules that are equal stay apart.
+    """
+    each = found.select("trans").distinct().select("trans", F.posexplode_outer("trans").alias("_i", "_t"))
+    named = each.join(genes.select(F.col("trans").alias("_t"), F.col("gene").alias("_g")), "_t", "left")
+    lists = named.groupBy("trans").agg(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("_i", F.coalesce("_g", F.lit("NA")).alias("_g")))), lambda x: x["_g"])).alias("genes"))
+    return found.join(lists, "trans", "left").select(*found.columns, "genes")
 
 
 def in_region(rows: DataFrame, spans: DataFrame, chrom, start: int | None = None, stop: int | None = None, trans: str = "trans") -> DataFrame:
-    """Rows of which any transcript overlaps the region; spans: trans, chrom, start, stop (closed), region half-open."""
+    """Rows of which any transcript overlaps the region; spans: trans, chrom, start, stop (closed), region half-open.
+
+    Each different list of transcripts is looked up once.
+    """
     inside = spans.where(F.col("chrom") == chrom)
     if start is not None:
         inside = inside.where((F.col("start") <= stop) & (F.col("stop") >= start + 1))
-    keyed = rows.withColumn("_key", F.xxhash64(*rows.columns))
-    hits = keyed.select("_key", F.explode(trans).alias("_t")).join(inside.select(F.col("trans").alias("_t")).distinct(), "_t", "left_semi").select("_key").distinct()
-    return keyed.join(hits, "_key", "left_semi").drop("_key")
+    lists = rows.select(trans).distinct().select(trans, F.explode(trans).alias("_t"))
+    hits = lists.join(inside.select(F.col("trans").alias("_t")).distinct(), "_t", "left_semi").select(trans).distinct()
+    return rows.join(hits, trans, "left_semi").select(*rows.columns)
 
 
 def match_summary(reads: DataFrame, perfect: str, exact: str) -> DataFrame:

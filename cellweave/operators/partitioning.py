@@ -2,10 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 
 def by_key(rows: DataFrame, *keys: str) -> DataFrame:
     """rows dealt by keys over all shuffle partitions. Adaptive planning would merge small ones into
     few tasks, by bytes; groups that Python works on cost time, not bytes."""
     return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def numbered(rows: DataFrame, place: str, name: str, ties: list[str] | None = None, span: int = 1 << 16) -> DataFrame:
+    """rows with their number from 0 in the order of a whole number ``place``, then of ``ties``.
+
+    Rows are counted by stretches of ``span`` places; the sums of these counts place each stretch, and
+    rows are numbered within theirs alone, so no task sorts them all.
+    """
+    dealt = rows.withColumn("_part", F.floor(F.col(place) / span))
+    sizes = dealt.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    nth = F.row_number().over(Window.partitionBy("_part").orderBy(place, *(ties or []))) - 1
+    return dealt.withColumn("_nth", nth).join(before, "_part").withColumn(name, F.col("_before") + F.col("_nth")).select(*rows.columns, name)

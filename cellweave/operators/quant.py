@@ -61,7 +61,7 @@ def abundance(molecules: DataFrame, gene: str = "gene", cluster: str = "cluster"
 def sparse(rows: DataFrame, feature: str = "gene", cell: str = "bc", value: str = "value") -> DataFrame:
     """feature, cell and value with 1-based indices in the order of the names."""
     number = lambda c, name: rows.select(c).distinct().select(c, F.row_number().over(Window.orderBy(c)).alias(name))
-    return rows.join(F.broadcast(number(feature, "feature_idx")), feature).join(number(cell, "cell_idx"), cell).select("feature_idx", "cell_idx", feature, cell, value)
+    return rows.join(number(feature, "feature_idx"), feature).join(number(cell, "cell_idx"), cell).select("feature_idx", "cell_idx", feature, cell, value)
 
 
 def by_cluster(rows: DataFrame, sizes: DataFrame, feature: str = "gene", cluster: str = "cluster", cell: str = "bc", value: str = "value") -> DataFrame:
@@ -71,7 +71,7 @@ def by_cluster(rows: DataFrame, sizes: DataFrame, feature: str = "gene", cluster
     """
     sums = rows.groupBy(feature, cluster).agg(F.sum(value).alias("total"), F.countDistinct(F.when(F.col(value) > 0, F.col(cell))).alias("cells"))
     whole = F.sum("total").over(Window.partitionBy(cluster))
-    return sums.join(F.broadcast(sizes), cluster).select(feature, cluster, "total", F.when(whole > 0, 1e6 * F.col("total") / whole).otherwise(0.0).alias("cpm"), (F.col("cells") / F.col("n_cells")).alias("pct"))
+    return sums.join(sizes, cluster).select(feature, cluster, "total", F.when(whole > 0, 1e6 * F.col("total") / whole).otherwise(0.0).alias("cpm"), (F.col("cells") / F.col("n_cells")).alias("pct"))
 
 
 def cell_qc(rows: DataFrame, feature: str = "gene", cell: str = "bc", value: str = "value", min_cells: int = 3, min_features: int = 200, most_marked: float = 25.0, marked: str = "^MT-") -> DataFrame:

@@ -10,8 +10,24 @@ from .intervals import points_in_ranges
 PROMOTER, NEAR = 500, 1_000_000
 
 
-def gene_hull(annotation: DataFrame, gene: str = "gene", chrom: str = "chrom", start: str = "start", stop: str = "stop") -> DataFrame:
-    return annotation.groupBy(gene).agg(F.max(chrom).alias("chrom"), F.min(start).alias("start"), F.max(stop).alias("stop"))
+#: The parent terms that count as disease, the leading ones first.
+DISEASES = ["Cancer", "Immune system disorder", "Neurological disorder", "Cardiovascular disease", "Digestive system disorder", "Metabolic disorder", "Response to drug", "Other disease"]
+
+
+def gene_hull(annotation: DataFrame, gene: str = "gene", chrom: str = "chrom", start: str = "start", stop: str = "stop", wanted: DataFrame | None = None, more: list[str] | None = None, last: str | None = None) -> DataFrame:
+    """gene, chrom, start, stop and the columns ``more`` (strand) of each gene: its first start and last stop.
+
+    chrom and ``more`` are those of the row with the largest ``last`` (the line), where that column is given, else the largest.
+    wanted: a table of genes (column gene), if not all are.
+    """
+    rows = annotation if wanted is None else annotation.join(wanted.select(F.col("gene").alias(gene)).distinct(), gene, "left_semi")
+    one = lambda c: (F.max_by(c, last) if last else F.max(c)).alias("chrom" if c == chrom else c)
+    return rows.groupBy(gene).agg(one(chrom), F.min(start).alias("start"), F.max(stop).alias("stop"), *map(one, more or []))
+
+
+def diseases(rows: DataFrame, parent: str = "parent", terms: list[str] | None = None) -> DataFrame:
+    """Rows whose parent term is a disease; for ``leading``, DISEASES is the order."""
+    return rows.where(F.col(parent).isin(terms or DISEASES))
 
 
 def with_promoter(genes: DataFrame, strand: str = "strand", size: int = PROMOTER) -> DataFrame:

@@ -245,12 +245,15 @@ def merge_chunks(spark, sf_dir):
     return chunk(0).unionByName(chunk(1)).unionByName(chunk(2))
 
 
-@query("SELECT l_orderkey || CASE WHEN i > 0 THEN '_r0x' || lower(hex(i)) ELSE '' END AS qname, 0::BIGINT AS flag, o FROM (SELECT l_orderkey, l_partkey AS o, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_linenumber, l_quantity) - 1 AS i FROM lineitem)")
+PLACE = "l_orderkey * 8 + l_linenumber"
+
+
+@query(f"""SELECT l_orderkey || CASE WHEN flag >= 2048 THEN '_r0x' || lower(hex(i)) ELSE '' END AS qname, CASE WHEN flag IN (2048, 2064) THEN flag - 2048 ELSE flag END AS flag, o
+FROM (SELECT *, row_number() OVER (ORDER BY {PLACE}, o, l_quantity) - 1 AS i FROM (SELECT *, l_partkey AS o, (CASE WHEN l_linenumber > 1 THEN 2048 ELSE 0 END + CASE WHEN l_returnflag = 'R' THEN 16 ELSE 0 END + CASE WHEN l_quantity < 3 THEN 4 ELSE 0 END)::BIGINT AS flag FROM lineitem) WHERE (flag & 4) = 0)""")
 def chimeric_rename(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("qname"), F.col("l_partkey").alias("o"), "l_linenumber", "l_quantity")
-    place = F.row_number().over(Window.partitionBy("qname").orderBy("o", "l_linenumber", "l_quantity"))
-    flagged = rows.withColumn("flag", F.when(place > 1, 2048).otherwise(0).cast("long"))
-    return molecules.rename_chimeric(flagged, order=["o", "l_linenumber", "l_quantity"]).select("qname", "flag", "o")
+    flag = "cast(case when l_linenumber > 1 then 2048 else 0 end + case when l_returnflag = 'R' then 16 else 0 end + case when l_quantity < 3 then 4 else 0 end as long)"
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("qname"), F.expr(flag).alias("flag"), F.expr(PLACE).alias("place"), F.col("l_partkey").alias("o"), "l_quantity")
+    return molecules.rename_chimeric(rows, ties=["o", "l_quantity"]).select("qname", "flag", "o")
 
 
 HITS = {"rt": "nullif(l_linenumber % 4, 0)", "tso": "nullif(l_partkey % 3, 0)", "rt_back": "nullif(l_suppkey % 4, 0)", "tso_back": "nullif(l_orderkey % 2, 0)", "poly": "l_returnflag = 'R'", "poly_back": "l_linestatus = 'O'"}
@@ -329,8 +332,8 @@ wide AS (SELECT cluster1, cluster2, t.gene, t.trans, coalesce(x.value, 0) AS n1,
 kept AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY cluster1, cluster2, gene) AS k FROM wide WHERE n1 >= 10 OR n2 >= 10) WHERE k >= 2)"""
 
 
-def chi2_sql(source: str, keys: str, a: str, b: str) -> str:
-    return f"""SELECT {keys}, round(sum(pow(abs({a} - ea) - y, 2) / ea + pow(abs({b} - eb) - y, 2) / eb), 6) AS statistic, count(*) - 1 AS df, round(max(abs({a} / sa - {b} / sb)), 9) AS delta
+def chi2_sql(source: str, keys: str, a: str, b: str, digits: int = 6) -> str:
+    return f"""SELECT {keys}, round(sum(pow(abs({a} - ea) - y, 2) / ea + pow(abs({b} - eb) - y, 2) / eb), {digits}) AS statistic, count(*) - 1 AS df, round(max(abs({a} / sa - {b} / sb)), 9) AS delta
 FROM (SELECT *, CASE WHEN k = 2 THEN least(0.5, abs({a} - ea)) ELSE 0 END AS y FROM (SELECT *, sa * ({a} + {b}) / (sa + sb) AS ea, sb * ({a} + {b}) / (sa + sb) AS eb
   FROM (SELECT *, sum({a}) OVER (PARTITION BY {keys}) AS sa, sum({b}) OVER (PARTITION BY {keys}) AS sb, count(*) OVER (PARTITION BY {keys}) AS k FROM ({source})))) GROUP BY {keys}"""
 
@@ -345,14 +348,27 @@ def diff_splice_stat(spark, sf_dir):
     return rows.withColumns({"statistic": F.round("statistic", 6), "delta": F.round("delta", 9)})
 
 
-@query()
-def diff_splice_significant(spark, sf_dir):
-    return splicing.differential(_trans_counts(spark, sf_dir))
+def tested_sql(source: str, keys: str, scope: str, order: str) -> str:
+    """keys, statistic, df, delta, p, fdr, significant of ``chi2_sql``; p by the series of the incomplete gamma function, 0 far out."""
+    part = f"PARTITION BY {scope}" if scope else ""
+    return f"""x AS ({source}), t AS (SELECT {keys}, df, any_value(statistic) AS statistic, any_value(delta) AS delta,
+  CASE WHEN any_value(statistic) > 3000 THEN 0 ELSE greatest(0, 1 - sum(CASE WHEN statistic > 0 THEN exp(-statistic / 2 + (df / 2 + n) * ln(statistic / 2) - lgamma(df / 2 + n + 1)) ELSE 0 END)) END AS p
+  FROM x, range(0, 4000) AS r(n) GROUP BY {keys}, df),
+q AS (SELECT *, p * count(*) OVER ({part}) / row_number() OVER ({part} ORDER BY p, {order}) AS q FROM t),
+f AS (SELECT {keys}, df, statistic, delta, p, least(1.0, min(q) OVER ({part} ORDER BY p, {order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS fdr FROM q)"""
 
 
-@query()
-def diff_splice_transcripts(spark, sf_dir):
-    return splicing.significant_transcripts(_trans_counts(spark, sf_dir))
+def _rounded(rows: DataFrame, *names: str, digits: int = 6) -> DataFrame:
+    return rows.withColumns({c: F.round(c, digits) for c in names})
+
+
+SPLICED = TCOUNTS + PAIRS + ", " + tested_sql(chi2_sql("SELECT cluster1, cluster2, gene, n1, n2 FROM kept", "cluster1, cluster2, gene", "n1", "n2", 15), "cluster1, cluster2, gene", "cluster1, cluster2", "gene")
+SHOWN = "round(statistic, 4) AS statistic, df, round(delta, 6) AS delta, round(p, 6) AS p, round(fdr, 6) AS fdr, fdr <= 0.05 AND delta > 0.05 AS significant FROM f"
+
+
+@query(f"{SPLICED} SELECT cluster1, cluster2, gene, {SHOWN}")
+def diff_splice_significant(spark, sf_dir):
+    return _rounded(_rounded(splicing.differential(_trans_counts(spark, sf_dir)), "delta", "p", "fdr"), "statistic", digits=4)
 
 
 @query(f"""WITH {READS}, v AS (SELECT bc, umi, gene, count(*) FILTER (hap = 'H1') AS h1, count(*) FILTER (hap = 'H2') AS h2 FROM reads GROUP BY bc, umi, gene)
@@ -398,9 +414,12 @@ def allele_splice_stat(spark, sf_dir):
     return rows.withColumns({"statistic": F.round("statistic", 6), "delta": F.round("delta", 9)})
 
 
-@query()
+ALLELES = f"{CUBE}{PHASED}, " + tested_sql(chi2_sql("SELECT cluster, gene, h1, h2 FROM p3", "cluster, gene", "h1", "h2", 15), "cluster, gene", "", "cluster, gene")
+
+
+@query(f"{ALLELES} SELECT cluster, gene, {SHOWN}")
 def allele_specific_splicing(spark, sf_dir):
-    return splicing.allele_specific(_cube(spark, sf_dir))
+    return _rounded(_rounded(splicing.allele_specific(_cube(spark, sf_dir)), "delta", "p", "fdr"), "statistic", digits=4)
 
 
 LF = stats.ln_factorial_sql
@@ -423,6 +442,18 @@ def bh_fdr(spark, sf_dir):
     return stats.bh(rows, "p", ["cluster"], ["trans"]).select("cluster", "trans", F.round("fdr", 5).alias("fdr"))
 
 
+CHOSEN = ", ".join(f"{a} AS {b}" for a, b in (("n1", "a"), ("n2", "b"), ("sum(n1) OVER w - n1", "c"), ("sum(n2) OVER w - n2", "d")))
+EACH = FISHER.replace("f AS", "fe AS").replace("FROM f,", "FROM fe,").replace("f.*", "fe.*").replace("FROM t)", "FROM te)")
+
+
+@query(f"""{SPLICED}, te AS (SELECT cluster1, cluster2, gene, trans, n1, n2, {CHOSEN} FROM kept WINDOW w AS (PARTITION BY cluster1, cluster2, gene)), {EACH},
+g AS (SELECT cluster1, cluster2, gene, trans, n1, n2, least(1.0, sum(CASE WHEN p <= p0 * (1 + 1e-7) THEN p ELSE 0 END)) AS p FROM e GROUP BY ALL)
+SELECT g.cluster1, g.cluster2, g.gene, trans, n1, n2, round(fdr, 6) AS fdr, round(delta, 6) AS delta, round(g.p, 6) AS p FROM g JOIN f USING (cluster1, cluster2, gene) WHERE fdr <= 0.05 AND delta > 0.05 AND g.p <= 0.05""")
+def diff_splice_transcripts(spark, sf_dir):
+    found = splicing.significant_transcripts(_trans_counts(spark, sf_dir))
+    return _rounded(found, "fdr", "delta", "p").select("cluster1", "cluster2", "gene", "trans", "n1", "n2", "fdr", "delta", "p")
+
+
 GCUBE = CUBE + ", g AS (SELECT cluster, gene, sum(h1)::BIGINT AS h1, sum(h2)::BIGINT AS h2, sum(unphased)::BIGINT AS unphased, sum(total)::BIGINT AS total FROM cube GROUP BY cluster, gene)"
 
 
@@ -441,16 +472,20 @@ def binomial_tail_p(spark, sf_dir):
     return splicing.allele_expression(_gene_cube(spark, sf_dir)).select("cluster", "gene", F.round("p", 6).alias("p"))
 
 
-@query()
+@query(f"""{GCUBE}, e AS (SELECT *, h1 + h2 AS n FROM g WHERE total >= 20 AND (h1 + h2) / total >= 0.7),
+t AS (SELECT cluster, gene, any_value(h1) AS h1, any_value(h2) AS h2, any_value(unphased) AS unphased, any_value(total) AS total, least(1.0, sum(exp({LF('n')} - {LF('k')} - {LF('n - k')} - n * ln(2)))) AS p FROM e, range(0, 100000) AS r(k) WHERE k BETWEEN greatest(h1, h2) AND n GROUP BY cluster, gene),
+q AS (SELECT *, p * count(*) OVER () / row_number() OVER (ORDER BY p, cluster, gene) AS q FROM t),
+f AS (SELECT *, least(1.0, min(q) OVER (ORDER BY p, cluster, gene ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS fdr FROM q)
+SELECT cluster, gene, h1, h2, unphased, total, round(p, 6) AS p, round(fdr, 6) AS fdr, round(h1 / (h1 + h2), 6) AS ratio1, fdr <= 0.05 AS significant FROM f""")
 def ase_genes(spark, sf_dir):
-    return splicing.allele_expression(_gene_cube(spark, sf_dir))
+    return _rounded(splicing.allele_expression(_gene_cube(spark, sf_dir)), "p", "fdr", "ratio1")
 
 
-BULK = f"WITH {READS}, b AS (SELECT gene, count(*) FILTER (hap = 'H1') AS h1, count(*) FILTER (hap = 'H2') AS h2, count(*) FILTER (hap = 'none') AS unphased, count(*) AS total, count(DISTINCT trans) AS n_trans FROM reads WHERE chrom % 7 = 3 GROUP BY gene)"
+BULK = f"WITH {READS}, b AS (SELECT gene, count(*) FILTER (hap = 'H1') AS h1, count(*) FILTER (hap = 'H2') AS h2, count(*) FILTER (hap = 'none') AS unphased, count(*) AS total, count(DISTINCT trans) AS n_trans FROM (SELECT * REPLACE (gene || ':' || (chrom % 40) AS gene) FROM reads) GROUP BY gene)"
 
 
 def _bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = reads(spark, sf_dir).where("chrom % 7 = 3")
+    rows = reads(spark, sf_dir).withColumn("gene", F.expr("concat(gene, ':', chrom % 40)"))
     return splicing.allele_counts(rows, ["gene"]).join(rows.groupBy("gene").agg(F.countDistinct("trans").alias("n_trans")), "gene")
 
 
@@ -466,17 +501,17 @@ def bulk_labels(spark, sf_dir):
 
 # Variants ------------------------------------------------------------------------------------
 
-HULL = "SELECT p_brand AS gene, max(p_size % 5) AS chrom, min(p_partkey * 100)::BIGINT AS start, max(p_partkey * 100 + p_size)::BIGINT AS stop FROM part WHERE p_partkey % 400 < 40 GROUP BY p_brand"
+HULL = "SELECT 'G' || (p_partkey // 40) AS gene, arg_max(p_size % 5, p_partkey) AS chrom, arg_max(CASE WHEN p_brand LIKE '%1' THEN '+' ELSE '-' END, p_partkey) AS strand, min(p_partkey * 100)::BIGINT AS start, max(p_partkey * 100 + p_size)::BIGINT AS stop FROM part GROUP BY 1"
 
 
 @query(HULL)
 def gene_coord_hull(spark, sf_dir):
-    return variants.gene_hull(_annotation(spark, sf_dir))
+    return _hulls(spark, sf_dir)
 
 
-def _annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = table(spark, sf_dir, "part").where("p_partkey % 400 < 40")
-    return parts.select(F.col("p_brand").alias("gene"), F.expr("p_size % 5").alias("chrom"), F.expr("p_partkey * 100").alias("start"), F.expr("p_partkey * 100 + p_size").alias("stop"))
+def _hulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "part").select(F.expr("concat('G', floor(p_partkey / 40))").alias("gene"), F.expr("p_size % 5").alias("chrom"), F.expr("if(p_brand like '%1', '+', '-')").alias("strand"), F.expr("p_partkey * 100").alias("start"), F.expr("p_partkey * 100 + p_size").alias("stop"), F.col("p_partkey").alias("line"))
+    return variants.gene_hull(rows, more=["strand"], last="line")
 
 
 GENES = "genes AS (SELECT p_partkey AS gene, p_size % 5 AS chrom, p_partkey * 1000 AS start, p_partkey * 1000 + p_size * 20 AS stop, CASE WHEN p_brand LIKE '%1' THEN '+' ELSE '-' END AS strand FROM part)"
@@ -494,13 +529,13 @@ def snp_in_gene_range(spark, sf_dir):
     return variants.snps_in_genes(snps, _genes(spark, sf_dir)).select("snp", "gene", "pos", "hap")
 
 
-CATALOG = "catalog AS (SELECT s_suppkey AS snp, s_suppkey % 5 AS chrom, s_suppkey * 20000 AS pos, 'Brand#' || (s_suppkey % 25) || ', Brand#' || (s_suppkey % 7) AS mapped FROM supplier)"
+CATALOG = "catalog AS (SELECT s_suppkey AS snp, s_suppkey % 5 AS chrom, s_suppkey * 20000 AS pos, 'G' || (s_suppkey % 25) || ', G' || (s_suppkey * 5) AS mapped FROM supplier)"
 
 
 @query(f"WITH genes AS ({HULL}), {CATALOG} SELECT gene, snp, pos FROM genes JOIN catalog ON genes.chrom = catalog.chrom AND pos BETWEEN start - 1000000 AND stop + 1000000 AND contains(mapped, gene)")
 def gwas_range_like(spark, sf_dir):
-    catalog = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("snp"), F.expr("cast(s_suppkey % 5 as int)").alias("chrom"), F.expr("s_suppkey * 20000").alias("pos"), F.expr("concat('Brand#', s_suppkey % 25, ', Brand#', s_suppkey % 7)").alias("mapped"))
-    return variants.catalog_near(variants.gene_hull(_annotation(spark, sf_dir)), catalog).select("gene", "snp", "pos")
+    catalog = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("snp"), F.expr("cast(s_suppkey % 5 as int)").alias("chrom"), F.expr("s_suppkey * 20000").alias("pos"), F.expr("concat('G', s_suppkey % 25, ', G', s_suppkey * 5)").alias("mapped"))
+    return variants.catalog_near(_hulls(spark, sf_dir), catalog).select("gene", "snp", "pos")
 
 
 LD = "ld AS (SELECT l_partkey AS snp_a, (l_partkey + l_suppkey) % 2000 AS snp_b, l_discount * 10 AS r2 FROM lineitem)"
@@ -510,10 +545,10 @@ def _ld(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("snp_a"), F.expr("(l_partkey + l_suppkey) % 2000").alias("snp_b"), F.expr("l_discount * 10").alias("r2"))
 
 
-@query(f"WITH {LD}, b AS (SELECT snp_a AS donor, snp_b AS listed FROM ld WHERE r2 > 0.8 UNION SELECT snp_b, snp_a FROM ld WHERE r2 > 0.8) SELECT * FROM b WHERE donor % 10 = 3 AND listed % 4 = 1 AND donor IN (SELECT p_partkey FROM part) AND listed IN (SELECT p_partkey FROM part)")
+@query(f"WITH {LD}, b AS (SELECT snp_a AS donor, snp_b AS listed FROM ld WHERE r2 > 0.8 UNION SELECT snp_b, snp_a FROM ld WHERE r2 > 0.8) SELECT * FROM b WHERE donor IN (SELECT p_partkey FROM part WHERE p_size <= 10) AND listed IN (SELECT p_partkey FROM part WHERE p_size > 30)")
 def ld_symmetric_pairs(spark, sf_dir):
-    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("snp"))
-    return variants.linked(parts.where("snp % 10 = 3"), parts.where("snp % 4 = 1"), _ld(spark, sf_dir))
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("snp"), "p_size")
+    return variants.linked(parts.where("p_size <= 10"), parts.where("p_size > 30"), _ld(spark, sf_dir))
 
 
 @query(f"""WITH {LD}, own AS (SELECT p_brand AS gene, p_partkey AS snp FROM part), m AS (SELECT least(snp_a, snp_b) AS snp_a, greatest(snp_a, snp_b) AS snp_b, max(r2) AS r2 FROM ld WHERE r2 > 0 AND snp_a <> snp_b GROUP BY 1, 2)
@@ -551,10 +586,10 @@ def trait_pivot(spark, sf_dir):
 # More of the same operators --------------------------------------------------------------------
 
 
-@query(f"WITH {READS}, spans AS (SELECT trans, min(start) AS start, max(stop) AS stop, chrom FROM reads WHERE chrom % 50 = 7 GROUP BY trans, chrom), m AS (SELECT bc, gene, list_sort(list_distinct(list(trans))) AS ts FROM reads GROUP BY bc, gene) SELECT bc, gene, array_to_string(ts, ',') AS ts FROM m WHERE EXISTS (SELECT 1 FROM spans WHERE chrom = 7 AND start <= 2600 AND stop >= 2001 AND list_contains(ts, trans))")
+@query(f"WITH {READS}, spans AS (SELECT trans, min(start) AS start, max(stop) AS stop, chrom FROM reads GROUP BY trans, chrom), m AS (SELECT bc, gene, list_sort(list_distinct(list(trans))) AS ts FROM reads GROUP BY bc, gene) SELECT bc, gene, array_to_string(ts, ',') AS ts FROM m WHERE EXISTS (SELECT 1 FROM spans WHERE chrom = 7 AND start <= 2600 AND stop >= 2001 AND list_contains(ts, trans))")
 def transcripts_in_region(spark, sf_dir):
     rows = reads(spark, sf_dir)
-    spans = rows.where("chrom % 50 = 7").groupBy("trans", "chrom").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    spans = rows.groupBy("trans", "chrom").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
     sets = rows.groupBy("bc", "gene").agg(F.array_sort(F.collect_set("trans")).alias("ts"))
     return molecules.in_region(sets, spans, 7, 2000, 2600, trans="ts").withColumn("ts", F.array_join("ts", ","))
 
@@ -609,16 +644,23 @@ def unique_transcript_counts(spark, sf_dir):
     return _molecule_sets(spark, sf_dir).where(F.size("trans") == 1).groupBy(F.col("trans")[0].alias("trans")).agg(F.count("*").alias("n"))
 
 
-@query()
+@query(f"{SPLICED} SELECT cluster1, cluster2, gene, {SHOWN} WHERE gene IN (SELECT p_brand FROM part WHERE p_size > 45)")
 def genes_of_interest(spark, sf_dir):
     """Picked after the false discovery rate is found over all genes."""
     wanted = table(spark, sf_dir, "part").where("p_size > 45").select(F.col("p_brand").alias("gene")).distinct()
-    return splicing.differential(_trans_counts(spark, sf_dir)).join(wanted, "gene", "left_semi")
+    found = splicing.differential(_trans_counts(spark, sf_dir)).join(wanted, "gene", "left_semi")
+    return _rounded(_rounded(found, "delta", "p", "fdr"), "statistic", digits=4)
 
 
-@query(f"WITH {READS}, u AS (SELECT cluster, gene, list_distinct(list(umi)) AS umis FROM reads GROUP BY cluster, gene) SELECT a.gene, a.cluster AS cluster1, b.cluster AS cluster2, len(list_distinct(list_concat(a.umis, b.umis)))::INT AS n FROM u a JOIN u b ON a.gene = b.gene AND a.cluster < b.cluster WHERE a.gene IN ('Brand#1', 'Brand#2')")
+@query(f"""WITH {READS}, d AS (SELECT DISTINCT cluster, gene, umi FROM reads), n AS (SELECT cluster, gene, count(*) AS n FROM d GROUP BY ALL), b AS (SELECT x.gene, x.cluster AS cluster1, y.cluster AS cluster2, count(*) AS k FROM d x JOIN d y ON x.gene = y.gene AND x.umi = y.umi AND x.cluster < y.cluster GROUP BY ALL)
+SELECT x.gene, x.cluster AS cluster1, y.cluster AS cluster2, x.n + y.n - coalesce(k, 0) AS n FROM n x JOIN n y ON x.gene = y.gene AND x.cluster < y.cluster LEFT JOIN b ON b.gene = x.gene AND cluster1 = x.cluster AND cluster2 = y.cluster""")
 def merged_umi_counts(spark, sf_dir):
-    sets = reads(spark, sf_dir).where("gene in ('Brand#1', 'Brand#2')").groupBy("cluster", "gene").agg(F.collect_set("umi").alias("umis"))
-    right = sets.select("gene", F.col("cluster").alias("cluster2"), F.col("umis").alias("more"))
-    pairs = sets.withColumnRenamed("cluster", "cluster1").join(right, "gene").where("cluster1 < cluster2")
-    return pairs.select("gene", "cluster1", "cluster2", F.size(F.array_union("umis", "more")).alias("n"))
+    """Tags of two clusters together, for every gene: both counts less what they share; no set is gathered."""
+    tags = reads(spark, sf_dir).select("cluster", "gene", "umi").distinct()
+    sizes = tags.groupBy("gene", "cluster").agg(F.count("*").alias("n"))
+    two = lambda rows, *more: rows.select("gene", F.col("cluster").alias("cluster2"), *more)
+    one = lambda rows, *more: rows.select("gene", F.col("cluster").alias("cluster1"), *more)
+    keys = ["gene", "cluster1", "cluster2"]
+    shared = one(tags, "umi").join(two(tags, "umi"), ["gene", "umi"]).where("cluster1 < cluster2").groupBy(*keys).agg(F.count("*").alias("k"))
+    pairs = one(sizes, F.col("n").alias("n1")).join(two(sizes, F.col("n").alias("n2")), "gene").where("cluster1 < cluster2")
+    return pairs.join(shared, keys, "left").select(*keys, (F.col("n1") + F.col("n2") - F.coalesce("k", F.lit(0))).alias("n"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sequences
 from ..operators import barcodes, intervals, molecules, quant, splicing, variants
+from ..sources import tables
 
 
 def extract_reads(alignments: DataFrame, skip_chimeric: bool = False) -> DataFrame:
@@ -42,13 +43,13 @@ def quantify(found: DataFrame, cells: DataFrame | None = None, categories: str |
     """gene, cluster, bc, trans, abundance of the molecules of one gene; cells: bc, cluster."""
     rows = molecules.keep_elements(found, ["reads", "categories", "splices"], categories) if categories else found
     rows = rows.where("size(genes) = 1 and genes[0] <> 'NA' and not array_contains(trans, 'NA')").withColumn("gene", F.col("genes")[0])
-    rows = rows.join(F.broadcast(cells), "bc") if cells is not None else rows.withColumn("cluster", F.lit("cluster_0"))
+    rows = rows.join(cells, "bc") if cells is not None else rows.withColumn("cluster", F.lit("cluster_0"))
     return quant.abundance(rows.select("gene", "cluster", "bc", "trans"), extra=["bc"])
 
 
 def allele_table(found: DataFrame, haps: DataFrame, cells: DataFrame, by_read: bool = False) -> DataFrame:
     """cluster, gene, trans, h1, h2, unphased, total of molecules (or reads) of one gene and transcript."""
-    single = found.where("size(trans) = 1 and size(genes) = 1").select("bc", "umi", F.col("trans")[0].alias("trans"), F.col("genes")[0].alias("gene"), "reads").where("trans <> 'NA'").join(F.broadcast(cells), "bc")
+    single = found.where("size(trans) = 1 and size(genes) = 1").select("bc", "umi", F.col("trans")[0].alias("trans"), F.col("genes")[0].alias("gene"), "reads").where("trans <> 'NA'").join(cells, "bc")
     each = single.select("*", F.explode_outer("reads").alias("qname")).join(haps, "qname", "left")
     keys = ["bc", "umi", "cluster", "gene", "trans"]
     votes = each if by_read else splicing.majority(each, [*keys, "reads"]).drop("h1", "h2")
@@ -66,7 +67,65 @@ def traits_of_genes(genes: DataFrame, snps: DataFrame, catalog: DataFrame, ld: D
 
 def split_compatibility(compatible: DataFrame, spans: DataFrame) -> DataFrame:
     """Rows of the read-isoform table once for each chromosome of their transcripts; null where none is known."""
-    place = compatible.select("*", F.explode_outer("trans").alias("_t")).join(F.broadcast(spans.select(F.col("trans").alias("_t"), "chrom")), "_t", "left")
+    place = compatible.select("*", F.explode_outer("trans").alias("_t")).join(spans.select(F.col("trans").alias("_t"), "chrom"), "_t", "left")
     rows = place.select(*compatible.columns, "chrom").distinct()
     known = F.count("chrom").over(Window.partitionBy("qname"))
     return rows.withColumn("_k", known).where("chrom is not null or _k = 0").drop("_k")
+
+
+def write_matrices(found: DataFrame, folder: str, names: DataFrame, cells: DataFrame | None = None, haps: DataFrame | None = None, categories: str | None = None) -> None:
+    """Gene and transcript matrices of molecules, in folders ``gene`` and ``transcript``, or one pair for each allele.
+
+    names: gene, gene_name, trans. haps: qname, hap; then a molecule counts for the allele that most of its reads vote for, or none.
+    """
+    if haps is None:
+        tables_ = {"": quantify(found, cells, categories)}
+    else:
+        voted = splicing.majority(found.select("*", F.explode_outer("reads").alias("qname")).join(haps, "qname", "left"), found.columns).drop("h1", "h2")
+        tables_ = {f"_haplotype_{h}": quantify(voted.where(F.col("hap") == h).drop("hap"), cells, categories) for h in ("H1", "H2", "none")}
+    for suffix, rows in tables_.items():
+        genes = rows.groupBy("gene", "bc").agg(F.sum("abundance").alias("value"))
+        trans = rows.groupBy("trans", "bc").agg(F.sum("abundance").alias("value"))
+        tables.write_10x(quant.sparse(genes), f"{folder}/gene{suffix}", names=names.select(F.col("gene").alias("feature"), F.col("gene_name").alias("name")))
+        tables.write_10x(quant.sparse(trans, "trans"), f"{folder}/transcript{suffix}", "trans")
+        tables.write_gene_to_trans(names.join(rows.select("trans").distinct(), "trans", "left_semi"), f"{folder}/transcript{suffix}")
+
+
+def joined(rows: DataFrame, keys: list[str], columns: list[str], order: str = "trans") -> DataFrame:
+    """keys, and each column's values joined by commas in the order of ``order``."""
+    items = F.array_sort(F.collect_list(F.struct(order, *(c for c in columns if c != order))))
+    listed = lambda c: F.array_join(F.transform(F.col(f"_z.{c}"), lambda x: x.cast("string")), ",").alias(c)
+    return rows.groupBy(*keys).agg(items.alias("_z")).select(*keys, *map(listed, columns))
+
+
+def cell_type_splicing(matrix: DataFrame, names: DataFrame, cells: DataFrame, wanted: DataFrame | None = None, least: int = 10, kept: int = 2, all_transcripts: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(genes, transcripts): what is spliced otherwise in two cell types, with the columns of the result tables.
+
+    matrix: feature (transcript), bc, value; names: trans, gene, gene_name; cells: bc, cluster. ``wanted`` genes are picked after the
+    false discovery rate is found over all.
+    """
+    rows = matrix.withColumnRenamed("feature", "trans").join(names, "trans").join(cells, "bc")
+    counts = rows.groupBy("cluster", "gene", "trans").agg(F.sum("value").alias("value"))
+    genes = splicing.differential(counts, least, kept).where("significant")
+    if wanted is not None:
+        genes = genes.join(wanted.select("gene").distinct(), "gene", "left_semi")
+    keys = ["cluster1", "cluster2", "gene"]
+    titles = names.groupBy("gene").agg(F.min("gene_name").alias("gene_name"))
+    by = Window.partitionBy(*keys)
+    pairs = splicing.each_against_rest(splicing.pair_counts(counts, least, kept), keys).join(genes.select(*keys, F.col("fdr"), F.col("delta").alias("max_delta")), keys).join(titles, "gene")
+    pairs = pairs.withColumns({"ratio1": F.col("n1") / F.sum("n1").over(by), "ratio2": F.col("n2") / F.sum("n2").over(by)})
+    lists = joined(pairs, [*keys, "gene_name", "fdr", "max_delta"], ["trans", "n1", "n2", "ratio1", "ratio2"])
+    head = ["gene", "gene_name", "fdr", "max_delta", "trans", "n1", "n2", "ratio1", "ratio2", "cluster1", "cluster2"]
+    each = pairs.withColumn("delta", F.abs(F.col("ratio1") - F.col("ratio2")))
+    each = each if all_transcripts else each.where(F.col("p") <= splicing.P)
+    tail = ["gene", "gene_name", "trans", "fdr", "p", "delta", "n1", "n2", "ratio1", "ratio2", "cluster1", "cluster2"]
+    return lists.select(*head).toDF(*tables.SPLICED_GENES), each.select(*tail).toDF(*tables.SPLICED_TRANSCRIPTS)
+
+
+def splicing_from_files(spark, matrix: str, clusters: str, prefix: str, wanted: str | None = None, **options) -> None:
+    """From a written transcript matrix and a list of cells to both result tables."""
+    names = tables.gene_to_trans(spark, f"{matrix}/gene_to_trans.tsv*")
+    values = tables.matrix_10x(spark, matrix).select("feature", "bc", "value")
+    genes, trans = cell_type_splicing(values, names, tables.clusters(spark, clusters), tables.gene_list(spark, wanted) if wanted else None, **options)
+    tables.write_tsv(genes, f"{prefix}_cell_specific_spliced_genes.tsv")
+    tables.write_tsv(trans, f"{prefix}_cell_specific_spliced_transcripts.tsv")

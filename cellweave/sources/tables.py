@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.molecules import compatibility
+from ..operators.partitioning import numbered
+
+# The column names of the file formats.
 READ_FIELDS = "qname string, chrom string, start int, end int, bc string, umi string, bu string, is_perfect string, ts_tag string"
 MOLECULE_FIELDS = ["CellBarcode", "UMI", "ReadCount", "TranscriptID", "GeneID", "GeneName", "ReadNames", "TransCate", "SpliceTag"]
+GENE_FIELDS = ["gene_id", "gene_name", "transcript"]
+SPLICED_GENES = ["gene_id", "gene_name", "gene_fdr", "max_delta_ratio", "transcript_ids", "cell1_counts", "cell2_counts", "cell1_ratios", "cell2_ratios", "cell_type1", "cell_type2"]
+SPLICED_TRANSCRIPTS = ["gene_id", "gene_name", "transcript_id", "gene_fdr", "transcript_pval", "delta_ratio", "count1", "count2", "ratio1", "ratio2", "cell_type1", "cell_type2"]
+CATALOG_FIELDS = {"CHR_ID": "chrom", "CHR_POS": "pos", "SNPS": "snps", "MAPPED_GENE": "mapped", "EFO term": "trait", "Parent term": "parent", "P-VALUE": "p"}
 
 
 def lines(spark: SparkSession, path: str | list[str], comment: str = "#") -> DataFrame:
@@ -33,22 +41,35 @@ def reads_tsv(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def barcode_list(spark: SparkSession, path: str | list[str], length: int = 16) -> DataFrame:
-    """bc, each once, of a list whose lines may go on after a dash, space or tab."""
-    return lines(spark, path).select(F.split(F.trim("value"), r"[- \t]")[0].alias("bc")).where(F.length("bc") == length).distinct()
+    """bc, rank: each once, by its first line, of a list whose lines may go on after a dash, space or tab."""
+    rows = lines(spark, path).select(F.split(F.trim("value"), r"[- \t]")[0].alias("bc"), F.monotonically_increasing_id().alias("_at")).where(F.length("bc") == length)
+    return numbered(rows.groupBy("bc").agg(F.min("_at").alias("_at")), "_at", "rank").select("bc", (F.col("rank") + 1).alias("rank"))
 
 
-def compatibility_tsv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def compatibility_tsv(spark: SparkSession, path: str | list[str], known: DataFrame | None = None) -> DataFrame:
     """qname, sample, category, trans of either kind of read-isoform table, told apart by its columns.
 
-    Three: the first equal match is full length, else all compatible ones are partial. Four: as listed.
+    Three: the first equal match is full length, else all compatible ones are partial. Four: as listed. Where
+    ``known`` transcripts are given, others are taken out, and reads that are left with none.
     """
     f = F.col("f")
     rows = lines(spark, path).select(F.split("value", "\t").alias("f")).where(F.size("f").isin(3, 4) & (f[0] != "readId"))
-    names = lambda c: F.filter(F.split(c, ","), lambda x: (x != "") & (x != "NA"))
-    three, full = F.size("f") == 3, f[1] != "NA"
-    trans = F.when(three & full, F.slice(names(f[1]), 1, 1)).when(three, names(f[2])).otherwise(names(F.get("f", F.lit(3))))
-    category = F.when(three & full, "FullLen").when(three, "Partial").otherwise(f[2])
-    return rows.select(f[0].alias("qname"), F.when(~three, f[1]).alias("sample"), category.alias("category"), trans.alias("trans")).where((F.size("trans") > 0) | F.col("sample").isNotNull())
+    names = lambda c: F.filter(F.transform(F.split(c, ","), lambda x: F.trim(x)), lambda x: (F.trim(x) != "") & (F.trim(x) != "NA"))
+    three = F.size("f") == 3
+    rows = rows.withColumns({"_equal": f[1], "_all": f[2]})
+    both = rows.select("f", *compatibility("_equal", "_all"))
+    trans = F.when(three, F.col("trans")).otherwise(names(F.get("f", F.lit(3))))
+    found = both.select(f[0].alias("qname"), F.when(~three, f[1]).alias("sample"), F.when(three, F.col("category")).otherwise(f[2]).alias("category"), trans.alias("trans"))
+    found = found.where((F.size("trans") > 0) | F.col("sample").isNotNull())
+    return found if known is None else among(found, known)
+
+
+def among(compatible: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows with their transcripts that ``known`` (column trans) lists, in their order; rows left without any go."""
+    lists = compatible.select("trans").distinct()
+    each = lists.select(F.col("trans").alias("_all"), F.posexplode("trans").alias("_i", "_t")).join(known.select(F.col("trans").alias("_t")).distinct(), "_t", "left_semi")
+    kept = each.groupBy(F.col("_all").alias("trans")).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_t"))), lambda x: x["_t"]).alias("_kept"))
+    return compatible.join(kept, "trans").withColumn("trans", F.col("_kept")).select(*compatible.columns)
 
 
 def gtf(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -62,7 +83,7 @@ def gtf(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def transcripts(annotation: DataFrame) -> DataFrame:
     """trans, gene, gene_name, chrom, start, stop; a missing name is the gene's own line's, else its id."""
     names = annotation.where("feature = 'gene'").groupBy("gene").agg(F.min("gene_name").alias("_own"))
-    rows = annotation.where("feature = 'transcript' and trans is not null").join(F.broadcast(names), "gene", "left")
+    rows = annotation.where("feature = 'transcript' and trans is not null").join(names, "gene", "left")
     return rows.select("trans", "gene", F.coalesce("gene_name", "_own", "gene").alias("gene_name"), "chrom", "start", "stop").dropDuplicates(["trans"])
 
 
@@ -72,15 +93,17 @@ def exons(annotation: DataFrame) -> DataFrame:
 
 
 def clusters(spark: SparkSession, path: str, default: str = "cluster_0") -> DataFrame:
-    """bc without its suffix, and its cluster; lists of one column are one cluster."""
+    """bc without its suffix, and its cluster, the last that is listed; lists of one column are one cluster."""
     f = F.split("value", "\t")
-    rows = lines(spark, path).select(F.split(f[0], "-")[0].alias("bc"), F.coalesce(F.get(f, F.lit(1)), F.lit(default)).alias("cluster"))
-    return rows.groupBy("bc").agg(F.max("cluster").alias("cluster"))
+    rows = lines(spark, path).select(F.split(f[0], "-")[0].alias("bc"), F.coalesce(F.get(f, F.lit(1)), F.lit(default)).alias("cluster"), F.monotonically_increasing_id().alias("_at"))
+    return rows.groupBy("bc").agg(F.max_by("cluster", "_at").alias("cluster"))
 
 
 def haplotypes(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """qname, hap of the reads with an allele; of several lines of a read the last counts."""
     f = F.split("value", "\t")
-    return lines(spark, path).select(f[0].alias("qname"), f[1].alias("hap")).where("hap <> 'none'").dropDuplicates(["qname"])
+    rows = lines(spark, path).select(f[0].alias("qname"), f[1].alias("hap"), F.monotonically_increasing_id().alias("_at")).where("hap <> 'none'")
+    return rows.groupBy("qname").agg(F.max_by("hap", "_at").alias("hap"))
 
 
 def vcf(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -92,6 +115,48 @@ def vcf(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return rows.select(F.nullif(F.col("f")[2], F.lit(".")).alias("snp"), F.regexp_replace(F.col("f")[0], "^chr", "").alias("chrom"), F.col("f")[1].cast("long").alias("pos"), hap.alias("hap")).where("hap is not null")
 
 
+def gene_to_trans(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """trans, gene, gene_name of the table beside a transcript matrix; of several genes of a transcript the first."""
+    f = F.split(F.trim("value"), r"\s+")
+    rows = lines(spark, path).select(f.alias("f"), F.monotonically_increasing_id().alias("_at")).where((F.size("f") >= 3) & (F.col("f")[0] != GENE_FIELDS[0]))
+    first = rows.groupBy(F.col("f")[2].alias("trans")).agg(F.min_by("f", "_at").alias("f"))
+    return first.select("trans", F.col("f")[0].alias("gene"), F.col("f")[1].alias("gene_name"))
+
+
+def catalog(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """chrom, pos, snps, mapped, trait, parent, p of a trait catalog with a header; rows without a position go."""
+    rows = spark.read.option("sep", "\t").option("header", True).csv(path)
+    kinds = {"pos": "long", "p": "double"}
+    return rows.select(*(F.expr(f"try_cast(`{c}` as {kinds.get(n, 'string')})").alias(n) for c, n in CATALOG_FIELDS.items())).where("pos is not null")
+
+
+def linkage(spark: SparkSession, path: str | list[str], least: float = 0.0) -> DataFrame:
+    """snp_a, snp_b, r2 of a linkage table with a header and these three columns first."""
+    rows = spark.read.option("sep", "\t").option("header", True).csv(path)
+    a, b, r2 = rows.columns[:3]
+    return rows.select(F.col(a).alias("snp_a"), F.col(b).alias("snp_b"), F.expr(f"try_cast(`{r2}` as double)").alias("r2")).where(F.col("r2") > least)
+
+
+def positions(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """rsid, chrom (without chr), pos of a table of known variants with a header and these three columns first."""
+    rows = spark.read.option("sep", "\t").option("header", True).csv(path)
+    a, b, c = rows.columns[:3]
+    return rows.select(F.col(a).alias("rsid"), F.regexp_replace(F.col(b), "^chr", "").alias("chrom"), F.expr(f"try_cast(`{c}` as long)").alias("pos")).where("pos is not null")
+
+
+def region(text: str | None) -> tuple[str | None, int | None, int | None]:
+    """(chromosome, start, stop) of ``chrom`` or ``chrom:start-stop``; what is not given is None."""
+    if not text:
+        return None, None, None
+    chrom, colon, span = text.partition(":")
+    if not colon:
+        return chrom, None, None
+    start, dash, stop = span.partition("-")
+    if not (dash and start.isdigit() and stop.isdigit()):
+        raise ValueError(f"{text!r} is no region: chrom or chrom:start-stop")
+    return chrom, int(start), int(stop)
+
+
 def gene_list(spark: SparkSession, path: str) -> DataFrame:
     """gene, from the column whose head names it, else from the first."""
     first = [r.value for r in spark.read.text(path).limit(1).collect()]
@@ -143,22 +208,51 @@ def write_molecules(found: DataFrame, path: str) -> None:
     write_tsv(found.select(*(c.alias(n) for c, n in zip(columns, MOLECULE_FIELDS))), path)
 
 
+def write_barcodes(ranks: DataFrame, path: str) -> None:
+    """Barcodes with rank and molecules (bc, rank, umi_count), in the order of their ranks."""
+    rows = ranks.select(F.col("bc").alias("BC"), F.col("rank").alias("Rank"), F.col("umi_count").alias("UMICount"))
+    write_tsv(rows.repartitionByRange("Rank").sortWithinPartitions("Rank"), path)
+
+
+def merged_molecules(spark: SparkSession, paths: list[str], path: str) -> None:
+    """Molecule tables of several runs as one, with one kind of header and every line as it stands."""
+    heads = [h for h in (MOLECULE_FIELDS[0], "#" + MOLECULE_FIELDS[0])]
+    rows = spark.read.text(paths).where(~F.split("value", "\t")[0].isin(heads) & (F.length("value") > 0))
+    write_tsv(rows.select(*(F.split("value", "\t")[i].alias(n) for i, n in enumerate(MOLECULE_FIELDS))), path)
+
+
+def merged_alignments(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Alignments of several files as one table, in the order of chromosome and start, unplaced ones last."""
+    rows = sam(spark, paths)
+    return rows.repartitionByRange(F.col("chrom") == "*", "chrom", "start").sortWithinPartitions(F.col("chrom") == "*", "chrom", "start")
+
+
+def write_gene_to_trans(genes: DataFrame, folder: str) -> None:
+    """genes: gene, gene_name, trans."""
+    write_tsv(genes.select(*(F.col(c).alias(n) for c, n in zip(("gene", "gene_name", "trans"), GENE_FIELDS))).distinct(), f"{folder}/gene_to_trans.tsv", True)
+
+
 def molecules_tsv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     rows = spark.read.option("sep", "\t").option("header", True).csv(path)
     lists = [F.split(n, ",").alias(a) for n, a in zip(MOLECULE_FIELDS[3:], ("trans", "genes", "names", "reads", "categories", "splices"))]
     return rows.select(F.col("CellBarcode").alias("bc"), F.col("UMI").alias("umi"), F.col("ReadCount").cast("int").alias("n_reads"), *lists)
 
 
-def write_10x(rows: DataFrame, folder: str) -> None:
-    """Indexed values (feature_idx, cell_idx, names, value) as matrix, features and barcodes, each one sorted text."""
+def write_10x(rows: DataFrame, folder: str, feature: str = "gene", cell: str = "bc", names: DataFrame | None = None) -> None:
+    """Indexed values (feature_idx, cell_idx, feature, cell, value) as matrix, features (id and name) and barcodes, each one sorted text.
+
+    names: feature, name; a feature without one has its id as name.
+    """
     n = rows.agg(F.max("feature_idx").alias("i"), F.max("cell_idx").alias("j"), F.count("*").alias("n")).first()
     spark = rows.sparkSession
     head = spark.createDataFrame([(0, "%%MatrixMarket matrix coordinate real general"), (1, f"{n.i or 0} {n.j or 0} {n.n}")], "_o long, value string")
     body = rows.select((F.lit(2) + F.col("cell_idx")).cast("long").alias("_o"), F.concat_ws(" ", "feature_idx", "cell_idx", "value").alias("value"))
     one = lambda d, name: d.coalesce(1).sortWithinPartitions("_o").select("value").write.option("compression", "gzip").text(f"{folder}/{name}")
     one(head.union(body), "matrix.mtx")
-    one(rows.select(F.col("feature_idx").cast("long").alias("_o"), F.col("gene").cast("string").alias("value")).distinct(), "features.tsv")
-    one(rows.select(F.col("cell_idx").cast("long").alias("_o"), F.col("bc").cast("string").alias("value")).distinct(), "barcodes.tsv")
+    ids = rows.select("feature_idx", F.col(feature).cast("string").alias("feature")).distinct()
+    ids = ids.withColumn("name", F.col("feature")) if names is None else ids.join(names.select("feature", "name").dropDuplicates(["feature"]), "feature", "left")
+    one(ids.select(F.col("feature_idx").cast("long").alias("_o"), F.concat_ws("\t", "feature", F.coalesce("name", "feature")).alias("value")), "features.tsv")
+    one(rows.select(F.col("cell_idx").cast("long").alias("_o"), F.col(cell).cast("string").alias("value")).distinct(), "barcodes.tsv")
 
 
 def write_by(rows: DataFrame, path: str, key: str, missing: str = "unassigned") -> None:

@@ -70,7 +70,7 @@ def test_aligned_lists(spark):
 
 def test_chimeric_names(spark):
     rows = spark.createDataFrame([("q", 0, 1), ("q", 2048, 2), ("q", 2064, 3)], "qname string, flag int, at int")
-    assert sorted((r.qname, r.flag) for r in molecules.rename_chimeric(rows, order=["at"]).collect()) == [("q", 0), ("q_r0x1", 0), ("q_r0x2", 16)]
+    assert sorted((r.qname, r.flag) for r in molecules.rename_chimeric(rows, place="at").collect()) == [("q", 0), ("q_r0x1", 0), ("q_r0x2", 16)]
 
 
 def test_abundance(spark):
@@ -144,3 +144,71 @@ def test_points_in_ranges(spark):
     points = spark.createDataFrame([("c", p) for p in range(0, 100, 7)], "chrom string, pos long")
     ranges = spark.createDataFrame([("c", 5, 30), ("c", 29, 29)], "chrom string, lo long, hi long")
     assert sorted((r.pos, r.lo) for r in intervals.points_in_ranges(points, ranges, bin_size=10).collect()) == [(7, 5), (14, 5), (21, 5), (28, 5)]
+
+
+def test_repeated_reads_each_keep_their_cell(spark):
+    refs = spark.createDataFrame([("ATCACGACACTTTAGG",), ("ATCACGACACTTTAGG",), ("GGCATTACAGATCACA",)], "ref string")
+    rows = [("r1", "ATCACGACACTTTAGC", "A" * 12, "ATCACGACACTTTAGC" + "A" * 12 + "TTT", {"k": "v"})] * 2 + [("r2", "ATCACGACACTTTAGG", "C" * 12, "", {})] * 2 + [("r3", None, None, None, {})]
+    reads = spark.createDataFrame(rows, "qname string, bc string, umi string, bu string, tags map<string,string>")
+    found = sorted((r.qname, r.cell, r.ed) for r in barcodes.assign(reads, refs).collect())
+    assert found == [("r1", "ATCACGACACTTTAGG", 1)] * 2 + [("r2", "ATCACGACACTTTAGG", 0)] * 2
+
+
+def test_ranks_number_all_rows(spark):
+    rng = random.Random(2)
+    names = sorted({"".join(rng.choices("ACGT", k=8)) for _ in range(500)})
+    rows = [(n, rng.choice([1, 1, 1, 2, 7])) for n in names]
+    found = barcodes.ranked(spark.createDataFrame(rows, "bc string, umi_count long")).orderBy("rank").collect()
+    assert [(r.bc, r.umi_count, r.rank) for r in found] == [(b, c, i + 1) for i, (b, c) in enumerate(sorted(rows, key=lambda r: (-r[1], r[0])))]
+
+
+def test_places_in_a_file(spark):
+    rows = [(i * 700, "q", 2048 if i % 3 else 4) for i in range(300)]
+    found = molecules.rename_chimeric(spark.createDataFrame(rows, "place long, qname string, flag int")).orderBy("place").collect()
+    assert [r.qname for r in found] == [f"q_r{hex(i)}" for i in range(200)] and {r.flag for r in found} == {0}
+
+
+def plain_cluster(tags, most):
+    """As ``molecules.cluster``, against every earlier node."""
+    from cellweave.functions.sequences import search
+
+    tags, nodes = sorted(tags, key=lambda t: (-len(t[1]), not any(r[2] for r in t[1]))), []
+    for umi, reads in tags:
+        named = [(r[0], r[1] or frozenset(["NA"]), bool(r[1])) for r in reads]
+        common = frozenset.intersection(*(t for _, t, _ in named))
+        for names, trans, open_ in [([n for n, _, _ in named], common, True)] if common else [([n], t, k) for n, t, k in sorted(named, key=lambda r: len(r[1]))]:
+            near = [(search(umi, o["umi"], most)[0], i) for i, o in enumerate(nodes) if open_ and o["open"] and trans & o["trans"]]
+            near = [x for x in near if 0 <= x[0] < len(umi)]
+            nodes.append({"umi": umi, "trans": trans, "open": open_, "head": len(nodes), "all": list(names)})
+            if near:
+                parent = nodes[min(near)[1]]
+                head, shared = nodes[parent["head"]], trans & parent["trans"]
+                nodes[-1]["trans"] = parent["trans"] = head["trans"] = shared
+                nodes[-1]["head"] = parent["head"]
+                head["all"] += names
+                nodes[-1]["open"] = parent["open"] = head["open"] = shared != {"NA"}
+    return [(n["umi"], sorted(n["trans"]), n["all"]) for i, n in enumerate(nodes) if n["head"] == i]
+
+
+def test_clusters_against_all_pairs():
+    rng = random.Random(4)
+    for _ in range(60):
+        umis = {"".join(rng.choices("AC", k=rng.choice([5, 6, 6, 6, 7]))) for _ in range(25)}
+        tags = [(u, [(f"{u}{i}", frozenset(rng.sample(["T1", "T2", "T3"], rng.randrange(3))), rng.random() < 0.5) for i in range(rng.randrange(1, 4))]) for u in sorted(umis)]
+        for most in (1, 2):
+            assert molecules.cluster(tags, most) == plain_cluster(tags, most)
+
+
+def test_genes_of_equal_molecules(spark):
+    genes = spark.createDataFrame([("T1", "G1"), ("T2", "G1"), ("T3", "G3")], "trans string, gene string")
+    rows = spark.createDataFrame([("A", ["T3", "T1", "T2"]), ("A", ["T3", "T1", "T2"]), ("B", ["T9"]), ("C", []), ("D", None)], "bc string, trans array<string>")
+    found = sorted((r.bc, r.genes) for r in molecules.bc_umi_table(rows, genes).where("bc < 'D'").collect())
+    assert found == [("A", ["G3", "G1"])] * 2 + [("B", ["NA"]), ("C", ["NA"])] and molecules.bc_umi_table(rows, genes).count() == 5
+    spans = spark.createDataFrame([("T1", "1", 10, 20), ("T9", "2", 10, 20)], "trans string, chrom string, start int, stop int")
+    assert sorted(r.bc for r in molecules.in_region(rows, spans, "1", 15, 30).collect()) == ["A", "A"]
+
+
+def test_hull_of_wanted_genes(spark):
+    rows = spark.createDataFrame([("A", "1", 5, 9, "+", 1), ("A", "2", 1, 7, "-", 2), ("B", "1", 1, 2, "+", 3)], "gene string, chrom string, start int, stop int, strand string, line int")
+    assert [tuple(r) for r in variants.gene_hull(rows, wanted=rows.where("gene = 'A'"), more=["strand"], last="line").collect()] == [("A", "2", 1, 9, "-")]
+    assert [r.parent for r in variants.diseases(spark.createDataFrame([("Cancer",), ("Body measurement",)], "parent string")).collect()] == ["Cancer"]

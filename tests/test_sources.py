@@ -93,3 +93,46 @@ def test_stream_counts_each_tag_once(spark, tmp_path):
     run.processAllAvailable()
     run.stop()
     assert [tuple(r) for r in spark.table("counts").collect()] == [("ATCACGACACTTTAGG", 2)]
+
+
+def test_the_last_line_counts(spark, tmp_path):
+    assert [tuple(r) for r in tables.clusters(spark, put(tmp_path, "k.tsv", "A\tx\nA\ty\nA\tb\n")).collect()] == [("A", "b")]
+    assert [tuple(r) for r in tables.haplotypes(spark, put(tmp_path, "h.tsv", "q\tH1\nq\tH2\nq\tnone\n")).collect()] == [("q", "H2")]
+    assert [tuple(r) for r in tables.barcode_list(spark, put(tmp_path, "b.tsv", "TT\nAA\nTT\nCC\n"), 2).orderBy("rank").collect()] == [("TT", 1), ("AA", 2), ("CC", 3)]
+
+
+def test_known_transcripts(spark, tmp_path):
+    path = put(tmp_path, "c.tsv", "q1\tT1\tT3\nq2\tNA\tT9, T4,T3\nq3\ts\tFSM\tT5\n")
+    known = spark.createDataFrame([("T3",), ("T4",), ("T1",)], "trans string")
+    assert {r.qname: r.trans for r in tables.compatibility_tsv(spark, path, known).collect()} == {"q1": ["T1"], "q2": ["T4", "T3"]}
+
+
+def test_regions():
+    assert tables.region(None) == (None, None, None) and tables.region("chr1") == ("chr1", None, None) and tables.region("chr1:5-90") == ("chr1", 5, 90)
+    with pytest.raises(ValueError):
+        tables.region("chr1:5")
+
+
+def test_variant_tables(spark, tmp_path):
+    head = "DATE\tCHR_ID\tCHR_POS\tSNPS\tMAPPED_GENE\tEFO term\tParent term\tP-VALUE\n"
+    rows = tables.catalog(spark, put(tmp_path, "g.tsv", head + "x\t1\t500\trs1-A\tCD3\tflu\tCancer\t1e-9\nx\t1\t\trs2\tCD3\tflu\tCancer\t1e-9\n")).collect()
+    assert [tuple(r) for r in rows] == [("1", 500, "rs1-A", "CD3", "flu", "Cancer", 1e-9)]
+    assert [tuple(r) for r in tables.linkage(spark, put(tmp_path, "l.tsv", "A\tB\tR2\nrs1\trs2\t0.9\nrs1\trs3\t0\n")).collect()] == [("rs1", "rs2", 0.9)]
+    assert [tuple(r) for r in tables.positions(spark, put(tmp_path, "p.tsv", "id\tchr\tpos\nrs1\tchr2\t7\n")).collect()] == [("rs1", "2", 7)]
+
+
+def test_merged_molecule_tables(spark, tmp_path):
+    line = lambda u: "\t".join(["A", u, "1", "T", "G", "N", "r" + u, "Partial", "Y"])
+    paths = [put(tmp_path, f"{i}.tsv", "#" + "\t".join(tables.MOLECULE_FIELDS) + "\n" + line(f"u{i}") + "\n") for i in (1, 2)]
+    tables.merged_molecules(spark, paths, f"file://{tmp_path}/out")
+    assert sorted(r.umi for r in tables.molecules_tsv(spark, f"file://{tmp_path}/out").collect()) == ["u1", "u2"]
+
+
+def test_merged_alignments(spark, tmp_path):
+    paths = [put(tmp_path, "a.sam", alignment("r1", "A" * 16, "C" * 12, start=70) + "\n"), put(tmp_path, "b.sam", alignment("r2", "A" * 16, "C" * 12, start=7) + "\n")]
+    assert [r.qname for r in tables.merged_alignments(spark, paths).collect()] == ["r2", "r1"]
+
+
+def test_written_ranks(spark, tmp_path):
+    tables.write_barcodes(spark.createDataFrame([("B", 4, 2), ("A", 9, 1)], "bc string, umi_count long, rank long"), f"file://{tmp_path}/ranks")
+    assert [tuple(r) for r in spark.read.option("sep", "\t").option("header", True).csv(f"file://{tmp_path}/ranks").collect()] == [("A", "1", "9"), ("B", "2", "4")]

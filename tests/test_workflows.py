@@ -60,3 +60,33 @@ def test_tagged_lines_and_molecule_table(spark, found, tmp_path):
     tables.write_molecules(found.withColumn("names", found.genes), f"file://{tmp_path}/m")
     again = tables.molecules_tsv(spark, f"file://{tmp_path}/m")
     assert sorted((r.bc, r.umi, r.n_reads, tuple(r.trans)) for r in again.collect()) == sorted((r.bc, r.umi, len(r.reads), tuple(r.trans)) for r in found.collect())
+
+
+def test_from_molecules_to_spliced_genes(spark, tmp_path):
+    """Molecules to matrices on disk, and from these to both result tables."""
+    rows = []
+    for bc, n1, n2 in (("A", 60, 10), ("B", 8, 70)):
+        rows += [(bc, f"{bc}{t}{i}", [t], ["G"], [f"{bc}{t}{i}"], ["FullLen"], ["Y"]) for t, n in (("T1", n1), ("T2", n2)) for i in range(n)]
+    found = spark.createDataFrame(rows, MOLECULES)
+    names = spark.createDataFrame([("G", "Name", "T1"), ("G", "Name", "T2")], "gene string, gene_name string, trans string")
+    cells = spark.createDataFrame([("A", "x"), ("B", "y")], "bc string, cluster string")
+    workflows.write_matrices(found, f"file://{tmp_path}/m", names, cells)
+    (tmp_path / "cells.tsv").write_text("A\tx\nB\ty\n")
+    folder = f"file://{tmp_path}/m/transcript"
+    assert sorted((r.feature, r.name) for r in tables.matrix_10x(spark, f"file://{tmp_path}/m/gene").select("feature", "name").distinct().collect()) == [("G", "Name")]
+    assert sorted(tuple(r) for r in tables.gene_to_trans(spark, f"{folder}/gene_to_trans.tsv*").collect()) == [("T1", "G", "Name"), ("T2", "G", "Name")]
+    workflows.splicing_from_files(spark, folder, f"file://{tmp_path}/cells.tsv", f"file://{tmp_path}/out")
+    read = lambda kind: spark.read.option("sep", "\t").option("header", True).csv(f"file://{tmp_path}/out_cell_specific_spliced_{kind}.tsv")
+    genes, trans = read("genes"), read("transcripts")
+    assert genes.columns == tables.SPLICED_GENES and trans.columns == tables.SPLICED_TRANSCRIPTS
+    (row,) = genes.collect()
+    assert (row.gene_id, row.transcript_ids, row.cell1_counts, row.cell2_counts, row.cell_type1) == ("G", "T1,T2", "60.0,10.0", "8.0,70.0", "x")
+    assert sorted(r.transcript_id for r in trans.collect()) == ["T1", "T2"]
+
+
+def test_matrices_of_alleles(spark, found, tmp_path):
+    haps = spark.createDataFrame([("r1", "H1"), ("r2", "H1"), ("r4", "H2")], "qname string, hap string")
+    names = spark.createDataFrame([("G", "Name", "T1"), ("G", "Name", "T2")], "gene string, gene_name string, trans string")
+    workflows.write_matrices(found, f"file://{tmp_path}/m", names, haps=haps)
+    cells = {h: sorted(r.bc for r in tables.matrix_10x(spark, f"file://{tmp_path}/m/gene_haplotype_{h}").collect()) for h in ("H1", "H2", "none")}
+    assert cells == {"H1": ["A"], "H2": ["B"], "none": ["A"]}
