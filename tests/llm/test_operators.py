@@ -363,10 +363,39 @@ def test_cascade_is_exact(spark):
     pages = spark.createDataFrame([(f"http://h{rng.randrange(400)}.x{rng.randrange(9)}.com/p{rng.randrange(30)}/q",) for _ in range(2000)] + [(None,), ("no",)], "url string")
     universe = sorted({k for r in pages.collect() for k in urls.keys_of(*urls.parts_of(r.url))})
     listed = set(rng.sample(universe, 300)) | {"never.seen/"}
-    cascade = urls.build(spark.createDataFrame([(k,) for k in [*listed, *list(listed)[:5], None]], "key string"), pages)
+    over = urls.Universe(pages, "url", 9, 9)
+    assert over.size() >= len(universe)
+    cascade = urls.build(spark.createDataFrame([(k,) for k in listed], "key string"), over)
     assert {k for k, yes in zip(universe, cascade.has(universe)) if yes} == listed & set(universe)
     assert len(cascade.levels) > 1 and cascade.has(["never.seen/"]).all()
-    assert not urls.build(spark.createDataFrame([], "key string"), pages).has(universe).any()
+    assert sum(len(x.words) for x in cascade.levels[1:]) < 8 * len(listed)
+    assert not urls.build(spark.createDataFrame([], "key string"), over).has(universe).any()
+
+
+def test_long_rule_lists_in_shards(spark):
+    """Lists that no level may hold at once are judged shard by shard, with the same verdicts."""
+    rng = random.Random(9)
+    host = lambda: ".".join(rng.choice(["a", "b", "c"]) for _ in range(rng.randrange(1, 4)))
+    path = lambda: "/" + "".join(f"{rng.choice('xyz')}/" for _ in range(rng.randrange(3)))
+    rules = {(host(), path()): rng.choice(["allow", "block"]) for _ in range(40)}
+    pages = spark.createDataFrame([(i, f"http://{host()}{path()}t") for i in range(500)], "page_id long, url string")
+    rows = [(*k, v) for k, v in rules.items()]
+    one = {r.page_id: r[2:] for r in urls.judge(pages, rows).collect()}
+    assert one == {r.page_id: r[2:] for r in urls.judge(pages, rows, most_bits=150).collect()}
+    for r in pages.collect():
+        h, p = urls.parts_of(r.url)
+        fits = [(-len(a + b), a + b, v) for (a, b), v in rules.items() if (h == a or h.endswith("." + a)) and p.startswith(b)]
+        assert one[r.page_id][2:] == (min(fits)[1:] if fits else (None, "allow"))
+
+
+def test_rules_of_any_kind(spark):
+    pages = spark.createDataFrame([(1, "http://" + "a." * 3000 + "com" + "/x" * 3000 + "/")], "page_id long, url string")
+    assert urls.judge(pages).first().rule == "com/"
+    with pytest.raises(ValueError, match="both"):
+        urls.judge(pages, [("com", "/", "allow"), ("com", "/", "block")])
+    with pytest.raises(ValueError, match="rename"):
+        urls.judge(pages.withColumnRenamed("page_id", "rule"))
+    assert urls.judge(pages, []).first().verdict == "allow" and urls.judge(pages, [("com", "/", "block")] * 2).first().verdict == "block"
 
 
 def test_rules(spark):
