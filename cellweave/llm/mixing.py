@@ -23,6 +23,11 @@ def n_words(text: str | Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+def salt_of(doc_id: str) -> Column:
+    """Part of a bucket, by a hash of an id of any type; null ids are one part."""
+    return F.pmod(F.conv(F.substring(F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), 1, 8), 16, 10).cast("long"), F.lit(SALTS))
+
+
 def targets(sizes: DataFrame, weights: list[int], most: int = 3) -> DataFrame:
     """source, source_size, target: all sizes shared by weight, no source above ``most`` times its own.
 
@@ -64,7 +69,7 @@ def mix(docs: DataFrame, weights: list[int] | None = None, most: int = 3, seed:
         raise ValueError(f"rename the columns {sorted(clash)} first")
     weights = weights or [1, 2, 3]
     amount = F.coalesce(F.col(size), F.lit(0)).cast("long")
-    rows = docs.withColumns({"_bucket": F.floor(F.sqrt(amount)), "_salt": F.pmod(F.coalesce(F.col(doc_id), F.lit(0)), F.lit(SALTS)), "_key": F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("null"))})
+    rows = docs.withColumns({"_bucket": F.floor(F.sqrt(amount)), "_salt": salt_of(doc_id), "_key": F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("null"))})
     counts = rows.groupBy("_key", "_bucket", "_salt").agg(F.count("*").alias("_n"), F.sum(amount).alias("_words"), F.first(source).alias("_source"))
     along = Window.partitionBy("_key").orderBy("_bucket", "_salt")
     places = counts.select("_key", "_bucket", "_salt", (F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_base"))
@@ -104,7 +109,7 @@ WITH sized AS (
     ('0x' || md5('7:' || k)[1:8])::BIGINT / 4294967296 AS shift
   FROM goals
 ), ranked AS (
-  SELECT doc_id, size, k, row_number() OVER (PARTITION BY k ORDER BY floor(sqrt(size)), doc_id % 64, size, doc_id) AS nth FROM named
+  SELECT doc_id, size, k, row_number() OVER (PARTITION BY k ORDER BY floor(sqrt(size)), ('0x' || md5(doc_id::VARCHAR)[1:8])::BIGINT % 64, size, doc_id) AS nth FROM named
 )
 SELECT doc_id, size, source_size, target,
   (size * (floor(nth * rate + shift) - floor((nth - 1) * rate + shift)))::BIGINT AS taken

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import need, stored
+from .shared import need, numbered_names, stored
 
 WORD = r"[\x20\x09-\x0D]+"
 SYMBOL, UPPER = "[#*$%&|<>]", "[A-ZÀ-ÖØ-Þ]"
@@ -136,10 +136,12 @@ def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The kept rows of docs, with its columns, as ``counted`` and ``verdicts`` say.
 
     Texts are counted once: rows are stored with their votes. Repeated rows stay or go alike; null
-    and empty texts go; an empty table gives no rows.
+    and empty texts go; an empty table gives no rows; other columns may have any name.
     """
-    rows = stored(counted(docs, text).select(*docs.columns, "base_failed", "pattern"), "voted")
-    return verdicts(rows).where("kept").select(*docs.columns)
+    need(docs, text)
+    plain, names = numbered_names(docs)
+    rows = stored(counted(plain, names[text]).select(*plain.columns, "base_failed", "pattern"), "voted")
+    return verdicts(rows).where("kept").select(*plain.columns).toDF(*docs.columns)
 
 
 def table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

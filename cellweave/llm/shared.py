@@ -21,9 +21,11 @@ SLICE_BYTES = 1 << 19
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder; a local one only where none is set (tests)."""
+    """A new path below the shared folder; a local one only where none is set and all runs on one machine (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='cellweave-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -42,6 +44,12 @@ def need(df: DataFrame, *columns: str) -> None:
         raise ValueError(f"missing columns {missing}; there are {df.columns}")
 
 
+def numbered_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """df with columns c0, c1, ... that no helper's name meets, and the new name of each old one; ``toDF(*df.columns)`` undoes it."""
+    names = [f"c{i}" for i in range(len(df.columns))]
+    return df.toDF(*names), dict(zip(df.columns, names))
+
+
 def free(df: DataFrame, name: str) -> str:
     """A name like this that no column of df has."""
     taken = {c.lower() for c in df.columns}

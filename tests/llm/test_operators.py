@@ -489,4 +489,4 @@ def test_quality_of_odd_rows(spark):
     assert quality.keep_good(docs).columns == docs.columns and quality.keep_good(docs).count() == 0
     assert quality.table(docs.limit(0)).count() == quality.keep_good(docs.limit(0)).count() == 0
     with pytest.raises(ValueError):
-        quality.keep_good(docs.withColumnRenamed("parts", "n_words"))
+        quality.counted(docs.withColumnRenamed("parts", "n_words"))

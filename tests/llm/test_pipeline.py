@@ -118,3 +118,28 @@ def test_packing_stage(tables):
     assert got == want
     placed.sort()
     assert placed[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(placed, placed[1:]))
+
+
+def test_stages_on_odd_rows(spark, sf_dir):
+    """Nulls in any column, empty texts, repeated rows, and columns with the names that stages use themselves."""
+    good = [" ".join("the" if i % 3 == 0 else f"w{chr(97 + k)}{chr(97 + i % 26)}{'abc' * (i % 2 + 1)}"[: 4 + i % 5] + chr(97 + i // 26) for i in range(60)) + "." for k in range(6)]
+    rows = [(1, good[0], None, "a"), (2, good[1], "s", None), (2, good[1], "s", None), (None, good[2], "s", "b"), (4, None, "s", "b"), (5, "", None, None), (6, " \n", "t", "c"), (7, good[3] * 2, "t", "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    docs = docs.withColumns({c: docs.lang for c in ("pattern", "size", "copies", "row", "_parts", "n_words", "kept", "key", "_salt")}).withColumn("n_chars", docs.doc_id)
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, sf_dir)
+        empty = stage(spark, docs.limit(0), sf_dir)
+        assert empty.count() == 0 and empty.columns == found.columns, name
+        if name != "packing":
+            assert found.columns == docs.columns, name
+        kept = collections.Counter((r.doc_id, r.text) for r in found.collect()) if name != "packing" else None
+        if name == "quality rules":
+            assert kept == collections.Counter({(1, good[0]): 1, (2, good[1]): 2, (None, good[2]): 1})
+        elif name == "near copies":
+            assert kept == collections.Counter([(1, good[0]), (2, good[1]), (None, good[2]), (4, None), (7, good[3] * 2)])
+        elif name == "repeated passages":
+            assert sum(kept.values()) == 8 and kept[(None, good[2])] == 1 and kept[(1, good[0])] == 1 and kept[(2, "")] == 2
+        elif name == "source mix":
+            assert all(n <= 6 for n in kept.values()) and (1, good[0]) in kept
+        else:
+            assert found.where("doc_id is null").count() == 1 and found.count() >= len(rows)
