@@ -30,8 +30,7 @@ def repeated_spans(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", te
     again = stored(hot_join(flagged(made(True)), flagged(shared.select("anchor")), ["anchor"], ["doc_id", "start"]), "runs")
     contents = again.groupBy("anchor", "content").agg(F.first("hot").alias("hot"), F.max("doc_id").alias("hi"), F.min(F.struct("doc_id", "start", "size")).alias("one"))
     contents = stored(contents.select("anchor", "content", "hot", "hi", "one.*"), "contents")
-    windows = repeats.window_rows(texts, contents, length, "doc_id", "text").join(contents.select("anchor", "content", "hot", "doc_id", "hi"), ["anchor", "content"])
-    windows = stored(windows, "windows")
+    windows = stored(repeats.window_rows(texts, contents, length, "doc_id", "text"), "windows")
     same = ["anchor", "window", "check"]
     least = windows.groupBy(*same).agg(F.min("doc_id").alias("least"), F.max("hi").alias("last"), F.first("hot").alias("hot")).where("least < last").drop("last")
     late = hot_join(windows, stored(least, "least"), same, ["content", "nth"]).where("hi > least")
