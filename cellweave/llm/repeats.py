@@ -84,7 +84,7 @@ def columns_of(parts: pa.ListArray, *names: str) -> tuple[np.ndarray, ...]:
 def window_rows(docs: DataFrame, wanted: DataFrame, length: int, doc_id: str, text: str) -> DataFrame:
     """anchor, content, hot, doc_id, hi, nth, window, check of each window of the wanted runs (doc_id, start, size, anchor, content, hot, hi).
 
-    Symbols are words. window: the polynomial (Rabin-Karp) hash of its words, from two prefix sums; check: XXH3 of
+    Symbols are words. window: the polynomial (Rabin-Karp) hash of its words, from two prefix sums; check: the low half of the XXH3 of
     the same words; nth: its place in the run.
     """
     lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("start", "size", "anchor", "content", "hot", "hi")).alias("parts"))
@@ -100,10 +100,11 @@ def window_rows(docs: DataFrame, wanted: DataFrame, length: int, doc_id: str, te
                 here = np.flatnonzero((at >= 0) & (at < int(first[-1]) - length + 1))
                 at, mine = at[here], owner[here]
                 check = np.array([xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip((at * item).tolist(), ((at + length) * item).tolist())], np.uint64)
-                made = [anchor[mine], content[mine], hot[mine].astype(bool), ids[row[mine]], hi[mine], nth[here], prefix.of(at, at + length).view(np.int64), check.view(np.int64)]
+                check = check.astype(np.uint32).view(np.int32)
+                made = [anchor[mine], content[mine], hot[mine].astype(bool), ids[row[mine]], hi[mine], nth[here], prefix.of(at, at + length).view(np.int64), check]
                 yield pa.record_batch([pa.array(x) for x in made], ["anchor", "content", "hot", "doc_id", "hi", "nth", "window", "check"])
 
-    return with_lists(docs, lists, doc_id, text, "inner").mapInArrow(run, "anchor long, content long, hot boolean, doc_id long, hi long, nth long, window long, check long")
+    return with_lists(docs, lists, doc_id, text, "inner").mapInArrow(run, "anchor long, content long, hot boolean, doc_id long, hi long, nth long, window long, check int")
 
 
 class Cut:

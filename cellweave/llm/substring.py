@@ -18,7 +18,7 @@ def repeated_spans(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", te
     """doc_id, start, stop: words of windows whose sequence also starts in a document with a smaller doc_id.
 
     Spans overlap. Rows with a null doc_id have no order and give none; repeated rows with one
-    doc_id are one document to each other. Windows are equal if their anchor, Rabin-Karp hash and XXH3 agree:
+    doc_id are one document to each other. Windows are equal if their anchor, Rabin-Karp hash and half of the XXH3 agree:
     none is left out, and unequal ones agree with a chance below 2^-64.
     """
     need(docs, doc_id, text)
