@@ -63,7 +63,16 @@ def knee_curve(spark, sf_dir):
     return curve.select("rank", "total", *(F.round(c, 9).alias(c) for c in ("x", "y", "diff")))
 
 
-@query()
+#: Step by step as the curve is walked: a top sets the bar one step below itself, a dip behind it lowers the bar to 0.
+KNEE = f"""{COUNTS}{TOTALS}, c AS (SELECT rank - 1 AS i, total, count(*) OVER () AS n, min(total) OVER () AS t0, max(total) OVER () AS t1 FROM totals),
+d AS (SELECT i, 1::DOUBLE / (n - 1) AS step, (total - t0) / (t1 - t0) - CASE WHEN i = n - 1 THEN 1 ELSE i * (1::DOUBLE / (n - 1)) END AS d FROM c),
+m AS (SELECT *, lag(d) OVER w AS before, lead(d) OVER w AS after FROM d WINDOW w AS (ORDER BY i)),
+k AS (SELECT *, coalesce(d >= before AND d >= after, FALSE) AS top, coalesce(d <= before AND d <= after AND NOT (d >= before AND d >= after), FALSE) AS dip FROM m),
+l AS (SELECT i, d, step, max(i) FILTER (top) OVER w AS top, max(i) FILTER (dip) OVER w AS dip FROM k WINDOW w AS (ORDER BY i ROWS UNBOUNDED PRECEDING)),
+knee AS (SELECT arg_min(top, l.i) + 1 AS cells FROM l LEFT JOIN (SELECT i, d AS height FROM d) h ON h.i = l.top WHERE d < CASE WHEN dip > top THEN 0 ELSE height - step END)"""
+
+
+@query(f"{KNEE} SELECT ranks.* FROM ranks, knee WHERE rank <= cells")
 def ref_barcodes_by_knee(spark, sf_dir):
     return barcodes.cells_by_knee(_ranks(spark, sf_dir))
 
@@ -126,7 +135,21 @@ def extract_bc_umi(spark, sf_dir):
     return _synthetic(spark, sf_dir).select("o_orderkey", *sequences.perfect_tag("seq"))
 
 
-@query()
+BROKEN = "CASE o_orderkey % 3 WHEN 1 THEN replace(seq, 'CTACACGACGC', 'CTACACGCGC') WHEN 2 THEN replace(seq, 'TCTTCCGATCT', 'TCTTCAGATCT') ELSE seq END"
+
+
+def best_end_sql(query_: str, target: str, most: int) -> str:
+    """The first end at which some substring of target is nearest to query; null beyond ``most`` edits."""
+    cells = f"SELECT s + n - 1 AS e, levenshtein({query_}, substr({target}, s, n)) AS d FROM range(1, length({target}) + 1) AS a(s), range(length({query_}) - {most}, length({query_}) + {most} + 1) AS b(n) WHERE s + n - 1 <= length({target})"
+    return f"(SELECT arg_min(e, d * 1000 + e) FROM ({cells}) WHERE d <= {most})"
+
+
+@query(f"""WITH o AS (SELECT o_orderkey, {sequence_sql('o_orderkey + 5', 9)} || {SYNTHETIC.format(a=sequences.ADAPTER, bc=sequence_sql('o_custkey', 16), umi=sequence_sql('o_orderkey', 12))} AS seq FROM orders),
+s AS (SELECT o_orderkey, {BROKEN} AS seq, instr({BROKEN}, '{sequences.ADAPTER}') > 0 AS exact FROM o),
+e AS (SELECT *, CASE WHEN exact THEN instr(seq, '{sequences.ADAPTER}') + 21 ELSE {best_end_sql(f"'{sequences.ADAPTER}'", 'seq', 6)} END AS e FROM s),
+q AS (SELECT *, coalesce(length(substr(seq, e + 1, 28)) = 28, FALSE) AS whole FROM e)
+SELECT o_orderkey, CASE WHEN whole THEN substr(seq, e + 1, 16) ELSE '' END AS bc, CASE WHEN whole THEN substr(seq, e + 17, 12) ELSE '' END AS umi, CASE WHEN whole THEN substr(seq, e + 1, 33) ELSE '' END AS bu,
+  exact AND whole AND substr(seq, e + 29, 10) = 'TTTTTTTTTT' AS is_perfect FROM q""")
 def approx_adapter_extract(spark, sf_dir):
     """Every third adapter loses or changes a base; the search finds it again."""
     broken = F.expr("case o_orderkey % 3 when 1 then replace(seq, 'CTACACGACGC', 'CTACACGCGC') when 2 then replace(seq, 'TCTTCCGATCT', 'TCTTCAGATCT') else seq end")
@@ -173,7 +196,10 @@ def edit_distance_histogram(spark, sf_dir):
     return _nearest(spark, sf_dir).groupBy("ed").agg(F.count("*").alias("n"))
 
 
-@query()
+@query(f"""{MUTATED}, r AS (SELECT *, bc || {sequence_sql('c_custkey', 12)} || 'TTTTT' AS bu FROM near), t AS (SELECT *, {best_end_sql('ref', 'bu', 2)} AS e FROM r WHERE ed > 0 OR bc <> ref),
+u AS (SELECT c_custkey, ref, ed, substr(bu, e + 1, 12) AS tag FROM t WHERE length(substr(bu, e + 1, 12)) = 12)
+SELECT c_custkey, ref AS cell, {sequence_sql('c_custkey', 12)} AS cell_umi, 0 AS ed FROM near WHERE bc = ref
+UNION ALL SELECT c_custkey, min(ref), min(tag), min(ed) FROM u WHERE c_custkey NOT IN (SELECT c_custkey FROM near WHERE bc = ref) GROUP BY c_custkey HAVING count(*) = 1""")
 def assign_with_recut(spark, sf_dir):
     seen, refs = _mutated(spark, sf_dir)
     tags = seen.withColumns({"umi": F.expr(sequence("c_custkey", 12)), "bu": F.concat("bc", F.expr(sequence("c_custkey", 12)), F.lit("TTTTT"))})
@@ -276,12 +302,28 @@ def _molecule_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads(spark, sf_dir).groupBy("bc", "umi", "gene", "cluster").agg(F.array_sort(F.collect_set("trans")).alias("trans"), F.min("hap").alias("hap"))
 
 
-@query()
+#: Rounds of expectation and maximisation for all genes and clusters side by side; each stops by itself, and the shares
+#: before its last round spread its molecules.
+EM = f"""WITH RECURSIVE {READS}, m AS (SELECT bc, umi, gene, cluster, list_sort(list_distinct(list(trans))) AS ts, min(hap) AS hap FROM reads GROUP BY bc, umi, gene, cluster),
+names AS (SELECT gene, list_sort(list_distinct(list(trans))) AS names FROM reads GROUP BY gene),
+sets AS (SELECT gene, cluster, names, list(struct_pack(n := n, m := list_transform(names, lambda t: list_contains(ts, t)::INT)) ORDER BY ts) AS sets, sum(n) AS total FROM (SELECT gene, cluster, ts, count(*) AS n FROM m GROUP BY ALL) JOIN names USING (gene) GROUP BY gene, cluster, names),
+em AS (
+  SELECT gene, cluster, 0 AS round, list_transform(names, lambda t: 1 / len(names)) AS share, list_transform(names, lambda t: 0::DOUBLE) AS prior, FALSE AS done FROM sets
+  UNION ALL
+  SELECT gene, cluster, round + 1, share, prior, list_sum(list_transform(range(1, len(share) + 1), lambda i: abs(share[i] - prior[i]))) < 1e-6 FROM (
+    SELECT gene, cluster, round, share AS prior, list_transform(range(1, len(names) + 1), lambda t: list_sum(list_transform(sets, lambda s: s.n * s.m[t] * share[t] / list_sum(list_transform(range(1, len(names) + 1), lambda u: s.m[u] * share[u])))) / total) AS share
+    FROM em JOIN sets USING (gene, cluster) WHERE NOT done AND round <= 10000)
+),
+shares AS (SELECT gene, cluster, unnest(names) AS trans, unnest(prior) AS share FROM (SELECT gene, cluster, arg_max(prior, round) AS prior FROM em GROUP BY gene, cluster) JOIN names USING (gene)),
+spread AS (SELECT r, gene, cluster, hap, trans, share / sum(share) OVER (PARTITION BY r) AS part FROM (SELECT r, gene, cluster, hap, unnest(ts) AS trans FROM (SELECT *, row_number() OVER () AS r FROM m)) JOIN shares USING (gene, cluster, trans))"""
+
+
+@query(f"{EM} SELECT gene, cluster, trans, round(sum(part), 6) AS abundance FROM spread GROUP BY gene, cluster, trans HAVING sum(part) > 0")
 def em_abundance(spark, sf_dir):
     return quant.abundance(_molecule_sets(spark, sf_dir)).withColumn("abundance", F.round("abundance", 6))
 
 
-@query()
+@query(f"{EM} SELECT gene, cluster, trans, hap, round(sum(part), 6) AS abundance FROM spread GROUP BY gene, cluster, trans, hap HAVING sum(part) > 0")
 def em_abundance_hap(spark, sf_dir):
     return quant.abundance(_molecule_sets(spark, sf_dir), extra=["hap"]).withColumn("abundance", F.round("abundance", 6))
 
