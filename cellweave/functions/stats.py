@@ -22,23 +22,25 @@ def ln_factorial(k: np.ndarray) -> np.ndarray:
     return np.where(k < EXACT, LN_FACTORIAL[np.minimum(k, EXACT - 1).astype(int)], series)
 
 
-def chi2_tail(statistic: float, df: int) -> float:
-    """Upper tail of the chi-square distribution; closed sums for whole degrees of freedom."""
-    if df < 1 or math.isnan(statistic):
-        return math.nan
-    half = statistic / 2
+def chi2_tails(statistic: np.ndarray, df: int) -> np.ndarray:
+    """Upper tails of the chi-square distribution; closed sums for whole degrees of freedom, each term by its logarithm."""
+    half = np.asarray(statistic, float) / 2
+    if df < 1:
+        return np.full(half.shape, np.nan)
     if df % 2:
-        total, term = math.erfc(math.sqrt(half)), math.sqrt(half / math.pi) * 2
-        steps = [(i + 0.5) for i in range(1, (df - 1) // 2 + 1)]
-        for step in steps:
-            total += term * math.exp(-half)
-            term *= half / step
-        return total
-    total, term = 0.0, 1.0
-    for i in range(df // 2):
-        total += term
-        term *= half / (i + 1)
-    return total * math.exp(-half)
+        head, steps = np.array([math.erfc(math.sqrt(h)) if h >= 0 else math.nan for h in half]), np.arange(1, (df + 1) // 2) - 0.5
+        ln = math.log(math.pi) / 2 + np.cumsum(np.log(steps))
+    else:
+        head, steps = np.zeros(len(half)), np.arange(df // 2, dtype=float)
+        ln = ln_factorial(steps)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        powers = np.where(steps == 0, 0.0, steps * np.log(half)[:, None])
+        tail = head + np.exp(powers - half[:, None] - ln).sum(axis=1)
+    return np.where(np.isnan(half), np.nan, np.minimum(1.0, tail))
+
+
+def chi2_tail(statistic: float, df: int) -> float:
+    return float(chi2_tails(np.array([statistic]), df)[0])
 
 
 def fisher_two_sided(a: int, b: int, c: int, d: int) -> float:
@@ -56,20 +58,36 @@ def binomial_tail(x: int, n: int) -> float:
     return float(min(1.0, np.exp(ln_factorial(np.array(n)) - ln_factorial(k) - ln_factorial(n - k) - n * math.log(2)).sum()))
 
 
+def each_once(f, *columns: pd.Series) -> pd.Series:
+    """f of whole numbers, for each different row of a batch once; null where a number is missing."""
+    table = np.column_stack([np.asarray(c, float) for c in columns])
+    known = ~np.isnan(table).any(axis=1)
+    rows, place = np.unique(np.trunc(table[known]).astype(np.int64), axis=0, return_inverse=True)
+    out = np.full(len(table), np.nan)
+    out[known] = np.array([f(*r) for r in rows.tolist()], float)[place.ravel()]
+    return pd.Series(out)
+
+
 @F.pandas_udf(DoubleType())
 def chi2_p(statistic: pd.Series, df: pd.Series) -> pd.Series:
-    return pd.Series([math.nan if s is None or math.isnan(s) else chi2_tail(s, int(d)) for s, d in zip(statistic, df)], dtype=float)
+    """Null where statistic or df is missing or not a number."""
+    values, degrees = np.asarray(statistic, float), np.asarray(df, float)
+    out = np.full(len(values), np.nan)
+    for d in np.unique(degrees[~np.isnan(degrees)]):
+        out[degrees == d] = chi2_tails(values[degrees == d], int(d))
+    return pd.Series(out)
 
 
 @F.pandas_udf(DoubleType())
 def fisher_p(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
-    """Counts are truncated to whole numbers."""
-    return pd.Series([fisher_two_sided(*(int(v) for v in t)) for t in zip(a, b, c, d)], dtype=float)
+    """Counts are truncated to whole numbers; null where one is missing."""
+    return each_once(fisher_two_sided, a, b, c, d)
 
 
 @F.pandas_udf(DoubleType())
 def binomial_p(x: pd.Series, n: pd.Series) -> pd.Series:
-    return pd.Series([binomial_tail(int(i), int(j)) for i, j in zip(x, n)], dtype=float)
+    """Null where a number is missing."""
+    return each_once(binomial_tail, x, n)
 
 
 def chi2(rows: DataFrame, keys: list[str], item: str, left: str, right: str) -> DataFrame:

@@ -9,7 +9,6 @@ from .intervals import points_in_ranges
 
 PROMOTER, NEAR = 500, 1_000_000
 
-
 #: The parent terms that count as disease, the leading ones first.
 DISEASES = ["Cancer", "Immune system disorder", "Neurological disorder", "Cardiovascular disease", "Digestive system disorder", "Metabolic disorder", "Response to drug", "Other disease"]
 

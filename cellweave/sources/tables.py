@@ -11,9 +11,14 @@ from ..operators.partitioning import numbered
 # The column names of the file formats.
 READ_FIELDS = "qname string, chrom string, start int, end int, bc string, umi string, bu string, is_perfect string, ts_tag string"
 MOLECULE_FIELDS = ["CellBarcode", "UMI", "ReadCount", "TranscriptID", "GeneID", "GeneName", "ReadNames", "TransCate", "SpliceTag"]
+MARKED_FIELDS = ["#CellBarcode", *MOLECULE_FIELDS[1:]]
 GENE_FIELDS = ["gene_id", "gene_name", "transcript"]
 SPLICED_GENES = ["gene_id", "gene_name", "gene_fdr", "max_delta_ratio", "transcript_ids", "cell1_counts", "cell2_counts", "cell1_ratios", "cell2_ratios", "cell_type1", "cell_type2"]
 SPLICED_TRANSCRIPTS = ["gene_id", "gene_name", "transcript_id", "gene_fdr", "transcript_pval", "delta_ratio", "count1", "count2", "ratio1", "ratio2", "cell_type1", "cell_type2"]
+ALLELE_SPLICED_GENES = ["cell_type", "gene_id", "gene_name", "gene_fdr", "transcripts", "hap1_counts", "hap2_counts", "hap1_ratios", "hap2_ratios"]
+ALLELE_SPLICED_TRANSCRIPTS = ["cell_type", "transcript_id", "transcript_pval", "gene_id", "gene_name", "gene_fdr", "hap1_count", "hap2_count", "hap1_ratio", "hap2_ratio"]
+ALLELE_EXPRESSED_GENES = ["cell_type", "gene_id", "gene_name", "gene_fdr", "transcripts", "hap1_counts", "hap2_counts", "non_hap_counts", "hap1_ratios", "hap2_ratios", "non_hap_ratios", "total_cnts", "total_ratios"]
+LISTED_VARIANTS = ["gene_name", "gene_id", "snp_id", "is_donor_snp_id", "haplotype", "gwas_trait", "gwas_trait_efo_term"]
 CATALOG_FIELDS = {"CHR_ID": "chrom", "CHR_POS": "pos", "SNPS": "snps", "MAPPED_GENE": "mapped", "EFO term": "trait", "Parent term": "parent", "P-VALUE": "p"}
 
 
@@ -205,7 +210,7 @@ def write_molecules(found: DataFrame, path: str) -> None:
     """Molecules with bc, umi, trans, genes, names, reads, categories, splices; lists are joined by commas."""
     joined = lambda c: F.array_join(c, ",")
     columns = [F.col("bc"), F.col("umi"), F.size("reads"), *(joined(c) for c in ("trans", "genes", "names", "reads", "categories", "splices"))]
-    write_tsv(found.select(*(c.alias(n) for c, n in zip(columns, MOLECULE_FIELDS))), path)
+    write_tsv(found.select(*(c.alias(n) for c, n in zip(columns, MARKED_FIELDS))), path)
 
 
 def write_barcodes(ranks: DataFrame, path: str) -> None:
@@ -216,9 +221,8 @@ def write_barcodes(ranks: DataFrame, path: str) -> None:
 
 def merged_molecules(spark: SparkSession, paths: list[str], path: str) -> None:
     """Molecule tables of several runs as one, with one kind of header and every line as it stands."""
-    heads = [h for h in (MOLECULE_FIELDS[0], "#" + MOLECULE_FIELDS[0])]
-    rows = spark.read.text(paths).where(~F.split("value", "\t")[0].isin(heads) & (F.length("value") > 0))
-    write_tsv(rows.select(*(F.split("value", "\t")[i].alias(n) for i, n in enumerate(MOLECULE_FIELDS))), path)
+    rows = spark.read.text(paths).where(~F.split("value", "\t")[0].isin(MOLECULE_FIELDS[0], MARKED_FIELDS[0]) & (F.length("value") > 0))
+    write_tsv(rows.select(*(F.split("value", "\t")[i].alias(n) for i, n in enumerate(MARKED_FIELDS))), path)
 
 
 def merged_alignments(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -233,7 +237,8 @@ def write_gene_to_trans(genes: DataFrame, folder: str) -> None:
 
 
 def molecules_tsv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    rows = spark.read.option("sep", "\t").option("header", True).csv(path)
+    """bc, umi, n_reads and the lists trans, genes, names, reads, categories, splices; the header may start with a # sign."""
+    rows = spark.read.option("sep", "\t").option("header", True).csv(path).withColumnRenamed(MARKED_FIELDS[0], MOLECULE_FIELDS[0])
     lists = [F.split(n, ",").alias(a) for n, a in zip(MOLECULE_FIELDS[3:], ("trans", "genes", "names", "reads", "categories", "splices"))]
     return rows.select(F.col("CellBarcode").alias("bc"), F.col("UMI").alias("umi"), F.col("ReadCount").cast("int").alias("n_reads"), *lists)
 

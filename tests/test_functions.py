@@ -66,6 +66,25 @@ def test_tests_of_independence(spark):
     assert math.isnan(stats.chi2(empty, ["g"], "t", "x", "y").first().statistic)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.floats(0.001, 800), st.integers(1, 300))
+def test_chi2_tail_falls_by_the_density(statistic, df):
+    """The tail loses the density times a short way, and nothing overflows."""
+    way = 1e-4 * statistic
+    middle = math.exp((df / 2 - 1) * math.log(statistic / 2) - statistic / 2 - math.lgamma(df / 2)) / 2
+    low, high = stats.chi2_tails(np.array([statistic - way, statistic + way]), df)
+    assert 0 <= high <= low + 1e-12 <= 1 + 1e-12 and low - high == pytest.approx(2 * way * middle, rel=1e-3, abs=1e-11)
+    assert stats.chi2_tail(1e6, df) == 0
+
+
+def test_p_values_of_batches(spark):
+    rows = spark.createDataFrame([(1, 58.9, 9.0, 24.0, 41.2), (2, 58.0, 9.0, 24.0, 41.0), (3, None, 9.0, 24.0, 41.0), (4, 3.0, 3.0, 3.0, 3.0)], "i int, a double, b double, c double, d double")
+    found = {r.i: r for r in rows.select("i", stats.fisher_p("a", "b", "c", "d").alias("f"), stats.binomial_p("a", F.col("a") + F.col("b")).alias("b"), stats.chi2_p("a", F.col("i")).alias("c")).collect()}
+    assert found[1].f == found[2].f == pytest.approx(3.588e-09, rel=1e-3) and found[4].f == pytest.approx(1)
+    assert found[3].f is found[3].b is found[3].c is None
+    assert found[2].b == pytest.approx(stats.binomial_tail(58, 67)) and found[2].c == pytest.approx(math.exp(-29))
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.integers(0, 100_000))
 def test_ln_factorial(k):

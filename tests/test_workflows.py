@@ -90,3 +90,66 @@ def test_matrices_of_alleles(spark, found, tmp_path):
     workflows.write_matrices(found, f"file://{tmp_path}/m", names, haps=haps)
     cells = {h: sorted(r.bc for r in tables.matrix_10x(spark, f"file://{tmp_path}/m/gene_haplotype_{h}").collect()) for h in ("H1", "H2", "none")}
     assert cells == {"H1": ["A"], "H2": ["B"], "none": ["A"]}
+
+
+def test_alleles_from_files(spark, tmp_path):
+    """Two transcripts that the alleles share out unevenly; one gene expressed from one allele."""
+    rows, haps = [], []
+    for trans, gene, n1, n2, none in (("T1", "G", 30, 5, 1), ("T2", "G", 5, 30, 1), ("T3", "E", 40, 4, 0), ("T4", "F", 20, 20, 0), ("T5", "F", 20, 20, 2)):
+        for hap, n in (("H1", n1), ("H2", n2), ("none", none)):
+            names = [f"{trans}{hap}{i}" for i in range(n)]
+            rows += [("A", q, [trans], [gene], [q], ["FullLen"], ["Y"], [gene.lower()]) for q in names]
+            haps += [f"{q}\t{hap}\t1\tchr1" for q in names]
+    tables.write_molecules(spark.createDataFrame(rows, MOLECULES + ", names array<string>"), f"file://{tmp_path}/m")
+    (tmp_path / "haps.tsv").write_text("#qname\thap\n" + "\n".join(haps) + "\n")
+    (tmp_path / "cells.tsv").write_text("A-1\tx\nB-1\ty\n")
+    workflows.alleles_from_files(spark, f"file://{tmp_path}/m", f"file://{tmp_path}/cells.tsv", f"file://{tmp_path}/haps.tsv", f"file://{tmp_path}/o", verdicts=True, categories=["FullLen"])
+    read = lambda name: spark.read.option("sep", "\t").option("header", True).csv(f"file://{tmp_path}/o_{name}.tsv")
+    genes, trans, expressed = (read(f"allele_specific_{n}") for n in ("spliced_genes", "spliced_transcripts", "expressed_genes"))
+    assert (genes.columns, trans.columns, expressed.columns) == (tables.ALLELE_SPLICED_GENES, tables.ALLELE_SPLICED_TRANSCRIPTS, tables.ALLELE_EXPRESSED_GENES)
+    (row,) = genes.collect()
+    assert (row.cell_type, row.gene_id, row.gene_name, row.transcripts, row.hap1_counts, row.hap2_counts) == ("x", "G", "g", "T1,T2", "30,5", "5,30")
+    assert sorted((r.transcript_id, r.hap1_count) for r in trans.collect()) == [("T1", "30"), ("T2", "5")]
+    (row,) = expressed.collect()
+    assert (row.gene_id, row.hap1_counts, row.non_hap_counts, row.non_hap_ratios, row.total_cnts) == ("E", "40", "0", "0.0", "40,4,0")
+    assert sorted((r.gene_id, r.x, r.y) for r in read("all_genes_stat").collect()) == [("F", "False", "Unknown"), ("G", "True", "Unknown")]
+    assert sorted((r.transcript_id, r.x, r.y) for r in read("all_transcripts_stat").collect()) == [("T1", "H1", "None"), ("T2", "H2", "None")]
+
+
+def test_expression_from_files(spark, found, tmp_path):
+    names = spark.createDataFrame([("G", "Name", "T1"), ("G", "Name", "T2")], "gene string, gene_name string, trans string")
+    workflows.write_matrices(found, f"file://{tmp_path}/m", names)
+    (tmp_path / "cells.tsv").write_text("A\tx\nB\ty\nC\ty\n")
+    read = lambda name: {r[0] if len(r) < 5 else r[2]: tuple(float(v) for v in r[-2:]) for r in spark.read.option("sep", "\t").option("header", True).csv(f"file://{tmp_path}/{name}.tsv").collect()}
+    for kind, key in (("gene", "Name"), ("transcript", "G")):
+        workflows.expression_from_files(spark, f"file://{tmp_path}/m/{kind}", f"file://{tmp_path}/cells.tsv", f"file://{tmp_path}/{kind}", transcripts=kind == "transcript")
+        assert read(f"{kind}.clu_wise_gene_cnt") == {key: (pytest.approx(2), pytest.approx(1))}
+        assert read(f"{kind}.clu_wise_gene_cpm") == {key: (pytest.approx(1e6), pytest.approx(1e6))}
+        assert read(f"{kind}.clu_wise_gene_pct") == {key: (1.0, 0.5)}
+    by_trans = read("transcript.clu_wise_trans_cnt")
+    assert sorted(by_trans) == ["T1", "T2"] and sum(v[0] for v in by_trans.values()) == pytest.approx(2)
+
+
+def test_artifacts_of_reads(spark, tmp_path):
+    five, three, body = "CTACACGACGCTCTTCCGATCT", "CCCATGTACTCTGCGTTGATACCACTGCTT", "ACGTTGCA" * 30
+    back = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    reads = {"proper": five + "T" * 20 + body + three, "rt": five + body, "tso": body + three, "none": body, "back": back(five + "T" * 20 + body + three)}
+    (tmp_path / "a.sam").write_text("@HD\n" + "".join(f"{q}\t{4 if q == 'unmapped' else 0}\tchr1\t10\t60\t{len(s)}M\t*\t0\t0\t{s}\t*\n" for q, s in {**reads, "unmapped": body}.items()))
+    (tmp_path / "m.tsv").write_text("#" + "\t".join(tables.MOLECULE_FIELDS) + "\nA\tu\t2\tT\tG\tg\tproper,rt\tFullLen,FullLen\tY,Y\n")
+    workflows.artifacts_from_files(spark, f"file://{tmp_path}/a.sam", f"file://{tmp_path}/m.tsv", "s", f"file://{tmp_path}/o", five, three)
+    rows = {r[1]: (r[2], r[3]) for r in spark.read.option("sep", "\t").csv(f"file://{tmp_path}/o_detail.tsv").collect()}
+    kinds = {q: k for q, (k, _) in rows.items()}
+    assert kinds == {"proper": "Proper-with BC", "rt": "RT-with BC", "tso": "TSO-no BC", "none": "No-RT-TSO-no BC", "back": "Proper-no BC"}
+    assert rows["proper"][1] == "0,0,0,-1,-1,-1"
+    counts = {r[1]: int(r[2]) for r in spark.read.option("sep", "\t").csv(f"file://{tmp_path}/o_summary.tsv").collect()}
+    assert counts["Proper-with BC"] == 1 and sum(counts.values()) == 5
+
+
+def test_trait_tables(spark):
+    linked = spark.createDataFrame([("CD3", "rs1", "rs9", "flu", "Other disease", 1e-9), ("CD3", "rs1", "rs9", "lupus", "Immune system disorder", 1e-8), ("CD3", "rs1", "rs1", "height", "Body measurement", 1e-9)], "gene string, donor string, listed string, trait string, parent string, p double")
+    snps = spark.createDataFrame([("rs1", "H1")], "snp string, hap string")
+    names = spark.createDataFrame([("CD3", "G1")], "gene string, gene_id string")
+    made = workflows.trait_tables(linked, snps, names)
+    assert [tuple(r) for r in made["variants"].collect()] == [("CD3", "G1", "rs9", False, "NA", "lupus", "Immune system disorder")]
+    assert [r.asDict() for r in made["traits"].collect()] == [{"gene_name": "CD3", "gene_id": "G1", "flu": True, "lupus": True}]
+    assert made["parents"].columns == ["gene_name", "gene_id", "Immune system disorder", "Other disease"]
