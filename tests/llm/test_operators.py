@@ -240,6 +240,17 @@ def test_special_tokens_are_those_of_the_plain_library(spark):
     assert {r.doc_id: r.doc_tokens for r in packing.pack(docs).collect()} == {i: len(x) + 1 for i, x in enumerate(want)}
 
 
+def test_words_are_those_of_the_plain_library():
+    """Every letter up to U+024F in words, the two signs among them, and neighbours beyond, behind spaces and line breaks."""
+    encoder = tokens.Encoder(tokens.vocabulary_path())
+    assert encoder.in_pieces
+    rng = random.Random(11)
+    letters = [chr(c) for c in range(0xC0, 0x25A)] + list("abcdefgXYZ\u00aa\u00b5\u00bc\u02b0") * 20
+    for _ in range(30):
+        texts = ["".join(rng.choice([" ", "\n", "\n\n", ". ", "\r\n", " \n"]) + "".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(40)) for _ in range(10)]
+        assert ids_of(encoder, texts) == [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(st.sampled_from("aZ é.,'\n 12#\t\u3000s"), max_size=60))
 def test_tokens_of_any_text(text):
