@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections import Counter
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from ..functions.sequences import infix_distance, search
+from .partitioning import part_of
 
 #: Ranks beyond which no barcode is held for a cell, the first prefix that votes, and barcodes needed.
 MOST, FIRST_PREFIX, LEAST = 50_000, 1000, 10
@@ -26,8 +28,7 @@ def ranked(counts: DataFrame, bc: str = "bc", count: str = "umi_count") -> DataF
     numbered within a part alone, after the rows of all parts before it: not even the barcodes with one
     molecule, most of a run, are sorted in one task.
     """
-    part = F.substring(bc, 1, 6) if dict(counts.dtypes)[bc] == "string" else F.floor(F.col(bc) / 4096)
-    dealt = counts.withColumn("_part", part)
+    dealt = counts.withColumn("_part", part_of(counts, bc))
     sizes = dealt.groupBy(count, "_part").agg(F.count("*").alias("_n"))
     above = sizes.select(count, "_part", (F.sum("_n").over(Window.orderBy(F.desc(count), "_part")) - F.col("_n")).alias("_above"))
     nth = F.row_number().over(Window.partitionBy(count, "_part").orderBy(bc))
@@ -54,29 +55,29 @@ def knee_of(totals: np.ndarray, sensitivity: float = 1.0) -> int | None:
         return None
     x = np.linspace(0, 1, n)
     diff = (totals - totals[0]) / (totals[-1] - totals[0]) - x
-    inner = diff[1:-1]
-    tops = np.flatnonzero((inner >= diff[:-2]) & (inner >= diff[2:])) + 1
-    dips = set((np.flatnonzero((inner <= diff[:-2]) & (inner <= diff[2:])) + 1).tolist())
-    bar, top = None, None
-    peaks = set(tops.tolist())
-    for i in range(1, n):
-        if i in peaks:
-            bar, top = diff[i] - sensitivity * np.diff(x).mean(), i
-        elif i in dips:
-            bar = 0.0 if bar is not None else None
-        if bar is not None and diff[i] < bar:
-            return top + 1
-    return None
-
-
-def cell_count(totals: np.ndarray) -> int:
-    """The knee most prefixes agree on; every prefix beyond the end is the whole curve."""
+    rise, at = np.diff(diff), np.arange(n)
+    peak, dip = np.zeros(n, bool), np.zeros(n, bool)
+    peak[1:-1], dip[1:-1] = (rise[:-1] >= 0) & (rise[1:] <= 0), (rise[:-1] <= 0) & (rise[1:] >= 0)
+    # The last peak before each place, and the bar: a little below the peak, or 0 behind a dip since.
+    top = np.maximum.accumulate(np.where(peak, at, -1))
+    dipped = np.maximum.accumulate(np.where(dip & ~peak, at, -1)) > top
+    bar = np.where(dipped, 0.0, diff[top] - sensitivity / (n - 1))
+    below = np.flatnonzero((top >= 0) & (diff < bar))
+    return int(top[below[0]]) + 1 if len(below) else None
+
+
+def prefixes_vote(n: int) -> bool:
+    """Whether the prefixes of n sums can outvote the whole curve, which votes for all sizes from n to MOST."""
+    return n - FIRST_PREFIX > MOST - n
+
+
+def cell_count(totals: np.ndarray, votes: Counter | None = None) -> int:
+    """The knee most prefixes agree on; every prefix beyond the end is the whole curve. votes: those of the prefixes, if known."""
     n = len(totals)
     if n < LEAST:
         raise ValueError(f"{n} barcodes are too few to find a knee")
-    votes = Counter()
-    for size in range(FIRST_PREFIX, n) if n - FIRST_PREFIX > MOST - n else ():
-        votes[knee_of(totals[:size])] += 1
+    if votes is None:
+        votes = Counter(knee_of(totals[:size]) for size in (range(FIRST_PREFIX, n) if prefixes_vote(n) else ()))
     votes[knee_of(totals)] += MOST - max(n, FIRST_PREFIX)
     votes.pop(None, None)
     if not votes:
@@ -85,9 +86,23 @@ def cell_count(totals: np.ndarray) -> int:
 
 
 def cells_by_knee(ranks: DataFrame, count: str = "umi_count") -> DataFrame:
-    """The barcodes up to the knee. The driver gets the running sums: MOST numbers at most."""
-    totals = [r.total for r in cumulative(ranks, count).orderBy("rank").select("total").collect()]
-    return ranks.where(F.col("rank") <= cell_count(np.array(totals, float)))
+    """The barcodes up to the knee. The driver gets the running sums, MOST numbers at most; Spark deals out their prefixes."""
+    totals = np.array([r.total for r in cumulative(ranks, count).orderBy("rank").select("total").collect()], float)
+    return ranks.where(F.col("rank") <= cell_count(totals, votes_of_prefixes(ranks.sparkSession, totals)))
+
+
+def votes_of_prefixes(spark: SparkSession, totals: np.ndarray) -> Counter:
+    """Prefixes by knee, in the order in which each knee comes first."""
+    if not prefixes_vote(len(totals)):
+        return Counter()
+
+    @F.pandas_udf("long")
+    def knee(sizes: pd.Series) -> pd.Series:
+        return pd.Series([knee_of(totals[:size]) for size in sizes], dtype="Int64")
+
+    sizes = spark.range(FIRST_PREFIX, len(totals), numPartitions=64)
+    found = sizes.select("id", knee("id").alias("knee")).groupBy("knee").agg(F.count("*").alias("n"), F.min("id").alias("first")).orderBy("first").collect()
+    return Counter({r.knee: r.n for r in found})
 
 
 def pieces(column: str, parts: int, length: int) -> list[tuple[int, int]]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -12,6 +12,20 @@ def by_key(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
+def part_of(rows: DataFrame, column: str) -> Column:
+    """A coarse key in the order of the column: the first letters of a text, or the high part of a number."""
+    return F.substring(column, 1, 6) if dict(rows.dtypes)[column] == "string" else F.floor(F.col(column) / 4096)
+
+
+def values_numbered(rows: DataFrame, column: str, name: str) -> DataFrame:
+    """column, name: the different values with their number from 1, in order; each part is numbered by itself, behind those before it."""
+    values = rows.select(column).distinct().withColumn("_part", part_of(rows, column))
+    sizes = values.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    nth = F.row_number().over(Window.partitionBy("_part").orderBy(column))
+    return values.withColumn("_nth", nth).join(before, "_part").select(column, (F.col("_before") + F.col("_nth")).cast("int").alias(name))
+
+
 def numbered(rows: DataFrame, place: str, name: str, ties: list[str] | None = None, span: int = 1 << 16) -> DataFrame:
     """rows with their number from 0 in the order of a whole number ``place``, then of ``ties``.
 

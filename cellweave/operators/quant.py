@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .partitioning import by_key
+from .partitioning import by_key, values_numbered
 
 #: Rounds at most, and the change of all shares together below which it stops.
 ROUNDS, TOLERANCE = 10_000, 1e-6
@@ -59,9 +59,13 @@ def abundance(molecules: DataFrame, gene: str = "gene", cluster: str = "cluster"
 
 
 def sparse(rows: DataFrame, feature: str = "gene", cell: str = "bc", value: str = "value") -> DataFrame:
-    """feature, cell and value with 1-based indices in the order of the names."""
-    number = lambda c, name: rows.select(c).distinct().select(c, F.row_number().over(Window.orderBy(c)).alias(name))
-    return rows.join(number(feature, "feature_idx"), feature).join(number(cell, "cell_idx"), cell).select("feature_idx", "cell_idx", feature, cell, value)
+    """feature, cell and value with 1-based indices in the order of the names.
+
+    Cells are numbered by the first letters of their barcodes; features, whose names begin alike and which an
+    annotation bounds, in one task.
+    """
+    features = rows.select(feature).distinct().select(feature, F.row_number().over(Window.orderBy(feature)).alias("feature_idx"))
+    return rows.join(features, feature).join(values_numbered(rows, cell, "cell_idx"), cell).select("feature_idx", "cell_idx", feature, cell, value)
 
 
 def by_cluster(rows: DataFrame, sizes: DataFrame, feature: str = "gene", cluster: str = "cluster", cell: str = "bc", value: str = "value") -> DataFrame:

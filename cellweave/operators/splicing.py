@@ -95,6 +95,41 @@ def bulk_allele_expression(counts: DataFrame, least: int = 20, one_sided: float
     return counts.where((phased_ >= least) & (F.greatest("h1", "h2") / phased_ >= one_sided) & (phased_ / F.col("total") >= ratio))
 
 
-def bulk_label(genes: DataFrame, least: int = 20, ratio: float = 0.8) -> DataFrame:
-    """Why a gene is not tested: too few reads, too few phased ones, or one transcript; genes has n_trans."""
-    return genes.withColumn("label", F.when(F.col("total") < least, "LowExp").when((F.col("h1") + F.col("h2")) / F.col("total") < ratio, "Unphased").when(F.col("n_trans") < 2, "NoSplice").otherwise("Tested"))
+def bulk_transcripts(counts: DataFrame, keys: list[str], least: int = 10, trans_ratio: float = 0.8, gene_ratio: float = 0.8, gene_least: int = 20, kept: int = 2) -> DataFrame:
+    """The transcripts of each sample's genes with ``passed`` and the gene's ``label``; keys: sample and gene.
+
+    A transcript passes with ``least`` reads of one allele and enough of its reads phased. Genes with fewer than
+    ``kept`` transcripts or ``gene_least`` reads are LowExp, those with too few phased reads among all of theirs Unphased, those
+    with fewer than ``kept`` transcripts left NoSplice; the label of all others is null: they are to be tested.
+    """
+    by = Window.partitionBy(*keys)
+    passed = (F.greatest("h1", "h2") >= least) & ((F.col("h1") + F.col("h2")) / F.col("total") >= trans_ratio)
+    sums = {"_n": F.count("*"), "_phased": F.sum(F.col("h1") + F.col("h2")), "_total": F.sum("total"), "_left": F.count(F.when(F.col("passed"), 1))}
+    rows = counts.withColumn("passed", passed).withColumns({name: value.over(by) for name, value in sums.items()})
+    low = (F.col("_n") < kept) | (F.col("_total") < gene_least)
+    label = F.when(low, "LowExp").when(F.col("_phased") / F.col("_total") < gene_ratio, "Unphased").when(F.col("_left") < kept, "NoSplice")
+    return rows.withColumn("label", label).drop(*sums)
+
+
+def bulk_genes(counts: DataFrame, keys: list[str], fdr: float = FDR, delta: float = DELTA, **limits) -> DataFrame:
+    """keys, statistic, df, delta, p, fdr, label of each sample's genes: why one is not tested, else True or False.
+
+    FDR over the genes of all samples together; a delta of just ``delta`` passes. Genes whose p is no number stay LowExp, the label of
+    whatever has no other.
+    """
+    rows = bulk_transcripts(counts, keys, **limits)
+    table = stats.chi2(rows.where("label is null and passed"), keys, "trans", "h1", "h2")
+    tested = stats.bh(table.withColumn("p", stats.chi2_p("statistic", "df")), "p", [], keys)
+    verdict = F.when(F.isnan("fdr"), "LowExp").when((F.col("fdr") <= fdr) & (F.col("delta") >= delta), "True").otherwise("False")
+    untested = rows.where("label is not null").groupBy(*keys).agg(F.first("label").alias("label"))
+    return tested.withColumn("label", verdict).unionByName(untested, allowMissingColumns=True)
+
+
+def bulk_significant(counts: DataFrame, keys: list[str], fdr: float = FDR, delta: float = DELTA, p: float = P, **limits) -> DataFrame:
+    """keys, trans, h1, h2, p, ratio1, ratio2, hap, fdr: the transcripts of True genes that lean to one allele (hap)."""
+    genes = bulk_genes(counts, keys, fdr, delta, **limits).where("label = 'True'").select(*keys, "fdr")
+    rows = bulk_transcripts(counts, keys, **limits).where("label is null and passed").join(genes, keys)
+    share = lambda c: F.coalesce(F.expr(f"{c} / nullif(sum({c}) over (partition by {', '.join(keys)}), 0)"), F.lit(0.0))
+    found = each_against_rest(rows.withColumns({"ratio1": share("h1"), "ratio2": share("h2")}), keys, left="h1", right="h2")
+    leaning = found.where((F.abs(F.col("ratio1") - F.col("ratio2")) >= delta) & (F.col("p") <= p))
+    return leaning.withColumn("hap", F.when(F.col("ratio1") > F.col("ratio2"), "H1").otherwise("H2")).select(*keys, "trans", "h1", "h2", "p", "ratio1", "ratio2", "hap", "fdr")

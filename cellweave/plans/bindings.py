@@ -1,8 +1,8 @@
 """The test tables seen as reads of a single-cell experiment, in Spark and as SQL.
 
-bc: the customer; umi: the order; gene: the brand; trans: brand and type; hap: from the line's
-status, with a planted allele signal; cluster: the market segment; chrom, start, stop: the part
-and the days of shipping. One planted group of rows is left out, for a cell-type signal.
+bc: the customer; umi: the order; gene: the brand; trans: brand and type, with a planted cell-type signal (one
+cluster has SMALL for most of LARGE in some genes); hap: from the line's status, with a planted allele signal;
+cluster: the market segment; chrom, start, stop: the part and the days of shipping. Every line is a read.
 """
 
 from __future__ import annotations
@@ -18,14 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, orders, cells, parts = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "part"))
     rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(cells, F.col("o_custkey") == F.col("c_custkey")).join(parts, F.col("l_partkey") == F.col("p_partkey"))
-    rows = rows.where("not (c_mktsegment = 'BUILDING' and p_brand like '%2' and p_type = 'LARGE' and l_linenumber <= 5)")
     start = F.datediff(F.to_date("l_shipdate"), F.lit("1992-01-01").cast("date"))
     return rows.select(
         F.col("o_custkey").alias("bc"),
         F.col("l_orderkey").alias("umi"),
         F.col("c_mktsegment").alias("cluster"),
         F.col("p_brand").alias("gene"),
-        F.concat_ws(":", "p_brand", "p_type").alias("trans"),
+        F.expr("concat(p_brand, ':', if(c_mktsegment = 'BUILDING' and p_brand like '%2' and p_type = 'LARGE' and l_linenumber <= 5, 'SMALL', p_type))").alias("trans"),
         F.expr("case when l_linenumber = 7 then 'none' when p_brand like '%1' and p_type = 'SMALL' then 'H1' when l_linestatus = 'O' then 'H1' else 'H2' end").alias("hap"),
         F.col("l_partkey").alias("chrom"),
         start.cast("long").alias("start"),
@@ -36,12 +35,12 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 READS = """reads AS (
-  SELECT o_custkey AS bc, l_orderkey AS umi, c_mktsegment AS cluster, p_brand AS gene, p_brand || ':' || p_type AS trans,
+  SELECT o_custkey AS bc, l_orderkey AS umi, c_mktsegment AS cluster, p_brand AS gene, 
+    p_brand || ':' || CASE WHEN c_mktsegment = 'BUILDING' AND p_brand LIKE '%2' AND p_type = 'LARGE' AND l_linenumber <= 5 THEN 'SMALL' ELSE p_type END AS trans,
     CASE WHEN l_linenumber = 7 THEN 'none' WHEN p_brand LIKE '%1' AND p_type = 'SMALL' THEN 'H1' WHEN l_linestatus = 'O' THEN 'H1' ELSE 'H2' END AS hap,
     l_partkey AS chrom, date_diff('day', DATE '1992-01-01', l_shipdate::DATE)::BIGINT AS start,
     (date_diff('day', DATE '1992-01-01', l_shipdate::DATE) + l_quantity)::BIGINT AS stop, l_linenumber AS line, l_quantity AS quantity
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey
-  WHERE NOT (c_mktsegment = 'BUILDING' AND p_brand LIKE '%2' AND p_type = 'LARGE' AND l_linenumber <= 5)
 )"""
 
 

@@ -523,22 +523,43 @@ def ase_genes(spark, sf_dir):
     return _rounded(splicing.allele_expression(_gene_cube(spark, sf_dir)), "p", "fdr", "ratio1")
 
 
-BULK = f"WITH {READS}, b AS (SELECT gene, count(*) FILTER (hap = 'H1') AS h1, count(*) FILTER (hap = 'H2') AS h2, count(*) FILTER (hap = 'none') AS unphased, count(*) AS total, count(DISTINCT trans) AS n_trans FROM (SELECT * REPLACE (gene || ':' || (chrom % 40) AS gene) FROM reads) GROUP BY gene)"
+BULK = f"WITH {READS}, b AS (SELECT gene, count(*) FILTER (hap = 'H1') AS h1, count(*) FILTER (hap = 'H2') AS h2, count(*) FILTER (hap = 'none') AS unphased, count(*) AS total, count(DISTINCT trans) AS n_trans FROM (SELECT * REPLACE (trans || ':' || (chrom % 10) AS gene) FROM reads) GROUP BY gene)"
 
 
 def _bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = reads(spark, sf_dir).withColumn("gene", F.expr("concat(gene, ':', chrom % 40)"))
+    rows = reads(spark, sf_dir).withColumn("gene", F.expr("concat(trans, ':', chrom % 10)"))
     return splicing.allele_counts(rows, ["gene"]).join(rows.groupBy("gene").agg(F.countDistinct("trans").alias("n_trans")), "gene")
 
 
-@query(f"{BULK} SELECT * FROM b WHERE h1 + h2 >= 20 AND greatest(h1, h2) / (h1 + h2) >= 0.55 AND (h1 + h2) / total >= 0.8")
+@query(f"{BULK} SELECT * FROM b WHERE h1 + h2 >= 20 AND greatest(h1, h2) / (h1 + h2) >= 0.8 AND (h1 + h2) / total >= 0.8")
 def bulk_ae_genes(spark, sf_dir):
-    return splicing.bulk_allele_expression(_bulk(spark, sf_dir), one_sided=0.55)
+    return splicing.bulk_allele_expression(_bulk(spark, sf_dir))
 
 
-@query(f"{BULK} SELECT gene, total, CASE WHEN total < 20 THEN 'LowExp' WHEN (h1 + h2) / total < 0.86 THEN 'Unphased' WHEN n_trans < 2 THEN 'NoSplice' ELSE 'Tested' END AS label FROM b")
+LABELLED = f"""WITH {READS}, cube AS (SELECT cluster AS sample, gene || ':' || (chrom % 4) AS gene, trans, count(*) FILTER (hap = 'H1') AS h1, count(*) FILTER (hap = 'H2') AS h2, count(*) AS total FROM reads GROUP BY ALL),
+a AS (SELECT *, greatest(h1, h2) >= 10 AND (h1 + h2) / total >= 0.8 AS passed FROM cube),
+l AS (SELECT *, CASE WHEN count(*) OVER w < 2 OR sum(total) OVER w < 20 THEN 'LowExp' WHEN sum(h1 + h2) OVER w / sum(total) OVER w < 0.8 THEN 'Unphased' WHEN count(*) FILTER (passed) OVER w < 2 THEN 'NoSplice' END AS label FROM a WINDOW w AS (PARTITION BY sample, gene)),
+""" + tested_sql(chi2_sql("SELECT sample, gene, h1, h2 FROM l WHERE label IS NULL AND passed", "sample, gene", "h1", "h2", 15), "sample, gene", "", "sample, gene")
+LABELLED_FISHER = FISHER.replace("f AS", "fe AS").replace("FROM f,", "FROM fe,").replace("f.*", "fe.*").replace("FROM t)", "FROM te)")
+
+
+def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = reads(spark, sf_dir).withColumnRenamed("cluster", "sample").withColumn("gene", F.expr("concat(gene, ':', chrom % 4)"))
+    return splicing.allele_counts(rows, ["sample", "gene", "trans"])
+
+
+@query(f"""{LABELLED} SELECT sample, gene, round(statistic, 4) AS statistic, df, round(delta, 6) AS delta, round(p, 6) AS p, round(fdr, 6) AS fdr, CASE WHEN fdr <= 0.05 AND delta >= 0.05 THEN 'True' ELSE 'False' END AS label FROM f
+UNION ALL SELECT DISTINCT sample, gene, NULL, NULL, NULL, NULL, NULL, label FROM l WHERE label IS NOT NULL""")
 def bulk_labels(spark, sf_dir):
-    return splicing.bulk_label(_bulk(spark, sf_dir), ratio=0.86).select("gene", "total", "label")
+    return _rounded(_rounded(splicing.bulk_genes(_samples(spark, sf_dir), ["sample", "gene"]), "delta", "p", "fdr"), "statistic", digits=4)
+
+
+@query(f"""{LABELLED}, s AS (SELECT l.*, fdr FROM l JOIN f USING (sample, gene) WHERE label IS NULL AND passed AND fdr <= 0.05 AND f.delta >= 0.05),
+te AS (SELECT sample, gene, trans, fdr, h1, h2, h1 / sum(h1) OVER w AS ratio1, h2 / sum(h2) OVER w AS ratio2, h1 AS a, h2 AS b, sum(h1) OVER w - h1 AS c, sum(h2) OVER w - h2 AS d FROM s WINDOW w AS (PARTITION BY sample, gene)), {LABELLED_FISHER},
+g AS (SELECT sample, gene, trans, h1, h2, ratio1, ratio2, fdr, least(1.0, sum(CASE WHEN p <= p0 * (1 + 1e-7) THEN p ELSE 0 END)) AS p FROM e GROUP BY ALL)
+SELECT sample, gene, trans, h1, h2, round(p, 6) AS p, round(ratio1, 6) AS ratio1, round(ratio2, 6) AS ratio2, CASE WHEN ratio1 > ratio2 THEN 'H1' ELSE 'H2' END AS hap, round(fdr, 6) AS fdr FROM g WHERE abs(ratio1 - ratio2) >= 0.05 AND p <= 0.05""")
+def bulk_transcripts(spark, sf_dir):
+    return _rounded(splicing.bulk_significant(_samples(spark, sf_dir), ["sample", "gene"]), "p", "ratio1", "ratio2", "fdr")
 
 
 # Variants ------------------------------------------------------------------------------------

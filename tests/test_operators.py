@@ -96,6 +96,51 @@ def test_ranks_and_knee(spark):
         barcodes.cell_count(curve[:5])
 
 
+def test_knees_of_prefixes_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(barcodes, "MOST", 400)
+    monkeypatch.setattr(barcodes, "FIRST_PREFIX", 50)
+    rng = random.Random(4)
+    totals = np.cumsum(sorted((rng.paretovariate(1.1) * 3 for _ in range(390)), reverse=True))
+    votes = barcodes.votes_of_prefixes(spark, totals)
+    plain = {}
+    for size in range(50, 390):
+        knee = barcodes.knee_of(totals[:size])
+        plain[knee] = plain.get(knee, 0) + 1
+    assert list(votes.items()) == list(plain.items()) and len(plain) > 1
+    assert barcodes.cell_count(totals, votes) == barcodes.cell_count(totals)
+
+
+def test_sparse_indices_follow_the_names(spark):
+    rng = random.Random(6)
+    cells = ["".join(rng.choices("ACGT", k=16)) for _ in range(200)] + ["A", "AC", "ACGTACGTA"]
+    rows = spark.createDataFrame([(f"g{i % 7}", c, 1) for i, c in enumerate(cells)], "gene string, bc string, value int")
+    found = quant.sparse(rows).collect()
+    assert {r.bc: r.cell_idx for r in found} == {c: i for i, c in enumerate(sorted(cells), 1)}
+    assert {r.gene: r.feature_idx for r in found} == {f"g{i}": i + 1 for i in range(7)}
+
+
+def test_bulk_analysis(spark):
+    """Each label once, two samples, and the transcripts of the gene that differs."""
+    counts = [
+        ("s", "low", "a", 9, 0, 0), ("s", "low", "b", 0, 9, 0),
+        ("s", "one", "a", 90, 10, 0),
+        ("s", "loose", "a", 20, 10, 20), ("s", "loose", "b", 20, 10, 0),
+        ("s", "lost", "a", 40, 10, 0), ("s", "lost", "b", 9, 9, 0),
+        ("s", "same", "a", 50, 50, 0), ("s", "same", "b", 50, 50, 0),
+        ("s", "other", "a", 60, 10, 0), ("s", "other", "b", 10, 60, 1), ("s", "other", "c", 30, 32, 0), ("s", "other", "d", 10, 0, 90),
+        ("t", "other", "a", 30, 30, 0), ("t", "other", "b", 30, 30, 0),
+    ]
+    rows = spark.createDataFrame([(*r, sum(r[3:])) for r in counts], "sample string, gene string, trans string, h1 long, h2 long, unphased long, total long")
+    keys = ["sample", "gene"]
+    labels = {(r.sample, r.gene): r.label for r in splicing.bulk_genes(rows.where("trans <> 'd'"), keys).collect()}
+    assert labels == {("s", "low"): "LowExp", ("s", "one"): "LowExp", ("s", "loose"): "Unphased", ("s", "lost"): "NoSplice", ("s", "same"): "False", ("s", "other"): "True", ("t", "other"): "False"}
+    # Unphased reads of a transcript that does not pass count for its gene.
+    assert {r.label for r in splicing.bulk_genes(rows.where("gene = 'other' and sample = 's'"), keys).collect()} == {"Unphased"}
+    found = {r.trans: (r.hap, r.h1, r.h2) for r in splicing.bulk_significant(rows.where("trans <> 'd'"), keys).collect()}
+    assert found == {"a": ("H1", 60, 10), "b": ("H2", 10, 60)}
+    assert splicing.bulk_genes(rows.limit(0), keys).collect() == []
+
+
 def test_nearest_against_all_pairs(spark):
     rng = random.Random(9)
     refs = list({"".join(rng.choices("ACGT", k=16)) for _ in range(25)})
