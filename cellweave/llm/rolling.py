@@ -71,10 +71,10 @@ def buffer_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, at - at[0]
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, first): byte bounds of each run of non-space, and each text's first word."""
+def words_of(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, first): byte bounds of each run of bytes that are no gaps, and each text's first word."""
     solid = np.zeros(len(data) + 1, bool)
-    solid[:-1] = ~SPACE[data]
+    solid[:-1] = ~gaps[data]
     begins = solid[:-1].copy()
     begins[1:] &= ~solid[:-2]
     inner = offsets[1:-1]
