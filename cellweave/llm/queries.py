@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, media, mixing, packing, phrases, quality, simhash, substring, suffix_dedup, token_files, urls, warc
+from . import divergence, language, media, mixing, packing, phrases, quality, simhash, substring, suffix_dedup, token_files, urls, warc
 from .shared import stored
 
 
@@ -70,11 +70,15 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(documents(spark, sf_dir))
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_media_columns, op3_token_files, op4_simhash, op5_substring_dedup, op6_mixing, op7_warc, op8_packing, op9_quality, op10_url_rules,
-        op11_language_id, op12_phrases,
+        op11_language_id, op12_phrases, op13_divergence,
     )
 }
-ORACLE_SQL = {"op1_suffix_dedup": suffix_dedup.SQL, "op5_substring_dedup": substring.SQL, "op6_mixing": mixing.SQL, "op7_warc": warc.SQL, "op9_quality": quality.sql(), "op10_url_rules": urls.SQL, "op12_phrases": phrases.SQL}
+ORACLE_SQL = {"op1_suffix_dedup": suffix_dedup.SQL, "op5_substring_dedup": substring.SQL, "op6_mixing": mixing.SQL, "op7_warc": warc.SQL, "op9_quality": quality.sql(), "op10_url_rules": urls.SQL, "op12_phrases": phrases.SQL, "op13_divergence": divergence.SQL}
