@@ -157,6 +157,8 @@ def pair_sums(counts: DataFrame, groups: DataFrame) -> DataFrame:
     zero: dict[str, np.ndarray] = {}
     for r in groups.orderBy("lang", "at").groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("at", "p"))).alias("all")).collect():
         zero[r["lang"]] = np.array([x["p"] for x in r["all"]], np.int64)
+    if not zero:
+        return counts.sparkSession.createDataFrame([], "lang string, g int, h int, f long, terms long")
     sent = counts.sparkSession.sparkContext.broadcast(zero)
     blocks = F.create_map(*(F.lit(x) for lang, p in zero.items() for x in (lang, -(-len(p) // BLOCK))))[F.col("lang")]
     block = F.floor(F.col("at") / BLOCK).cast("int")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,16 +20,33 @@ from pyspark.sql import functions as F
 
 from . import rolling
 from .shared import free, slices
+from .words import Words
 
 #: Symbols of one long text that are hashed at a time.
 LONG = 1 << 20
 
 
-def stretches(column: pa.Array, unit: str, length: int, most: int | None = None) -> Iterator[tuple[rolling.Prefix, np.ndarray, bytes, int, int]]:
-    """(prefix sums, first symbol of each text, the symbols' bytes, bytes of a symbol, symbols before) of the texts.
+@dataclass
+class Stretch:
+    """Symbols of texts: prefix sums of their hashes, first symbol of each text, symbols before in a text that comes in stretches.
 
-    Symbols are bytes or words. A text of over ``most`` symbols that comes alone is cut into stretches that share
-    length - 1 symbols, so each window lies in one; all other columns are one stretch.
+    raw, item: bytes of each symbol (a word's hash); own, bounds: the bytes of the words themselves.
+    """
+
+    prefix: rolling.Prefix
+    first: np.ndarray
+    raw: bytes
+    item: int
+    before: int
+    own: bytes = b""
+    bounds: np.ndarray | None = None
+
+
+def stretches(column: pa.Array, unit: str, length: int, most: int | None = None) -> Iterator[Stretch]:
+    """The texts as bytes or words. A word's symbol is the XXH3 of its bytes.
+
+    A text of over ``most`` symbols that comes alone is cut into stretches that share length - 1 symbols, so each window
+    lies in one; all other columns are one stretch.
     """
     most = most or LONG
     data, offsets = rolling.buffer_of(column)
@@ -36,15 +54,15 @@ def stretches(column: pa.Array, unit: str, length: int, most: int | None = None)
     if unit == "byte":
         for a in range(0, len(data) - length + 1, most) if alone else [0]:
             part = data[a : a + most + length - 1] if alone else data
-            yield rolling.Prefix(rolling.SYMBOL[part], rolling.BYTE_BASE), np.array([0, len(part)]) if alone else offsets, part.tobytes(), 1, a
+            yield Stretch(rolling.Prefix(rolling.SYMBOL[part], rolling.BYTE_BASE), np.array([0, len(part)]) if alone else offsets, part.tobytes(), 1, a)
         return
-    start, end, first = rolling.words_of(data, offsets)
-    step = max(most // 8, 1)
-    for a in range(0, len(start) - length + 1, step) if alone else [0]:
-        b = min(len(start), a + step + length - 1) if alone else len(start)
-        lo, hi = (int(start[a]), int(end[b - 1])) if b > a else (0, 0)
-        words = rolling.Prefix(rolling.SYMBOL[data[lo:hi]], rolling.BYTE_BASE).of(start[a:b] - lo, end[a:b] - lo)
-        yield rolling.Prefix(words, rolling.WORD_BASE), np.array([0, b - a]) if alone else first, words.tobytes(), 8, a
+    held = Words(data, offsets, rolling.SPACE)
+    symbols = np.fromiter((xxhash.xxh3_64_intdigest(x) for x in held.names.to_pylist()), np.uint64, len(held.names))[held.codes]
+    n, step = len(symbols), max(most // 8, 1)
+    for a in range(0, n - length + 1, step) if alone else [0]:
+        b = min(n, a + step + length - 1) if alone else n
+        lo, hi = int(held.bounds[a]), int(held.bounds[b])
+        yield Stretch(rolling.Prefix(symbols[a:b], rolling.WORD_BASE), np.array([0, b - a]) if alone else held.first, symbols[a:b].tobytes(), 8, a, held.raw[lo:hi].tobytes(), held.bounds[a : b + 1] - lo)
 
 
 def runs(texts: DataFrame, unit: str, length: int, gram: int, keys: list[str], text: str, content: bool = True) -> DataFrame:
@@ -58,20 +76,29 @@ def runs(texts: DataFrame, unit: str, length: int, gram: int, keys: list[str], t
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, len(keys)):
             mine = [c.cast("int64").to_numpy(zero_copy_only=False) for c in batch.columns[: len(keys)]]
-            for prefix, first, raw, item, before in stretches(batch.column(len(keys)), unit, length):
-                found = rolling.Runs(prefix, first, length, gram)
-                made = [*(x[found.text] for x in mine), found.start - first[found.text] + before, found.size.astype(np.int32), found.anchor.view(np.int64), found.twice]
+            for at in stretches(batch.column(len(keys)), unit, length):
+                found = rolling.Runs(at.prefix, at.first, length, gram)
+                made = [*(x[found.text] for x in mine), found.start - at.first[found.text] + at.before, found.size.astype(np.int32), found.anchor.view(np.int64), found.twice]
                 if content:
-                    bounds = zip((found.start * item).tolist(), ((found.start + found.size + length - 1) * item).tolist())
-                    made.append(np.array([xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in bounds], np.uint64).view(np.int64))
+                    bounds = zip((found.start * at.item).tolist(), ((found.start + found.size + length - 1) * at.item).tolist())
+                    made.append(np.array([xxhash.xxh3_64_intdigest(at.raw[a:b]) for a, b in bounds], np.uint64).view(np.int64))
                 yield pa.record_batch([pa.array(x) for x in made], names)
 
     return texts.select(*keys, text).mapInArrow(run, ", ".join(f"{x} {kinds.get(x, 'long')}" for x in names))
 
 
-def with_lists(docs: DataFrame, lists: DataFrame, doc_id: str, text: str, how: str) -> DataFrame:
-    """doc_id, text, and the doc's list column ``parts`` (array of structs), by a join on doc_id."""
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(lists, "doc_id", how).select("doc_id", "text", "parts")
+def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """doc_id, text, and the key (a, b) of a row's text: its doc_id, 0 for null, and the XXH64 of the text.
+
+    Rows with one key have one text, so what holds for the text of one holds for all, whatever their ids are.
+    """
+    plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return plain.withColumns({"a": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "b": F.xxhash64("text")})
+
+
+def with_lists(texts: DataFrame, lists: DataFrame, how: str) -> DataFrame:
+    """doc_id, text, and the row's list column ``parts`` (array of structs), by a join on the key (a, b)."""
+    return texts.join(lists, ["a", "b"], how).select("doc_id", "text", "parts")
 
 
 def columns_of(parts: pa.ListArray, *names: str) -> tuple[np.ndarray, ...]:
@@ -81,13 +108,13 @@ def columns_of(parts: pa.ListArray, *names: str) -> tuple[np.ndarray, ...]:
     return np.repeat(np.arange(len(parts)), lengths), *(flat.field(n).to_numpy(zero_copy_only=False) for n in names)
 
 
-def window_rows(docs: DataFrame, wanted: DataFrame, length: int, doc_id: str, text: str) -> DataFrame:
-    """anchor, content, hot, doc_id, hi, nth, window, check of each window of the wanted runs (doc_id, start, size, anchor, content, hot, hi).
+def window_rows(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """anchor, content, hot, doc_id, hi, nth, window, check of each window of the wanted runs (a, b, start, size, anchor, content, hot, hi).
 
     Symbols are words. window: the polynomial (Rabin-Karp) hash of its words, from two prefix sums; check: the low half of the XXH3 of
-    the same words; nth: its place in the run.
+    the words' own bytes; nth: its place in the run.
     """
-    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("start", "size", "anchor", "content", "hot", "hi")).alias("parts"))
+    lists = wanted.groupBy("a", "b").agg(F.collect_list(F.struct("start", "size", "anchor", "content", "hot", "hi")).alias("parts"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -95,16 +122,16 @@ def window_rows(docs: DataFrame, wanted: DataFrame, length: int, doc_id: str, te
             row, start, size, anchor, content, hot, hi = columns_of(batch.column(2), "start", "size", "anchor", "content", "hot", "hi")
             size = size.astype(np.int64)
             owner, nth = np.repeat(np.arange(len(row)), size), rolling.ranges(np.zeros(len(size), np.int64), size)
-            for prefix, first, raw, item, before in stretches(batch.column(1), "word", length):
-                at = (start + first[row])[owner] + nth - before
-                here = np.flatnonzero((at >= 0) & (at < int(first[-1]) - length + 1))
+            for part in stretches(batch.column(1), "word", length):
+                at = (start + part.first[row])[owner] + nth - part.before
+                here = np.flatnonzero((at >= 0) & (at < int(part.first[-1]) - length + 1))
                 at, mine = at[here], owner[here]
-                check = np.array([xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip((at * item).tolist(), ((at + length) * item).tolist())], np.uint64)
+                check = np.array([xxhash.xxh3_64_intdigest(part.own[a:b]) for a, b in zip(part.bounds[at].tolist(), part.bounds[at + length].tolist())], np.uint64)
                 check = check.astype(np.uint32).view(np.int32)
-                made = [anchor[mine], content[mine], hot[mine].astype(bool), ids[row[mine]], hi[mine], nth[here], prefix.of(at, at + length).view(np.int64), check]
+                made = [anchor[mine], content[mine], hot[mine].astype(bool), ids[row[mine]], hi[mine], nth[here], part.prefix.of(at, at + length).view(np.int64), check]
                 yield pa.record_batch([pa.array(x) for x in made], ["anchor", "content", "hot", "doc_id", "hi", "nth", "window", "check"])
 
-    return with_lists(docs, lists, doc_id, text, "inner").mapInArrow(run, "anchor long, content long, hot boolean, doc_id long, hi long, nth long, window long, check int")
+    return with_lists(texts, lists, "inner").mapInArrow(run, "anchor long, content long, hot boolean, doc_id long, hi long, nth long, window long, check int")
 
 
 class Cut:
@@ -142,31 +169,36 @@ class Cut:
             self.kept = [x[:-1] for x in self.kept]
 
 
+def listed(spans: DataFrame, name: str) -> DataFrame:
+    """a, b and the spans (start, stop) of each key, each once: copies of a text under one key have the same."""
+    return spans.groupBy("a", "b").agg(F.collect_set(F.struct("start", "stop")).alias(name))
+
+
 def kept_of(docs: DataFrame, spans: DataFrame, unit: str, doc_id: str, text: str) -> DataFrame:
     """doc_id, n (symbols), n_removed, n_spans (maximal ones), kept_sha256 and spans (array of start
-    and stop, in symbols) of every document, when its spans (doc_id, start, stop in symbols) are
+    and stop, in symbols) of every row, when its spans (a, b, start, stop in symbols) are
     taken out; the digest is that of what is left, words joined by one space.
     """
-    lists = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("parts"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             cut = Cut(batch.column(1), batch.column(2), unit)
             n_spans = np.bincount(cut.owner, minlength=batch.num_rows)
             pairs = pa.StructArray.from_arrays([pa.array(x - cut.first[cut.owner], pa.int64()) for x in (cut.start, cut.stop)], ["start", "stop"])
-            listed = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n_spans)].astype(np.int32)), pairs)
+            made = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n_spans)].astype(np.int32)), pairs)
             digests = [hashlib.sha256(x).hexdigest() for x in cut.kept]
-            yield pa.record_batch([batch.column(0).cast("int64"), pa.array(np.diff(cut.first)), pa.array(cut.removed), pa.array(n_spans), pa.array(digests), listed], ["doc_id", "n", "n_removed", "n_spans", "kept_sha256", "spans"])
+            yield pa.record_batch([batch.column(0).cast("int64"), pa.array(np.diff(cut.first)), pa.array(cut.removed), pa.array(n_spans), pa.array(digests), made], ["doc_id", "n", "n_removed", "n_spans", "kept_sha256", "spans"])
 
     schema = "doc_id long, n long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,stop:long>>"
-    return with_lists(docs, lists, doc_id, text, "left").mapInArrow(run, schema)
+    return with_lists(keyed(docs, doc_id, text), listed(spans, "parts"), "left").mapInArrow(run, schema)
 
 
 def rewritten(docs: DataFrame, spans: DataFrame, unit: str, doc_id: str, text: str) -> DataFrame:
-    """docs with every text without its spans. Characters of which a span takes a part go as a whole."""
-    held, key = free(docs, "parts"), free(docs, "key")
-    lists = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias(held)).withColumnRenamed("doc_id", key)
+    """docs with every text without its spans (a, b, start, stop). Characters of which a span takes a part go as a whole."""
+    held, a, b = free(docs, "parts"), free(docs, "a"), free(docs, "b")
+    lists = listed(spans, held).withColumnsRenamed({"a": a, "b": b})
     names, at = docs.columns, docs.columns.index(text)
+    dealt = docs.withColumns({a: F.coalesce(F.col(doc_id).cast("long"), F.lit(0)), b: F.xxhash64(text)})
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, at):
@@ -174,4 +206,4 @@ def rewritten(docs: DataFrame, spans: DataFrame, unit: str, doc_id: str, text: s
             columns = [pa.array(kept, pa.string()) if i == at else batch.column(i) for i in range(len(names))]
             yield pa.record_batch(columns, names)
 
-    return docs.join(lists, F.col(doc_id) == F.col(key), "left").select(*names, held).mapInArrow(run, docs.schema)
+    return dealt.join(lists, [a, b], "left").select(*names, held).mapInArrow(run, docs.schema)

@@ -15,22 +15,23 @@ from .shared import hot_join, hot_keys, need, stored
 
 
 def repeated_spans(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, start, stop: words of windows whose sequence also starts in a document with a smaller doc_id.
+    """a, b, start, stop: words of windows whose sequence also starts in a document with a smaller doc_id; (a, b): see ``repeats.keyed``.
 
-    Spans overlap. Rows with a null doc_id have no order and give none; repeated rows with one
-    doc_id are one document to each other. Windows are equal if their anchor, Rabin-Karp hash and half of the XXH3 agree:
-    none is left out, and unequal ones agree with a chance below 2^-64.
+    Spans overlap. Rows with a null doc_id have no order and give none; rows with one doc_id are one document to each
+    other, but each has its own text's spans. Windows are equal if their anchor, Rabin-Karp hash and 32 bits of the XXH3 of their words' bytes
+    agree: none is left out. The first two rest on the XXH3 of each word, the third on the bytes alone. A text of
+    any length is hashed whole, by stretches of ``repeats.LONG`` symbols.
     """
     need(docs, doc_id, text)
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
-    made = lambda content: repeats.runs(texts, "word", length, length // 2, ["doc_id"], "text", content).drop("twice")
-    shared = stored(made(False).groupBy("anchor").agg(F.min("doc_id").alias("_lo"), F.max("doc_id").alias("_hi"), F.count("*").alias("n")).where("_lo < _hi").select("anchor", "n"), "anchors")
+    texts = repeats.keyed(docs, doc_id, text).where("doc_id is not null")
+    made = lambda content: repeats.runs(texts, "word", length, length // 2, ["a", "b"], "text", content).drop("twice")
+    shared = stored(made(False).groupBy("anchor").agg(F.min("a").alias("_lo"), F.max("a").alias("_hi"), F.count("*").alias("n")).where("_lo < _hi").select("anchor", "n"), "anchors")
     hot = hot_keys(shared, "anchor")
     flagged = lambda df: df.join(hot, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-    again = stored(hot_join(flagged(made(True)), flagged(shared.select("anchor")), ["anchor"], ["doc_id", "start"]), "runs")
-    contents = again.groupBy("anchor", "content").agg(F.first("hot").alias("hot"), F.max("doc_id").alias("hi"), F.min(F.struct("doc_id", "start", "size")).alias("one"))
+    again = stored(hot_join(flagged(made(True)), flagged(shared.select("anchor")), ["anchor"], ["a", "b", "start"]), "runs")
+    contents = again.groupBy("anchor", "content").agg(F.first("hot").alias("hot"), F.max("a").alias("hi"), F.min(F.struct("a", "b", "start", "size")).alias("one"))
     contents = stored(contents.select("anchor", "content", "hot", "hi", "one.*"), "contents")
-    windows = stored(repeats.window_rows(texts, contents, length, "doc_id", "text"), "windows")
+    windows = stored(repeats.window_rows(texts, contents, length), "windows")
     same = ["anchor", "window", "check"]
     least = windows.groupBy(*same).agg(F.min("doc_id").alias("least"), F.max("hi").alias("last"), F.first("hot").alias("hot")).where("least < last").drop("last")
     late = hot_join(windows, stored(least, "least"), same, ["content", "nth"]).where("hi > least")
@@ -38,8 +39,8 @@ def repeated_spans(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", te
     runs = late.groupBy("anchor", "content", "hot", "least").agg(F.min("nth").alias("from"), F.max("nth").alias("to"), F.count("*").alias("size"), nth.alias("nth"))
     ends = F.when(whole, F.array(F.struct(F.col("from").alias("lo"), F.col("to").alias("hi")))).otherwise(F.transform("nth", lambda i: F.struct(i.alias("lo"), i.alias("hi"))))
     verdicts = stored(runs.select("anchor", "content", "hot", "least", F.explode(ends).alias("part")).select("anchor", "content", "hot", "least", "part.*"), "verdicts")
-    spans = hot_join(again, verdicts, ["anchor", "content"], ["doc_id", "start"]).where("doc_id > least")
-    return spans.select("doc_id", (F.col("start") + F.col("lo")).alias("start"), (F.col("start") + F.col("hi") + length).alias("stop"))
+    spans = hot_join(again, verdicts, ["anchor", "content"], ["a", "b", "start"]).where("a > least")
+    return spans.select("a", "b", (F.col("start") + F.col("lo")).alias("start"), (F.col("start") + F.col("hi") + length).alias("stop"))
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -191,15 +191,15 @@ def spans_of(texts: DataFrame, length: int, gram: int, most: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", text: str = "text", most: int = SORT_BYTES) -> DataFrame:
-    """doc_id, start, stop: bytes of strings of ``length`` that also start anywhere else, same document included.
+    """a, b, start, stop: bytes of strings of ``length`` that also start anywhere else, same document included; (a, b): see ``repeats.keyed``.
 
-    Spans overlap. doc_id must be unique: rows without one are left out, and rows with an equal one get each other's
-    spans. ``most``: text of different runs that one anchor may have before it is dealt anew. Null and empty texts,
+    Spans overlap. Rows with null or repeated doc_ids are rows like any other: each has the spans of its own text.
+    ``most``: text of different runs that one anchor may have before it is dealt anew. Null and empty texts,
     and an empty table, give none; texts of over ``repeats.LONG`` bytes are hashed by stretches.
     """
     need(docs, doc_id, text)
-    texts = docs.select(F.col(doc_id).cast("long").alias("a"), F.lit(0).cast("long").alias("b"), F.lit(1).cast("long").alias("weight"), F.col(text).alias("text"))
-    return spans_of(texts.where("a is not null"), length, length // 2, most).select(F.col("a").alias("doc_id"), "start", "stop")
+    texts = repeats.keyed(docs, doc_id, text).select("a", "b", F.lit(1).cast("long").alias("weight"), "text")
+    return spans_of(texts, length, length // 2, most)
 
 
 def remove_repeats(docs: DataFrame, length: int = 200, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -37,7 +37,7 @@ class Words:
     """The runs of bytes that are no gaps, in turn.
 
     start, end: their bounds in data; first: each text's first word; text: each word's text; codes: each word's
-    place among the distinct ones, names.
+    place among the distinct ones, names; raw: the words' bytes in turn, of which the i-th has bounds[i] to bounds[i + 1].
     """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray):
@@ -47,6 +47,7 @@ class Words:
         np.cumsum(self.end - self.start, out=bounds[1:])
         raw = np.ascontiguousarray(data[~gaps[data]])
         listed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(self.start), [None, pa.py_buffer(bounds), pa.py_buffer(raw)]).dictionary_encode()
+        self.raw, self.bounds = raw, bounds
         self.codes, self.names = listed.indices.to_numpy().astype(np.int64), listed.dictionary
         self.text = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first))
 

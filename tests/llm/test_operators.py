@@ -104,11 +104,13 @@ def test_long_texts_are_hashed_by_stretches(unit, length):
 
     def windows(most):
         found = {}
-        for prefix, first, raw, item, before in repeats.stretches(text, unit, length, most):
-            runs = rolling.Runs(prefix, first, length, length // 2)
+        for part in repeats.stretches(text, unit, length, most):
+            runs, item = rolling.Runs(part.prefix, part.first, length, length // 2), part.item
             for at, n, anchor in zip(runs.start.tolist(), runs.size.tolist(), runs.anchor.tolist()):
                 for i in range(at, at + n):
-                    assert found.setdefault(i + before, (anchor, raw[i * item : (i + length) * item])) == (anchor, raw[i * item : (i + length) * item])
+                    own = part.own[part.bounds[i] : part.bounds[i + length]] if unit == "word" else b""
+                    seen = (anchor, part.raw[i * item : (i + length) * item], own)
+                    assert found.setdefault(i + part.before, seen) == seen
         return found
 
     whole = windows(1 << 30)
@@ -127,6 +129,35 @@ def test_texts_of_megabytes(spark):
     assert rows == {0: (370_000, 0), 1: (1, 0), 2: (370_001, 370_000)}
 
 
+def test_words_whose_polynomials_agree_are_told_apart(spark):
+    """A Thue-Morse word and its complement have one polynomial hash modulo 2^64, whatever the base and the symbols."""
+    for k in (10, 11):
+        morse = "".join("ab"[i.bit_count() % 2] for i in range(1 << k))
+        other = morse.translate(str.maketrans("ab", "ba"))
+        hashes = {int(rolling.Prefix(rolling.SYMBOL[np.frombuffer(w.encode(), np.uint8)], rolling.BYTE_BASE).of(np.array([0]), np.array([len(w)]))[0]) for w in (morse, other)}
+        assert len(hashes) == 1
+        rest = " ".join(f"w{i}" for i in range(50))
+        docs = table(spark, [f"{rest[:60]} {morse} {rest[60:]}", f"{rest[:60]} {other} {rest[60:]}", f"{rest[:60]} {other} {rest[60:]}"])
+        assert {r.doc_id: r.n_removed for r in substring.remove_repeats(docs).collect()} == {0: 0, 1: 0, 2: 52}
+
+
+def test_spans_of_rows_with_null_and_repeated_ids(spark):
+    """Rows neither lose nor lend spans by their ids: each is cut by its own text."""
+    rng = random.Random(8)
+    say = lambda n: "".join(rng.choices("abcdefghij ", k=n))
+    alone, passage, clean = say(400), say(400), say(700)
+    rows = [(1, alone), (1, passage), (2, passage), (None, clean + passage), (None, clean[::-1]), (3, alone[:150])]
+    docs = spark.createDataFrame([(d, t, i) for i, (d, t) in enumerate(rows)], "doc_id long, text string, a long")
+    found = {r.a: r.text for r in suffix_dedup.strip_repeats(docs).collect()}
+    assert found == {0: alone, 1: "", 2: "", 3: clean, 4: clean[::-1], 5: alone[:150]}
+    same = spark.createDataFrame([(7, passage), (7, passage), (None, None), (None, "")], "doc_id long, text string")
+    assert sorted((r.doc_id or 0, r.n, r.n_removed) for r in suffix_dedup.remove_repeats(same).collect()) == [(0, 0, 0), (0, 0, 0), (7, 400, 400), (7, 400, 400)]
+    words = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, words), (2, "other " * 3), (2, words + " end"), (None, words), (3, words)], "doc_id long, text string")
+    found = sorted((r.doc_id or 0, r.n, r.n_removed) for r in substring.remove_repeats(docs).collect())
+    assert found == [(0, 60, 0), (1, 60, 0), (2, 3, 0), (2, 61, 60), (3, 60, 60)]
+
+
 def test_stripping_with_columns_of_any_name(spark):
     texts = ["x" * 300, "y" + "x" * 300, None]
     docs = spark.createDataFrame([(i, t, i, "k", "h") for i, t in enumerate(texts)], "doc_id long, text string, _parts long, key string, parts string")
