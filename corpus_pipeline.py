@@ -43,8 +43,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the strings of 200 bytes that start anywhere else too.
 
-    Every row stays, with n_chars counted anew; null texts become empty. Rows without a doc_id keep their text as it
-    is; rows with one doc_id should not be: they lose each other's spans. An empty table gives no rows.
+    Every row stays, with n_chars counted anew; null texts become empty. Rows with null or repeated doc_ids are rows
+    like any other: each is cut by its own text. Long texts are cut whole. An empty table gives no rows.
     """
     return suffix_dedup.strip_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
 
