@@ -26,14 +26,25 @@ def lines(spark: SparkSession, path: str | list[str], comment: str = "#") -> Dat
     return spark.read.text(path).where((F.length("value") > 0) & ~F.col("value").startswith(comment))
 
 
+def first_of(pairs: Column) -> Column:
+    """A map of an array of structs (key, value), both text; of equal keys the first counts."""
+    empty = F.array().cast("array<struct<col1:string,col2:string>>")
+    return F.map_from_entries(F.aggregate(pairs, empty, lambda held, x: F.when(F.exists(held, lambda y: y["col1"] == x["col1"]), held).otherwise(F.concat(held, F.array(x)))))
+
+
+def derived() -> dict[str, Column]:
+    """stop, sa and ts of alignments with start, cigar and tags."""
+    used = F.expr("aggregate(regexp_extract_all(cigar, '(\\\\d+)[MDN=X]', 1), 0, (a, x) -> a + cast(x as int))")
+    return {"stop": F.col("start") + used, "sa": F.try_element_at("tags", F.lit("SA")), "ts": F.try_element_at("tags", F.lit("ts"))}
+
+
 def sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Alignments of SAM text: qname, flag, chrom, start (0-based), stop, mapq, cigar, seq, sa, ts, tags."""
+    """Alignments of SAM text: qname, flag, chrom, start (0-based), stop, mapq, cigar, seq, sa, ts, tags; of a tag that comes twice the first."""
     f = F.split("value", "\t")
     rows = lines(spark, path, "@").select(f.alias("f")).where(F.size("f") >= 11)
-    tags = F.map_from_entries(F.transform(F.slice("f", 12, 1000), lambda t: F.struct(F.substring(t, 1, 2), F.substring(t, 6, 1 << 20))))
-    used = F.expr("aggregate(regexp_extract_all(f[5], '(\\\\d+)[MDN=X]', 1), 0, (a, x) -> a + cast(x as int))")
-    out = rows.select(F.col("f")[0].alias("qname"), F.col("f")[1].cast("int").alias("flag"), F.col("f")[2].alias("chrom"), (F.col("f")[3].cast("int") - 1).alias("start"), used.alias("_used"), F.col("f")[4].cast("int").alias("mapq"), F.col("f")[5].alias("cigar"), F.col("f")[9].alias("seq"), tags.alias("tags"), F.array_join("f", "\t").alias("line"))
-    return out.withColumns({"stop": F.col("start") + F.col("_used"), "sa": F.try_element_at("tags", F.lit("SA")), "ts": F.try_element_at("tags", F.lit("ts"))}).drop("_used")
+    tags = first_of(F.transform(F.slice("f", 12, 1000), lambda t: F.struct(F.substring(t, 1, 2), F.substring(t, 6, 1 << 20))))
+    out = rows.select(F.col("f")[0].alias("qname"), F.col("f")[1].cast("int").alias("flag"), F.col("f")[2].alias("chrom"), (F.col("f")[3].cast("int") - 1).alias("start"), F.col("f")[4].cast("int").alias("mapq"), F.col("f")[5].alias("cigar"), F.col("f")[9].alias("seq"), tags.alias("tags"), F.array_join("f", "\t").alias("line"))
+    return out.withColumns(derived())
 
 
 def reads_tsv(spark: SparkSession, path: str | list[str]) -> DataFrame:
