@@ -56,6 +56,18 @@ def majority(reads: DataFrame, keys: list[str], hap: str = "hap") -> DataFrame:
     return votes.withColumn("hap", F.expr("case when h1 > h2 then 'H1' when h2 > h1 then 'H2' else 'none' end"))
 
 
+def molecules_voted(found: DataFrame, haps: DataFrame) -> DataFrame:
+    """Molecules (with a list ``reads``) with hap, the allele that most of their reads vote for, ``none`` on a tie or without votes.
+
+    haps: qname, hap, a read once. Molecules that are equal stay apart.
+    """
+    rows = found.withColumn("_row", F.monotonically_increasing_id()).withColumn("_qname", F.explode_outer("reads"))
+    each = rows.join(haps.select(F.col("qname").alias("_qname"), F.col("hap").alias("_hap")), "_qname", "left")
+    one, two = (F.count(F.when(F.col("_hap") == h, 1)) for h in ("H1", "H2"))
+    votes = each.groupBy("_row").agg(*(F.first(c).alias(c) for c in found.columns), one.alias("_one"), two.alias("_two"))
+    return votes.select(*found.columns, F.expr("case when _one > _two then 'H1' when _two > _one then 'H2' else 'none' end").alias("hap"))
+
+
 def allele_counts(rows: DataFrame, keys: list[str], hap: str = "hap") -> DataFrame:
     """keys, h1, h2, unphased, total."""
     n = lambda test, name: F.count(F.when(test, 1)).alias(name)

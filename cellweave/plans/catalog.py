@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sequences, stats
 from ..operators import barcodes, intervals, molecules, quant, splicing, variants
+from . import workflows
 from .bindings import READS, reads, sequence, sequence_sql, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -304,7 +305,7 @@ def _molecule_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Rounds of expectation and maximisation for all genes and clusters side by side; each stops by itself, and the shares
 #: before its last round spread its molecules.
-EM = f"""WITH RECURSIVE {READS}, m AS (SELECT bc, umi, gene, cluster, list_sort(list_distinct(list(trans))) AS ts, min(hap) AS hap FROM reads GROUP BY bc, umi, gene, cluster),
+EM_STEPS = """
 names AS (SELECT gene, list_sort(list_distinct(list(trans))) AS names FROM reads GROUP BY gene),
 sets AS (SELECT gene, cluster, names, list(struct_pack(n := n, m := list_transform(names, lambda t: list_contains(ts, t)::INT)) ORDER BY ts) AS sets, sum(n) AS total FROM (SELECT gene, cluster, ts, count(*) AS n FROM m GROUP BY ALL) JOIN names USING (gene) GROUP BY gene, cluster, names),
 em AS (
@@ -316,6 +317,7 @@ em AS (
 ),
 shares AS (SELECT gene, cluster, unnest(names) AS trans, unnest(prior) AS share FROM (SELECT gene, cluster, arg_max(prior, round) AS prior FROM em GROUP BY gene, cluster) JOIN names USING (gene)),
 spread AS (SELECT r, gene, cluster, hap, trans, share / sum(share) OVER (PARTITION BY r) AS part FROM (SELECT r, gene, cluster, hap, unnest(ts) AS trans FROM (SELECT *, row_number() OVER () AS r FROM m)) JOIN shares USING (gene, cluster, trans))"""
+EM = f"""WITH RECURSIVE {READS}, m AS (SELECT bc, umi, gene, cluster, list_sort(list_distinct(list(trans))) AS ts, min(hap) AS hap FROM reads GROUP BY bc, umi, gene, cluster),{EM_STEPS}"""
 
 
 @query(f"{EM} SELECT gene, cluster, trans, round(sum(part), 6) AS abundance FROM spread GROUP BY gene, cluster, trans HAVING sum(part) > 0")
@@ -328,6 +330,25 @@ def em_abundance_hap(spark, sf_dir):
     return quant.abundance(_molecule_sets(spark, sf_dir), extra=["hap"]).withColumn("abundance", F.round("abundance", 6))
 
 
+#: A read's allele is that of its name; molecules without a full-length read go, and reads that are not do not vote.
+VOTED = f"""WITH RECURSIVE {READS}, named AS (SELECT *, umi || ':' || line || ':' || chrom AS q, quantity > 25 AS full_length FROM reads),
+haps AS (SELECT q, min(hap) AS h FROM named WHERE hap <> 'none' GROUP BY q),
+m AS (SELECT *, CASE WHEN one > two THEN 'H1' WHEN two > one THEN 'H2' ELSE 'none' END AS hap FROM (
+  SELECT bc, umi, gene, cluster, list_sort(list_distinct(list(trans))) AS ts, count(*) FILTER (full_length AND h = 'H1') AS one, count(*) FILTER (full_length AND h = 'H2') AS two
+  FROM named LEFT JOIN haps USING (q) GROUP BY bc, umi, gene, cluster HAVING count(*) FILTER (full_length) > 0)),{EM_STEPS.replace("hap, unnest(ts)", "hap, bc, unnest(ts)").replace("cluster, hap, trans, share /", "cluster, hap, bc, trans, share /")}"""
+
+
+@query(f"{VOTED} SELECT gene, cluster, bc, hap, trans, round(sum(part), 6) AS abundance FROM spread GROUP BY ALL HAVING sum(part) > 0")
+def allele_matrices(spark, sf_dir):
+    """What the matrices by allele hold: reads filtered, then votes, then one fit for all alleles."""
+    rows = reads(spark, sf_dir).withColumn("q", F.concat_ws(":", "umi", "line", "chrom"))
+    lists = [F.collect_list(F.col("q")).alias("reads"), F.collect_list(F.when(F.col("quantity") > 25, "FullLen").otherwise("Partial")).alias("categories"), F.collect_list(F.lit("Y")).alias("splices")]
+    found = rows.groupBy("bc", "umi", "gene").agg(F.collect_set("trans").alias("trans"), *lists).withColumn("genes", F.array("gene")).drop("gene")
+    haps = rows.where("hap <> 'none'").groupBy(F.col("q").alias("qname")).agg(F.min("hap").alias("hap"))
+    made = workflows.quantify(found, rows.select("bc", "cluster").distinct(), "x.categories = 'FullLen'", haps)
+    return made.withColumn("abundance", F.round("abundance", 6))
+
+
 VALUES = f"WITH {READS}, v AS (SELECT gene, cluster, bc, count(DISTINCT umi) AS value FROM reads GROUP BY gene, cluster, bc)"
 
 

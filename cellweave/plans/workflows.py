@@ -39,12 +39,19 @@ def assign_reads(reads: DataFrame, cells: DataFrame, compatible: DataFrame, gene
     return molecules.bc_umi_table(found, genes)
 
 
-def quantify(found: DataFrame, cells: DataFrame | None = None, categories: str | None = None) -> DataFrame:
-    """gene, cluster, bc, trans, abundance of the molecules of one gene; cells: bc, cluster."""
+def quantify(found: DataFrame, cells: DataFrame | None = None, categories: str | None = None, haps: DataFrame | None = None) -> DataFrame:
+    """gene, cluster, bc, trans, abundance of the molecules of one gene; cells: bc, cluster. With haps (qname, hap) also hap.
+
+    Reads that fail ``categories`` go before alleles are voted on; shares are fitted over all alleles together and
+    split among them.
+    """
     rows = molecules.keep_elements(found, ["reads", "categories", "splices"], categories) if categories else found
     rows = rows.where("size(genes) = 1 and genes[0] <> 'NA' and not array_contains(trans, 'NA')").withColumn("gene", F.col("genes")[0])
     rows = rows.join(cells, "bc") if cells is not None else rows.withColumn("cluster", F.lit("cluster_0"))
-    return quant.abundance(rows.select("gene", "cluster", "bc", "trans"), extra=["bc"])
+    extra = ["bc"]
+    if haps is not None:
+        rows, extra = splicing.molecules_voted(rows.select("gene", "cluster", "bc", "trans", "reads"), haps), ["bc", "hap"]
+    return quant.abundance(rows.select("gene", "cluster", "trans", *extra), extra=extra)
 
 
 def allele_table(found: DataFrame, haps: DataFrame, cells: DataFrame, by_read: bool = False) -> DataFrame:
@@ -80,19 +87,22 @@ def split_compatibility(compatible: DataFrame, spans: DataFrame) -> DataFrame:
 def write_matrices(found: DataFrame, folder: str, names: DataFrame, cells: DataFrame | None = None, haps: DataFrame | None = None, categories: str | None = None) -> None:
     """Gene and transcript matrices of molecules, in folders ``gene`` and ``transcript``, or one pair for each allele.
 
-    names: gene, gene_name, trans. haps: qname, hap; then a molecule counts for the allele that most of its reads vote for, or none.
+    names: gene, gene_name, trans. haps: qname, hap; then a molecule counts for the allele that most of its reads vote for, or none,
+    and all alleles share one fit, computed once.
     """
+    found = quantify(found, cells, categories, haps)
     if haps is None:
-        tables_ = {"": quantify(found, cells, categories)}
+        tables_ = {"": found}
     else:
-        voted = splicing.majority(found.select("*", F.explode_outer("reads").alias("qname")).join(haps, "qname", "left"), found.columns).drop("h1", "h2")
-        tables_ = {f"_haplotype_{h}": quantify(voted.where(F.col("hap") == h).drop("hap"), cells, categories) for h in ("H1", "H2", "none")}
+        found = found.persist()
+        tables_ = {f"_haplotype_{h}": found.where(F.col("hap") == h) for h in ("H1", "H2", "none")}
     for suffix, rows in tables_.items():
         genes = rows.groupBy("gene", "bc").agg(F.sum("abundance").alias("value"))
         trans = rows.groupBy("trans", "bc").agg(F.sum("abundance").alias("value"))
         tables.write_10x(quant.sparse(genes), f"{folder}/gene{suffix}", names=names.select(F.col("gene").alias("feature"), F.col("gene_name").alias("name")))
         tables.write_10x(quant.sparse(trans, "trans"), f"{folder}/transcript{suffix}", "trans")
         tables.write_gene_to_trans(names.join(rows.select("trans").distinct(), "trans", "left_semi"), f"{folder}/transcript{suffix}")
+    found.unpersist()
 
 
 def joined(rows: DataFrame, keys: list[str], columns: list[str], order: str = "trans") -> DataFrame:

@@ -92,6 +92,19 @@ def test_matrices_of_alleles(spark, found, tmp_path):
     assert cells == {"H1": ["A"], "H2": ["B"], "none": ["A"]}
 
 
+def test_alleles_share_one_fit(spark, tmp_path):
+    """Three molecules of T1 and one of either in H1, nine of T2 in H2: the shared one is split by all thirteen."""
+    rows = [("A", f"u{i}", trans, ["G"], [f"r{i}", f"x{i}"], ["FullLen", "Partial"], ["Y", "Y"]) for i, trans in enumerate([["T1"]] * 3 + [["T1", "T2"]] + [["T2"]] * 9)]
+    found = spark.createDataFrame(rows, MOLECULES)
+    haps = spark.createDataFrame([(f"r{i}", "H1" if i < 4 else "H2") for i in range(13)] + [(f"x{i}", "H2") for i in range(4)], "qname string, hap string")
+    names = spark.createDataFrame([("G", "Name", "T1"), ("G", "Name", "T2")], "gene string, gene_name string, trans string")
+    workflows.write_matrices(found, f"file://{tmp_path}/m", names, haps=haps, categories="x.categories = 'FullLen'")
+    values = {h: {r.feature: round(r.value, 4) for r in tables.matrix_10x(spark, f"file://{tmp_path}/m/transcript_haplotype_{h}").collect()} for h in ("H1", "H2", "none")}
+    assert values == {"H1": {"T1": 3.25, "T2": 0.75}, "H2": {"T2": 9.0}, "none": {}}
+    tied = workflows.quantify(found, haps=haps).where("hap = 'none'")  # with both reads, one vote each
+    assert {r.trans: round(r.abundance, 4) for r in tied.groupBy("trans").agg({"abundance": "sum"}).toDF("trans", "abundance").collect()} == {"T1": 3.25, "T2": 0.75}
+
+
 def test_alleles_from_files(spark, tmp_path):
     """Two transcripts that the alleles share out unevenly; one gene expressed from one allele."""
     rows, haps = [], []
