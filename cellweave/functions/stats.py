@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from ..operators.partitioning import before, ranged, stored
+
 #: ln k! for small k; beyond, Stirling's series is as exact as a double.
 EXACT = 256
 LN_FACTORIAL = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, EXACT)))])
@@ -113,17 +115,39 @@ def chi2(rows: DataFrame, keys: list[str], item: str, left: str, right: str) ->
 def bh(rows: DataFrame, p: str, keys: list[str], order: list[str], name: str = "fdr") -> DataFrame:
     """rows with Benjamini-Hochberg values within keys; NaN and null p stay out and get NaN.
 
-    The values of one scope are sorted in one task: there is one for each gene and cluster.
+    The values of one scope of keys are sorted in one task: there is one for each gene and cluster. Without keys all rows are
+    one scope, of any size: see ``bh_whole``.
     """
     good = rows.where(F.col(p).isNotNull() & ~F.isnan(p))
-    by = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    rest = rows.where(F.col(p).isNull() | F.isnan(p)).withColumn(name, F.lit(float("nan")))
+    if not keys:
+        return good.join(bh_whole(good, p, name), p).select(*rows.columns, name).unionByName(rest)
+    by = Window.partitionBy(*keys)
     rising = by.orderBy(p, *order)
     raw = good.withColumn("_q", F.col(p) * F.count("*").over(by) / F.row_number().over(rising))
     fixed = raw.withColumn(name, F.least(F.lit(1.0), F.min("_q").over(rising.rowsBetween(0, Window.unboundedFollowing)))).drop("_q")
-    rest = rows.where(F.col(p).isNull() | F.isnan(p)).withColumn(name, F.lit(float("nan")))
     return fixed.unionByName(rest)
 
 
+def bh_whole(rows: DataFrame, p: str, name: str) -> DataFrame:
+    """p, name: the value of each different p over all rows, by ranges of p.
+
+    A value's rank is the number of rows up to it: a sum within its range behind the totals of those before. The least
+    quotient from a value on is that within its range, or of a later range's least. Only totals of ranges meet in a task.
+    """
+    counts = ranged(rows.groupBy(p).agg(F.count("*").alias("_n")), p)
+    parts = counts.groupBy("_part").agg(F.sum("_n").alias("_n"))
+    total = F.sum("_n").over(Window.partitionBy(F.lit(0)))
+    parts = stored(before(parts, "_n", "_before").join(parts.select("_part", total.alias("_all")), "_part"), "totals")
+    up = Window.partitionBy("_part").orderBy(p)
+    ranks = counts.withColumn("_up", F.sum("_n").over(up.rowsBetween(Window.unboundedPreceding, 0))).join(parts, "_part")
+    raw = stored(ranks.select("_part", p, (F.col(p) * F.col("_all") / (F.col("_before") + F.col("_up"))).alias("_q")), "quotients")
+    later = Window.orderBy("_part").rowsBetween(1, Window.unboundedFollowing)
+    least = raw.groupBy("_part").agg(F.min("_q").alias("_q")).select("_part", F.min("_q").over(later).alias("_later"))
+    here = F.min("_q").over(up.rowsBetween(0, Window.unboundedFollowing))
+    return raw.withColumn("_here", here).join(least, "_part").select(p, F.least(F.lit(1.0), "_here", "_later").alias(name))
+
+
 def ln_factorial_sql(x: str) -> str:
     return f"lgamma(({x}) + 1)"
 

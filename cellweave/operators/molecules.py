@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sequences import search
-from .partitioning import by_key, numbered
+from .partitioning import components, numbered, stored
 
 # Fixed values of the alignment format: flag bits of unmapped, secondary and supplementary records.
 UNMAPPED, SECONDARY, SUPPLEMENTARY, REVERSE = 4, 256, 2048, 16
@@ -109,27 +111,100 @@ def cluster(tags: list[tuple[str, list[tuple[str, frozenset, bool]]]], most: int
     return [(n["umi"], sorted(n["trans"]), n["all"]) for i, n in enumerate(nodes) if n["head"] == i]
 
 
-def molecules(reads: DataFrame, keys: list[str], umi: str = "umi", read: str = "qname", trans: str = "trans", perfect: str = "is_perfect", order: str = "pos", most: int = 1) -> DataFrame:
+def near_tags(tags: DataFrame, keys: list[str], umi: str = "umi", trans: str = "trans", most: int = 1) -> DataFrame:
+    """keys, a, b: every two tags of a cell that clustering may hold against one another, a < b. tags: keys, umi, trans, a tag once.
+
+    Within ``most`` edits, ends of the earlier tag being free, two tags of one length become equal when each loses up
+    to ``most`` letters; tags that lose the same are joined, and so are, through pieces and substrings as in ``cluster``, those of another length than the
+    commonest. Both must share a transcript; reads without any count as NA.
+    """
+    named = tags.select(*keys, F.col(umi).alias("u"), F.when(F.size(trans) > 0, F.col(trans)).otherwise(F.array(F.lit("NA"))).alias("t"), F.length(umi).alias("n"))
+    lose = lambda c: F.flatten(F.transform(c, lambda x: F.transform(F.sequence(F.lit(1), F.length(x)), lambda i: F.concat(F.substr(x, F.lit(1), i - 1), F.substr(x, i + 1)))))
+    shorter = F.array("u")
+    for _ in range(most):
+        shorter = F.array_distinct(F.concat(shorter, lose(shorter)))
+    lost = named.where("n > 0").withColumn("k", F.explode(shorter))
+    pair = lambda left, right, more: left.alias("x").join(right.alias("y"), [F.col(f"x.{c}") == F.col(f"y.{c}") for c in [*keys, *more]])
+    shared = F.arrays_overlap("x.t", "y.t")
+    out = lambda df: df.select(*(F.col(f"x.{c}").alias(c) for c in keys), F.least("x.u", "y.u").alias("a"), F.greatest("x.u", "y.u").alias("b"))
+    same = out(pair(lost, lost, ["n", "k"]).where(shared & (F.col("x.u") < F.col("y.u"))))
+    usual = named.groupBy("n").agg(F.count("*").alias("_c")).orderBy(F.desc("_c"), "n").first()
+    usual = usual["n"] if usual else 0
+    piece = lambda i: F.substr(F.col("u"), (F.floor(F.col("n") * i / (most + 1)) + 1).cast("int"), (F.floor(F.col("n") * (i + 1) / (most + 1)) - F.floor(F.col("n") * i / (most + 1))).cast("int"))
+    pieces = named.withColumn("k", F.explode(F.array(*(piece(i) for i in range(most + 1)))))
+    sizes = F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(usual + 2)), lambda n: F.floor(n / (most + 1)).cast("int")))
+    spots = named.withColumn("_m", F.explode(sizes)).where("_m <= n").withColumn("k", F.explode(F.transform(F.sequence(F.lit(1), F.col("n") - F.col("_m") + 1), lambda i: F.substr(F.col("u"), i, F.col("_m")))))
+    odd, any_ = F.col("n") != usual, F.lit(True)
+    others = [out(pair(pieces.where(l), spots.where(r), ["k"]).where(shared & (F.col("x.n") != F.col("y.n")))) for l, r in ((odd, any_), (any_, odd))]
+    return same.unionByName(others[0]).unionByName(others[1]).distinct()
+
+
+#: Reads of a cell that cluster in one group; larger cells are split by components.
+SPLIT = 5000
+
+
+def parts_of(reads: DataFrame, keys: list[str], umi: str, trans: str, most: int, split: int) -> DataFrame:
+    """reads with _part: a number within its cell, equal for tags that may meet in the clustering. Cells up to ``split`` reads have one part.
+
+    Tags of different components never meet, so any union of components clusters as it does within the cell.
+    """
+    sizes = stored(reads.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > split), "cells")
+    if not sizes.head(1):
+        return reads.withColumn("_part", F.lit(0).cast("long"))
+    node = lambda *c: F.xxhash64(*keys, *c)
+    each = reads.join(sizes, keys, "left_semi").select(*keys, umi, F.explode_outer(trans).alias("_t")).distinct()
+    tags = stored(each.groupBy(*keys, umi).agg(F.collect_list("_t").alias(trans)), "tags")
+    roots = components(near_tags(tags, keys, umi, trans, most).select(node("a").alias("a"), node("b").alias("b")))
+    part = F.when(F.col("_n").isNull(), 0).otherwise(F.pmod(F.coalesce("root", "_node"), F.ceil(F.col("_n") / split))).cast("long")
+    return reads.withColumn("_node", node(umi)).join(sizes, keys, "left").join(roots.withColumnRenamed("node", "_node"), "_node", "left").select(*reads.columns, part.alias("_part"))
+
+
+def molecules(reads: DataFrame, keys: list[str], umi: str = "umi", read: str = "qname", trans: str = "trans", perfect: str = "is_perfect", order: str = "pos", most: int = 1, split: int = SPLIT) -> DataFrame:
     """keys, umi, trans, reads: the molecules of each cell (or cell and region, by ``keys``).
 
-    Clustering is sequential within a cell; a cell holds thousands of reads, not a share of the data.
+    Clustering is sequential within tags that may meet. Cells of over ``split`` reads are split into such parts, so that no cell
+    gathers in one task; a task goes through its parts one by one, in the order of ``order``.
     """
+    types = dict(reads.dtypes)
 
-    def run(rows: pa.Table) -> pa.Table:
-        at = rows[order].to_pylist()
-        columns = [rows[c].to_pylist() for c in (umi, read, trans, perfect)]
+    def settle(key: tuple, held: list[tuple]) -> tuple[tuple, list]:
         tags: dict[str, list] = {}
-        for i in sorted(range(len(at)), key=at.__getitem__):
-            u, r, t, p = (c[i] for c in columns)
+        for u, r, t, p in held:
             tags.setdefault(u, []).append((r, frozenset(t or ()), bool(p)))
-        found = cluster(list(tags.items()), most)
-        same = [pa.array([rows[k][0].as_py()] * len(found), rows.schema.field(k).type) for k in keys]
-        lists = [pa.array([f[j] for f in found], pa.list_(pa.string())) for j in (1, 2)]
-        return pa.table([*same, pa.array([f[0] for f in found], pa.string()), *lists], [*keys, "umi", "trans", "reads"])
-
-    types = dict(reads.dtypes)
-    schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", umi string, trans array<string>, reads array<string>"
-    return by_key(reads, *keys).groupBy(*keys).applyInArrow(run, schema)
+        return key, cluster(list(tags.items()), most)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, done, n = None, [], [], 0
+
+        def made() -> pa.RecordBatch:
+            same = [pa.array([key[i] for key, found in done for _ in found], kinds[i]) for i in range(len(keys))]
+            flat = [f for _, found in done for f in found]
+            lists = [pa.array([f[j] for f in flat], pa.list_(pa.string())) for j in (1, 2)]
+            return pa.record_batch([*same, pa.array([f[0] for f in flat], pa.string()), *lists], [*keys, "umi", "trans", "reads"])
+
+        for batch in batches:
+            kinds = [batch.schema.field(i).type for i in range(len(keys))]
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                key = row[: len(keys) + 1]
+                if key != now:
+                    if held:
+                        done.append(settle(now, held))
+                        n += len(held)
+                    now, held = key, []
+                    if n > 10_000:
+                        yield made()
+                        done, n = [], 0
+                held.append(row[len(keys) + 1 :])
+        if held:
+            done.append(settle(now, held))
+        if done:
+            yield made()
+
+    dealt = parts_of(reads, keys, umi, trans, most, split)
+    width = int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartition(width, *keys, "_part").sortWithinPartitions(*keys, "_part", order).select(*keys, "_part", umi, read, trans, perfect)
+    schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", umi string, trans array<string>, reads array<string>"
+    return dealt.mapInArrow(run, schema)
 
 
 def bc_umi_table(found: DataFrame, genes: DataFrame) -> DataFrame:

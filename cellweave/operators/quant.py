@@ -59,13 +59,9 @@ def abundance(molecules: DataFrame, gene: str = "gene", cluster: str = "cluster"
 
 
 def sparse(rows: DataFrame, feature: str = "gene", cell: str = "bc", value: str = "value") -> DataFrame:
-    """feature, cell and value with 1-based indices in the order of the names.
-
-    Cells are numbered by the first letters of their barcodes; features, whose names begin alike and which an
-    annotation bounds, in one task.
-    """
-    features = rows.select(feature).distinct().select(feature, F.row_number().over(Window.orderBy(feature)).alias("feature_idx"))
-    return rows.join(features, feature).join(values_numbered(rows, cell, "cell_idx"), cell).select("feature_idx", "cell_idx", feature, cell, value)
+    """feature, cell and value with 1-based indices in the order of the names, numbered by ranges of names."""
+    indexed = rows.join(values_numbered(rows, feature, "feature_idx"), feature).join(values_numbered(rows, cell, "cell_idx"), cell)
+    return indexed.select("feature_idx", "cell_idx", feature, cell, value)
 
 
 def by_cluster(rows: DataFrame, sizes: DataFrame, feature: str = "gene", cluster: str = "cluster", cell: str = "bc", value: str = "value") -> DataFrame:

@@ -227,15 +227,31 @@ def transcript_set_intersection(spark, sf_dir):
     return molecules.common_set(rows, ["bc", "gene"], "sets").withColumn("common", F.array_join("common", ","))
 
 
+TAG = "concat(substr({umi}, 1, 11), case when line = 5 then 'A' else substr({umi}, 12, 1) end)"
+
+
+def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads with tags of twelve letters, an error every fifth line."""
+    return reads(spark, sf_dir).withColumns({"tag": F.expr(TAG.format(umi=sequence("umi", 12))), "sets": F.expr(SETS.format(a="array"))})
+
+
 @query()
 def umi_cluster(spark, sf_dir):
-    """Molecules of each cell; tags of twelve letters, an error every fifth read."""
-    tag = f"concat(substr({sequence('umi', 12)}, 1, 11), case when line = 5 then 'A' else substr({sequence('umi', 12)}, 12, 1) end)"
-    rows = reads(spark, sf_dir).select("bc", F.expr(tag).alias("umi"), F.concat_ws(":", "umi", "line", "chrom").alias("qname"), F.expr(SETS.format(a="array")).alias("trans"), (F.col("line") < 3).alias("is_perfect"), F.struct("start", "chrom", "line").alias("pos"))
-    rows = rows.withColumn("pos", F.concat_ws(":", F.lpad(F.col("pos.start").cast("string"), 6, "0"), F.lpad(F.col("pos.chrom").cast("string"), 9, "0"), F.col("pos.line").cast("string")))
+    """Molecules of each cell."""
+    place = F.concat_ws(":", F.lpad(F.col("start").cast("string"), 6, "0"), F.lpad(F.col("chrom").cast("string"), 9, "0"), F.col("line").cast("string"))
+    rows = _tagged(spark, sf_dir).select("bc", F.col("tag").alias("umi"), F.concat_ws(":", "umi", "line", "chrom").alias("qname"), F.col("sets").alias("trans"), (F.col("line") < 3).alias("is_perfect"), place.alias("pos"))
     return molecules.molecules(rows, ["bc"])
 
 
+@query(f"""WITH {READS}, tags AS (SELECT bc, u, list_distinct(flatten(list(t))) AS t FROM (SELECT bc, {TAG.format(umi=sequence_sql("umi", 12))} AS u, {SETS.format(a='list_value')} AS t FROM reads) GROUP BY bc, u),
+keys AS (SELECT bc, u, t, u AS k FROM tags UNION SELECT bc, u, t, substr(u, 1, i - 1) || substr(u, i + 1) FROM tags, range(1, 13) AS r(i))
+SELECT DISTINCT x.bc, x.u AS a, y.u AS b FROM keys x JOIN keys y ON x.bc = y.bc AND x.k = y.k AND x.u < y.u WHERE list_has_any(x.t, y.t)""")
+def umi_edges(spark, sf_dir):
+    """Tags of a cell that may meet in the clustering."""
+    each = _tagged(spark, sf_dir).select("bc", F.col("tag").alias("umi"), F.explode("sets").alias("t"))
+    return molecules.near_tags(each.groupBy("bc", "umi").agg(F.collect_set("t").alias("trans")), ["bc"])
+
+
 LISTS = f"WITH {READS}, m AS (SELECT bc, umi, list(struct_pack(l := line::VARCHAR, c := CASE WHEN quantity > 25 THEN 'FullLen' ELSE 'Partial' END, s := CASE WHEN hap = 'H1' THEN 'Y' ELSE 'N' END) ORDER BY line, quantity, hap) AS z FROM reads GROUP BY bc, umi)"
 
 

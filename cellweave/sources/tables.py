@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.molecules import compatibility
 from ..operators.partitioning import numbered
+from .joined import write_lines
 
 # The column names of the file formats.
 READ_FIELDS = "qname string, chrom string, start int, end int, bc string, umi string, bu string, is_perfect string, ts_tag string"
@@ -199,8 +200,15 @@ def matrix_10x(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _numbered(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("_at"))
-    return rows.select("value", F.row_number().over(Window.orderBy("_at")).alias("nth"))
+    """value, nth: the lines of files with their number from 1, in the order of file, block and line.
+
+    A block's lines are numbered by themselves, behind those of the blocks before it, of which there is a row each.
+    """
+    rows = spark.read.text(path).select("value", F.struct("_metadata.file_path", "_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
+    blocks = rows.groupBy("_block").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("_block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    return rows.join(F.broadcast(blocks), "_block").select("value", (F.col("_before") + F.col("_at") - F.col("_first") + 1).alias("nth"))
 
 
 # Writers --------------------------------------------------------------------------------------
@@ -255,20 +263,18 @@ def molecules_tsv(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def write_10x(rows: DataFrame, folder: str, feature: str = "gene", cell: str = "bc", names: DataFrame | None = None) -> None:
-    """Indexed values (feature_idx, cell_idx, feature, cell, value) as matrix, features (id and name) and barcodes, each one sorted text.
+    """Indexed values (feature_idx, cell_idx, feature, cell, value) as matrix, features (id and name) and barcodes, each one sorted gzipped text.
 
-    names: feature, name; a feature without one has its id as name.
+    names: feature, name; a feature without one has its id as name. Ranges of indices are sorted and written by a task each and then joined.
     """
     n = rows.agg(F.max("feature_idx").alias("i"), F.max("cell_idx").alias("j"), F.count("*").alias("n")).first()
-    spark = rows.sparkSession
-    head = spark.createDataFrame([(0, "%%MatrixMarket matrix coordinate real general"), (1, f"{n.i or 0} {n.j or 0} {n.n}")], "_o long, value string")
-    body = rows.select((F.lit(2) + F.col("cell_idx")).cast("long").alias("_o"), F.concat_ws(" ", "feature_idx", "cell_idx", "value").alias("value"))
-    one = lambda d, name: d.coalesce(1).sortWithinPartitions("_o").select("value").write.option("compression", "gzip").text(f"{folder}/{name}")
-    one(head.union(body), "matrix.mtx")
+    one = lambda df, order, name, value, head="": write_lines(df.repartitionByRange(*order).sortWithinPartitions(*order).select(value.alias("value")), f"{folder}/{name}/part-00000.txt.gz", head)
+    head = f"%%MatrixMarket matrix coordinate real general\n{n.i or 0} {n.j or 0} {n.n}\n"
+    one(rows, ["cell_idx", "feature_idx"], "matrix.mtx", F.concat_ws(" ", "feature_idx", "cell_idx", "value"), head)
     ids = rows.select("feature_idx", F.col(feature).cast("string").alias("feature")).distinct()
     ids = ids.withColumn("name", F.col("feature")) if names is None else ids.join(names.select("feature", "name").dropDuplicates(["feature"]), "feature", "left")
-    one(ids.select(F.col("feature_idx").cast("long").alias("_o"), F.concat_ws("\t", "feature", F.coalesce("name", "feature")).alias("value")), "features.tsv")
-    one(rows.select(F.col("cell_idx").cast("long").alias("_o"), F.col(cell).cast("string").alias("value")).distinct(), "barcodes.tsv")
+    one(ids, ["feature_idx"], "features.tsv", F.concat_ws("\t", "feature", F.coalesce("name", "feature")))
+    one(rows.select("cell_idx", F.col(cell).cast("string").alias("bc")).distinct(), ["cell_idx"], "barcodes.tsv", F.col("bc"))
 
 
 def write_by(rows: DataFrame, path: str, key: str, missing: str = "unassigned") -> None:

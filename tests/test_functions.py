@@ -1,4 +1,5 @@
 import math
+import random
 
 import numpy as np
 import pytest
@@ -97,6 +98,23 @@ def test_bh_leaves_nan_out(spark):
     assert found[:3] == pytest.approx([0.03, 0.04, 0.04]) and math.isnan(found[3])
 
 
+def test_bh_over_one_scope_by_ranges(spark):
+    """Against sorting all at once: ties, ones, nulls, many parts; no window takes all rows."""
+    rng = random.Random(5)
+    values = [rng.choice([rng.random() ** 3, 1.0, 0.25, 0.0]) for _ in range(1500)]
+    rows = spark.createDataFrame([(i, p) for i, p in enumerate([*values, None, math.nan])], "i int, p double")
+    ranks = sorted(range(1500), key=values.__getitem__)
+    want, least = {1500: None, 1501: None}, 1.0
+    for rank in range(1500, 0, -1):
+        i = ranks[rank - 1]
+        least = min(least, values[i] * 1500 / rank)
+        want[i] = least
+    made = stats.bh(rows.repartition(7), "p", [], ["i"])
+    found = {r.i: None if math.isnan(r.fdr) else r.fdr for r in made.collect()}
+    assert found == want
+    assert stats.bh(rows.limit(0), "p", [], ["i"]).collect() == []
+
+
 def test_strand_and_candidate_bases(spark):
     rows = spark.createDataFrame(
         [("a", "T" * 20 + "ACGTACGT" * 5, "20S40M", 0, None), ("b", "ACGTACGT" * 5 + "A" * 20, "40M20S", 0, None), ("c", "ACGT" * 10, "40M", 0, None), ("d", "ACGT" * 10, "40M", 16, "+")],

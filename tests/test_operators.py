@@ -244,6 +244,49 @@ def test_clusters_against_all_pairs():
             assert molecules.cluster(tags, most) == plain_cluster(tags, most)
 
 
+@pytest.mark.parametrize("most", [1, 2])
+def test_a_hot_cell_is_split_and_clusters_the_same(spark, most):
+    """A cell with a third of all reads, tags of two lengths, near one another and far; parts are small, results those of the whole cell."""
+    rng = random.Random(most)
+    stems = ["".join(rng.choices("ACGT", k=12)) for _ in range(25)]
+    rows = []
+    for i in range(900):
+        tag = list(rng.choice(stems))
+        for _ in range(rng.choice([0, 0, 0, 1, 1, 2])):
+            j = rng.randrange(len(tag))
+            tag[j : j + 1] = rng.choice([["A"], ["C"], [], ["G", "T"]])
+        trans = rng.choice([[], ["T1"], ["T1", "T2"], ["T2", "T3"], ["T4"]])
+        rows.append((f"cell{0 if i % 3 == 0 else i % 11}", "".join(tag)[: rng.choice([12, 12, 11])], f"q{i}", trans, rng.random() < 0.5, f"{i:06d}"))
+    reads = spark.createDataFrame(rows, "bc string, umi string, qname string, trans array<string>, is_perfect boolean, pos string")
+    parts = molecules.parts_of(reads, ["bc"], "umi", "trans", most, 30)
+    assert parts.where("bc = 'cell0'").select("_part").distinct().count() > (3 if most == 1 else 1)
+    found = sorted((r.bc, r.umi, tuple(r.trans), tuple(r.reads)) for r in molecules.molecules(reads, ["bc"], most=most, split=30).collect())
+    want = []
+    for bc in {r[0] for r in rows}:
+        tags = {}
+        for _, u, q, t, p, _ in (r for r in rows if r[0] == bc):
+            tags.setdefault(u, []).append((q, frozenset(t), p))
+        want += [(bc, u, tuple(t), tuple(q)) for u, t, q in plain_cluster(list(tags.items()), most)]
+    assert found == sorted(want)
+    assert found == sorted((r.bc, r.umi, tuple(r.trans), tuple(r.reads)) for r in molecules.molecules(reads.repartition(7), ["bc"], most=most).collect())
+    assert molecules.molecules(reads.limit(0), ["bc"]).collect() == []
+
+
+def test_components(spark):
+    from cellweave.operators import partitioning
+
+    rng = random.Random(9)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(60)] + [(5000, 5001 + i) for i in range(80)] + [(7, 7)]
+    root = {}
+    find = lambda x: x if root.setdefault(x, x) == x else find(root[x])
+    for a, b in edges:
+        if a != b:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    found = {r.node: r.root for r in partitioning.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert found == {x: find(x) for x in root}
+
+
 def test_genes_of_equal_molecules(spark):
     genes = spark.createDataFrame([("T1", "G1"), ("T2", "G1"), ("T3", "G3")], "trans string, gene string")
     rows = spark.createDataFrame([("A", ["T3", "T1", "T2"]), ("A", ["T3", "T1", "T2"]), ("B", ["T9"]), ("C", []), ("D", None)], "bc string, trans array<string>")

@@ -136,3 +136,36 @@ def test_merged_alignments(spark, tmp_path):
 def test_written_ranks(spark, tmp_path):
     tables.write_barcodes(spark.createDataFrame([("B", 4, 2), ("A", 9, 1)], "bc string, umi_count long, rank long"), f"file://{tmp_path}/ranks")
     assert [tuple(r) for r in spark.read.option("sep", "\t").option("header", True).csv(f"file://{tmp_path}/ranks").collect()] == [("A", "1", "9"), ("B", "2", "4")]
+
+
+def test_lines_are_numbered_by_blocks(spark, tmp_path):
+    for i, n in enumerate((3000, 1, 0, 2500)):
+        (tmp_path / f"l{i}.tsv").write_text("".join(f"{i}:{j}\n" for j in range(n)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = tables._numbered(spark, f"file://{tmp_path}/l*.tsv")
+        assert rows.rdd.getNumPartitions() > 4
+        found = [r.value for r in rows.orderBy("nth").collect()]
+        assert found == [f"{i}:{j}" for i, n in enumerate((3000, 1, 0, 2500)) for j in range(n)]
+        assert sorted(r.nth for r in rows.collect()) == list(range(1, 5502))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_matrix_files_are_joined_from_parts(spark, tmp_path):
+    from cellweave.operators import quant
+
+    values = spark.createDataFrame([(f"G{i % 40:02d}", f"{'ACGT'[i % 4] * 4}{i % 90:03d}", float(i % 7 + 1)) for i in range(2000)], "gene string, bc string, value double").groupBy("gene", "bc").agg({"value": "max"}).toDF("gene", "bc", "value").repartition(6)
+    indexed = quant.sparse(values)
+    tables.write_10x(indexed, f"file://{tmp_path}/m")
+    assert sorted(str(p.relative_to(tmp_path)) for p in (tmp_path / "m").glob("*/*")) == [f"m/{x}/part-00000.txt.gz" for x in ("barcodes.tsv", "features.tsv", "matrix.mtx")]
+    with gzip.open(tmp_path / "m" / "matrix.mtx" / "part-00000.txt.gz", "rt") as f:
+        head, sizes, *body = f.read().splitlines()
+    assert head.startswith("%%MatrixMarket") and [int(x) for x in sizes.split()] == [40, values.select("bc").distinct().count(), len(body)]
+    places = [(int(x.split()[1]), int(x.split()[0])) for x in body]
+    assert places == sorted(set(places))
+    again = {(r.feature, r.bc): r.value for r in tables.matrix_10x(spark, f"file://{tmp_path}/m").collect()}
+    assert again == {(r.gene, r.bc): r.value for r in values.collect()}
+    empty = quant.sparse(values.limit(0))
+    tables.write_10x(empty, f"file://{tmp_path}/e")
+    assert tables.matrix_10x(spark, f"file://{tmp_path}/e").collect() == []
