@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from ..functions.sequences import infix_distance, search
-from .partitioning import part_of
+from .intervals import overlaps_closed
+from .partitioning import part_of, stored
 
 #: Ranks beyond which no barcode is held for a cell, the first prefix that votes, and barcodes needed.
 MOST, FIRST_PREFIX, LEAST = 50_000, 1000, 10
@@ -110,12 +111,12 @@ def pieces(column: str, parts: int, length: int) -> list[tuple[int, int]]:
     return list(zip(bounds[:-1], bounds[1:]))
 
 
-def nearest(observed: DataFrame, references: DataFrame, bc: str = "bc", ref: str = "ref", length: int = 16, most: int = 2) -> DataFrame:
-    """bc, ref, ed of the references at the least infix distance, up to ``most``, of each distinct barcode.
+def close_pairs(observed: DataFrame, references: DataFrame, bc: str = "bc", ref: str = "ref", length: int = 16, most: int = 2) -> DataFrame:
+    """bc, ref, ed of all references within ``most`` edits, by infix distance, of each distinct barcode.
 
     Cut into most + 1 pieces, a barcode within ``most`` edits has one piece intact, and that piece
     stands in the reference within ``most`` places of its own; so pieces are joined to substrings and
-    only those pairs are compared. References are a ranked list of at most MOST barcodes.
+    only those pairs are compared.
     """
     seen = observed.select(bc).distinct().where(F.length(bc) >= most + 1)
     cuts = pieces(bc, most + 1, length)
@@ -123,7 +124,15 @@ def nearest(observed: DataFrame, references: DataFrame, bc: str = "bc", ref: str
     spots = [F.struct(F.lit(i).alias("i"), F.substring(ref, o + 1, b - a).alias("s")) for i, (a, b) in enumerate(cuts) for o in range(max(0, a - most), min(length - (b - a), a + most) + 1)]
     table = references.select(ref, F.explode(F.array(*spots)).alias("p")).distinct()
     pairs = keys.join(table, "p").select(bc, ref).distinct()
-    close = pairs.withColumn("ed", infix_distance(bc, ref, most)).where("ed is not null")
+    return pairs.withColumn("ed", infix_distance(bc, ref, most)).where("ed is not null")
+
+
+def nearest(observed: DataFrame, references: DataFrame, bc: str = "bc", ref: str = "ref", length: int = 16, most: int = 2) -> DataFrame:
+    """bc, ref, ed of the references at the least infix distance, up to ``most``, of each distinct barcode: see ``close_pairs``.
+
+    References are a ranked list of at most MOST barcodes.
+    """
+    close = close_pairs(observed, references, bc, ref, length, most)
     least = close.groupBy(bc).agg(F.min("ed").alias("_least"))
     return close.join(least, bc).where("ed = _least").drop("_least")
 
@@ -153,3 +162,44 @@ def assign(reads: DataFrame, references: DataFrame, bc: str = "bc", umi: str = "
     near = seen.join(nearest(others, references, bc, ref, length, most), bc).withColumn("cell_umi", tag(bu, ref)).where("cell_umi is not null")
     unique = near.groupBy(bc, bu).agg(F.count("*").alias("_n"), F.min(ref).alias("cell"), F.min("cell_umi").alias("cell_umi"), F.min("ed").cast(IntegerType()).alias("ed")).where("_n = 1").drop("_n")
     return exact.unionByName(others.join(unique, [bc, bu]).select(*exact.columns))
+
+
+def umi_sketches(reads: DataFrame, bc: str = "bc", umi: str = "umi", bits: int = 12) -> DataFrame:
+    """bc, sketch: an approximate set of each barcode's tags, to be stored for a run or chunk and merged later without its reads."""
+    return reads.groupBy(bc).agg(F.hll_sketch_agg(F.col(umi).cast("string"), F.lit(bits)).alias("sketch"))
+
+
+def merged_counts(sketches: DataFrame, bc: str = "bc") -> DataFrame:
+    """bc, umi_count: about the number of different tags over all sketches of a barcode; a tag in several chunks counts once."""
+    return sketches.groupBy(bc).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("umi_count"))
+
+
+def candidates_merged(reads: DataFrame, ranks: DataFrame, knee: int, length: int = 16, most: int = 2) -> DataFrame:
+    """bc, rank, root, is_ref: candidate barcodes that are errors of a richer one, merged in the order of their ranks.
+
+    reads: bc, umi, chrom, start, stop (both ends held); ranks: bc, rank. The first half of the knee's barcodes stay. Each later one is held against the
+    references ahead of it: of those at the least infix distance, up to ``most``, the one that shares a tag with overlapping places
+    takes it in, if there is just one; else it stays, as a reference if its rank lies within one and a half knees. Rounds settle all
+    barcodes of which every close one ahead is settled, until none is open.
+    """
+    names = ranks.select("bc", F.col("rank").cast("long").alias("rank"))
+    close = close_pairs(names.select("bc"), names.select(F.col("bc").alias("ref")), length=length, most=most).where("bc <> ref")
+    close = close.join(names.withColumnRenamed("rank", "behind"), "bc").join(names.select(F.col("bc").alias("ref"), F.col("rank").alias("ahead")), "ref").where("ahead < behind")
+    close = stored(close.select("bc", "ref", "behind", "ahead", "ed"), "close")
+    tags = reads.select("bc", "umi", "chrom", "start", "stop").distinct()
+    one = close.join(tags, "bc").join(tags.toDF("ref", "umi", "chrom", "_lo", "_hi"), ["ref", "umi", "chrom"]).where(overlaps_closed("start", "stop", "_lo", "_hi"))
+    links = stored(close.join(one.select("behind", "ahead").distinct().withColumn("shared", F.lit(True)), ["behind", "ahead"], "left").select("behind", "ahead", "ed", F.coalesce("shared", F.lit(False)).alias("shared")), "links")
+    own = F.col("rank").alias("root")
+    settled = stored(names.where(F.col("rank") <= knee // 2).select("rank", own, F.lit(True).alias("is_ref")), "settled")
+    open_ = stored(names.where(F.col("rank") > knee // 2).select("rank"), "open")
+    while open_.head(1):
+        known = links.join(open_.withColumnRenamed("rank", "behind"), "behind", "left_semi").join(settled.select(F.col("rank").alias("ahead"), "is_ref"), "ahead", "left")
+        held = F.collect_list(F.when(F.col("is_ref"), F.struct("ed", "shared", "ahead"))).alias("held")  # some hundreds lie within two edits
+        state = open_.join(known.groupBy(F.col("behind").alias("rank")).agg(F.count(F.when(F.col("is_ref").isNull(), 1)).alias("waits"), held), "rank", "left")
+        ready = state.where("coalesce(waits, 0) = 0").withColumn("_least", F.array_min(F.transform("held", lambda x: x["ed"])))
+        hits = F.filter("held", lambda x: (x["ed"] == F.col("_least")) & x["shared"])
+        ready = ready.withColumn("root", F.when(F.size(hits) == 1, F.get(hits, F.lit(0))["ahead"]).otherwise(F.col("rank")))
+        ready = ready.select("rank", "root", ((F.col("root") == F.col("rank")) & (F.col("rank") <= int(knee * 1.5))).alias("is_ref"))
+        settled = stored(settled.union(ready), "settled")
+        open_ = stored(open_.join(settled, "rank", "left_anti"), "open")
+    return settled.join(names, "rank").join(names.select(F.col("bc").alias("_name"), F.col("rank").alias("root")), "root").select("bc", "rank", F.col("_name").alias("root"), "is_ref")

@@ -32,3 +32,9 @@ def points_in_ranges(points: DataFrame, ranges: DataFrame, chrom: str = "chrom",
 def overlaps(start: str, stop: str, lo: int, hi: int) -> Column:
     """A half-open read overlaps a half-open region."""
     return (F.col(start) < hi) & (F.col(stop) > lo)
+
+
+def overlaps_closed(start: str, stop: str, lo: int | str, hi: int | str) -> Column:
+    """Two stretches that both hold their last place overlap; bounds are numbers or columns."""
+    bound = lambda x: F.col(x) if isinstance(x, str) else F.lit(x)
+    return (F.col(start) <= bound(hi)) & (F.col(stop) >= bound(lo))

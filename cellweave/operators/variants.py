@@ -71,6 +71,21 @@ def linkage_matrix(snps: DataFrame, ld: DataFrame, gene: str = "gene") -> DataFr
     return inside.select(gene, "snp_a", "snp_b", "r2").union(own.select(gene, F.col("snp").alias("snp_a"), F.col("snp").alias("snp_b"), F.lit(1.0).alias("r2")))
 
 
+def linkage_squares(snps: DataFrame, ld: DataFrame, gene: str = "gene") -> DataFrame:
+    """gene, nth, snp, names, values: the dense rows of each gene's symmetric matrix of linkage, in the order of position and id.
+
+    snps: gene, snp, pos. names: the gene's variants, of which values holds the linkage, 0 where none is known; nth counts from 1. A gene holds
+    some thousands of variants, each row as many numbers.
+    """
+    own = snps.groupBy(gene, "snp").agg(F.min("pos").alias("_pos"))
+    names = own.groupBy(gene).agg(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "snp"))), lambda x: x["snp"]).alias("names"))
+    half = linkage_matrix(snps, ld, gene)
+    other = half.where("snp_a <> snp_b").select(gene, F.col("snp_b").alias("snp_a"), F.col("snp_a").alias("snp_b"), "r2")
+    rows = half.unionByName(other).groupBy(gene, F.col("snp_a").alias("snp")).agg(F.map_from_entries(F.collect_list(F.struct("snp_b", "r2"))).alias("_to"))
+    dense = F.transform("names", lambda n: F.coalesce(F.try_element_at(F.col("_to"), n), F.lit(0.0)))
+    return rows.join(names, gene).select(gene, F.array_position("names", F.col("snp")).alias("nth"), "snp", "names", dense.alias("values"))
+
+
 def leading(rows: DataFrame, keys: list[str], trait: str = "trait", parent: str = "parent", p: str = "p", order: list[str] | None = None) -> DataFrame:
     """keys, trait, p (its least), leading: the trait whose parent stands first in order, then by p and name."""
     best = rows.groupBy(*keys, trait, parent).agg(F.min(p).alias(p))

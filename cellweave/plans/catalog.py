@@ -243,6 +243,22 @@ def umi_cluster(spark, sf_dir):
     return molecules.molecules(rows, ["bc"])
 
 
+@query()
+def candidate_merge(spark, sf_dir):
+    """Candidate barcodes of five letters, taken in by richer ones that share a tag and a place."""
+    rows = reads(spark, sf_dir).select(F.expr(sequence("bc % 700", 5)).alias("bc"), F.col("line").alias("umi"), (F.col("chrom") % 20).alias("chrom"), "start", "stop")
+    ranks = barcodes.ranked(barcodes.umi_counts(rows.withColumn("umi", F.concat_ws(":", "umi", "chrom", "start"))))
+    return barcodes.candidates_merged(rows, ranks, knee=60, length=5, most=1)
+
+
+@query()
+def umi_sketch_counts(spark, sf_dir):
+    """About the number of different tags of a barcode, from sketches of three chunks; tests hold it against the exact count."""
+    rows = reads(spark, sf_dir)
+    chunks = [barcodes.umi_sketches(rows.where(F.col("chrom") % 3 == i)) for i in range(3)]
+    return barcodes.merged_counts(chunks[0].unionByName(chunks[1]).unionByName(chunks[2]))
+
+
 @query(f"""WITH {READS}, tags AS (SELECT bc, u, list_distinct(flatten(list(t))) AS t FROM (SELECT bc, {TAG.format(umi=sequence_sql("umi", 12))} AS u, {SETS.format(a='list_value')} AS t FROM reads) GROUP BY bc, u),
 keys AS (SELECT bc, u, t, u AS k FROM tags UNION SELECT bc, u, t, substr(u, 1, i - 1) || substr(u, i + 1) FROM tags, range(1, 13) AS r(i))
 SELECT DISTINCT x.bc, x.u AS a, y.u AS b FROM keys x JOIN keys y ON x.bc = y.bc AND x.k = y.k AND x.u < y.u WHERE list_has_any(x.t, y.t)""")

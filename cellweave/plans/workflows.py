@@ -27,7 +27,11 @@ def reference_barcodes(reads: DataFrame, count: int | None = None, bc_len: int =
 
 def assign_reads(reads: DataFrame, cells: DataFrame, compatible: DataFrame, genes: DataFrame, by_region: bool = False, most: int = 1) -> DataFrame:
     """bc, umi, trans, reads, genes: molecules of known cells, clustered by cell or by cell and region."""
-    known = barcodes.assign(reads, cells.select(F.col("bc").alias("ref")))
+    return molecules_of(barcodes.assign(reads, cells.select(F.col("bc").alias("ref"))), reads, compatible, genes, by_region, most)
+
+
+def molecules_of(known: DataFrame, reads: DataFrame, compatible: DataFrame, genes: DataFrame, by_region: bool = False, most: int = 1) -> DataFrame:
+    """The molecules of reads with cells (``barcodes.assign``); regions are merged from all ``reads``, so a read lies in one."""
     keyed = known.join(compatible.select("qname", "trans"), "qname", "left")
     keys = ["cell"]
     if by_region:

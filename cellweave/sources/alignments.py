@@ -404,11 +404,12 @@ def read_header(path: str) -> str:
 
 
 def with_program(header: str, name: str, version: str = "", command: str = "") -> str:
-    """The header with one more program line, chained to the last one; a taken id gets a number."""
+    """The header with one more program line, chained to the last one; a taken id gets a number, from 2 on."""
     ids = re.findall(r"^@PG\t(?:.*\t)?ID:([^\t\n]+)", header, re.M)
     own, n = name, 1
     while own in ids:
-        own, n = f"{name}.{n}", n + 1
+        n += 1
+        own = f"{name}.{n}"
     more = [f"ID:{own}", f"PN:{name}", *([f"PP:{ids[-1]}"] if ids else []), *([f"VN:{version}"] if version else []), *([f"CL:{command}"] if command else [])]
     return header + ("" if not header or header.endswith("\n") else "\n") + "\t".join(["@PG", *more]) + "\n"
 

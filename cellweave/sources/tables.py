@@ -123,11 +123,30 @@ def haplotypes(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return rows.groupBy("qname").agg(F.max_by("hap", "_at").alias("hap"))
 
 
-def vcf(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """snp, chrom, pos, hap of the phased heterozygous calls of the first sample; snp is null for a dot."""
+def vcf(spark: SparkSession, path: str | list[str], sample: str | None = None, regions: str | None = None) -> DataFrame:
+    """snp, chrom, pos, hap of the phased heterozygous calls of a sample, the first without a name; snp is null for a dot.
+
+    regions: ``chrom`` or ``chrom:start-stop`` (closed), told from the first two fields of a line before the others are cut. For many
+    scans of one file write it by ``layout.write_places`` first.
+    """
+    column = 9
+    if sample is not None:
+        heads = [r.value for r in spark.read.text(path).where(F.col("value").startswith("#CHROM\t")).limit(1).collect()]
+        names = heads[0].split("\t")[9:] if heads else []
+        if sample not in names:
+            raise ValueError(f"{sample!r} is no sample; there are {names}")
+        column += names.index(sample)
+    held = lines(spark, path)
+    name, lo, hi = region(regions)
+    if name is not None:
+        short = lambda c: F.regexp_replace(c, "^chr", "")
+        held = held.where(short(F.substring_index("value", "\t", 1)) == name.removeprefix("chr"))
+        if lo is not None:
+            place = F.substring_index(F.substring_index("value", "\t", 2), "\t", -1).cast("long")
+            held = held.where(place.between(lo, hi))
     f = F.split("value", "\t")
-    rows = lines(spark, path).select(f.alias("f")).where(F.size("f") >= 10)
-    call = F.split(F.col("f")[9], ":")[0]
+    rows = held.select(f.alias("f")).where(F.size("f") > column)
+    call = F.split(F.col("f")[column], ":")[0]
     hap = F.when(call == "1|0", "H1").when(call == "0|1", "H2")
     return rows.select(F.nullif(F.col("f")[2], F.lit(".")).alias("snp"), F.regexp_replace(F.col("f")[0], "^chr", "").alias("chrom"), F.col("f")[1].cast("long").alias("pos"), hap.alias("hap")).where("hap is not null")
 

@@ -111,7 +111,7 @@ def test_damage_and_odd_input(spark, written, tmp_path):
 
 def test_program_lines_are_chained_and_named_apart():
     once = alignments.with_program(HEADER, "map", "1.0")
-    assert once.splitlines()[-1] == "@PG\tID:map.1\tPN:map\tPP:map\tVN:1.0"
+    assert once.splitlines()[-1] == "@PG\tID:map.2\tPN:map\tPP:map\tVN:1.0"
     assert alignments.with_program("", "x") == "@PG\tID:x\tPN:x\n"
 
 

@@ -272,6 +272,42 @@ def test_a_hot_cell_is_split_and_clusters_the_same(spark, most):
     assert molecules.molecules(reads.limit(0), ["bc"]).collect() == []
 
 
+def test_candidates_are_merged_in_rank_order(spark, sf_dir):
+    """The whole query against one barcode after the other, as the rule is stated."""
+    from cellweave.functions.sequences import search
+    from cellweave.plans import bindings, catalog
+
+    rows = bindings.reads(spark, sf_dir).select(F.expr(bindings.sequence("bc % 700", 5)).alias("bc"), "line", (F.col("chrom") % 20).alias("chrom"), "start", "stop").collect()
+    tags = {}
+    for r in rows:
+        tags.setdefault(r.bc, set()).add((r.line, r.chrom, r.start, r.stop))
+    found = {r.bc: r for r in catalog.QUERIES["candidate_merge"](spark, sf_dir).collect()}
+    assert set(found) == set(tags)
+    refs, knee = [], 60
+    for bc in sorted(found, key=lambda b: found[b].rank):
+        i, root = found[bc].rank - 1, bc
+        if i >= knee // 2:
+            close = {ref: search(bc, ref, 1)[0] for ref in refs}
+            least = min((d for d in close.values() if d >= 0), default=-1)
+            hits = [ref for ref, d in close.items() if d == least >= 0 and any(u == v and c == e and a <= z and x <= b for u, c, a, b in tags[bc] for v, e, x, z in tags[ref])]
+            root = hits[0] if len(hits) == 1 else bc
+        if root == bc and (i < knee // 2 or i < int(knee * 1.5)):
+            refs.append(bc)
+        assert (found[bc].root, found[bc].is_ref) == (root, bc in refs)
+    assert sum(r.root != b for b, r in found.items()) > 5
+
+
+def test_sketches_add_up(spark, sf_dir):
+    from cellweave.plans import catalog
+
+    exact = {r.bc: r.umi_count for r in catalog.QUERIES["bc_umi_rank"](spark, sf_dir).collect()}
+    found = {r.bc: r.umi_count for r in catalog.QUERIES["umi_sketch_counts"](spark, sf_dir).collect()}
+    assert set(found) == set(exact) and all(abs(found[b] - n) <= max(1, 0.03 * n) for b, n in exact.items())
+    many = spark.range(60_000).selectExpr("'a' as bc", "id as umi")
+    both = barcodes.umi_sketches(many.where("umi < 40000")).unionByName(barcodes.umi_sketches(many.where("umi >= 20000")))
+    assert abs(barcodes.merged_counts(both).first().umi_count - 60_000) < 0.03 * 60_000
+
+
 def test_components(spark):
     from cellweave.operators import partitioning
 
