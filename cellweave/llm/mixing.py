@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import need
+from .shared import need, set_aside
 
 #: Parts of a bucket; more let more tasks share a hot source.
 SALTS = 64
@@ -60,13 +60,11 @@ def mix(docs: DataFrame, weights: list[int] | None = None, most: int = 3, seed:
     docs must have a column of sizes (see ``n_words``); null sizes count 0. Rows with null source
     are one source. Sources without words get target 0 and no copies. Repeated rows count each;
     reruns agree because the offset hangs on the seed and the source alone. An empty table gives
-    no rows. No other column of docs is read, and all are returned.
+    no rows. No other column of docs is read, and all are returned, those called like a result or a helper with an underscore in front.
     """
     need(docs, doc_id, source, size)
-    helper = ["_bucket", "_salt", "_key"]
-    clash = {"source_size", "target", "copies", *helper} & set(docs.columns)
-    if clash:
-        raise ValueError(f"rename the columns {sorted(clash)} first")
+    docs, now = set_aside(docs, "source_size", "target", "copies", "_bucket", "_salt", "_key", "_nth", "_base", "_rate", "_offset")
+    doc_id, source, size = now[doc_id], now[source], now[size]
     weights = weights or [1, 2, 3]
     amount = F.coalesce(F.col(size), F.lit(0)).cast("long")
     rows = docs.withColumns({"_bucket": F.floor(F.sqrt(amount)), "_salt": salt_of(doc_id), "_key": F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("null"))})

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import need, numbered_names, stored
+from .shared import need, numbered_names, set_aside, stored
 
 WORD = r"[\x20\x09-\x0D]+"
 SYMBOL, UPPER = "[#*$%&|<>]", "[A-ZÀ-ÖØ-Þ]"
@@ -52,13 +52,12 @@ def counted(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Null, empty and blank texts have no words and fail the base. Windows of five words are compared by a
     64-bit hash of the five. Long texts are taken whole, in a row of their own; repeated rows and
-    ties count each; an empty table gives no rows. Other columns pass through; those of these names must not exist.
+    ties count each; an empty table gives no rows. Other columns pass through, those of these names with an underscore in front.
     """
     made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *EXTRA, "base_failed", "pattern"]
     need(docs, text)
-    clash = set(docs.columns) & {*made, "_text", "_words", "_lines", "_hashes", "_sorted", "_hits"}
-    if clash:
-        raise ValueError(f"rename the columns {sorted(clash)} first")
+    docs, now = set_aside(docs, *made, "n_upper", "n_marks", "_text", "_words", "_lines", "_hashes", "_sorted", "_hits")
+    text = now[text]
     out = docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
     out = out.withColumns(
         {

@@ -58,6 +58,18 @@ def free(df: DataFrame, name: str) -> str:
     return name
 
 
+def set_aside(df: DataFrame, *made: str) -> tuple[DataFrame, dict[str, str]]:
+    """df, in which columns that are called like a result to be made have underscores in front instead, and the name that each column has now."""
+    results = {m.lower() for m in made}
+    taken = results | {c.lower() for c in df.columns}
+    names = {c: c for c in df.columns}
+    for c in df.columns:
+        while names[c].lower() in results or (names[c] != c and names[c].lower() in taken):
+            names[c] = f"_{names[c]}"
+        taken.add(names[c].lower())
+    return (df if all(a == b for a, b in names.items()) else df.toDF(*names.values())), names
+
+
 def give_back() -> None:
     """Returns freed memory to the system: Python workers idle on beside the next stage's JVM work."""
     pa.default_memory_pool().release_unused()

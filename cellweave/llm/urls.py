@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from .shared import need, stored
+from .shared import need, set_aside, stored
 
 #: Bits for each key of a level, at least, and bits that a level may have to be broadcast.
 BITS, MOST_BITS = 10, 1 << 30
@@ -191,12 +191,11 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] | DataFrame | None
     subdomains where the url's path starts with its own. Without one, verdict is ``default``. Null
     and repeated rules count once or not at all; a rule that both allows and blocks is refused. Null
     urls and urls without :// have an empty host and path, which no rule fits. Rows are kept as
-    they are, long urls too; an empty table gives no rows; columns of other names pass through.
+    they are, long urls too; an empty table gives no rows; other columns pass through, those of these names with an underscore in front.
     """
     need(pages, url)
-    clash = {"host", "path", "rule", "verdict"} & set(pages.columns)
-    if clash:
-        raise ValueError(f"rename the columns {sorted(clash)} first")
+    pages, now = set_aside(pages, "host", "path", "rule", "verdict")
+    url = now[url]
     spark = pages.sparkSession
     if not isinstance(rules, DataFrame):
         rules = spark.createDataFrame(RULES if rules is None else rules, "host string, path string, verdict string")

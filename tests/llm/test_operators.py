@@ -347,8 +347,8 @@ def test_mix_of_odd_sources(spark):
     assert sum(targets.values()) == pytest.approx(sum(r["size"] for r in rows)) and None in targets
     blank = table(spark, [None, ""]).withColumn("size", mixing.n_words("text"))
     assert [(r.copies, r.target) for r in mixing.mix(blank).collect()] == [(0, 0.0)] * 2
-    with pytest.raises(ValueError):
-        mixing.mix(docs.withColumn("target", mixing.n_words("text")))
+    clash = mixing.mix(docs.withColumnsRenamed({"source": "target", "doc_id": "_key", "size": "Copies"}), source="target", doc_id="_key", size="Copies").collect()
+    assert {(r["__key"], r["_target"], r["_Copies"], r.target, r.copies) for r in clash} == {(r.doc_id, r.source, r["size"], r.target, r.copies) for r in rows}
 
 
 def test_targets_against_resharing(spark):
@@ -435,8 +435,8 @@ def test_rules_of_any_kind(spark):
     assert urls.judge(pages).first().rule == "com/"
     with pytest.raises(ValueError, match="both"):
         urls.judge(pages, [("com", "/", "allow"), ("com", "/", "block")])
-    with pytest.raises(ValueError, match="rename"):
-        urls.judge(pages.withColumnRenamed("page_id", "rule"))
+    clash = urls.judge(pages.selectExpr("page_id as rule", "url as host", "'x' as _host"), url="host").first()
+    assert (clash["_rule"], clash["_host"], clash["rule"]) == (1, "x", "com/") and clash["__host"] == pages.first().url
     assert urls.judge(pages, []).first().verdict == "allow" and urls.judge(pages, [("com", "/", "block")] * 2).first().verdict == "block"
 
 
@@ -530,5 +530,5 @@ def test_quality_of_odd_rows(spark):
     assert sorted((r.n_words, r.base_failed, r.kept) for r in quality.table(docs).collect()) == [(0, True, False)] * 3 + [(6, True, False)]
     assert quality.keep_good(docs).columns == docs.columns and quality.keep_good(docs).count() == 0
     assert quality.table(docs.limit(0)).count() == quality.keep_good(docs.limit(0)).count() == 0
-    with pytest.raises(ValueError):
-        quality.counted(docs.withColumnRenamed("parts", "n_words"))
+    clash = quality.counted(docs.withColumnsRenamed({"parts": "n_words", "text": "pattern"}), text="pattern").collect()
+    assert sorted((r["_n_words"] or "", r["_pattern"] or "", r.n_words) for r in clash) == [("", " \n", 0), ("k", "", 0), ("k", "", 0), ("k", "good words " * 3, 6)]
