@@ -1,9 +1,10 @@
 """Phrase collocations, counted in HAT-tries.
 
-A task counts the phrases of its texts in a trie of word ids: below each first word hangs a container, a hash table of
-the rest of the phrase; one that outgrows BURST entries bursts into containers by the next word. A trie that outgrows
-its bound spills whole subtrees, the largest first, as runs sorted by words. Runs are merged by prefix partition: a first
-word's subtree is dealt over DEALT partitions by the rest of the phrase, so none gathers in one task.
+A task counts the phrases of its texts in a trie of word ids. At first a container, a hash table of phrases, holds those of
+a block of first words; one that outgrows BURST entries bursts: words that many of its phrases go on with get
+containers of their own below it. A trie that outgrows its bound spills whole subtrees, the largest first, as runs sorted by
+words. Runs are merged by prefix partition: a first word's subtree is dealt over DEALT partitions by the rest of the
+phrase, so none gathers in one task.
 
 Lengths come one after another: a phrase of m words counts only where both its parts of m - 1 words may be frequent, by
 a filter that stops no frequent one. So counts of frequent phrases are exact.
@@ -29,8 +30,8 @@ ENDS = table_of(*((ord(c), ord(c)) for c in ".,;:!?"), (0x0A, 0x0D))
 BLANKS = table_of((0x09, 0x09), (0x20, 0x20))
 #: Entries of a container before it bursts, of a trie before it spills; its words, fewer than 2^20; partitions of a prefix.
 BURST, MOST_ENTRIES, MOST_WORDS, DEALT = 4096, 700_000, 600_000, 32
-#: Bits of a word id in a packed path.
-ID_BITS = 32
+#: Bits of a word id in a packed path, and of the first words that share a container.
+ID_BITS, BLOCK_BITS = 32, 8
 MASK = (1 << ID_BITS) - 1
 #: Rows of a batch of a run.
 RUN_ROWS = 1 << 15
@@ -38,36 +39,46 @@ FOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Node:
-    """A container, and once burst the containers below it. held: counts by the rest of the path, packed."""
+    """A container, and once it has burst the containers below it. held: counts by path, packed, its next word lowest."""
 
-    __slots__ = ("held", "below")
+    __slots__ = ("held", "below", "limit")
 
-    def __init__(self):
+    def __init__(self, limit: int):
         self.held: dict[int, int] = {}
-        self.below: dict[int, Node] | None = None
-
-    def burst(self) -> None:
-        """Entries of two words and more go into containers by their first; shorter ones stay."""
-        self.below = {}
-        for k in [k for k in self.held if k > MASK]:
-            self.below.setdefault(k & MASK, Node()).held[k >> ID_BITS] = self.held.pop(k)
+        self.below: dict[int, Node] = {}
+        self.limit = limit
+
+    def burst(self, limit: int) -> None:
+        """Words with an eighth of the entries get containers for what follows them; paths of one word stay."""
+        sizes: dict[int, int] = {}
+        for k in self.held:
+            if k > MASK:
+                sizes[k & MASK] = sizes.get(k & MASK, 0) + 1
+        large = {word for word, n in sizes.items() if n >= max(limit // 8, 2)}
+        for k in [k for k in self.held if k > MASK and k & MASK in large]:
+            word = k & MASK
+            if word not in self.below:
+                self.below[word] = Node(limit)
+            self.below[word].held[k >> ID_BITS] = self.held.pop(k)
+        self.limit = max(limit, 2 * len(self.held))
 
     def size(self) -> int:
-        return len(self.held) + sum(x.size() for x in (self.below or {}).values())
+        return len(self.held) + sum(x.size() for x in self.below.values())
 
     def entries(self) -> Iterator[tuple[list[int], list[int]]]:
-        """(rests of paths, packed; counts) of the subtree."""
+        """(paths, packed; counts) of the subtree."""
         yield list(self.held), list(self.held.values())
-        for word, node in (self.below or {}).items():
-            for rests, counts in node.entries():
-                yield [k << ID_BITS | word for k in rests], counts
+        for word, node in self.below.items():
+            for paths, counts in node.entries():
+                yield [k << ID_BITS | word for k in paths], counts
 
 
 class HatTrie:
     """Counts of paths of word ids. A word of a language has one id, from 1 on; 0 ends a path."""
 
-    def __init__(self, burst: int = BURST):
-        self.limit, self.top, self.size = burst, {}, 0
+    def __init__(self, burst: int | None = None):
+        self.burst, self.size = burst or BURST, 0
+        self.top: dict[int, Node] = {}
         self.ids: dict[str, dict[bytes, int]] = {}
         self.names, self.langs, self.keys = [b""], [""], [0]
 
@@ -84,59 +95,62 @@ class HatTrie:
             out.append(at)
         return out
 
-    def add(self, first: list[int], rest: list[int], counts: list[int]) -> None:
-        top, limit, new = self.top, self.limit, 0
-        for word, k, n in zip(first, rest, counts):
-            node = top.get(word)
+    def add(self, blocks: list[int], paths: list[int], counts: list[int]) -> None:
+        """blocks: the block of each path's first word."""
+        top, new = self.top, 0
+        for block, k, n in zip(blocks, paths, counts):
+            node = top.get(block)
             if node is None:
-                node = top[word] = Node()
-            while k > MASK and node.below is not None:
-                below = node.below
-                node = below.get(k & MASK)
-                if node is None:
-                    node = below[k & MASK] = Node()
+                node = top[block] = Node(self.burst)
+            while k > MASK:
+                below = node.below.get(k & MASK)
+                if below is None:
+                    break
+                node = below
                 k >>= ID_BITS
             held = node.held
             before = held.get(k)
             if before is None:
                 new += 1
                 held[k] = n
-                if k > MASK and len(held) > limit:
-                    node.burst()
+                if len(held) > node.limit:
+                    node.burst(self.burst)
             else:
                 held[k] = before + n
         self.size += new
 
     def spill(self, down_to: int) -> Iterator[pa.RecordBatch]:
         """Takes subtrees out, the largest first, until ``down_to`` entries are left, and gives them as sorted runs."""
-        sizes = sorted(((node.size(), word) for word, node in self.top.items()), reverse=True)
-        first, rests, counts = [], [], []
-        for size, word in sizes:
+        paths, counts = [], []
+        for size, block in sorted(((node.size(), block) for block, node in self.top.items()), reverse=True):
             if self.size <= down_to:
                 break
-            for k, n in self.top.pop(word).entries():
-                first += [word] * len(k)
-                rests += k
+            for k, n in self.top.pop(block).entries():
+                paths += k
                 counts += n
             self.size -= size
-        if first:
-            yield from self.run(np.array(first, np.int64), rests, np.array(counts, np.int64))
+        if paths:
+            yield from self.run(paths, np.array(counts, np.int64))
 
-    def run(self, first: np.ndarray, rests: list[int], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def run(self, paths: list[int], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
         names = pa.array(self.names, pa.binary())
         rank = np.empty(len(names), np.int64)
         rank[pc.sort_indices(names).to_numpy()] = np.arange(len(names))
         keys = np.array(self.keys, np.uint64)
-        longest = max(max(rests).bit_length() - 1, -1) // ID_BITS + 1
-        path = [first, *(np.array([k >> (ID_BITS * j) & MASK for k in rests], np.int64) for j in range(longest))]
+        longest = -(-max(paths).bit_length() // ID_BITS)
+        if longest <= 2:
+            packed = np.array(paths, np.uint64)
+            path = [(packed >> np.uint64(ID_BITS * j) & np.uint64(MASK)).astype(np.int64) for j in range(longest)]
+        else:
+            path = [np.array([k >> (ID_BITS * j) & MASK for k in paths], np.int64) for j in range(longest)]
         order = np.lexsort([rank[x] for x in path[::-1]])
         path, counts = [x[order] for x in path], counts[order]
-        rest = np.zeros(len(first), np.uint64)
+        rest = np.zeros(len(counts), np.uint64)
         for x in path[1:]:
             rest = rolling.mix(rest * FOLD + keys[x])
         part = (rolling.mix(keys[path[0]] + rest % np.uint64(DEALT) * FOLD) >> np.uint64(33)).astype(np.int32)
         langs = pa.array(self.langs, pa.string())
-        for a in range(0, len(first), RUN_ROWS):
+        for a in range(0, len(counts), RUN_ROWS):
             here = [x[a : a + RUN_ROWS] for x in path]
             phrase = names.take(pa.array(here[0]))
             for x in here[1:]:
@@ -169,7 +183,7 @@ def phrase_keys(phrases: DataFrame) -> DataFrame:
 
 
 class Counter:
-    """Counts the phrases of given lengths of one task's texts."""
+    """Counts the phrases of given lengths of one task's texts, of over one word those whose parts pass."""
 
     def __init__(self, lengths: tuple[int, ...], passing: Filter, most: int):
         self.lengths, self.passing, self.most, self.trie = lengths, passing, most, HatTrie()
@@ -189,9 +203,9 @@ class Counter:
             at = np.arange(max(shown - m + 1, 0), n - m + 1)
             for j in range(m - 1):
                 at = at[follows[at + j]]
-            if m > 2:  # both parts of m - 1 words must pass
-                pairs = [folded([keys[codes[at + s + j]] for j in range(m - 1)]) for s in (0, 1)]
-                at = at[self.passing.passes(pairs[0]) & self.passing.passes(pairs[1])]
+            if m > 1:  # both parts of m - 1 words must pass
+                parts = [folded([keys[codes[at + s + j]] for j in range(m - 1)]) for s in (0, 1)]
+                at = at[self.passing.passes(parts[0]) & self.passing.passes(parts[1])]
             if not len(at):
                 continue
             path = codes[at]
@@ -204,10 +218,11 @@ class Counter:
             used = np.unique(np.concatenate(words))
             ids = np.zeros(len(names), np.int64)
             ids[used] = self.trie.ids_of(lang, [names[i] for i in used.tolist()], keys[used].tolist())
-            rest = [0] * len(where)
-            for j in range(m - 1, 0, -1):
-                rest = [k << ID_BITS | x for k, x in zip(rest, ids[words[j]].tolist())] if j < m - 1 else ids[words[j]].tolist()
-            self.trie.add(ids[words[0]].tolist(), rest, counts.tolist())
+            path = [ids[x] for x in words]
+            packed = (path[0] | path[1] << ID_BITS if m > 1 else path[0]).tolist()
+            for j in range(2, m):
+                packed = [k | x << (ID_BITS * j) for k, x in zip(packed, path[j].tolist())]
+            self.trie.add((path[0] >> BLOCK_BITS).tolist(), packed, counts.tolist())
 
     def spilled(self, last: bool = False) -> Iterator[pa.RecordBatch]:
         if last or len(self.trie.names) > MOST_WORDS:
@@ -251,9 +266,9 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, share: int
     """
     need(docs, lang, text)
     plain = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text"))
-    found = stored(counted(plain, (1, 2), Filter(), least, most).withColumn("m", F.size(F.split("phrase", " "))), "phrases")
-    shorter = found.where("m = 2")
-    for m in range(3, longest + 1):
+    shorter = found = stored(counted(plain, (1,), Filter(), least, most).withColumn("m", F.lit(1)), "phrases")
+    for m in range(2, longest + 1):
+        shorter = shorter.where("phrase <> ''")
         n = shorter.count()
         passing = filter_of(phrase_keys(shorter), n) if n else Filter(64, np.zeros(1, np.uint64))
         shorter = stored(counted(plain, (m,), passing, least, most).withColumn("m", F.lit(m)), "phrases")

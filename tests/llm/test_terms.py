@@ -57,7 +57,7 @@ def test_trie_counts_across_bursts_and_spills(paths, burst, down_to):
     pack = lambda path: sum(w << phrases.ID_BITS * i for i, w in enumerate(path))
     runs = []
     for i, path in enumerate(paths):
-        trie.add([path[0]], [pack(path[1:])], [1])
+        trie.add([path[0] >> phrases.BLOCK_BITS], [pack(path)], [1])
         if i % 50 == 49:
             runs += trie.spill(down_to)
     assert trie.size <= max(down_to, 0) + 50
