@@ -24,7 +24,7 @@ from .words import STEP_BYTES, Filter, Words, filter_of, hashes, table_of, texts
 
 #: Bytes that are in no term; bytes of the first level's prefixes; sources whose pairs a task holds at once.
 GAPS = table_of((0x00, 0x40), (0x5B, 0x60), (0x7B, 0x7F))
-FIRST, BLOCK = 4, 256
+FIRST, BLOCK = 8, 256
 #: Cells of a comparison that numpy holds at a time, and blocks of sums that a task holds.
 CELLS, MOST_BLOCKS = 1 << 18, 64
 #: What a share of one is in whole numbers.
@@ -68,7 +68,7 @@ def level_counts(docs: DataFrame, before: int, level: int, passing: Filter) -> D
         return pa.record_batch([pa.array([lang] * len(n), pa.string()), prefixes, pa.array(whole), pa.array(n.astype(np.int64))], ["lang", "prefix", "whole", "n"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 2, STEP_BYTES):
+        for batch in slices(batches, 2, 2 * STEP_BYTES):
             for lang, _, texts in by_language(batch):
                 seen: set[tuple[bytes, bool]] = set()
                 steps = 0
@@ -119,7 +119,7 @@ def term_counts(docs: DataFrame, kept: DataFrame) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(passing)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 2, STEP_BYTES):
+        for batch in slices(batches, 2, 2 * STEP_BYTES):
             sources = batch.column(1).dictionary_encode()
             numbers = sources.indices.to_numpy().astype(np.int64)
             for lang, rows, texts in by_language(batch):
