@@ -116,8 +116,9 @@ def bh(rows: DataFrame, p: str, keys: list[str], order: list[str], name: str = "
     """rows with Benjamini-Hochberg values within keys; NaN and null p stay out and get NaN.
 
     The values of one scope of keys are sorted in one task: there is one for each gene and cluster. Without keys all rows are
-    one scope, of any size: see ``bh_whole``.
+    one scope, of any size: they are stored, as they are read more than once, and see ``bh_whole``.
     """
+    rows = rows if keys else stored(rows, "tested")
     good = rows.where(F.col(p).isNotNull() & ~F.isnan(p))
     rest = rows.where(F.col(p).isNull() | F.isnan(p)).withColumn(name, F.lit(float("nan")))
     if not keys:
@@ -138,10 +139,10 @@ def bh_whole(rows: DataFrame, p: str, name: str) -> DataFrame:
     counts = ranged(rows.groupBy(p).agg(F.count("*").alias("_n")), p)
     parts = counts.groupBy("_part").agg(F.sum("_n").alias("_n"))
     total = F.sum("_n").over(Window.partitionBy(F.lit(0)))
-    parts = stored(before(parts, "_n", "_before").join(parts.select("_part", total.alias("_all")), "_part"), "totals")
+    parts = before(parts, "_n", "_before").join(parts.select("_part", total.alias("_all")), "_part")
     up = Window.partitionBy("_part").orderBy(p)
     ranks = counts.withColumn("_up", F.sum("_n").over(up.rowsBetween(Window.unboundedPreceding, 0))).join(parts, "_part")
-    raw = stored(ranks.select("_part", p, (F.col(p) * F.col("_all") / (F.col("_before") + F.col("_up"))).alias("_q")), "quotients")
+    raw = ranks.select("_part", p, (F.col(p) * F.col("_all") / (F.col("_before") + F.col("_up"))).alias("_q"))
     later = Window.orderBy("_part").rowsBetween(1, Window.unboundedFollowing)
     least = raw.groupBy("_part").agg(F.min("_q").alias("_q")).select("_part", F.min("_q").over(later).alias("_later"))
     here = F.min("_q").over(up.rowsBetween(0, Window.unboundedFollowing))

@@ -227,7 +227,7 @@ def _numbered(spark: SparkSession, path: str) -> DataFrame:
     blocks = rows.groupBy("_block").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
     earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select("_block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    return rows.join(F.broadcast(blocks), "_block").select("value", (F.col("_before") + F.col("_at") - F.col("_first") + 1).alias("nth"))
+    return rows.join(blocks, "_block").select("value", (F.col("_before") + F.col("_at") - F.col("_first") + 1).alias("nth"))
 
 
 # Writers --------------------------------------------------------------------------------------
