@@ -15,6 +15,21 @@ def by_key(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
+#: Rows of a task, where rows are dealt by a key.
+ROWS = 200_000
+
+
+def tasks_for(rows: DataFrame, each: int = ROWS) -> int:
+    """Tasks for rows that are dealt by a key: one for ``each`` rows and one a core at least, so that a task's share does not grow with the
+    rows. Adaptive planning deals by compressed bytes, of which a task's limit holds millions of rows."""
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // each))
+
+
+def dealt_join(left: DataFrame, right: DataFrame, one: str, two: str, tasks: int) -> DataFrame:
+    """left ⋈ right on one = two, both dealt over ``tasks``; the result stays dealt by ``one``, which later groups and windows that hold it need not repeat."""
+    return left.repartition(tasks, one).join(right.repartition(tasks, two), F.col(one) == F.col(two))
+
+
 def part_of(rows: DataFrame, column: str) -> Column:
     """A coarse key in the order of the column: the first letters of a text, or the high part of a number."""
     return F.substring(column, 1, 6) if dict(rows.dtypes)[column] == "string" else F.floor(F.col(column) / 4096)

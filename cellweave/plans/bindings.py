@@ -10,14 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.partitioning import dealt_join, tasks_for
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dealt by bc, over as many tasks as the lines need."""
     lines, orders, cells, parts = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "part"))
-    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(cells, F.col("o_custkey") == F.col("c_custkey")).join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    tasks = tasks_for(lines)
+    rows = dealt_join(lines, parts, "l_partkey", "p_partkey", tasks)
+    rows = dealt_join(dealt_join(rows, orders, "l_orderkey", "o_orderkey", tasks), cells, "o_custkey", "c_custkey", tasks)
     start = F.datediff(F.to_date("l_shipdate"), F.lit("1992-01-01").cast("date"))
     return rows.select(
         F.col("o_custkey").alias("bc"),
