@@ -22,6 +22,17 @@ def umi_counts(reads: DataFrame, bc: str = "bc", umi: str = "umi") -> DataFrame:
     return reads.groupBy(bc).agg(F.countDistinct(umi).alias("umi_count"))
 
 
+def contents(reads: DataFrame, columns: list[str], bc: str = "bc") -> DataFrame:
+    """bc, _rows, and for each column the number of its different values, nulls left out.
+
+    A value counts at the first of its rows, so rows are not repeated for each column, as several distinct counts in one aggregate would.
+    """
+    each = reads.groupBy(bc, *columns).agg(F.count("*").alias("_n"))
+    nth = {f"_nth_{c}": F.row_number().over(Window.partitionBy(bc, c).orderBy(*columns)) for c in columns}
+    counts = [F.count(F.when((F.col(f"_nth_{c}") == 1) & F.col(c).isNotNull(), 1)).alias(c) for c in columns]
+    return each.withColumns(nth).groupBy(bc).agg(F.sum("_n").alias("_rows"), *counts)
+
+
 def ranked(counts: DataFrame, bc: str = "bc", count: str = "umi_count") -> DataFrame:
     """counts with rank, 1 for the most; ties by barcode.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sequences, stats
 from ..operators import barcodes, intervals, molecules, quant, splicing, variants
+from ..operators.partitioning import stored, tasks_for
 from . import workflows
 from .bindings import READS, reads, sequence, sequence_sql, table
 
@@ -80,7 +81,7 @@ def ref_barcodes_by_knee(spark, sf_dir):
 
 @query(f"WITH {READS} SELECT bc, count(*) AS reads, count(DISTINCT gene) AS genes, count(DISTINCT trans) AS transcripts FROM reads GROUP BY bc")
 def reads_per_cell(spark, sf_dir):
-    return reads(spark, sf_dir).groupBy("bc").agg(F.count("*").alias("reads"), F.countDistinct("gene").alias("genes"), F.countDistinct("trans").alias("transcripts"))
+    return barcodes.contents(reads(spark, sf_dir), ["gene", "trans"]).select("bc", F.col("_rows").alias("reads"), F.col("gene").alias("genes"), F.col("trans").alias("transcripts"))
 
 
 # Intervals -----------------------------------------------------------------------------------
