@@ -773,7 +773,8 @@ def genes_of_interest(spark, sf_dir):
 SELECT x.gene, x.cluster AS cluster1, y.cluster AS cluster2, x.n + y.n - coalesce(k, 0) AS n FROM n x JOIN n y ON x.gene = y.gene AND x.cluster < y.cluster LEFT JOIN b ON b.gene = x.gene AND cluster1 = x.cluster AND cluster2 = y.cluster""")
 def merged_umi_counts(spark, sf_dir):
     """Tags of two clusters together, for every gene: both counts less what they share; no set is gathered."""
-    tags = reads(spark, sf_dir).select("cluster", "gene", "umi").distinct()
+    rows = reads(spark, sf_dir).select("cluster", "gene", "umi")
+    tags = rows.repartition(tasks_for(table(spark, sf_dir, "lineitem")), "gene", "umi").distinct()
     sizes = tags.groupBy("gene", "cluster").agg(F.count("*").alias("n"))
     two = lambda rows, *more: rows.select("gene", F.col("cluster").alias("cluster2"), *more)
     one = lambda rows, *more: rows.select("gene", F.col("cluster").alias("cluster1"), *more)
