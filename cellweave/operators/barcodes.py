@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from ..functions.sequences import infix_distance, search
-from .intervals import overlaps_closed
+from .intervals import merge, overlaps_closed
 from .partitioning import part_of, stored
 
 #: Ranks beyond which no barcode is held for a cell, the first prefix that votes, and barcodes needed.
@@ -197,7 +197,7 @@ def candidates_merged(reads: DataFrame, ranks: DataFrame, knee: int, length: int
     close = close_pairs(names.select("bc"), names.select(F.col("bc").alias("ref")), length=length, most=most).where("bc <> ref")
     close = close.join(names.withColumnRenamed("rank", "behind"), "bc").join(names.select(F.col("bc").alias("ref"), F.col("rank").alias("ahead")), "ref").where("ahead < behind")
     close = stored(close.select("bc", "ref", "behind", "ahead", "ed"), "close")
-    tags = reads.select("bc", "umi", "chrom", "start", "stop").distinct()
+    tags = merge(reads.where("start is not null and stop is not null"), more=["bc", "umi"])  # two tags share a place if stretches of theirs do
     one = close.join(tags, "bc").join(tags.toDF("ref", "umi", "chrom", "_lo", "_hi"), ["ref", "umi", "chrom"]).where(overlaps_closed("start", "stop", "_lo", "_hi"))
     links = stored(close.join(one.select("behind", "ahead").distinct().withColumn("shared", F.lit(True)), ["behind", "ahead"], "left").select("behind", "ahead", "ed", F.coalesce("shared", F.lit(False)).alias("shared")), "links")
     own = F.col("rank").alias("root")

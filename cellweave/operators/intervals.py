@@ -14,13 +14,14 @@ def _islands(rows: DataFrame, keys: list[str], start: str, stop: str) -> DataFra
     return numbered.groupBy(*keys, "_island").agg(F.min(start).alias(start), F.max(stop).alias(stop)).drop("_island")
 
 
-def merge(rows: DataFrame, chrom: str = "chrom", start: str = "start", stop: str = "stop", bin_size: int = 100_000) -> DataFrame:
-    """Maximal stretches per chromosome; intervals that touch join. Of equal starts only the furthest stop counts,
+def merge(rows: DataFrame, chrom: str = "chrom", start: str = "start", stop: str = "stop", bin_size: int = 100_000, more: list[str] | None = None) -> DataFrame:
+    """Maximal stretches per chromosome, and per value of ``more`` columns; intervals that touch join. Of equal starts only the furthest stop counts,
     before anything is sorted, so a crowded place is no large group; bins of starts are merged next,
     so the last pass over a chromosome sees stretches and not reads."""
-    furthest = rows.groupBy(chrom, start).agg(F.max(stop).alias(stop))
+    keys = [*(more or []), chrom]
+    furthest = rows.groupBy(*keys, start).agg(F.max(stop).alias(stop))
     binned = furthest.withColumn("_bin", F.floor(F.col(start) / bin_size))
-    return _islands(_islands(binned, [chrom, "_bin"], start, stop), [chrom], start, stop)
+    return _islands(_islands(binned, [*keys, "_bin"], start, stop), keys, start, stop)
 
 
 def points_in_ranges(points: DataFrame, ranges: DataFrame, chrom: str = "chrom", pos: str = "pos", start: str = "lo", stop: str = "hi", bin_size: int = 1000) -> DataFrame:
