@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .partitioning import by_key, values_numbered
+from .partitioning import by_key, stored, values_numbered
 
 #: Rounds at most, and the change of all shares together below which it stops.
 ROUNDS, TOLERANCE = 10_000, 1e-6
@@ -41,7 +41,7 @@ def abundance(molecules: DataFrame, gene: str = "gene", cluster: str = "cluster"
     """
     extra = extra or []
     sets = molecules.withColumn("_set", F.array_sort(F.array_distinct(trans))).where(F.size("_set") > 0)
-    counted = sets.groupBy(gene, cluster, "_set", *extra).agg(F.count("*").alias("_n"))
+    counted = stored(sets.groupBy(gene, cluster, "_set", *extra).agg(F.count("*").alias("_n")), "sets")  # read three times
     names = counted.select(gene, F.explode("_set").alias("_t")).distinct().groupBy(gene).agg(F.array_sort(F.collect_list("_t")).alias("_names"))
     shared = counted.groupBy(gene, cluster, "_set").agg(F.sum("_n").alias("_n")).join(names, gene)
 

@@ -378,7 +378,8 @@ def allele_matrices(spark, sf_dir):
     lists = [F.collect_list(F.col("q")).alias("reads"), F.collect_list(F.when(F.col("quantity") > 25, "FullLen").otherwise("Partial")).alias("categories"), F.collect_list(F.lit("Y")).alias("splices")]
     found = rows.groupBy("bc", "umi", "gene").agg(F.collect_set("trans").alias("trans"), *lists).withColumn("genes", F.array("gene")).drop("gene")
     haps = rows.where("hap <> 'none'").groupBy(F.col("q").alias("qname")).agg(F.min("hap").alias("hap"))
-    made = workflows.quantify(found, rows.select("bc", "cluster").distinct(), "x.categories = 'FullLen'", haps)
+    cells = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("bc"), F.col("c_mktsegment").alias("cluster")).distinct()
+    made = workflows.quantify(found, cells, "x.categories = 'FullLen'", haps)
     return made.withColumn("abundance", F.round("abundance", 6))
 
 
