@@ -126,16 +126,20 @@ def near_tags(tags: DataFrame, keys: list[str], umi: str = "umi", trans: str = "
     lost = named.where("n > 0").withColumn("k", F.explode(shorter))
     pair = lambda left, right, more: left.alias("x").join(right.alias("y"), [F.col(f"x.{c}") == F.col(f"y.{c}") for c in [*keys, *more]])
     shared = F.arrays_overlap("x.t", "y.t")
-    out = lambda df: df.select(*(F.col(f"x.{c}").alias(c) for c in keys), F.least("x.u", "y.u").alias("a"), F.greatest("x.u", "y.u").alias("b"))
-    same = out(pair(lost, lost, ["n", "k"]).where(shared & (F.col("x.u") < F.col("y.u"))))
-    usual = named.groupBy("n").agg(F.count("*").alias("_c")).orderBy(F.desc("_c"), "n").first()
-    usual = usual["n"] if usual else 0
+    out = lambda df, at="": df.select(*(F.col(f"{at}{c}").alias(c) for c in keys), F.least("x.u", "y.u").alias("a"), F.greatest("x.u", "y.u").alias("b"))
+    # Tags that become one text: those with some letters more, so a group's size is bounded by the length and the letters.
+    met = lost.where(" and ".join(f"{c} is not null" for c in keys)).groupBy(*keys, "n", "k").agg(F.collect_list(F.struct("u", "t")).alias("_g")).where("size(_g) > 1")
+    same = out(met.withColumn("x", F.explode("_g")).withColumn("y", F.explode("_g")).where(shared & (F.col("x.u") < F.col("y.u"))))
+    lengths = named.groupBy("n").agg(F.count("*").alias("_c")).orderBy(F.desc("_c"), "n").take(2)
+    if len(lengths) < 2:
+        return same.distinct()
+    usual = lengths[0]["n"]
     piece = lambda i: F.substr(F.col("u"), (F.floor(F.col("n") * i / (most + 1)) + 1).cast("int"), (F.floor(F.col("n") * (i + 1) / (most + 1)) - F.floor(F.col("n") * i / (most + 1))).cast("int"))
     pieces = named.withColumn("k", F.explode(F.array(*(piece(i) for i in range(most + 1)))))
     sizes = F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(usual + 2)), lambda n: F.floor(n / (most + 1)).cast("int")))
     spots = named.withColumn("_m", F.explode(sizes)).where("_m <= n").withColumn("k", F.explode(F.transform(F.sequence(F.lit(1), F.col("n") - F.col("_m") + 1), lambda i: F.substr(F.col("u"), i, F.col("_m")))))
     odd, any_ = F.col("n") != usual, F.lit(True)
-    others = [out(pair(pieces.where(l), spots.where(r), ["k"]).where(shared & (F.col("x.n") != F.col("y.n")))) for l, r in ((odd, any_), (any_, odd))]
+    others = [out(pair(pieces.where(l), spots.where(r), ["k"]).where(shared & (F.col("x.n") != F.col("y.n"))), "x.") for l, r in ((odd, any_), (any_, odd))]
     return same.unionByName(others[0]).unionByName(others[1]).distinct()
 
 

@@ -266,7 +266,7 @@ SELECT DISTINCT x.bc, x.u AS a, y.u AS b FROM keys x JOIN keys y ON x.bc = y.bc
 def umi_edges(spark, sf_dir):
     """Tags of a cell that may meet in the clustering."""
     each = _tagged(spark, sf_dir).select("bc", F.col("tag").alias("umi"), F.explode("sets").alias("t"))
-    return molecules.near_tags(each.groupBy("bc", "umi").agg(F.collect_set("t").alias("trans")), ["bc"])
+    return molecules.near_tags(stored(each.groupBy("bc", "umi").agg(F.collect_set("t").alias("trans")), "tags"), ["bc"])
 
 
 LISTS = f"WITH {READS}, m AS (SELECT bc, umi, list(struct_pack(l := line::VARCHAR, c := CASE WHEN quantity > 25 THEN 'FullLen' ELSE 'Partial' END, s := CASE WHEN hap = 'H1' THEN 'Y' ELSE 'N' END) ORDER BY line, quantity, hap) AS z FROM reads GROUP BY bc, umi)"

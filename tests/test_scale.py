@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from cellweave.operators import barcodes
+from cellweave.operators import barcodes, intervals, molecules, quant
 from cellweave.operators.partitioning import tasks_for
-from cellweave.plans import bindings
+from cellweave.plans import bindings, catalog
 
 
 def plan_of(df) -> str:
@@ -24,3 +24,38 @@ def test_contents_count_each_value_once_without_repeating_rows(spark):
     found = barcodes.contents(rows, ["gene", "trans"])
     assert sorted(map(tuple, found.collect())) == [(1, 4, 2, 2), (2, 1, 0, 0)]
     assert "Expand" not in plan_of(found)
+
+
+def test_stretches_are_merged_within_more_columns(spark):
+    rows = spark.createDataFrame([("A", 1, 0, 5), ("A", 1, 5, 8), ("A", 1, 10, 12), ("B", 1, 4, 9), ("A", 2, 6, 7)], "bc string, chrom long, start long, stop long")
+    found = intervals.merge(rows, more=["bc"], bin_size=4)
+    assert sorted(map(tuple, found.select("bc", "chrom", "start", "stop").collect())) == [("A", 1, 0, 8), ("A", 1, 10, 12), ("A", 2, 6, 7), ("B", 1, 4, 9)]
+
+
+def test_tags_of_a_place_meet_once(spark):
+    """One tag a hundred times over a stretch: what is joined is the stretch."""
+    reads = spark.range(200).selectExpr("if(id % 2 = 0, 'ACGTA', 'ACGTC') as bc", "1L as umi", "1L as chrom", "id div 2 as start", "id div 2 + 9 as stop")
+    joined = []
+    try:
+        merge, barcodes.merge = barcodes.merge, lambda *a, **b: joined.append(merge(*a, **b)) or joined[0]
+        ranks = spark.createDataFrame([("ACGTA", 1), ("ACGTC", 2)], "bc string, rank long")
+        found = barcodes.candidates_merged(reads, ranks, knee=2, length=5, most=1)
+    finally:
+        barcodes.merge = merge
+    assert sorted((r.bc, r.root) for r in found.collect()) == [("ACGTA", "ACGTA"), ("ACGTC", "ACGTA")]
+    assert joined[0].count() == 2
+
+
+def test_tags_of_one_length_meet_without_joins(spark):
+    tags = spark.createDataFrame([(1, "AACC", ["x"]), (1, "AACG", ["x", "y"]), (1, "AAGG", ["y"]), (1, "TTTT", ["x"]), (2, "AACC", ["x"]), (None, "AACG", ["x"]), (None, "AACC", ["x"])], "bc long, umi string, trans array<string>")
+    found = molecules.near_tags(tags, ["bc"])
+    assert sorted(map(tuple, found.collect())) == [(1, "AACC", "AACG"), (1, "AACG", "AAGG")]
+    assert "Join" not in plan_of(found)
+
+
+def test_allele_matrices_read_the_lines_twice(spark, sf_dir, monkeypatch):
+    written = []
+    keep = quant.stored
+    monkeypatch.setattr(quant, "stored", lambda rows, name: written.append(plan_of(rows)) or keep(rows, name))
+    last = plan_of(catalog.allele_matrices(spark, sf_dir))
+    assert [p.count("Relation [l_orderkey") for p in [*written, last]] == [2, 0]
