@@ -64,12 +64,18 @@ def sparse(rows: DataFrame, feature: str = "gene", cell: str = "bc", value: str
     return indexed.select("feature_idx", "cell_idx", feature, cell, value)
 
 
+def _each_cell(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """keys, _value, _some: each key once, so that it can be counted where it lies. Different values of an expression, as counted by Spark, are dealt anew."""
+    return rows.groupBy(*keys).agg(F.sum(value).alias("_value"), F.max(F.col(value) > 0).alias("_some"))
+
+
 def by_cluster(rows: DataFrame, sizes: DataFrame, feature: str = "gene", cluster: str = "cluster", cell: str = "bc", value: str = "value") -> DataFrame:
     """feature, cluster, total, cpm and pct: the share of the cluster's cells, also those without counts, that have the feature.
 
-    rows: one value for each feature and cell; sizes: cluster, n_cells.
+    rows: one value for each feature and cell; sizes: cluster, n_cells. Rows that are dealt by cell stay so until each task has summed its own.
     """
-    sums = rows.groupBy(feature, cluster).agg(F.sum(value).alias("total"), F.countDistinct(F.when(F.col(value) > 0, F.col(cell))).alias("cells"))
+    each = _each_cell(rows, [feature, cluster, cell], value)
+    sums = each.groupBy(feature, cluster).agg(F.sum("_value").alias("total"), F.count(F.when(F.col("_some"), F.col(cell))).alias("cells"))
     whole = F.sum("total").over(Window.partitionBy(cluster))
     return sums.join(sizes, cluster).select(feature, cluster, "total", F.when(whole > 0, 1e6 * F.col("total") / whole).otherwise(0.0).alias("cpm"), (F.col("cells") / F.col("n_cells")).alias("pct"))
 
