@@ -81,12 +81,17 @@ def by_cluster(rows: DataFrame, sizes: DataFrame, feature: str = "gene", cluster
 
 
 def cell_qc(rows: DataFrame, feature: str = "gene", cell: str = "bc", value: str = "value", min_cells: int = 3, min_features: int = 200, most_marked: float = 25.0, marked: str = "^MT-") -> DataFrame:
-    """cell, n_features, total, marked_pct of the cells that pass, over features in enough cells."""
-    common = rows.where(F.col(value) > 0).groupBy(feature).agg(F.countDistinct(cell).alias("_n")).where(F.col("_n") >= min_cells).select(feature)
-    sums = rows.join(common, feature, "left_semi").groupBy(cell).agg(
-        F.countDistinct(F.when(F.col(value) > 0, F.col(feature))).alias("n_features"),
-        F.sum(value).alias("total"),
-        F.sum(F.when(F.col(feature).rlike(marked), F.col(value)).otherwise(0)).alias("_marked"),
+    """cell, n_features, total, marked_pct of the cells that pass, over features in enough cells.
+
+    The names of these features are broadcast: dealt by feature, the values of a common one would meet in one task. An inner join, as a
+    semi-join would move below the sums, and rows that are joined before would be joined twice.
+    """
+    each = _each_cell(rows, [cell, feature], value)
+    common = each.where("_some").groupBy(feature).agg(F.count(cell).alias("_n")).where(F.col("_n") >= min_cells).select(feature)
+    sums = each.join(F.broadcast(common), feature).groupBy(cell).agg(
+        F.count(F.when(F.col("_some"), F.col(feature))).alias("n_features"),
+        F.sum("_value").alias("total"),
+        F.sum(F.when(F.col(feature).rlike(marked), F.col("_value")).otherwise(0)).alias("_marked"),
     )
     return sums.select(cell, "n_features", "total", F.expr("100D * _marked / nullif(total, 0)").alias("marked_pct")).where((F.col("n_features") >= min_features) & (F.col("marked_pct") < most_marked))
 
