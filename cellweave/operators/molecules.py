@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequences import search
-from .partitioning import components, numbered, stored
+from .partitioning import by_key, components, numbered, stored
 
 # Fixed values of the alignment format: flag bits of unmapped, secondary and supplementary records.
 UNMAPPED, SECONDARY, SUPPLEMENTARY, REVERSE = 4, 256, 2048, 16
@@ -71,37 +71,55 @@ def cluster(tags: list[tuple[str, list[tuple[str, frozenset, bool]]]], most: int
     shares a transcript; both keep what they share, and so does the head of that molecule. Reads without
     transcripts share the name NA, until two have met and not when their umi was split.
 
-    Nodes are found through the substrings of their umi and their transcripts: of most + 1 pieces of a tag one stays
+    Nodes are found through the substrings of their umi, held once a umi, and their transcripts: of most + 1 pieces of a tag one stays
     whole under ``most`` edits. A node's transcripts only shrink, so its first ones find it; what it has now decides.
     """
     tags = sorted(tags, key=lambda t: (-len(t[1]), not any(r[2] for r in t[1])))
     nodes: list[dict] = []
-    at: dict[tuple[str, str], list[int]] = {}
-    bounds_of = lambda umi: [len(umi) * i // (most + 1) for i in range(most + 2)]
-    sizes = {b - a for n in {len(umi): umi for umi, _ in tags}.values() for a, b in zip(bounds_of(n)[:-1], bounds_of(n)[1:])}
-    for umi, reads in tags:
-        bounds = bounds_of(umi)
-        parts = {umi[a:b] for a, b in zip(bounds[:-1], bounds[1:])}
-        spots = {umi[a : a + n] for n in sizes for a in range(len(umi) - n + 1)}
-        named = [(r[0], r[1] or frozenset(["NA"]), bool(r[1])) for r in reads]
-        common = frozenset.intersection(*(t for _, t, _ in named))
+    at: dict[str, list[int]] = {}  # umis by substring
+    own: list[dict[str, list[int]]] = [{} for _ in tags]  # of each umi, its nodes by transcript
+    having: dict[str, list[int]] = {}  # nodes by transcript
+    bounds_of = {n: [n * i // (most + 1) for i in range(most + 2)] for n in {len(umi) for umi, _ in tags}}
+    sizes = {b - a for bounds in bounds_of.values() for a, b in zip(bounds[:-1], bounds[1:])}
+    for place, (umi, _) in enumerate(tags):
+        for spot in {umi[a : a + n] for n in sizes for a in range(len(umi) - n + 1)}:
+            at.setdefault(spot, []).append(place)
+    pieces_of = lambda umi: [umi[a:b] for a, b in zip(bounds_of[len(umi)][:-1], bounds_of[len(umi)][1:])]
+    shared_parts = [same for same in (at[p] for p in {p for umi, _ in tags for p in pieces_of(umi)}) if len(same) > 1]
+    meeting = set().union(*shared_parts)  # umis that find another or are found
+    for place, (umi, reads) in enumerate(tags):
+        parts, alone = pieces_of(umi), place not in meeting
+        near = 0 if alone else sum(len(at[p]) for p in parts)
+        named = [(n, t or frozenset(["NA"]), bool(t)) for n, t, _ in reads]
+        common = named[0][1] if len(named) == 1 else frozenset.intersection(*[t for _, t, _ in named])
         pieces = [([n for n, _, _ in named], common, True)] if common else [([n], t, known) for n, t, known in sorted(named, key=lambda r: len(r[1]))]
+        if alone and (common or len(frozenset.union(*[t for _, t, _ in named])) == sum(len(t) for _, t, _ in named)):
+            nodes += [{"umi": umi, "trans": trans, "head": i, "all": names} for i, (names, trans, _) in enumerate(pieces, len(nodes))]
+            continue
         for names, trans, open_ in pieces:
             best, parent, shared = len(umi), None, frozenset()
-            for i in sorted({j for p in parts for t in trans for j in at.get((p, t), ())}) if open_ else []:
+            found: set[int] = set()
+            for t in trans if open_ else ():
+                same = having.get(t, ())
+                # The fewer of the two: nodes with the transcript, or umis with a piece.
+                if len(same) <= near:
+                    found.update([i for i in same if any(p in nodes[i]["umi"] for p in parts)])
+                else:
+                    found.update([i for p in parts for j in at[p] for i in own[j].get(t, ())])
+            for i in sorted(found):
                 other = nodes[i]
                 both = trans & other["trans"]
                 if not both or not other["open"]:
                     continue
-                distance, _ = search(umi, other["umi"], most)
+                distance = 0 if other["place"] == place else search(umi, other["umi"], most)[0]
                 if 0 <= distance < best:
                     best, parent, shared = distance, i, both
-            node = {"umi": umi, "reads": names, "trans": trans, "open": open_, "head": len(nodes), "all": list(names)}
+            node = {"umi": umi, "place": place, "reads": names, "trans": trans, "open": open_, "head": len(nodes), "all": list(names)}
             nodes.append(node)
             if open_:
                 for t in trans:
-                    for p in spots:
-                        at.setdefault((p, t), []).append(len(nodes) - 1)
+                    having.setdefault(t, []).append(len(nodes) - 1)
+                    own[place].setdefault(t, []).append(len(nodes) - 1)
             if parent is not None:
                 node["trans"] = nodes[parent]["trans"] = shared
                 head = nodes[parent]["head"]
@@ -148,7 +166,8 @@ SPLIT = 5000
 
 
 def parts_of(reads: DataFrame, keys: list[str], umi: str, trans: str, most: int, split: int) -> DataFrame:
-    """reads with _part: a number within its cell, equal for tags that may meet in the clustering. Cells up to ``split`` reads have one part.
+    """reads with _part: a number within its cell, equal for tags that may meet in the clustering. Cells up to ``split`` reads have one part,
+    and if all are such, rows stay where they are.
 
     Tags of different components never meet, so any union of components clusters as it does within the cell.
     """
@@ -160,17 +179,23 @@ def parts_of(reads: DataFrame, keys: list[str], umi: str, trans: str, most: int,
     tags = stored(each.groupBy(*keys, umi).agg(F.collect_list("_t").alias(trans)), "tags")
     roots = components(near_tags(tags, keys, umi, trans, most).select(node("a").alias("a"), node("b").alias("b")))
     part = F.when(F.col("_n").isNull(), 0).otherwise(F.pmod(F.coalesce("root", "_node"), F.ceil(F.col("_n") / split))).cast("long")
-    return reads.withColumn("_node", node(umi)).join(sizes, keys, "left").join(roots.withColumnRenamed("node", "_node"), "_node", "left").select(*reads.columns, part.alias("_part"))
+    return by_key(reads.withColumn("_node", node(umi)).join(sizes, keys, "left").join(roots.withColumnRenamed("node", "_node"), "_node", "left").select(*reads.columns, part.alias("_part")), *keys, "_part")
 
 
-def molecules(reads: DataFrame, keys: list[str], umi: str = "umi", read: str = "qname", trans: str = "trans", perfect: str = "is_perfect", order: str = "pos", most: int = 1, split: int = SPLIT) -> DataFrame:
+def molecules(reads: DataFrame, keys: list[str], umi: str = "umi", read: str = "qname", trans: str = "trans", perfect: str = "is_perfect", order: str = "pos", most: int = 1, split: int = SPLIT, dealt: bool = False) -> DataFrame:
     """keys, umi, trans, reads: the molecules of each cell (or cell and region, by ``keys``).
 
     Clustering is sequential within tags that may meet. Cells of over ``split`` reads are split into such parts, so that no cell
-    gathers in one task; a task goes through its parts one by one, in the order of ``order``.
+    gathers in one task; a task goes through its parts one by one, in the order of ``order``. dealt: reads are dealt by keys already,
+    over tasks enough, and stay so; were they not, the numbering would deal them.
     """
     types = dict(reads.dtypes)
 
+    def lists(column: pa.ListArray) -> list[list]:
+        """Null lists are empty."""
+        values, ends = column.values.to_pylist(), column.offsets.to_pylist()
+        return [values[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
     def settle(key: tuple, held: list[tuple]) -> tuple[tuple, list]:
         tags: dict[str, list] = {}
         for u, r, t, p in held:
@@ -188,13 +213,12 @@ def molecules(reads: DataFrame, keys: list[str], umi: str = "umi", read: str = "
 
         for batch in batches:
             kinds = [batch.schema.field(i).type for i in range(len(keys))]
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                key = row[: len(keys) + 1]
-                if key != now:
+            for row in zip(*(lists(c) if pa.types.is_list(c.type) else c.to_pylist() for c in batch.columns)):
+                if row[len(keys)] == 1:  # a part begins
                     if held:
                         done.append(settle(now, held))
                         n += len(held)
-                    now, held = key, []
+                    now, held = row[: len(keys)], []
                     if n > 10_000:
                         yield made()
                         done, n = [], 0
@@ -204,11 +228,12 @@ def molecules(reads: DataFrame, keys: list[str], umi: str = "umi", read: str = "
         if done:
             yield made()
 
-    dealt = parts_of(reads, keys, umi, trans, most, split)
-    width = int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.repartition(width, *keys, "_part").sortWithinPartitions(*keys, "_part", order).select(*keys, "_part", umi, read, trans, perfect)
+    parts = parts_of(reads, keys, umi, trans, most, split)
+    nth = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(order))
+    rows = (parts if dealt else by_key(parts, *keys, "_part")).withColumn("_nth", nth).sortWithinPartitions(*keys, "_part", order)
+    rows = rows.select(*keys, "_nth", umi, read, trans, perfect)
     schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", umi string, trans array<string>, reads array<string>"
-    return dealt.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def bc_umi_table(found: DataFrame, genes: DataFrame) -> DataFrame:

@@ -233,7 +233,8 @@ TAG = "concat(substr({umi}, 1, 11), case when line = 5 then 'A' else substr({umi
 
 def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads with tags of twelve letters, an error every fifth line."""
-    return reads(spark, sf_dir).withColumns({"tag": F.expr(TAG.format(umi=sequence("umi", 12))), "sets": F.expr(SETS.format(a="array"))})
+    rows = reads(spark, sf_dir).withColumn("_letters", F.expr(sequence("umi", 12)))  # used twice, so made once
+    return rows.withColumns({"tag": F.expr(TAG.format(umi="_letters")), "sets": F.expr(SETS.format(a="array"))}).drop("_letters")
 
 
 @query()
@@ -241,7 +242,7 @@ def umi_cluster(spark, sf_dir):
     """Molecules of each cell."""
     place = F.concat_ws(":", F.lpad(F.col("start").cast("string"), 6, "0"), F.lpad(F.col("chrom").cast("string"), 9, "0"), F.col("line").cast("string"))
     rows = _tagged(spark, sf_dir).select("bc", F.col("tag").alias("umi"), F.concat_ws(":", "umi", "line", "chrom").alias("qname"), F.col("sets").alias("trans"), (F.col("line") < 3).alias("is_perfect"), place.alias("pos"))
-    return molecules.molecules(rows, ["bc"])
+    return molecules.molecules(rows, ["bc"], dealt=True)
 
 
 @query()
