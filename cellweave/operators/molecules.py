@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequences import search
-from .partitioning import by_key, components, numbered, stored
+from .partitioning import ROWS, by_key, components, numbered, stored, tasks_for
 
 # Fixed values of the alignment format: flag bits of unmapped, secondary and supplementary records.
 UNMAPPED, SECONDARY, SUPPLEMENTARY, REVERSE = 4, 256, 2048, 16
@@ -129,24 +129,38 @@ def cluster(tags: list[tuple[str, list[tuple[str, frozenset, bool]]]], most: int
     return [(n["umi"], sorted(n["trans"]), n["all"]) for i, n in enumerate(nodes) if n["head"] == i]
 
 
-def near_tags(tags: DataFrame, keys: list[str], umi: str = "umi", trans: str = "trans", most: int = 1) -> DataFrame:
+#: Reads of a cell that cluster in one group, and tags of a cell that are held against one another in one task; larger cells are split.
+SPLIT = 5000
+
+
+def near_tags(tags: DataFrame, keys: list[str], umi: str = "umi", trans: str = "trans", most: int = 1, split: int = SPLIT) -> DataFrame:
     """keys, a, b: every two tags of a cell that clustering may hold against one another, a < b. tags: keys, umi, trans, a tag once.
 
     Within ``most`` edits, ends of the earlier tag being free, two tags of one length become equal when each loses up
     to ``most`` letters; tags that lose the same are joined, and so are, through pieces and substrings as in ``cluster``, those of another length than the
     commonest. Both must share a transcript; reads without any count as NA.
+
+    Tags of one length are dealt by cell, and lose letters where they lie. A cell of over ``split`` tags is dealt by what its tags become,
+    in as many parts as it holds ``split`` tags; a tag goes once to each part that it has a text in.
     """
     named = tags.select(*keys, F.col(umi).alias("u"), F.when(F.size(trans) > 0, F.col(trans)).otherwise(F.array(F.lit("NA"))).alias("t"), F.length(umi).alias("n"))
     lose = lambda c: F.flatten(F.transform(c, lambda x: F.transform(F.sequence(F.lit(1), F.length(x)), lambda i: F.concat(F.substr(x, F.lit(1), i - 1), F.substr(x, i + 1)))))
     shorter = F.array("u")
     for _ in range(most):
         shorter = F.array_distinct(F.concat(shorter, lose(shorter)))
-    lost = named.where("n > 0").withColumn("k", F.explode(shorter))
     pair = lambda left, right, more: left.alias("x").join(right.alias("y"), [F.col(f"x.{c}") == F.col(f"y.{c}") for c in [*keys, *more]])
     shared = F.arrays_overlap("x.t", "y.t")
     out = lambda df, at="": df.select(*(F.col(f"{at}{c}").alias(c) for c in keys), F.least("x.u", "y.u").alias("a"), F.greatest("x.u", "y.u").alias("b"))
+    whole, at = named.where(" and ".join(["n > 0", *(f"{c} is not null" for c in keys)])), keys
+    large = stored(whole.groupBy(*keys).agg(F.count("*").alias("_c")).where(F.col("_c") > split), "cells")
+    if large.head(1):
+        part = lambda k: F.pmod(F.xxhash64(k), F.col("_of"))
+        of = F.coalesce(F.ceil(F.col("_c") / split), F.lit(1)).alias("_of")
+        whole, at = whole.join(large, keys, "left").select(*named.columns, of).withColumn("_part", F.explode(F.array_distinct(F.transform(shorter, part)))), [*keys, "_part"]
+        shorter = F.filter(shorter, lambda k: part(k) == F.col("_part"))
+    lost = whole.repartition(tasks_for(whole, ROWS // 4), *at).withColumn("k", F.explode(shorter))
     # Tags that become one text: those with some letters more, so a group's size is bounded by the length and the letters.
-    met = lost.where(" and ".join(f"{c} is not null" for c in keys)).groupBy(*keys, "n", "k").agg(F.collect_list(F.struct("u", "t")).alias("_g")).where("size(_g) > 1")
+    met = lost.groupBy(*at, "n", "k").agg(F.collect_list(F.struct("u", "t")).alias("_g")).where("size(_g) > 1")
     same = out(met.withColumn("x", F.explode("_g")).withColumn("y", F.explode("_g")).where(shared & (F.col("x.u") < F.col("y.u"))))
     lengths = named.groupBy("n").agg(F.count("*").alias("_c")).orderBy(F.desc("_c"), "n").take(2)
     if len(lengths) < 2:
@@ -161,10 +175,6 @@ def near_tags(tags: DataFrame, keys: list[str], umi: str = "umi", trans: str = "
     return same.unionByName(others[0]).unionByName(others[1]).distinct()
 
 
-#: Reads of a cell that cluster in one group; larger cells are split by components.
-SPLIT = 5000
-
-
 def parts_of(reads: DataFrame, keys: list[str], umi: str, trans: str, most: int, split: int) -> DataFrame:
     """reads with _part: a number within its cell, equal for tags that may meet in the clustering. Cells up to ``split`` reads have one part,
     and if all are such, rows stay where they are.
@@ -177,7 +187,7 @@ def parts_of(reads: DataFrame, keys: list[str], umi: str, trans: str, most: int,
     node = lambda *c: F.xxhash64(*keys, *c)
     each = reads.join(sizes, keys, "left_semi").select(*keys, umi, F.explode_outer(trans).alias("_t")).distinct()
     tags = stored(each.groupBy(*keys, umi).agg(F.collect_list("_t").alias(trans)), "tags")
-    roots = components(near_tags(tags, keys, umi, trans, most).select(node("a").alias("a"), node("b").alias("b")))
+    roots = components(near_tags(tags, keys, umi, trans, most, split).select(node("a").alias("a"), node("b").alias("b")))
     part = F.when(F.col("_n").isNull(), 0).otherwise(F.pmod(F.coalesce("root", "_node"), F.ceil(F.col("_n") / split))).cast("long")
     return by_key(reads.withColumn("_node", node(umi)).join(sizes, keys, "left").join(roots.withColumnRenamed("node", "_node"), "_node", "left").select(*reads.columns, part.alias("_part")), *keys, "_part")
 
